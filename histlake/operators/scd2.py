@@ -86,10 +86,14 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
     snap = clean_required(snapshot, req, extra) if clean_first else snapshot
     a = with_checksum(current, cols, strict)
     n = with_checksum(snap, cols, strict)
-    flagged = flag_matches(a, n, keys, [CHECKSUM], null_safe=True, flag=_HIT)
+    # Plain key equality: the current slice never holds null keys (cleaning
+    # rejects them before anything opens), and a null-safe comparison would
+    # turn the join keys into expressions that no longer line up with a
+    # table bucketed by the key.
+    flagged = flag_matches(a, n, keys, [CHECKSUM], null_safe=False, flag=_HIT)
     kept_or_closed = _stamp_closed_where(flagged, cols, batch_ts, slot, ~F.col(_HIT))
     ak = key_set(a, keys, [CHECKSUM])
-    fresh = n.join(ak, _on(keys, [CHECKSUM], n, ak, True), "left_anti").drop(CHECKSUM)
+    fresh = n.join(ak, _on(keys, [CHECKSUM], n, ak, False), "left_anti").drop(CHECKSUM)
     opened = open_rows(clean_required(fresh, req, extra), batch_ts, slot=slot, ori_id=ori_id)
     return kept_or_closed.unionByName(opened)
 

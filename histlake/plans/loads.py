@@ -9,8 +9,9 @@ sees counts and partition lists.
 
 from __future__ import annotations
 
+import contextlib
 import traceback
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,27 @@ def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None)
     return src.select(*[F.col(c) for c in spec.column_names])
 
 
+@contextlib.contextmanager
+def bucket_aligned(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
+    """Shuffle into as many partitions as the main table has buckets.
+
+    Spark keeps a bucketed side unshuffled only if its bucket count is at
+    least ``spark.sql.shuffle.partitions``; while a main-table job runs, the
+    shuffle count is set to the bucket count so the current slice is read in
+    place and only the arrivals move.
+    """
+    if not spec.buckets:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(spec.buckets))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
 def _check_unique_ids(staged: DataFrame, bt: str) -> None:
     """Ids issued by this batch must be unique.
 
@@ -90,7 +112,8 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
                        spec.required, spec.extra_filter, slot, ori_id=ori_id,
                        broadcast_keys=small)
-    staged = stage(rows, f"{rd}/m")
+    with bucket_aligned(spark, spec):
+        staged = stage(rows, f"{rd}/m")
     if check_ids:
         _check_unique_ids(staged, bt)
     counts = _status_counts(staged)
@@ -114,7 +137,8 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
                        clean_first=clean_first)
-    staged = stage(rows, f"{rd}/m")
+    with bucket_aligned(spark, spec):
+        staged = stage(rows, f"{rd}/m")
     if check_ids:
         _check_unique_ids(staged, bt)
     counts = _status_counts(staged)

@@ -27,8 +27,8 @@ _FIXED = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, LongType: 8
           DecimalType: 16}
 
 
-def key_bytes(df: DataFrame, cols: Sequence[str]) -> int:
-    """Exact byte total of ``cols`` over all rows of ``df`` (one small job)."""
+def key_stats(df: DataFrame, cols: Sequence[str]) -> tuple[int, int]:
+    """Row count and exact byte total of ``cols`` over all rows (one small job)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     width = F.lit(ROW_OVERHEAD).cast("bigint")
     for c in cols:
@@ -40,8 +40,12 @@ def key_bytes(df: DataFrame, cols: Sequence[str]) -> int:
             width = width + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
         else:
             width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    total = df.select(width.alias("w")).agg(F.sum("w")).first()[0]
-    return int(total or 0)
+    row = df.select(width.alias("w")).agg(F.count(F.lit(1)), F.sum("w")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def key_bytes(df: DataFrame, cols: Sequence[str]) -> int:
+    return key_stats(df, cols)[1]
 
 
 def fits_broadcast(df: DataFrame, cols: Sequence[str],

@@ -21,7 +21,7 @@ from ..functions.fingerprint import business_columns
 from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
 from ..operators.scd2 import repair_rows, upsert_rows
-from ..operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
 from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, clean_required, close_rows,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
@@ -41,10 +41,6 @@ class LoadResult:
     counts: dict = field(default_factory=dict)
 
 
-def _status_counts(staged: DataFrame) -> dict:
-    return {r["dl_status"]: r["count"] for r in staged.groupBy("dl_status").count().collect()}
-
-
 def read_source(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The raw layer f, typed by the spec (unparsable values become null)."""
     return conform(spark.table(spec.f_table), spec.schema)
@@ -76,17 +72,22 @@ def bucket_aligned(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
         spark.conf.set(key, prev)
 
 
-def _check_unique_ids(staged: DataFrame, bt: str) -> None:
-    """Ids issued by this batch must be unique.
+def _verify(staged: DataFrame, bt: str, check_ids: bool) -> dict:
+    """Row counts per status of a staged result, and unique new ids.
 
-    Only the rows opened by this batch are grouped (not the whole slice);
-    the partial aggregation keeps the shuffle to distinct ids.
+    One aggregation: per status the rows, and among the rows opened by this
+    batch the ids and distinct ids (never the whole slice's ids).
     """
     from ..functions.slots import ts_lit
-    opened = staged.filter((F.col("dl_status") == STATUS_CURRENT) & (F.col("dl_start_dt") == ts_lit(bt)))
-    dup = opened.groupBy("dl_id").count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise RuntimeError(f"surrogate id {dup[0]['dl_id']} issued twice in one batch")
+    opened = (F.col("dl_status") == STATUS_CURRENT) & (F.col("dl_start_dt") == ts_lit(bt))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if check_ids:
+        oid = F.when(opened, F.col("dl_id"))
+        aggs += [F.count(oid).alias("ids"), F.count_distinct(oid).alias("distinct_ids")]
+    rows = staged.groupBy("dl_status").agg(*aggs).collect()
+    if check_ids and any(r["ids"] != r["distinct_ids"] for r in rows):
+        raise RuntimeError(f"a surrogate id was issued twice in batch {bt}")
+    return {r["dl_status"]: r["n"] for r in rows}
 
 
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
@@ -108,18 +109,17 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
     n = stage(stamp_load(src, bt, slot), f"{rd}/ff")
-    small = fits_broadcast(n, spec.keys, broadcast_limit)
+    arrived, key_bytes = key_stats(n, spec.keys)
+    small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
                        spec.required, spec.extra_filter, slot, ori_id=ori_id,
                        broadcast_keys=small)
     with bucket_aligned(spark, spec):
         staged = stage(rows, f"{rd}/m")
-    if check_ids:
-        _check_unique_ids(staged, bt)
-    counts = _status_counts(staged)
+    counts = _verify(staged, bt, check_ids)
     swap_current(spark, spec.m_table, staged)
     append_by_name(n, spec.ff_table)
-    counts["arrived"] = n.count()
+    counts["arrived"] = arrived
     counts["broadcast_keys"] = small
     return LoadResult(spec.name, "upsert", bt, slot, rd, counts)
 
@@ -139,9 +139,7 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
                        clean_first=clean_first)
     with bucket_aligned(spark, spec):
         staged = stage(rows, f"{rd}/m")
-    if check_ids:
-        _check_unique_ids(staged, bt)
-    counts = _status_counts(staged)
+    counts = _verify(staged, bt, check_ids)
     swap_current(spark, spec.m_table, staged)
     return LoadResult(spec.name, "repair", bt, slot, rd, counts)
 
@@ -183,9 +181,7 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt, slot=slot,
                        ori_id=ori_id)
     staged = stage(backup.unionByName(opened), f"{rd}/m")
-    if check_ids:
-        _check_unique_ids(staged, bt)
-    counts = _status_counts(staged)
+    counts = _verify(staged, bt, check_ids)
     if not (keep_same_day_history and reloaded_today):
         drop_partitions(spark, spec.m_table, dl_status=STATUS_SNAPSHOT, day=slot)
     append_by_name(staged.filter(F.col("dl_status") == STATUS_SNAPSHOT), spec.m_table)

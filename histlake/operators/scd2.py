@@ -48,13 +48,15 @@ def _stamp_closed_where(flagged: DataFrame, cols: Sequence[str], batch_ts, slot:
 def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], batch_ts,
                 required: Sequence[str] = (), extra: str | Column | None = None,
                 slot: int | None = None, ori_id: Column | str | None = None,
-                broadcast_keys: bool = False) -> DataFrame:
+                broadcast_keys: bool = False, opened_partitions: int | None = None) -> DataFrame:
     """P2/P3 rows: new current slice plus the versions closed by this batch.
 
     Arrivals are cleaned first (keys and ``required`` non-null, ``extra``
     predicate), and only cleaned arrivals close versions.  Null keys never
     match.  Several arrivals with one key all open (as the original does);
     use :func:`histlake.operators.dedup.latest_per_key` first to avoid that.
+    ``opened_partitions`` spreads the opened rows by key over that many
+    partitions (the bucket count of a bucketed target: one bucket per task).
     """
     if not keys:
         raise ValueError("upsert needs a primary key")
@@ -64,6 +66,8 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
     flagged = flag_matches(current, clean, keys, broadcast=broadcast_keys, flag=_HIT)
     kept_or_closed = _stamp_closed_where(flagged, cols, batch_ts, slot, F.col(_HIT))
     opened = open_rows(clean, batch_ts, slot=slot, ori_id=ori_id)
+    if opened_partitions:
+        opened = opened.repartition(opened_partitions, *keys)
     return kept_or_closed.unionByName(opened)
 
 

@@ -26,8 +26,8 @@ from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, clean_required,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
 from ..sources.raw import conform
-from ..sources.tables import (append_by_name, drop_partitions, expire_history, reload_ods,
-                              replace_slice, rotate_slot, stage, swap_current)
+from ..sources.tables import (append_by_name, expire_history, relocate_partitions, rotate_slot,
+                              stage, swap_from_stage, write_layout, write_stage_table)
 from .spec import TableSpec
 
 
@@ -90,15 +90,28 @@ def _verify(staged: DataFrame, bt: str, check_ids: bool) -> dict:
     return {r["dl_status"]: r["n"] for r in rows}
 
 
+def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
+    """Write the new main-table rows once, in the table's own layout."""
+    with bucket_aligned(spark, spec):
+        return write_stage_table(write_layout(rows, ["dl_status", "day"], bool(spec.buckets)),
+                                 spec.m_table, f"{rd}/m")
+
+
+def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
+    return write_stage_table(write_layout(rows, ["day"], False), spec.ff_table, f"{rd}/ff_table")
+
+
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
            run_dir: str | None = None, broadcast_limit: int = DEFAULT_BROADCAST_BYTES,
            dedupe_arrivals: Sequence[str] | None = None, check_ids: bool = True,
-           ori_id=None) -> LoadResult:
+           ori_id=None, purge: bool = True) -> LoadResult:
     """Incremental upsert of arrivals (default: the raw layer f).
 
     Every arriving key closes its current version and opens the arrival.
     ``dedupe_arrivals=[order cols]`` keeps only the newest arrival per key
     first (otherwise several arrivals of one key all open, as originally).
+    The arrivals' key set is broadcast only when measured under
+    ``broadcast_limit`` bytes.
     """
     if not spec.keys:
         raise ValueError(f"{spec.name}: upsert needs a primary key")
@@ -113,11 +126,10 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
                        spec.required, spec.extra_filter, slot, ori_id=ori_id,
-                       broadcast_keys=small)
-    with bucket_aligned(spark, spec):
-        staged = stage(rows, f"{rd}/m")
-    counts = _verify(staged, bt, check_ids)
-    swap_current(spark, spec.m_table, staged)
+                       broadcast_keys=small, opened_partitions=spec.buckets)
+    staged = _stage_main(spark, spec, rows, rd)
+    counts = _verify(spark.table(staged), bt, check_ids)
+    swap_from_stage(spark, spec.m_table, staged, purge=purge)
     append_by_name(n, spec.ff_table)
     counts["arrived"] = arrived
     counts["broadcast_keys"] = small
@@ -126,7 +138,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
 
 def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None = None,
            strict: bool = True, clean_first: bool = False, check_ids: bool = True,
-           ori_id=None) -> LoadResult:
+           ori_id=None, purge: bool = True) -> LoadResult:
     """Full repair of the current slice from the ODS copy (a full snapshot)."""
     if not spec.keys:
         raise ValueError(f"{spec.name}: repair needs a primary key")
@@ -137,40 +149,45 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
                        clean_first=clean_first)
-    with bucket_aligned(spark, spec):
-        staged = stage(rows, f"{rd}/m")
-    counts = _verify(staged, bt, check_ids)
-    swap_current(spark, spec.m_table, staged)
+    staged = _stage_main(spark, spec, rows, rd)
+    counts = _verify(spark.table(staged), bt, check_ids)
+    swap_from_stage(spark, spec.m_table, staged, purge=purge)
     return LoadResult(spec.name, "repair", bt, slot, rd, counts)
 
 
 def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
                        snapshot: DataFrame | None = None, run_dir: str | None = None,
-                       **repair_kw) -> LoadResult:
-    """P5: replace the ODS copy with the full raw extract, then :func:`repair`."""
+                       purge: bool = True, **repair_kw) -> LoadResult:
+    """P5: replace the ODS copy with the full raw extract, then :func:`repair`.
+
+    The extract is written once, as the ODS table's new partitions.
+    """
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"rebuild-{spec.name}")
-    n = stage(stamp_load(_arrivals(spark, spec, snapshot), bt, slot), f"{rd}/ff")
-    reload_ods(spark, spec.ff_table, n)
-    res = repair(spark, spec, bt, run_dir=rd, **repair_kw)
+    staged = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
+    ods_rows = spark.table(staged).count()
+    relocate_partitions(spark, spec.ff_table, staged, {}, purge)
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    res = repair(spark, spec, bt, run_dir=rd, purge=purge, **repair_kw)
     res.load = "rebuild_and_repair"
-    res.counts["ods_rows"] = n.count()
+    res.counts["ods_rows"] = ods_rows
     return res
 
 
 def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
                   snapshot: DataFrame | None = None, run_dir: str | None = None,
                   keep_same_day_history: bool = False, check_ids: bool = True,
-                  ori_id=None) -> LoadResult:
+                  ori_id=None, purge: bool = True) -> LoadResult:
     """Full snapshot load with a weekly rotating backup slot.
 
     * ODS: the weekday slot is emptied unless something was loaded into it
       since midnight today (a same-day reload keeps the earlier versions).
-    * main: ``P`` rows of today's slot are dropped, the current slice moves
-      there as ``P`` rows, the cleaned snapshot becomes the current slice.
+    * main: the current slice moves to today's ``P`` slot (replacing what
+      was there) and the cleaned snapshot becomes the current slice.
       ``keep_same_day_history=True`` keeps the ``P`` slot on a same-day
-      rerun instead of discarding the earlier snapshot.
+      rerun (the new backup is added beside it) instead of discarding the
+      earlier snapshot.
     """
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "week")
@@ -180,12 +197,17 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
     opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt, slot=slot,
                        ori_id=ori_id)
-    staged = stage(backup.unionByName(opened), f"{rd}/m")
-    counts = _verify(staged, bt, check_ids)
-    if not (keep_same_day_history and reloaded_today):
-        drop_partitions(spark, spec.m_table, dl_status=STATUS_SNAPSHOT, day=slot)
-    append_by_name(staged.filter(F.col("dl_status") == STATUS_SNAPSHOT), spec.m_table)
-    replace_slice(spark, spec.m_table, STATUS_CURRENT, staged)
+    if spec.buckets:
+        opened = opened.repartition(spec.buckets, *spec.keys)
+    staged = _stage_main(spark, spec, backup.unionByName(opened), rd)
+    counts = _verify(spark.table(staged), bt, check_ids)
+    if keep_same_day_history and reloaded_today:
+        swap_from_stage(spark, spec.m_table, staged, append_statuses=(STATUS_SNAPSHOT,),
+                        purge=purge)
+    else:
+        relocate_partitions(spark, spec.m_table, staged,
+                            {"dl_status": STATUS_SNAPSHOT, "day": slot}, purge)
+        swap_from_stage(spark, spec.m_table, staged, append_statuses=(), purge=purge)
     if not reloaded_today:
         rotate_slot(spark, spec.ff_table, slot)
     append_by_name(n, spec.ff_table)
@@ -194,11 +216,12 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
 
 
 def ods_dedup(spark: SparkSession, spec: TableSpec, order_cols: Sequence[str],
-              by: str = "key", run_dir: str | None = None) -> LoadResult:
+              by: str = "key", run_dir: str | None = None, purge: bool = True) -> LoadResult:
     """Rewrite the ODS copy without older / repeated rows.
 
     ``by='key'``: newest row per primary key (``order_cols`` newest first).
     ``by='row'``: rows equal in every business column collapse to the newest.
+    The result is written once and its partitions replace the table's.
     """
     if not order_cols:
         raise ValueError("ods_dedup needs the order columns (newest first)")
@@ -210,10 +233,11 @@ def ods_dedup(spark: SparkSession, spec: TableSpec, order_cols: Sequence[str],
         kept = drop_exact_duplicates(ff, spec.keys, list(order_cols))
     else:
         raise ValueError("by must be 'key' or 'row'")
-    staged = stage(kept, f"{rd}/ff")
     before = ff.count()
-    reload_ods(spark, spec.ff_table, staged)
-    after = staged.count()
+    staged = _stage_ods(spark, spec, kept, rd)
+    after = spark.table(staged).count()
+    relocate_partitions(spark, spec.ff_table, staged, {}, purge)
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
     return LoadResult(spec.name, f"ods_dedup_{by}", "", 0, rd,
                       {"before": before, "after": after})
 

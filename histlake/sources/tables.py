@@ -182,17 +182,123 @@ def replace_slice(spark: SparkSession, table: str, status: str, staged: DataFram
 
 
 def swap_current(spark: SparkSession, table: str, staged: DataFrame) -> None:
-    """Write a staged upsert/repair result: closed rows first, then the slice.
+    """Write a staged upsert/repair result by copy: closed rows, then the slice.
 
     Closed (``H``) rows are appended before the current slice is replaced:
     a failure in between leaves a version both open and closed (visible,
     repairable from the still-present stage) rather than a lost version.
+    The loads use :func:`swap_from_stage`, which moves the slice instead.
     """
     closed = staged.filter(F.col("dl_status") == STATUS_SUPERSEDED)
     append_by_name(closed, table)
     replace_slice(spark, table, STATUS_CURRENT, staged)
 
 
+# ------------------------------------------------------------ stage tables
+SCRATCH_DB = "histlake_scratch"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A database for stage tables, kept under the shared checkpoint folder."""
+    from ..session import checkpoint_root
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{SCRATCH_DB}` "
+              f"LOCATION '{checkpoint_root(spark)}/histlake/{SCRATCH_DB}.db'")
+    return SCRATCH_DB
+
+
+def write_stage_table(df: DataFrame, like: str, path: str) -> str:
+    """Write ``df`` once, in ``like``'s layout, into a stage table at ``path``.
+
+    The stage table is created ``LIKE`` the target -- same columns,
+    partitioning and buckets -- so its partition folders can later become
+    the target's partitions without another copy.
+    """
+    spark = df.sparkSession
+    name = f"{scratch_database(spark)}.s_{uuid.uuid4().hex[:16]}"
+    spark.sql(f"CREATE TABLE {_q(name)} LIKE {_q(like)} USING parquet LOCATION '{path}'")
+    aligned(df, spark, name).write.insertInto(name)
+    return name
+
+
+def partition_location(spark: SparkSession, table: str, spec: dict) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)} PARTITION ({_spec_sql(spec)})").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system holds it (Hadoop FS API)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match: dict,
+                        purge: bool = True) -> list[str]:
+    """Make ``table``'s partitions under ``match`` exactly the stage's ones.
+
+    Metadata only: each staged partition folder becomes the table's
+    partition (``ADD PARTITION .. LOCATION`` / ``SET LOCATION``), and table
+    partitions the stage does not have are dropped.  The folders they
+    pointed to are superseded; they are deleted when ``purge`` (readers that
+    planned against them earlier would fail -- pass ``purge=False`` and clean
+    up later if such readers exist).  Returns the superseded folders.
+    """
+    want = {k: str(v) for k, v in match.items()}
+
+    def hit(p):
+        return all(p.get(k) == v for k, v in want.items())
+
+    new = [p for p in partitions(spark, stage_table) if hit(p)]
+    old = {tuple(sorted(p.items())): p for p in partitions(spark, table) if hit(p)}
+    superseded = []
+    for p in new:
+        loc = partition_location(spark, stage_table, p)
+        key = tuple(sorted(p.items()))
+        if key in old:
+            superseded.append(partition_location(spark, table, p))
+            spark.sql(f"ALTER TABLE {_q(table)} PARTITION ({_spec_sql(p)}) SET LOCATION '{loc}'")
+            del old[key]
+        else:
+            spark.sql(f"ALTER TABLE {_q(table)} ADD PARTITION ({_spec_sql(p)}) LOCATION '{loc}'")
+    for p in old.values():
+        superseded.append(partition_location(spark, table, p))
+        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS PARTITION ({_spec_sql(p)})")
+    spark.catalog.refreshTable(table)
+    if purge:
+        for loc in superseded:
+            delete_path(spark, loc)
+    return superseded
+
+
+def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
+                    append_statuses: Sequence[str] = (STATUS_SUPERSEDED,),
+                    relocate_statuses: Sequence[str] = (STATUS_CURRENT,),
+                    purge: bool = True) -> None:
+    """Publish a staged main-table result.
+
+    Statuses in ``append_statuses`` (closed rows: proportional to the
+    arrivals) are appended by copy first; statuses in ``relocate_statuses``
+    (the large current slice) are swapped in by moving partitions, so the
+    slice is written exactly once, and a slot that got no rows disappears.
+    """
+    staged = spark.table(stage_table)
+    for status in append_statuses:
+        append_by_name(staged.filter(F.col("dl_status") == status), table)
+    for status in relocate_statuses:
+        relocate_partitions(spark, table, stage_table, {"dl_status": status}, purge)
+    spark.sql(f"DROP TABLE IF EXISTS {_q(stage_table)}")
+
+
+def write_layout(df: DataFrame, partition_cols: Sequence[str], bucketed: bool) -> DataFrame:
+    """Row placement for a partitioned write.
+
+    Unbucketed: a ``rebalance`` on the partition columns, so every task
+    writes one partition and AQE sizes the files (no file per task and
+    partition).  Bucketed: unchanged -- the key-partitioned join output
+    already holds one bucket per task.
+    """
+    return df if bucketed else df.hint("rebalance", *partition_cols)
+
+
 def reload_ods(spark: SparkSession, ff_table: str, staged: DataFrame) -> None:
     """Replace the whole ODS table with staged rows (truncate + insert)."""
     overwrite_static(spark, ff_table, staged)

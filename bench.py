@@ -65,6 +65,27 @@ def cmp_repair_separate_joins(spark, d):
             .unionByName(diff.opened.select(F.lit(None).cast("string").alias("dl_id"), *R.ORDERS)))
 
 
+def cmp_repair_full_outer(spark, d):
+    """Repair as one full outer join on the key, classified per pair."""
+    from histlake.functions import row_checksum
+    from histlake.operators import close_values
+    a = open_rows(R.orders_old(spark, d), R.T1, ori_id="o_orderkey")
+    n = R.orders_new(spark, d)
+    a = a.withColumn("ck", row_checksum(R.ORDERS))
+    n = n.select(*[F.col(c).alias("n_" + c) for c in R.ORDERS]).withColumn(
+        "n_ck", row_checksum([f"n_{c}" for c in R.ORDERS]))
+    j = a.join(n, a.o_orderkey == n.n_o_orderkey, "full_outer")
+    same = F.col("ck") == F.col("n_ck")
+    vals = close_values(R.T2, "H", 20)
+    kept_closed = j.filter(F.col("dl_id").isNotNull()).select(
+        "dl_id", *R.ORDERS, *[F.when(same, F.col(c)).otherwise(vals[c]).alias(c) if c in vals
+                              else F.col(c) for c in ["dl_loaded_dt", "dl_start_dt", "dl_end_dt",
+                                                      "dl_status", "day"]])
+    fresh = j.filter(F.col("n_o_orderkey").isNotNull() & (F.col("dl_id").isNull() | ~same)) \
+             .select(*[F.col("n_" + c).alias(c) for c in R.ORDERS])
+    return kept_closed.unionByName(open_rows(fresh, R.T2, ori_id="o_orderkey"))
+
+
 def cmp_repair_single_flag(spark, d):
     return R.q_scd2_repair(spark, d)
 
@@ -113,6 +134,7 @@ COMPARE = {
     "keep_left_join_is_null": cmp_keep_left_join_is_null,
     "keep_left_anti": cmp_keep_left_anti,
     "repair_separate_joins": cmp_repair_separate_joins,
+    "repair_full_outer": cmp_repair_full_outer,
     "repair_single_flag": cmp_repair_single_flag,
     "ids_python_udf": cmp_ids_python_udf,
     "ids_native": cmp_ids_native,

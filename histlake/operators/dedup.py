@@ -63,10 +63,12 @@ def latest_batch(ff: DataFrame, load_col: str = "dl_loaded_dt") -> DataFrame:
     The maximum is one scalar (a column-only scan); it comes back to the
     driver as a literal so the equality filter reaches the parquet reader.
     """
-    newest = ff.agg(F.max(load_col)).first()[0]
+    dtype = ff.schema[load_col].dataType
+    # back and forth as text in the column's own type: no time-zone conversion
+    newest = ff.agg(F.max(load_col).cast("string")).first()[0]
     if newest is None:
         return ff.limit(0)
-    return ff.filter(F.col(load_col) == F.lit(newest))
+    return ff.filter(F.col(load_col) == F.lit(newest).cast(dtype))
 
 
 def loaded_since_midnight(ff: DataFrame, slot: int, batch_ts,

@@ -176,3 +176,14 @@ def test_as_of_and_expire(spark):
     assert rows(as_of(m2, "2022-01-01 00:00:00"), "k") == []
     assert rows(expire_rows(m2, T3), "k", "v") == [(1, "A"), (2, "b")]
     assert expire_rows(m2, T2).count() == 3
+
+
+def test_latest_batch_under_another_session_time_zone(spark):
+    ff = stamp_load(spark.createDataFrame([(1, "a", 1)], SCHEMA), T1).unionByName(
+        stamp_load(spark.createDataFrame([(2, "b", 2)], SCHEMA), T2))
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert rows(latest_batch(ff), "k") == [(2,)]
+        assert rows(fmt(open_rows(ff, T3)), "dl_start_dt") == [(T3,), (T3,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

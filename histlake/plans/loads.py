@@ -72,22 +72,41 @@ def bucket_aligned(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
         spark.conf.set(key, prev)
 
 
-def _verify(staged: DataFrame, bt: str, check_ids: bool) -> dict:
+def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
     """Row counts per status of a staged result, and unique new ids.
 
-    One aggregation: per status the rows, and among the rows opened by this
-    batch the ids and distinct ids (never the whole slice's ids).
+    The counts group by a partition column only (no data pages are read);
+    the id check reads only today's current partition, where every row
+    opened by this batch lives.
     """
     from ..functions.slots import ts_lit
-    opened = (F.col("dl_status") == STATUS_CURRENT) & (F.col("dl_start_dt") == ts_lit(bt))
-    aggs = [F.count(F.lit(1)).alias("n")]
+    counts = {r["dl_status"]: r["count"] for r in staged.groupBy("dl_status").count().collect()}
     if check_ids:
-        oid = F.when(opened, F.col("dl_id"))
-        aggs += [F.count(oid).alias("ids"), F.count_distinct(oid).alias("distinct_ids")]
-    rows = staged.groupBy("dl_status").agg(*aggs).collect()
-    if check_ids and any(r["ids"] != r["distinct_ids"] for r in rows):
-        raise RuntimeError(f"a surrogate id was issued twice in batch {bt}")
-    return {r["dl_status"]: r["n"] for r in rows}
+        opened = staged.filter((F.col("dl_status") == STATUS_CURRENT) & (F.col("day") == slot)
+                               & (F.col("dl_start_dt") == ts_lit(bt)))
+        dup = opened.groupBy("dl_id").count().filter("count > 1").limit(1).collect()
+        if dup:
+            raise RuntimeError(f"surrogate id {dup[0]['dl_id']} issued twice in batch {bt}")
+    return counts
+
+
+def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> None:
+    """Refuse a batch whose minute is not after every current version's start.
+
+    Ids embed the batch minute, so a second batch in the same minute could
+    repeat ids; an earlier batch time would give inverted intervals; and a
+    finished batch run again would apply twice.  The filter is on a column
+    that is constant per written file, so parquet statistics skip nearly
+    every row group: the check costs about a footer read per file.
+    """
+    from ..functions.slots import TS_FORMAT, batch_datetime, ts_lit
+    minute = batch_datetime(bt).replace(second=0)
+    hit = (current(spark.table(spec.m_table))
+           .filter(F.col("dl_start_dt") >= ts_lit(minute.strftime(TS_FORMAT)))
+           .select("dl_start_dt").limit(1).collect())
+    if hit:
+        raise ValueError(f"{spec.name}: current versions start at {hit[0][0]}, not before the "
+                         f"minute of batch {bt}; use a later batch time")
 
 
 def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
@@ -118,6 +137,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"upsert-{spec.name}")
+    _guard_batch_time(spark, spec, bt)
     src = _arrivals(spark, spec, arrivals)
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
@@ -128,7 +148,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
                        spec.required, spec.extra_filter, slot, ori_id=ori_id,
                        broadcast_keys=small, opened_partitions=spec.buckets)
     staged = _stage_main(spark, spec, rows, rd)
-    counts = _verify(spark.table(staged), bt, check_ids)
+    counts = _verify(spark.table(staged), bt, slot, check_ids)
     swap_from_stage(spark, spec.m_table, staged, purge=purge)
     append_by_name(n, spec.ff_table)
     counts["arrived"] = arrived
@@ -145,12 +165,13 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"repair-{spec.name}")
+    _guard_batch_time(spark, spec, bt)
     snap = spark.table(spec.ff_table).select(*spec.column_names)
     rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
                        clean_first=clean_first)
     staged = _stage_main(spark, spec, rows, rd)
-    counts = _verify(spark.table(staged), bt, check_ids)
+    counts = _verify(spark.table(staged), bt, slot, check_ids)
     swap_from_stage(spark, spec.m_table, staged, purge=purge)
     return LoadResult(spec.name, "repair", bt, slot, rd, counts)
 
@@ -165,6 +186,7 @@ def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"rebuild-{spec.name}")
+    _guard_batch_time(spark, spec, bt)
     staged = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
     ods_rows = spark.table(staged).count()
     relocate_partitions(spark, spec.ff_table, staged, {}, purge)
@@ -192,6 +214,7 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "week")
     rd = run_dir or new_run_dir(spark, f"snapshot-{spec.name}")
+    _guard_batch_time(spark, spec, bt)
     reloaded_today = loaded_since_midnight(spark.table(spec.ff_table), slot, bt)
     n = stage(stamp_load(_arrivals(spark, spec, snapshot), bt, slot), f"{rd}/ff")
     backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
@@ -200,7 +223,7 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     if spec.buckets:
         opened = opened.repartition(spec.buckets, *spec.keys)
     staged = _stage_main(spark, spec, backup.unionByName(opened), rd)
-    counts = _verify(spark.table(staged), bt, check_ids)
+    counts = _verify(spark.table(staged), bt, slot, check_ids)
     if keep_same_day_history and reloaded_today:
         swap_from_stage(spark, spec.m_table, staged, append_statuses=(STATUS_SNAPSHOT,),
                         purge=purge)

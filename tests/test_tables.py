@@ -190,3 +190,16 @@ def test_upsert_needs_a_key(spark, fresh_db):
     spec = small_spec(fresh_db).with_(keys=())
     with pytest.raises(ValueError):
         upsert(spark, spec, T1, arrivals=spark.createDataFrame([], "k bigint, v string, n int"))
+
+
+def test_batch_time_guard(spark, run_dir, fresh_db):
+    spec = small_spec(fresh_db)
+    create_layers(spark, spec, run_dir)
+    rows = spark.createDataFrame([(1, "a", 1)], "k bigint, v string, n int")
+    upsert(spark, spec, T2, arrivals=rows)
+    with pytest.raises(ValueError):                       # same minute: ids could repeat
+        upsert(spark, spec, "2022-04-20 10:11:40", arrivals=rows)
+    with pytest.raises(ValueError):                       # earlier batch: inverted intervals
+        upsert(spark, spec, T1, arrivals=rows)
+    upsert(spark, spec, "2022-04-20 10:12:00", arrivals=rows)
+    assert spark.table(spec.m_table).count() == 2

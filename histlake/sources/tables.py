@@ -166,12 +166,15 @@ def overwrite_static(spark: SparkSession, table: str, df: DataFrame,
                       *(f"`{c}`" for c in part_cols if c not in static)])
     clause = f"PARTITION ({spec})" if spec else ""
     select = ", ".join(f"`{f.name}`" for f in cols)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key)
+    if prev.lower() != "static":       # only touched when a session chose dynamic
+        spark.conf.set(key, "static")
     try:
         spark.sql(f"INSERT OVERWRITE TABLE {_q(table)} {clause} SELECT {select} FROM {view}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        if prev.lower() != "static":
+            spark.conf.set(key, prev)
         spark.catalog.dropTempView(view)
 
 
@@ -311,13 +314,14 @@ def rotate_slot(spark: SparkSession, table: str, day: int, status: str | None =
 
 
 def expire_history(spark: SparkSession, m_table: str, before, run_dir: str,
-                   statuses: Sequence[str] = (STATUS_SUPERSEDED,)) -> int:
+                   statuses: Sequence[str] = (STATUS_SUPERSEDED,), purge: bool = True) -> int:
     """Remove closed versions that ended before ``before``.
 
-    Only the ``(status, day)`` partitions that hold expiring rows are
-    rewritten: survivors are staged, partitions left empty are dropped, and
-    the rest are overwritten partition by partition (dynamic mode, limited
-    to exactly those partitions).  Returns the number of partitions touched.
+    Only the ``(status, day)`` partitions holding expiring rows are touched:
+    their survivors are written once into a stage table in the table's
+    layout, and each touched partition is then swapped for its staged
+    version (or dropped when nothing survives).  Returns the number of
+    partitions touched.
     """
     m = spark.table(m_table)
     cond = expired(m, before, statuses)
@@ -328,22 +332,11 @@ def expire_history(spark: SparkSession, m_table: str, before, run_dir: str,
     in_touched = F.lit(False)
     for s, d in touched:
         in_touched = in_touched | ((F.col("dl_status") == s) & (F.col("day") == d))
-    survivors = stage(m.filter(in_touched & ~cond), f"{run_dir}/expire")
-    alive = {(r.dl_status, r.day) for r in survivors.select("dl_status", "day").distinct().collect()}
+    survivors = write_layout(m.filter(in_touched & ~cond), ["dl_status", "day"], False)
+    staged = write_stage_table(survivors, m_table, f"{run_dir}/expire")
     for s, d in touched:
-        if (s, d) not in alive:
-            drop_partitions(spark, m_table, dl_status=s, day=d)
-    if alive:
-        target = spark.table(m_table).schema
-        view = _temp_view(survivors.select(*[F.col(f.name).cast(f.dataType) for f in target.fields]))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {_q(m_table)} PARTITION (dl_status, day) "
-                      f"SELECT * FROM {view}")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-            spark.catalog.dropTempView(view)
+        relocate_partitions(spark, m_table, staged, {"dl_status": s, "day": d}, purge)
+    spark.sql(f"DROP TABLE IF EXISTS {_q(staged)}")
     return len(touched)
 
 

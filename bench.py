@@ -37,7 +37,8 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINE = ["scd2_upsert", "scd2_repair", "snapshot_rotate", "scd2_two_batches",
             "latest_per_key", "drop_exact_duplicates", "snapshot_diff_counts", "conform",
-            "tables_upsert", "tables_repair", "tables_snapshot", "tables_ods_dedup"]
+            "scd2_backfill", "tables_upsert", "tables_repair", "tables_snapshot",
+            "tables_ods_dedup", "tables_backfill"]
 
 
 def _sf(path: str) -> float | str:

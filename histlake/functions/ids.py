@@ -47,3 +47,28 @@ def surrogate_id(batch_ts, ori_id: Column | str | None = None) -> Column:
     seq = oid.bitwiseAND(F.lit(SEQUENCE_MASK))
     total = high + part.cast("decimal(38,0)") + seq.cast("decimal(38,0)")
     return total.cast("decimal(38,0)").cast("string")
+
+
+def minutes_of(ts: Column | str) -> Column:
+    """Column form of :func:`batch_minutes` for a wall-clock timestamp column.
+
+    Built from the calendar fields (days since 1970 and time of day), so no
+    session time zone takes part.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    secs = (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600
+            + F.minute(c) * 60 + F.second(c))
+    return F.floor((secs - F.lit(EPOCH_2000_UTC8)) / 60).cast("bigint")
+
+
+def surrogate_id_at(ts: Column | str, ori_id: Column | str | None = None) -> Column:
+    """:func:`surrogate_id` with a per-row batch time (for multi-batch loads)."""
+    if ori_id is None:
+        oid = F.monotonically_increasing_id()
+    else:
+        oid = (F.col(ori_id) if isinstance(ori_id, str) else ori_id).cast("bigint")
+    high = minutes_of(ts).cast("decimal(20,0)") * F.lit(Decimal(1 << MINUTE_SHIFT))
+    part = F.shiftleft(F.shiftright(oid, PARTITION_SHIFT_IN), PARTITION_SHIFT_OUT)
+    seq = oid.bitwiseAND(F.lit(SEQUENCE_MASK))
+    total = high + part.cast("decimal(38,0)") + seq.cast("decimal(38,0)")
+    return total.cast("decimal(38,0)").cast("string")

@@ -20,14 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import business_columns
+from .dedup import latest_per_key
 from .match import CHECKSUM, flag_matches, key_set, with_checksum, _on
 from .stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED, clean_required,
                      close_rows, close_values, m_columns, open_rows)
-from ..functions.slots import slot_of
+from ..functions.ids import surrogate_id_at
+from ..functions.slots import open_end_lit, slot_of
 
 _HIT = "_hit"
 
@@ -120,3 +122,64 @@ def snapshot_rows(m: DataFrame, snapshot: DataFrame, keys: Sequence[str], batch_
     backup = close_rows(m.filter(status == STATUS_CURRENT), batch_ts, STATUS_SNAPSHOT, slot)
     opened = open_rows(clean_required(snapshot, req, extra), batch_ts, slot=slot, ori_id=ori_id)
     return history.unionByName(backup).unionByName(opened)
+
+
+def backfill_rows(current: DataFrame | None, batches: DataFrame, keys: Sequence[str],
+                  batch_col: str, order_cols: Sequence[str], required: Sequence[str] = (),
+                  extra: str | Column | None = None,
+                  ori_id: Column | str | None = None) -> DataFrame:
+    """P2 applied to a whole sequence of batches, as one job.
+
+    ``batches`` holds arrivals of many loads; ``batch_col`` (wall-clock
+    timestamp) says which load each row belongs to.  The result equals
+    running :func:`upsert_rows` batch after batch with the newest arrival
+    per key kept in each batch (``order_cols`` newest first): every batch a
+    key arrives in opens a version; it closes at the key's next batch.
+
+    Plan: newest row per (key, batch) -- a partial WindowGroupLimit before
+    the shuffle -- then ``lead`` over each key's batches, a window that
+    holds at most one row per batch, so a key that holds a third of the
+    arrivals is still one small group.  ``current`` (may be ``None``) is the
+    current slice before the first batch: versions whose key arrives are
+    closed at that key's first batch, via one join against a per-key minimum
+    (partial aggregation).  Returns the current slice plus every closed
+    version, as the sequence of upserts would leave them.
+    """
+    if not keys:
+        raise ValueError("backfill needs a primary key")
+    cols = [c for c in business_columns(batches) if c != batch_col]
+    req = [*keys, *[c for c in required if c not in keys]]
+    clean = clean_required(batches, req, extra)
+    newest = latest_per_key(clean, [*keys, batch_col], list(order_cols))
+    w = Window.partitionBy(*keys).orderBy(batch_col)
+    nxt = F.lead(batch_col).over(w)
+    b = F.col(batch_col).cast("timestamp_ntz")
+    versions = newest.select(
+        *cols, b.alias("_batch"), nxt.cast("timestamp_ntz").alias("_next"),
+        surrogate_id_at(b, ori_id).alias("dl_id"))
+    closed = F.col("_next").isNotNull()
+    out = versions.select(
+        "dl_id", *cols,
+        F.coalesce("_next", "_batch").alias("dl_loaded_dt"),
+        F.col("_batch").alias("dl_start_dt"),
+        F.when(closed, F.col("_next")).otherwise(open_end_lit()).alias("dl_end_dt"),
+        F.when(closed, F.lit(STATUS_SUPERSEDED)).otherwise(F.lit(STATUS_CURRENT)).alias("dl_status"),
+        F.dayofmonth(F.coalesce("_next", "_batch")).cast("int").alias("day"))
+    if current is None:
+        return out
+    first = (newest.groupBy(*keys).agg(F.min(batch_col).cast("timestamp_ntz").alias("_first"))
+             .select(*[F.col(k).alias("_r_" + k) for k in keys], "_first"))
+    on = [current[k] == first["_r_" + k] for k in keys]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    joined = current.join(first, cond, "left_outer")
+    hit = F.col("_first").isNotNull()
+    prior = joined.select(
+        "dl_id", *cols,
+        F.when(hit, F.col("_first")).otherwise(F.col("dl_loaded_dt")).alias("dl_loaded_dt"),
+        "dl_start_dt",
+        F.when(hit, F.col("_first")).otherwise(F.col("dl_end_dt")).alias("dl_end_dt"),
+        F.when(hit, F.lit(STATUS_SUPERSEDED)).otherwise(F.col("dl_status")).alias("dl_status"),
+        F.when(hit, F.dayofmonth("_first").cast("int")).otherwise(F.col("day")).alias("day"))
+    return prior.unionByName(out)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.fingerprint import business_columns
 from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
-from ..operators.scd2 import repair_rows, upsert_rows
+from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
 from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
 from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, clean_required, close_rows,
                                 current, open_rows, stamp_load)
@@ -265,6 +265,43 @@ def ods_dedup(spark: SparkSession, spec: TableSpec, order_cols: Sequence[str],
                       {"before": before, "after": after})
 
 
+def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col: str,
+             order_cols: Sequence[str], run_dir: str | None = None, check_ids: bool = True,
+             ori_id=None, purge: bool = True) -> LoadResult:
+    """P2 over a whole sequence of past batches in one job (see ``backfill_rows``).
+
+    ``batches`` carries the business columns plus ``batch_col``, the load
+    time of each row.  The main table ends as it would after one upsert per
+    batch (newest arrival per key and batch); the ODS copy receives every
+    arrival stamped with its own batch time and day slot.
+    """
+    if not spec.keys:
+        raise ValueError(f"{spec.name}: backfill needs a primary key")
+    rd = run_dir or new_run_dir(spark, f"backfill-{spec.name}")
+    n = stage(batches.select(*spec.column_names, F.col(batch_col).cast("timestamp_ntz")
+                             .alias(batch_col)), f"{rd}/arrivals")
+    first = n.agg(F.min(batch_col).cast("string")).first()[0]
+    if first is None:
+        return LoadResult(spec.name, "backfill", "", 0, rd, {})
+    first = batch_text(first)
+    _guard_batch_time(spark, spec, first)
+    rows = backfill_rows(current(spark.table(spec.m_table)), n, spec.keys, batch_col,
+                         order_cols, spec.required, spec.extra_filter, ori_id=ori_id)
+    staged = _stage_main(spark, spec, rows, rd)
+    st = spark.table(staged)
+    counts = {r["dl_status"]: r["count"] for r in st.groupBy("dl_status").count().collect()}
+    if check_ids:
+        from ..functions.slots import ts_lit
+        new = st.filter(F.col("dl_start_dt") >= ts_lit(first))
+        if new.groupBy("dl_id").count().filter("count > 1").limit(1).collect():
+            raise RuntimeError("a surrogate id was issued twice in the backfill")
+    swap_from_stage(spark, spec.m_table, staged, purge=purge)
+    ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
+                   F.dayofmonth(batch_col).cast("int").alias("day"))
+    append_by_name(write_layout(ods, ["day"], False), spec.ff_table)
+    return LoadResult(spec.name, "backfill", first, 0, rd, counts)
+
+
 def retain(spark: SparkSession, spec: TableSpec, before, run_dir: str | None = None,
            statuses: Sequence[str] = ("H",)) -> LoadResult:
     """S16 on the table: closed versions that ended before ``before`` go."""
@@ -275,7 +312,7 @@ def retain(spark: SparkSession, spec: TableSpec, before, run_dir: str | None = N
 
 LOADS: dict[str, Callable[..., LoadResult]] = {
     "snapshot_load": snapshot_load, "upsert": upsert, "repair": repair,
-    "rebuild_and_repair": rebuild_and_repair, "ods_dedup": ods_dedup,
+    "rebuild_and_repair": rebuild_and_repair, "ods_dedup": ods_dedup, "backfill": backfill,
 }
 
 
@@ -298,5 +335,5 @@ def run_all(spark: SparkSession, specs: Sequence[TableSpec], load: str, *args, *
                                        "counts string, error string")
 
 
-__all__ = ["LOADS", "LoadResult", "ods_dedup", "read_source", "rebuild_and_repair", "repair",
+__all__ = ["LOADS", "LoadResult", "backfill", "ods_dedup", "read_source", "rebuild_and_repair", "repair",
            "retain", "run_all", "snapshot_load", "upsert", "business_columns"]

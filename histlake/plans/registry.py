@@ -22,14 +22,14 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from ..functions.fingerprint import check_key, row_checksum
 from ..functions.ids import MINUTE_SHIFT, batch_minutes
 from ..functions.slots import day_slot, slot_of
-from ..operators import (as_of, change_report, clean_required, close_rows, current,
+from ..operators import (as_of, backfill_rows, change_report, clean_required, close_rows, current,
                          drop_exact_duplicates, expire_rows, latest_batch, latest_per_key,
                          matched, open_rows, repair_rows, snapshot_diff, snapshot_rows,
                          stamp_load, unmatched, upsert_rows)
 from ..session import new_run_dir
 from ..sources.raw import conform, conform_losses, read_raw, write_raw
 from ..sources.tables import append_by_name, create_layers
-from .loads import ods_dedup, rebuild_and_repair, retain, snapshot_load, upsert
+from .loads import backfill, ods_dedup, rebuild_and_repair, retain, snapshot_load, upsert
 from .spec import TableSpec
 
 # Batch times of the examples: three Wednesdays (weekday slot 3), days 13/20/27.
@@ -41,6 +41,7 @@ AS_OF = "2022-04-16 00:00:00"
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
           "o_orderpriority"]
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
             "l_shipdate"]
@@ -112,6 +113,20 @@ def orders_spec(db: str = "default", **kw) -> TableSpec:
                      **kw)
 
 
+def events_by_day(spark, d):
+    """events as daily loads: each row's batch is the start of its day."""
+    e = _t(spark, d, "events")
+    return e.withColumn("load_batch", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+
+
+def events_spec(db: str = "default", **kw) -> TableSpec:
+    """events kept as versions per user: the user's newest event of each load."""
+    return TableSpec(name="events", database=db, keys=("user_id",),
+                     columns=(("event_id", "bigint"), ("ts", "timestamp"), ("user_id", "bigint"),
+                              ("event_type", "varchar(20)"), ("value", "double"),
+                              ("props", "varchar(200)")), **kw)
+
+
 def customer_spec(db: str = "default", **kw) -> TableSpec:
     return TableSpec(name="customer", database=db, keys=("c_custkey",),
                      columns=(("c_custkey", "bigint"), ("c_name", "varchar(25)"),
@@ -363,6 +378,21 @@ def q_tables_ods_dedup_key(spark, d):
     return present(spark.table(spec.ff_table).select(*ORDERS, "dl_loaded_dt", "day"))
 
 
+def q_scd2_backfill(spark, d):
+    rows = backfill_rows(None, events_by_day(spark, d), ["user_id"], "load_batch",
+                         ["ts", "event_id"], ori_id="event_id")
+    return present(rows)
+
+
+def q_tables_backfill(spark, d):
+    rd, db = _fresh_db(spark, "q-backfill")
+    spec = events_spec(db)
+    create_layers(spark, spec, rd)
+    backfill(spark, spec, events_by_day(spark, d), "load_batch", ["ts", "event_id"],
+             ori_id="event_id")
+    return present(spark.table(spec.m_table).select("dl_id", *EVENTS, *M_TAIL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stamp_load": q_stamp_load,
     "open_rows": q_open_rows,
@@ -398,6 +428,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tables_snapshot": q_tables_snapshot,
     "tables_ods_dedup": q_tables_ods_dedup,
     "tables_ods_dedup_key": q_tables_ods_dedup_key,
+    "scd2_backfill": q_scd2_backfill,
+    "tables_backfill": q_tables_backfill,
 }
 
 
@@ -530,6 +562,22 @@ def _conform_sql() -> str:
             f"{_fmt('TRY_CAST(o_orderdate AS TIMESTAMP)')} AS o_orderdate, o_orderpriority FROM {r} r")
 
 
+def _backfill_sql() -> str:
+    minutes = "((CAST(epoch(batch) AS BIGINT) - 946656000) // 60)"
+    k = "CAST(event_id AS BIGINT)"
+    dl_id = (f"CAST(CAST({minutes} AS HUGEINT) * CAST('{1 << MINUTE_SHIFT}' AS HUGEINT) "
+             f"+ CAST((({k} >> 33) << 30) AS HUGEINT) + CAST(({k} & 8589934591) AS HUGEINT) AS VARCHAR)")
+    return ("WITH b AS (SELECT *, date_trunc('day', ts) AS batch FROM events), "
+            "n AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id, batch "
+            "ORDER BY ts DESC, event_id DESC) = 1), "
+            "v AS (SELECT *, lead(batch) OVER (PARTITION BY user_id ORDER BY batch) AS nxt FROM n), "
+            f"r AS (SELECT {dl_id} AS dl_id, {', '.join(EVENTS)}, coalesce(nxt, batch) AS dl_loaded_dt, "
+            "batch AS dl_start_dt, coalesce(nxt, TIMESTAMP '9999-12-31 00:00:00') AS dl_end_dt, "
+            "CASE WHEN nxt IS NULL THEN 'A' ELSE 'H' END AS dl_status, "
+            "CAST(day(coalesce(nxt, batch)) AS INTEGER) AS day FROM v) "
+            + _m_select("r", EVENTS))
+
+
 def oracle_sql() -> dict[str, str]:
     s1, s2 = slot_of(T1, "month"), slot_of(T2, "month")
     k = "o_orderkey"
@@ -629,6 +677,8 @@ def oracle_sql() -> dict[str, str]:
         "tables_snapshot": snapshot_sql,
         "tables_ods_dedup": dedup_row,
         "tables_ods_dedup_key": dedup_key,
+        "scd2_backfill": _backfill_sql(),
+        "tables_backfill": _backfill_sql(),
     }
     return q
 

@@ -48,7 +48,7 @@ FAST = ["stamp_load", "open_rows", "close_rows", "clean_required", "day_slots",
         "snapshot_diff", "change_report", "snapshot_diff_counts", "scd2_upsert", "scd2_repair",
         "snapshot_rotate", "scd2_two_batches", "current_rows", "as_of", "expire_history",
         "latest_per_key", "latest_per_key_ods", "drop_exact_duplicates", "conform",
-        "conform_losses", "conform_text"]
+        "conform_losses", "conform_text", "scd2_backfill"]
 
 
 @pytest.mark.parametrize("name", FAST)
@@ -61,7 +61,8 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     assert got == _rows(res.fetchall(), cols)
 
 
-@pytest.mark.parametrize("name", ["tables_upsert", "tables_snapshot", "tables_ods_dedup"])
+@pytest.mark.parametrize("name", ["tables_upsert", "tables_snapshot", "tables_ods_dedup",
+                                  "tables_backfill"])
 def test_table_queries_match_oracle_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     got = _rows([tuple(r) for r in df.collect()], df.columns)

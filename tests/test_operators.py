@@ -187,3 +187,39 @@ def test_latest_batch_under_another_session_time_zone(spark):
         assert rows(fmt(open_rows(ff, T3)), "dl_start_dt") == [(T3,), (T3,)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _loop_upserts(spark, m, arrivals, keys, batch_col, order_cols, ori_id):
+    """Brute force: one upsert per batch, in batch order."""
+    from histlake.functions import batch_text
+    batches = sorted(r[0] for r in arrivals.select(batch_col).distinct().collect())
+    closed = m.filter("dl_status <> 'A'")
+    cur = m.filter("dl_status = 'A'")
+    for b in batches:
+        n = latest_per_key(arrivals.filter(F.col(batch_col) == F.lit(batch_text(b)).cast("timestamp_ntz"))
+                           .drop(batch_col), keys, order_cols)
+        out = upsert_rows(cur, n, keys, batch_text(b), ori_id=ori_id)
+        closed = closed.unionByName(out.filter("dl_status = 'H'"))
+        cur = out.filter("dl_status = 'A'")
+    return closed.unionByName(cur)
+
+
+def test_backfill_equals_one_upsert_per_batch(spark):
+    from histlake.operators import backfill_rows
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    days = (e.withColumn("load_batch", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+             .filter(F.col("ts") < F.lit("2024-01-06").cast("timestamp_ntz")))
+    days = spark.createDataFrame(days.collect(), days.schema)        # small fixed fixture
+    keys, order = ["user_id"], ["ts", "event_id"]
+    bulk = backfill_rows(None, days, keys, "load_batch", order, ori_id="event_id")
+    empty = open_rows(days.drop("load_batch"), T1, ori_id="event_id").filter(F.lit(False))
+    loop = _loop_upserts(spark, empty, days, keys, "load_batch", order, "event_id")
+    assert rows(fmt(bulk)) == rows(fmt(loop))
+    # onto an existing current slice: its versions close at each key's first batch
+    start = open_rows(e.filter("event_id < 40").drop_duplicates(["user_id"]), "2023-12-30 00:00:00",
+                      ori_id="event_id")
+    start = spark.createDataFrame(start.collect(), start.schema)
+    bulk2 = backfill_rows(start, days, keys, "load_batch", order, ori_id="event_id")
+    loop2 = _loop_upserts(spark, start, days, keys, "load_batch", order, "event_id")
+    assert rows(fmt(bulk2)) == rows(fmt(loop2))
+    assert bulk2.filter("dl_status = 'A'").groupBy("user_id").count().filter("count > 1").count() == 0

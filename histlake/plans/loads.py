@@ -26,8 +26,9 @@ from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, clean_required,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
 from ..sources.raw import conform
-from ..sources.tables import (append_by_name, expire_history, relocate_partitions, rotate_slot,
-                              stage, swap_from_stage, write_layout, write_stage_table)
+from ..sources.tables import (append_from_stage, expire_history, relocate_partitions,
+                              rotate_slot, stage, swap_from_stage, write_layout,
+                              write_stage_table)
 from .spec import TableSpec
 
 
@@ -116,8 +117,16 @@ def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str)
                                  spec.m_table, f"{rd}/m")
 
 
-def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
-    return write_stage_table(write_layout(rows, ["day"], False), spec.ff_table, f"{rd}/ff_table")
+def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
+               name: str = "ff") -> str:
+    """Rows in the ODS table's layout, written once into the run folder."""
+    return write_stage_table(write_layout(rows, ["day"], False), spec.ff_table, f"{rd}/{name}")
+
+
+def _publish_ods(spark: SparkSession, spec: TableSpec, stage_table: str) -> None:
+    """Add staged ODS rows: new day partitions attached in place, others copied."""
+    append_from_stage(spark, spec.ff_table, stage_table, {})
+    spark.sql(f"DROP TABLE IF EXISTS {stage_table}")
 
 
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
@@ -141,7 +150,8 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     src = _arrivals(spark, spec, arrivals)
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
-    n = stage(stamp_load(src, bt, slot), f"{rd}/ff")
+    n_stage = _stage_ods(spark, spec, stamp_load(src, bt, slot), rd)
+    n = spark.table(n_stage)
     arrived, key_bytes = key_stats(n, spec.keys)
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
@@ -150,7 +160,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     staged = _stage_main(spark, spec, rows, rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids)
     swap_from_stage(spark, spec.m_table, staged, purge=purge)
-    append_by_name(n, spec.ff_table)
+    _publish_ods(spark, spec, n_stage)
     counts["arrived"] = arrived
     counts["broadcast_keys"] = small
     return LoadResult(spec.name, "upsert", bt, slot, rd, counts)
@@ -216,7 +226,8 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     rd = run_dir or new_run_dir(spark, f"snapshot-{spec.name}")
     _guard_batch_time(spark, spec, bt)
     reloaded_today = loaded_since_midnight(spark.table(spec.ff_table), slot, bt)
-    n = stage(stamp_load(_arrivals(spark, spec, snapshot), bt, slot), f"{rd}/ff")
+    n_stage = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
+    n = spark.table(n_stage)
     backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
     opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt, slot=slot,
                        ori_id=ori_id)
@@ -233,7 +244,7 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
         swap_from_stage(spark, spec.m_table, staged, append_statuses=(), purge=purge)
     if not reloaded_today:
         rotate_slot(spark, spec.ff_table, slot)
-    append_by_name(n, spec.ff_table)
+    _publish_ods(spark, spec, n_stage)
     counts["reloaded_today"] = reloaded_today
     return LoadResult(spec.name, "snapshot_load", bt, slot, rd, counts)
 
@@ -298,7 +309,7 @@ def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col
     swap_from_stage(spark, spec.m_table, staged, purge=purge)
     ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
                    F.dayofmonth(batch_col).cast("int").alias("day"))
-    append_by_name(write_layout(ods, ["day"], False), spec.ff_table)
+    _publish_ods(spark, spec, _stage_ods(spark, spec, ods, rd, "ff_backfill"))
     return LoadResult(spec.name, "backfill", first, 0, rd, counts)
 
 

@@ -9,6 +9,7 @@ by position.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -234,37 +235,72 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+_PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")
+
+
+def _staged_locations(spark: SparkSession, stage_table: str, parts: list[dict]) -> list[str]:
+    """Folders of stage partitions: derived from the stage's own location when
+    every value is plain text (the default folder layout), else looked up."""
+    root = table_location(spark, stage_table)
+    out = []
+    for p in parts:
+        if all(_PLAIN_VALUE.match(v) for v in p.values()):
+            out.append(root + "/" + "/".join(f"{k}={v}" for k, v in p.items()))
+        else:
+            out.append(partition_location(spark, stage_table, p))
+    return out
+
+
+def _matching(parts: list[dict], match: dict) -> list[dict]:
+    want = {k: str(v) for k, v in match.items()}
+    return [p for p in parts if all(p.get(k) == v for k, v in want.items())]
+
+
+def _pkey(p: dict) -> tuple:
+    return tuple(sorted(p.items()))
+
+
+def _add_partitions(spark: SparkSession, table: str, parts: list[dict], locs: list[str]) -> None:
+    if parts:
+        clauses = " ".join(f"PARTITION ({_spec_sql(p)}) LOCATION '{loc}'"
+                           for p, loc in zip(parts, locs))
+        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {clauses}")
+
+
 def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match: dict,
                         purge: bool = True) -> list[str]:
     """Make ``table``'s partitions under ``match`` exactly the stage's ones.
 
-    Metadata only: each staged partition folder becomes the table's
-    partition (``ADD PARTITION .. LOCATION`` / ``SET LOCATION``), and table
-    partitions the stage does not have are dropped.  The folders they
-    pointed to are superseded; they are deleted when ``purge`` (readers that
-    planned against them earlier would fail -- pass ``purge=False`` and clean
-    up later if such readers exist).  Returns the superseded folders.
+    Metadata only: staged partition folders become the table's partitions
+    (new ones in one ``ADD PARTITION .. LOCATION`` statement, existing ones
+    by ``SET LOCATION``), and table partitions the stage does not have are
+    dropped in one statement.  The folders they pointed to are superseded;
+    they are deleted when ``purge`` (readers that planned against them
+    earlier would fail -- pass ``purge=False`` and clean up later if such
+    readers exist).  Returns the superseded folders.
     """
-    want = {k: str(v) for k, v in match.items()}
-
-    def hit(p):
-        return all(p.get(k) == v for k, v in want.items())
-
-    new = [p for p in partitions(spark, stage_table) if hit(p)]
-    old = {tuple(sorted(p.items())): p for p in partitions(spark, table) if hit(p)}
-    superseded = []
-    for p in new:
-        loc = partition_location(spark, stage_table, p)
-        key = tuple(sorted(p.items()))
-        if key in old:
+    new = _matching(partitions(spark, stage_table), match)
+    old = {_pkey(p): p for p in _matching(partitions(spark, table), match)}
+    locs = _staged_locations(spark, stage_table, new)
+    superseded, to_add, add_locs = [], [], []
+    for p, loc in zip(new, locs):
+        if _pkey(p) in old:
             superseded.append(partition_location(spark, table, p))
             spark.sql(f"ALTER TABLE {_q(table)} PARTITION ({_spec_sql(p)}) SET LOCATION '{loc}'")
-            del old[key]
+            del old[_pkey(p)]
         else:
-            spark.sql(f"ALTER TABLE {_q(table)} ADD PARTITION ({_spec_sql(p)}) LOCATION '{loc}'")
-    for p in old.values():
-        superseded.append(partition_location(spark, table, p))
-        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS PARTITION ({_spec_sql(p)})")
+            to_add.append(p)
+            add_locs.append(loc)
+    _add_partitions(spark, table, to_add, add_locs)
+    if old:
+        superseded += [partition_location(spark, table, p) for p in old.values()]
+        specs = ", ".join(f"PARTITION ({_spec_sql(p)})" for p in old.values())
+        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS {specs}")
     spark.catalog.refreshTable(table)
     if purge:
         for loc in superseded:
@@ -272,6 +308,31 @@ def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match
     return superseded
 
 
+def append_from_stage(spark: SparkSession, table: str, stage_table: str, match: dict) -> None:
+    """Append a stage's partitions under ``match`` to ``table``.
+
+    Partitions the table does not have yet are attached where they were
+    written (one ``ADD PARTITION .. LOCATION`` statement, no copy); rows of
+    partitions that already exist are appended by copy.
+    """
+    new = _matching(partitions(spark, stage_table), match)
+    if not new:
+        return
+    have = {_pkey(p) for p in partitions(spark, table)}
+    fresh = [p for p in new if _pkey(p) not in have]
+    present = [p for p in new if _pkey(p) in have]
+    _add_partitions(spark, table, fresh, _staged_locations(spark, stage_table, fresh))
+    if present:
+        cond = F.lit(False)
+        for p in present:
+            one = F.lit(True)
+            for k, v in p.items():
+                one = one & (F.col(k).cast("string") == v)
+            cond = cond | one
+        append_by_name(spark.table(stage_table).filter(cond), table)
+    spark.catalog.refreshTable(table)
+
+
 def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
                     append_statuses: Sequence[str] = (STATUS_SUPERSEDED,),
                     relocate_statuses: Sequence[str] = (STATUS_CURRENT,),
@@ -279,13 +340,13 @@ def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
     """Publish a staged main-table result.
 
     Statuses in ``append_statuses`` (closed rows: proportional to the
-    arrivals) are appended by copy first; statuses in ``relocate_statuses``
-    (the large current slice) are swapped in by moving partitions, so the
-    slice is written exactly once, and a slot that got no rows disappears.
+    arrivals) are added first -- attached in place where their partition
+    is new, copied where it exists; statuses in ``relocate_statuses`` (the
+    large current slice) are swapped in by moving partitions, so the slice
+    is written exactly once, and a slot that got no rows disappears.
     """
-    staged = spark.table(stage_table)
     for status in append_statuses:
-        append_by_name(staged.filter(F.col("dl_status") == status), table)
+        append_from_stage(spark, table, stage_table, {"dl_status": status})
     for status in relocate_statuses:
         relocate_partitions(spark, table, stage_table, {"dl_status": status}, purge)
     spark.sql(f"DROP TABLE IF EXISTS {_q(stage_table)}")

@@ -91,51 +91,69 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
 
     ``old`` may carry technical columns; the checksum covers the business
     columns of ``new``.  Duplicates on the left of each difference are kept
-    (a set difference on the check key, not ``EXCEPT``).  Keys compare
-    null-safe, as the check key of the original (a text concatenation) does.
-    Written into one DataFrame (union) the three branches share both
-    exchanges: Spark reuses them.
+    (a set difference on the check key, not ``EXCEPT``).  The check key is
+    one struct of the keys and the checksum: never null and equal when its
+    null fields are, so keys compare null-safe (as the text check key of
+    the original does) while the distinct key sets' partitioning serves the
+    joins directly.  Written into one DataFrame (union) the three branches
+    share their exchanges.
     """
     cols = business_columns(new)
     o = with_checksum(old, cols, strict)
     n = with_checksum(new, cols, strict)
-    nk = key_set(n, keys, [CHECKSUM])
-    ok = key_set(o, keys, [CHECKSUM])
-    on_o = _on(keys, [CHECKSUM], o, nk, True)
-    on_n = _on(keys, [CHECKSUM], n, ok, True)
-    return SnapshotDiff(opened=n.join(ok, on_n, "left_anti"),
-                        closed=o.join(nk, on_o, "left_anti"),
-                        kept=o.join(nk, on_o, "left_semi"))
+
+    def ck(df: DataFrame) -> Column:
+        return F.struct(*[df[k] for k in keys], df[CHECKSUM])
+
+    nk = n.select(ck(n).alias("_r_ck")).distinct()
+    ok = o.select(ck(o).alias("_r_ck")).distinct()
+    return SnapshotDiff(opened=n.join(ok, ck(n) == ok["_r_ck"], "left_anti"),
+                        closed=o.join(nk, ck(o) == nk["_r_ck"], "left_anti"),
+                        kept=o.join(nk, ck(o) == nk["_r_ck"], "left_semi"))
+
+
+def _checksum_halves(ck: Column) -> tuple[Column, Column]:
+    """The 128-bit checksum as two decimal(20,0) numbers (hash-aggregatable)."""
+    def half(a: int) -> Column:
+        return F.conv(F.substring(ck, a, 16), 16, 10).cast("decimal(20,0)")
+    return half(1), half(17)
 
 
 def change_report(old: DataFrame, new: DataFrame, keys: Sequence[str],
                   strict: bool = True) -> DataFrame:
     """One row per key with ``change`` in new / deleted / updated / kept.
 
-    Each side is first reduced to one row per key (row count and the lowest
-    and highest checksum: partial aggregation, skew-safe), then the two are
-    full-outer joined one-to-one.  A key is ``kept`` only if every row of it
-    on both sides has the same content.
+    Each side is first reduced to one row per key -- row count and the
+    lowest and highest checksum, taken per 64-bit half so the aggregation
+    stays hash-based with partial aggregation before the shuffle (skew-safe).
+    The key travels as one struct: never null, its null fields compare
+    equal, so the full outer join is null-safe and reuses the aggregation's
+    partitioning.  A key is ``kept`` only if every row of it on both sides
+    has the same content.
     """
     cols = business_columns(new)
+    kstruct = F.struct(*[F.col(k) for k in keys])
 
     def per_key(df: DataFrame, tag: str) -> DataFrame:
-        ck = row_checksum(cols, strict)
-        return (df.groupBy(*keys)
+        hi, lo = _checksum_halves(row_checksum(cols, strict))
+        return (df.select(kstruct.alias("_k"), hi.alias("_hi"), lo.alias("_lo"))
+                  .groupBy("_k")
                   .agg(F.count(F.lit(1)).alias(f"{tag}_rows"),
-                       F.min(ck).alias(f"{tag}_ck_min"), F.max(ck).alias(f"{tag}_ck_max")))
+                       F.min("_hi").alias(f"{tag}_hi_min"), F.max("_hi").alias(f"{tag}_hi_max"),
+                       F.min("_lo").alias(f"{tag}_lo_min"), F.max("_lo").alias(f"{tag}_lo_max")))
 
     o = per_key(old, "old")
-    n = per_key(new, "new").select(*[F.col(k).alias(_R + k) for k in keys],
-                                   "new_rows", "new_ck_min", "new_ck_max")
-    j = o.join(n, _on(keys, (), o, n, True), "full_outer")
+    n = per_key(new, "new").withColumnRenamed("_k", "_r_k")
+    j = o.join(n, o["_k"] == n["_r_k"], "full_outer")
+    same = ((F.col("old_hi_min") == F.col("old_hi_max")) & (F.col("old_lo_min") == F.col("old_lo_max"))
+            & (F.col("new_hi_min") == F.col("new_hi_max")) & (F.col("new_lo_min") == F.col("new_lo_max"))
+            & (F.col("old_hi_min") == F.col("new_hi_min")) & (F.col("old_lo_min") == F.col("new_lo_min")))
     change = (F.when(F.col("old_rows").isNull(), "new")
                .when(F.col("new_rows").isNull(), "deleted")
-               .when((F.col("old_ck_min") == F.col("old_ck_max"))
-                     & (F.col("new_ck_min") == F.col("new_ck_max"))
-                     & (F.col("old_ck_min") == F.col("new_ck_min")), "kept")
+               .when(same, "kept")
                .otherwise("updated"))
-    return j.select(*[F.coalesce(o[k], n[_R + k]).alias(k) for k in keys],
+    key = F.coalesce(F.col("_k"), F.col("_r_k"))
+    return j.select(*[key.getField(k).alias(k) for k in keys],
                     change.alias("change"),
                     F.coalesce("old_rows", F.lit(0)).alias("old_rows"),
                     F.coalesce("new_rows", F.lit(0)).alias("new_rows"))

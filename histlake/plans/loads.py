@@ -22,7 +22,8 @@ from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
 from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
 from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
-from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, clean_required, close_rows,
+from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED,
+                                clean_required, close_rows,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
 from ..sources.raw import conform
@@ -91,23 +92,42 @@ def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
     return counts
 
 
-def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> None:
-    """Refuse a batch whose minute is not after every current version's start.
+def _any(df: DataFrame) -> bool:
+    return len(df.limit(1).collect()) > 0
 
-    Ids embed the batch minute, so a second batch in the same minute could
-    repeat ids; an earlier batch time would give inverted intervals; and a
-    finished batch run again would apply twice.  The filter is on a column
+
+def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> bool:
+    """Check the batch time against the current slice; True = already applied.
+
+    Ids embed the batch minute, so a different batch in the same minute
+    could repeat ids, and an earlier batch time would give inverted
+    intervals: both are refused.  Current versions starting at exactly
+    ``bt`` mean this batch was already published (a re-run after a failure):
+    the caller then skips the main-table work.  The filters are on a column
     that is constant per written file, so parquet statistics skip nearly
-    every row group: the check costs about a footer read per file.
+    every row group: the checks cost about a footer read per file.
     """
     from ..functions.slots import TS_FORMAT, batch_datetime, ts_lit
     minute = batch_datetime(bt).replace(second=0)
-    hit = (current(spark.table(spec.m_table))
-           .filter(F.col("dl_start_dt") >= ts_lit(minute.strftime(TS_FORMAT)))
-           .select("dl_start_dt").limit(1).collect())
-    if hit:
-        raise ValueError(f"{spec.name}: current versions start at {hit[0][0]}, not before the "
+    cur = current(spark.table(spec.m_table))
+    start = F.col("dl_start_dt")
+    clash = (cur.filter((start >= ts_lit(minute.strftime(TS_FORMAT))) & (start != ts_lit(bt)))
+             .select("dl_start_dt").limit(1).collect())
+    if clash:
+        raise ValueError(f"{spec.name}: current versions start at {clash[0][0]}, not before the "
                          f"minute of batch {bt}; use a later batch time")
+    return _any(cur.filter(start == ts_lit(bt)).select("dl_start_dt"))
+
+
+def _published(spark: SparkSession, table: str, bt: str, slot: int,
+               status: str | None = None) -> bool:
+    """Does ``table`` hold rows loaded by batch ``bt`` in slot ``slot``?"""
+    from ..functions.slots import ts_lit
+    t = spark.table(table)
+    cond = (F.col("day") == slot) & (F.col("dl_loaded_dt") == ts_lit(bt))
+    if status is not None:
+        cond = cond & (F.col("dl_status") == status)
+    return _any(t.filter(cond).select("dl_loaded_dt"))
 
 
 def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
@@ -146,7 +166,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"upsert-{spec.name}")
-    _guard_batch_time(spark, spec, bt)
+    applied = _guard_batch_time(spark, spec, bt)
     src = _arrivals(spark, spec, arrivals)
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
@@ -154,15 +174,23 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     n = spark.table(n_stage)
     arrived, key_bytes = key_stats(n, spec.keys)
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
-    rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
-                       spec.required, spec.extra_filter, slot, ori_id=ori_id,
-                       broadcast_keys=small, opened_partitions=spec.buckets)
-    staged = _stage_main(spark, spec, rows, rd)
-    counts = _verify(spark.table(staged), bt, slot, check_ids)
-    swap_from_stage(spark, spec.m_table, staged, purge=purge)
-    _publish_ods(spark, spec, n_stage)
+    counts: dict = {}
+    if not applied:
+        rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
+                           spec.required, spec.extra_filter, slot, ori_id=ori_id,
+                           broadcast_keys=small, opened_partitions=spec.buckets)
+        staged = _stage_main(spark, spec, rows, rd)
+        counts = _verify(spark.table(staged), bt, slot, check_ids)
+        closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
+        swap_from_stage(spark, spec.m_table, staged, purge=purge,
+                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
+    if _published(spark, spec.ff_table, bt, slot):
+        spark.sql(f"DROP TABLE IF EXISTS {n_stage}")
+    else:
+        _publish_ods(spark, spec, n_stage)
     counts["arrived"] = arrived
     counts["broadcast_keys"] = small
+    counts["resumed"] = applied
     return LoadResult(spec.name, "upsert", bt, slot, rd, counts)
 
 
@@ -175,14 +203,17 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"repair-{spec.name}")
-    _guard_batch_time(spark, spec, bt)
+    if _guard_batch_time(spark, spec, bt):
+        return LoadResult(spec.name, "repair", bt, slot, rd, {"resumed": True})
     snap = spark.table(spec.ff_table).select(*spec.column_names)
     rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
                        clean_first=clean_first)
     staged = _stage_main(spark, spec, rows, rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids)
-    swap_from_stage(spark, spec.m_table, staged, purge=purge)
+    closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
+    swap_from_stage(spark, spec.m_table, staged, purge=purge,
+                    append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
     return LoadResult(spec.name, "repair", bt, slot, rd, counts)
 
 
@@ -196,7 +227,8 @@ def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = run_dir or new_run_dir(spark, f"rebuild-{spec.name}")
-    _guard_batch_time(spark, spec, bt)
+    if _guard_batch_time(spark, spec, bt):
+        return LoadResult(spec.name, "rebuild_and_repair", bt, slot, rd, {"resumed": True})
     staged = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
     ods_rows = spark.table(staged).count()
     relocate_partitions(spark, spec.ff_table, staged, {}, purge)
@@ -224,28 +256,36 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "week")
     rd = run_dir or new_run_dir(spark, f"snapshot-{spec.name}")
-    _guard_batch_time(spark, spec, bt)
+    applied = _guard_batch_time(spark, spec, bt)
     reloaded_today = loaded_since_midnight(spark.table(spec.ff_table), slot, bt)
     n_stage = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
     n = spark.table(n_stage)
-    backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
-    opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt, slot=slot,
-                       ori_id=ori_id)
-    if spec.buckets:
-        opened = opened.repartition(spec.buckets, *spec.keys)
-    staged = _stage_main(spark, spec, backup.unionByName(opened), rd)
-    counts = _verify(spark.table(staged), bt, slot, check_ids)
-    if keep_same_day_history and reloaded_today:
-        swap_from_stage(spark, spec.m_table, staged, append_statuses=(STATUS_SNAPSHOT,),
-                        purge=purge)
-    else:
-        relocate_partitions(spark, spec.m_table, staged,
-                            {"dl_status": STATUS_SNAPSHOT, "day": slot}, purge)
+    counts: dict = {}
+    if not applied:
+        backup_done = _published(spark, spec.m_table, bt, slot, STATUS_SNAPSHOT)
+        backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
+        opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt,
+                           slot=slot, ori_id=ori_id)
+        if spec.buckets:
+            opened = opened.repartition(spec.buckets, *spec.keys)
+        staged = _stage_main(spark, spec, backup.unionByName(opened), rd)
+        counts = _verify(spark.table(staged), bt, slot, check_ids)
+        if backup_done:
+            pass                                  # a resumed run: the backup is in place
+        elif keep_same_day_history and reloaded_today:
+            append_from_stage(spark, spec.m_table, staged, {"dl_status": STATUS_SNAPSHOT})
+        else:
+            relocate_partitions(spark, spec.m_table, staged,
+                                {"dl_status": STATUS_SNAPSHOT, "day": slot}, purge)
         swap_from_stage(spark, spec.m_table, staged, append_statuses=(), purge=purge)
-    if not reloaded_today:
-        rotate_slot(spark, spec.ff_table, slot)
-    _publish_ods(spark, spec, n_stage)
+    if _published(spark, spec.ff_table, bt, slot):
+        spark.sql(f"DROP TABLE IF EXISTS {n_stage}")
+    else:
+        if not reloaded_today:
+            rotate_slot(spark, spec.ff_table, slot)
+        _publish_ods(spark, spec, n_stage)
     counts["reloaded_today"] = reloaded_today
+    counts["resumed"] = applied
     return LoadResult(spec.name, "snapshot_load", bt, slot, rd, counts)
 
 
@@ -295,7 +335,8 @@ def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col
     if first is None:
         return LoadResult(spec.name, "backfill", "", 0, rd, {})
     first = batch_text(first)
-    _guard_batch_time(spark, spec, first)
+    if _guard_batch_time(spark, spec, first):
+        raise ValueError(f"{spec.name}: the backfill from {first} was already published")
     rows = backfill_rows(current(spark.table(spec.m_table)), n, spec.keys, batch_col,
                          order_cols, spec.required, spec.extra_filter, ori_id=ori_id)
     staged = _stage_main(spark, spec, rows, rd)

@@ -109,14 +109,14 @@ def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> bool:
     """
     from ..functions.slots import TS_FORMAT, batch_datetime, ts_lit
     minute = batch_datetime(bt).replace(second=0)
-    cur = current(spark.table(spec.m_table))
     start = F.col("dl_start_dt")
-    clash = (cur.filter((start >= ts_lit(minute.strftime(TS_FORMAT))) & (start != ts_lit(bt)))
-             .select("dl_start_dt").limit(1).collect())
-    if clash:
-        raise ValueError(f"{spec.name}: current versions start at {clash[0][0]}, not before the "
+    late = current(spark.table(spec.m_table)).filter(start >= ts_lit(minute.strftime(TS_FORMAT)))
+    row = late.agg(F.max(F.when(start != ts_lit(bt), start)).cast("string").alias("clash"),
+                   F.max((start == ts_lit(bt)).cast("int")).alias("applied")).first()
+    if row["clash"] is not None:
+        raise ValueError(f"{spec.name}: current versions start at {row['clash']}, not before the "
                          f"minute of batch {bt}; use a later batch time")
-    return _any(cur.filter(start == ts_lit(bt)).select("dl_start_dt"))
+    return row["applied"] == 1
 
 
 def _published(spark: SparkSession, table: str, bt: str, slot: int,

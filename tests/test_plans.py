@@ -64,3 +64,32 @@ def test_snapshot_diff_branches_share_exchanges(spark):
         .unionByName(d.kept.withColumn("p", F.lit(3)))
     u.write.format("noop").mode("overwrite").save()
     assert "ReusedExchange" in plan(u) or "BroadcastHashJoin" in plan(u)
+
+
+def test_hot_key_is_pre_aggregated_before_the_shuffle(spark):
+    """One key holds a third of the arrivals: the key set is reduced map-side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(0, 9000, numPartitions=6)
+        arrivals = base.select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+                               .alias("k"), F.col("id").cast("string").alias("v"),
+                               F.col("id").cast("int").alias("n"))
+        a = open_rows(spark.range(0, 100).select(F.col("id").alias("k"), F.lit("x").alias("v"),
+                                                 F.lit(0).alias("n")), T1, ori_id="k")
+        out = upsert_rows(a, arrivals, ["k"], T2, ori_id="n")
+        p = plan(out, "simple")
+        # partial aggregate of the key set sits below its exchange
+        lines = p.splitlines()
+        ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(_r_k" in ln]
+        assert ex and "HashAggregate" in lines[ex[0] + 1], p
+        counts = {r.dl_status: r["count"] for r in out.groupBy("dl_status").count().collect()}
+        hot_closed = out.filter("k = 0 and dl_status = 'H'").count()
+        assert hot_closed == 1                       # closed once, not once per arrival
+        assert counts["A"] == 9000 + 100 - a.join(arrivals.select("k").distinct(), "k").count()
+        newest = latest_per_key(arrivals, ["k"], ["n"])
+        assert newest.filter("k = 0").count() == 1
+        assert "WindowGroupLimit" in plan(newest)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

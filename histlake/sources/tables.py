@@ -123,24 +123,27 @@ def _spec_sql(spec: dict) -> str:
     return ", ".join(parts)
 
 
-def drop_partitions(spark: SparkSession, table: str, **match) -> int:
+def drop_partitions(spark: SparkSession, table: str, purge: bool = True, **match) -> int:
     """Drop every partition whose spec matches ``match``.
 
     A partial spec is expanded by listing the partitions first, so it works
     the same on every catalog (a partial ``DROP PARTITION`` silently does
-    nothing on some).  Returns the number dropped.
+    nothing on some).  Dropping a partition of a table with its own
+    location only forgets it, and its files would come back with the next
+    write to the same slot; with ``purge`` the partition folders are
+    deleted too.  Returns the number dropped.
     """
     want = {k: str(v) for k, v in match.items()}
     hits = [p for p in partitions(spark, table) if all(p.get(k) == v for k, v in want.items())]
     if not hits:
         return 0
-    empty = spark.createDataFrame([], spark.table(table).schema)
-    for p in hits:
-        # Dropping a partition of a table with its own LOCATION only forgets
-        # it; its files would come back with the next write to the same
-        # slot.  An overwrite with no rows removes the files first.
-        overwrite_static(spark, table, empty, p)
-        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS PARTITION ({_spec_sql(p)})")
+    locs = [partition_location(spark, table, p) for p in hits]
+    specs = ", ".join(f"PARTITION ({_spec_sql(p)})" for p in hits)
+    spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS {specs}")
+    spark.catalog.refreshTable(table)
+    if purge:
+        for loc in locs:
+            delete_path(spark, loc)
     return len(hits)
 
 

@@ -384,6 +384,24 @@ def q_scd2_backfill(spark, d):
     return present(rows)
 
 
+def q_stream_upsert(spark, d):
+    """Structured Streaming: two raw file batches (old, then new orders)
+    arrive in a folder; the file-source stream upserts each into the tables."""
+    from ..streaming import upsert_stream
+    rd, db = _fresh_db(spark, "q-stream")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    clock = iter([_dt.datetime.fromisoformat(T1), _dt.datetime.fromisoformat(T2)])
+    for i, batch in enumerate((orders_old, orders_new)):
+        write_raw(batch(spark, d), f"{rd}/incoming/batch{i}")
+        q = upsert_stream(spark, spec, f"{rd}/incoming/*", checkpoint=f"{rd}/stream",
+                          clock=lambda: next(clock), ori_id="o_orderkey")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
 def q_tables_backfill(spark, d):
     rd, db = _fresh_db(spark, "q-backfill")
     spec = events_spec(db)
@@ -430,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tables_ods_dedup_key": q_tables_ods_dedup_key,
     "scd2_backfill": q_scd2_backfill,
     "tables_backfill": q_tables_backfill,
+    "stream_upsert": q_stream_upsert,
 }
 
 
@@ -679,6 +698,7 @@ def oracle_sql() -> dict[str, str]:
         "tables_ods_dedup_key": dedup_key,
         "scd2_backfill": _backfill_sql(),
         "tables_backfill": _backfill_sql(),
+        "stream_upsert": upsert_sql,
     }
     return q
 
@@ -688,4 +708,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 __all__ = ["AS_OF", "QUERIES", "T1", "T2", "T3", "oracle_sql", "present", "queries"]
-_ = _dt

@@ -71,7 +71,7 @@ def test_table_without_key_is_refused(spark):
 
 
 def test_table_name_rule():
-    assert table_name("ERP.H3C-Items") == "erp_h3c_items"
+    assert table_name("Sales.Order-Lines") == "sales_order_lines"
 
 
 def test_catalog_rows(spark):

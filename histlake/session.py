@@ -55,12 +55,16 @@ def build_session(app: str = "histlake", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    If the session has none (a local run or a test) a fresh temporary folder
-    is created and registered, so ``DataFrame.checkpoint`` works as well.
+    If the session has none, a local-mode session (a test, a laptop) gets a
+    fresh temporary folder, registered so ``DataFrame.checkpoint`` works as
+    well; any other master is refused.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach; "
+                             "staged data never goes to a machine-local folder on a cluster")
         root = tempfile.mkdtemp(prefix="histlake-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

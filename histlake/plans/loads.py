@@ -324,8 +324,11 @@ def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col
     ``batches`` carries the business columns plus ``batch_col``, the load
     time of each row.  The main table ends as it would after one upsert per
     batch (newest arrival per key and batch); the ODS copy receives every
-    arrival stamped with its own batch time and day slot.
+    arrival stamped with its own batch time and day slot.  Resumable: every
+    row it writes is stamped at or after its first batch time and every
+    older row is earlier, so a re-run skips each step already published.
     """
+    from ..functions.slots import ts_lit
     if not spec.keys:
         raise ValueError(f"{spec.name}: backfill needs a primary key")
     rd = run_dir or new_run_dir(spark, f"backfill-{spec.name}")
@@ -335,22 +338,32 @@ def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col
     if first is None:
         return LoadResult(spec.name, "backfill", "", 0, rd, {})
     first = batch_text(first)
-    if _guard_batch_time(spark, spec, first):
-        raise ValueError(f"{spec.name}: the backfill from {first} was already published")
-    rows = backfill_rows(current(spark.table(spec.m_table)), n, spec.keys, batch_col,
-                         order_cols, spec.required, spec.extra_filter, ori_id=ori_id)
-    staged = _stage_main(spark, spec, rows, rd)
-    st = spark.table(staged)
-    counts = {r["dl_status"]: r["count"] for r in st.groupBy("dl_status").count().collect()}
-    if check_ids:
-        from ..functions.slots import ts_lit
-        new = st.filter(F.col("dl_start_dt") >= ts_lit(first))
-        if new.groupBy("dl_id").count().filter("count > 1").limit(1).collect():
-            raise RuntimeError("a surrogate id was issued twice in the backfill")
-    swap_from_stage(spark, spec.m_table, staged, purge=purge)
-    ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
-                   F.dayofmonth(batch_col).cast("int").alias("day"))
-    _publish_ods(spark, spec, _stage_ods(spark, spec, ods, rd, "ff_backfill"))
+    since = ts_lit(first)
+    m = spark.table(spec.m_table)
+    main_done = _any(current(m).filter(F.col("dl_start_dt") >= since).select("dl_start_dt"))
+    counts: dict = {"resumed": main_done}
+    if not main_done:
+        _guard_batch_time(spark, spec, first)
+        rows = backfill_rows(current(m), n, spec.keys, batch_col, order_cols, spec.required,
+                             spec.extra_filter, ori_id=ori_id)
+        staged = _stage_main(spark, spec, rows, rd)
+        st = spark.table(staged)
+        counts.update({r["dl_status"]: r["count"]
+                       for r in st.groupBy("dl_status").count().collect()})
+        if check_ids:
+            new = st.filter(F.col("dl_start_dt") >= since)
+            if new.groupBy("dl_id").count().filter("count > 1").limit(1).collect():
+                raise RuntimeError("a surrogate id was issued twice in the backfill")
+        closed_done = _any(m.filter((F.col("dl_status") == STATUS_SUPERSEDED)
+                                    & (F.col("dl_loaded_dt") >= since)).select("dl_loaded_dt"))
+        swap_from_stage(spark, spec.m_table, staged, purge=purge,
+                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
+    ods_done = _any(spark.table(spec.ff_table).filter(F.col("dl_loaded_dt") >= since)
+                    .select("dl_loaded_dt"))
+    if not ods_done:
+        ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
+                       F.dayofmonth(batch_col).cast("int").alias("day"))
+        _publish_ods(spark, spec, _stage_ods(spark, spec, ods, rd, "ff_backfill"))
     return LoadResult(spec.name, "backfill", first, 0, rd, counts)
 
 

@@ -84,3 +84,23 @@ def test_snapshot_load_resumes_after_backup(spark, run_dir, fresh_db, monkeypatc
         return snapshot_of(spark, spec)
 
     assert run(fresh_db + "_c", True) == run(fresh_db + "_n", False)
+
+
+@pytest.mark.parametrize("module,name", [(tables, "relocate_partitions"), (loads, "_publish_ods")])
+def test_backfill_resumes(spark, run_dir, fresh_db, monkeypatch, module, name):
+    from histlake.plans import backfill
+    from histlake.plans.registry import events_by_day, events_spec
+
+    def run(db, crash):
+        spec = events_spec(db)
+        create_layers(spark, spec, f"{run_dir}/{db}")
+        go = lambda: backfill(spark, spec, events_by_day(spark, SF001), "load_batch",
+                              ["ts", "event_id"], ori_id="event_id")
+        if crash:
+            fail_once(monkeypatch, module, name)
+            with pytest.raises(Crash):
+                go()
+        go()
+        return snapshot_of(spark, spec)
+
+    assert run(fresh_db + "_c", True) == run(fresh_db + "_n", False)

@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fingerprint import business_columns
 from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
 from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
@@ -401,4 +400,4 @@ def run_all(spark: SparkSession, specs: Sequence[TableSpec], load: str, *args, *
 
 
 __all__ = ["LOADS", "LoadResult", "backfill", "ods_dedup", "read_source", "rebuild_and_repair", "repair",
-           "retain", "run_all", "snapshot_load", "upsert", "business_columns"]
+           "retain", "run_all", "snapshot_load", "upsert"]

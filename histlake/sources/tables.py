@@ -16,7 +16,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fingerprint import TECH_COLUMNS
 from ..operators.history import expired
 from ..operators.stamps import STATUS_CURRENT, STATUS_SUPERSEDED
 from ..plans.spec import TableSpec
@@ -402,7 +401,3 @@ def expire_history(spark: SparkSession, m_table: str, before, run_dir: str,
         relocate_partitions(spark, m_table, staged, {"dl_status": s, "day": d}, purge)
     spark.sql(f"DROP TABLE IF EXISTS {_q(staged)}")
     return len(touched)
-
-
-def tech_free(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in TECH_COLUMNS]

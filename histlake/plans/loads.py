@@ -129,6 +129,24 @@ def _published(spark: SparkSession, table: str, bt: str, slot: int,
     return _any(t.filter(cond).select("dl_loaded_dt"))
 
 
+def _changed_days(cur: DataFrame, arrivals: DataFrame, spec: TableSpec, small: bool) -> set[int]:
+    """Day partitions of the current slice that hold a key arriving now.
+
+    Reads only the key columns of the slice (``day`` is a partition value),
+    semi-joined with the cleaned arrivals' distinct keys -- broadcast when
+    measured small, else a shuffle of keys only.  At most 31 values return.
+    """
+    from ..operators.match import key_set
+    clean = clean_required(arrivals, spec.required_all, spec.extra_filter)
+    ks = key_set(clean, spec.keys, broadcast=small)
+    cond = None
+    for k in spec.keys:
+        c = cur[k] == ks["_r_" + k]
+        cond = c if cond is None else cond & c
+    hit = cur.select(*spec.keys, "day").join(ks, cond, "left_semi")
+    return {int(r["day"]) for r in hit.select("day").distinct().collect()}
+
+
 def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
     """Write the new main-table rows once, in the table's own layout."""
     with bucket_aligned(spark, spec):
@@ -151,14 +169,16 @@ def _publish_ods(spark: SparkSession, spec: TableSpec, stage_table: str) -> None
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
            run_dir: str | None = None, broadcast_limit: int = DEFAULT_BROADCAST_BYTES,
            dedupe_arrivals: Sequence[str] | None = None, check_ids: bool = True,
-           ori_id=None, purge: bool = True) -> LoadResult:
+           ori_id=None, purge: bool = True, only_changed_days: bool = True) -> LoadResult:
     """Incremental upsert of arrivals (default: the raw layer f).
 
     Every arriving key closes its current version and opens the arrival.
     ``dedupe_arrivals=[order cols]`` keeps only the newest arrival per key
     first (otherwise several arrivals of one key all open, as originally).
     The arrivals' key set is broadcast only when measured under
-    ``broadcast_limit`` bytes.
+    ``broadcast_limit`` bytes.  With ``only_changed_days`` (default) only
+    the current-slice day partitions holding an arriving key, plus today's
+    slot, are read, rewritten and swapped; the others stay untouched.
     """
     if not spec.keys:
         raise ValueError(f"{spec.name}: upsert needs a primary key")
@@ -175,14 +195,22 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     counts: dict = {}
     if not applied:
-        rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, bt,
+        cur = current(spark.table(spec.m_table))
+        days = None
+        if only_changed_days:
+            days = _changed_days(cur, n, spec, small) | {slot}
+            cur = cur.filter(F.col("day").isin(sorted(days)))
+            counts["rewritten_days"] = len(days)
+        rows = upsert_rows(cur, n, spec.keys, bt,
                            spec.required, spec.extra_filter, slot, ori_id=ori_id,
                            broadcast_keys=small, opened_partitions=spec.buckets)
         staged = _stage_main(spark, spec, rows, rd)
-        counts = _verify(spark.table(staged), bt, slot, check_ids)
+        counts.update(_verify(spark.table(staged), bt, slot, check_ids))
         closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
+        within = None if days is None else (lambda p: int(p["day"]) in days)
         swap_from_stage(spark, spec.m_table, staged, purge=purge,
-                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
+                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,),
+                        within=within)
     if _published(spark, spec.ff_table, bt, slot):
         spark.sql(f"DROP TABLE IF EXISTS {n_stage}")
     else:

@@ -275,7 +275,7 @@ def _add_partitions(spark: SparkSession, table: str, parts: list[dict], locs: li
 
 
 def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match: dict,
-                        purge: bool = True) -> list[str]:
+                        purge: bool = True, within=None) -> list[str]:
     """Make ``table``'s partitions under ``match`` exactly the stage's ones.
 
     Metadata only: staged partition folders become the table's partitions
@@ -284,10 +284,13 @@ def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match
     dropped in one statement.  The folders they pointed to are superseded;
     they are deleted when ``purge`` (readers that planned against them
     earlier would fail -- pass ``purge=False`` and clean up later if such
-    readers exist).  Returns the superseded folders.
+    readers exist).  ``within`` (a predicate on partition specs) limits the
+    swap to those partitions; the table's others stay as they are.  Returns
+    the superseded folders.
     """
-    new = _matching(partitions(spark, stage_table), match)
-    old = {_pkey(p): p for p in _matching(partitions(spark, table), match)}
+    keep = within or (lambda p: True)
+    new = [p for p in _matching(partitions(spark, stage_table), match) if keep(p)]
+    old = {_pkey(p): p for p in _matching(partitions(spark, table), match) if keep(p)}
     locs = _staged_locations(spark, stage_table, new)
     superseded, to_add, add_locs = [], [], []
     for p, loc in zip(new, locs):
@@ -338,7 +341,7 @@ def append_from_stage(spark: SparkSession, table: str, stage_table: str, match:
 def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
                     append_statuses: Sequence[str] = (STATUS_SUPERSEDED,),
                     relocate_statuses: Sequence[str] = (STATUS_CURRENT,),
-                    purge: bool = True) -> None:
+                    purge: bool = True, within=None) -> None:
     """Publish a staged main-table result.
 
     Statuses in ``append_statuses`` (closed rows: proportional to the
@@ -350,7 +353,7 @@ def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
     for status in append_statuses:
         append_from_stage(spark, table, stage_table, {"dl_status": status})
     for status in relocate_statuses:
-        relocate_partitions(spark, table, stage_table, {"dl_status": status}, purge)
+        relocate_partitions(spark, table, stage_table, {"dl_status": status}, purge, within)
     spark.sql(f"DROP TABLE IF EXISTS {_q(stage_table)}")
 
 

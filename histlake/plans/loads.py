@@ -26,7 +26,7 @@ from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSED
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
 from ..sources.raw import conform
-from ..sources.tables import (append_from_stage, expire_history, relocate_partitions,
+from ..sources.tables import (append_from_stage, expire_history, partitions, relocate_partitions,
                               rotate_slot, stage, swap_from_stage, write_layout,
                               write_stage_table)
 from .spec import TableSpec
@@ -197,7 +197,10 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     if not applied:
         cur = current(spark.table(spec.m_table))
         days = None
-        if only_changed_days:
+        a_days = {int(p["day"]) for p in partitions(spark, spec.m_table)
+                  if p.get("dl_status") == STATUS_CURRENT}
+        # the key-only pass pays off only when there are other days to leave alone
+        if only_changed_days and len(a_days - {slot}) > 1:
             days = _changed_days(cur, n, spec, small) | {slot}
             cur = cur.filter(F.col("day").isin(sorted(days)))
             counts["rewritten_days"] = len(days)

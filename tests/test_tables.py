@@ -176,6 +176,12 @@ def test_bucketed_main_table_roundtrip(spark, run_dir, fresh_db):
                  spark.table(spec.m_table).groupBy("dl_status").count().collect()}
     # P2 closes every arriving key: 172 old keys did not arrive, 1285 arrived
     assert by_status == {"A": 172 + 1285, "H": 1200 - 172}
+    # a full repair on the bucketed table: the 172 keys missing from the snapshot close
+    res = rebuild_and_repair(spark, spec, T3, snapshot=orders_new(spark, SF001))
+    assert res.counts["H"] == 172 and res.counts["A"] == 1285
+    check_invariants(spark.table(spec.m_table), ["o_orderkey"])
+    retain(spark, spec, "2022-04-26 00:00:00")
+    assert spark.table(spec.m_table).filter("dl_status = 'H'").count() == 172
 
 
 def test_run_all_continues_after_failure(spark, run_dir, fresh_db):

@@ -29,7 +29,7 @@ from .match import CHECKSUM, flag_matches, key_set, with_checksum, _on
 from .stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED, clean_required,
                      close_rows, close_values, m_columns, open_rows)
 from ..functions.ids import surrogate_id_at
-from ..functions.slots import open_end_lit, slot_of
+from ..functions.slots import batch_lit, open_end_lit, slot_of
 
 _HIT = "_hit"
 
@@ -76,13 +76,25 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
 def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], batch_ts,
                 required: Sequence[str] = (), extra: str | Column | None = None,
                 slot: int | None = None, ori_id: Column | str | None = None,
-                strict: bool = True, clean_first: bool = False) -> DataFrame:
+                strict: bool = True, clean_first: bool = False,
+                method: str = "outer") -> DataFrame:
     """P4/P5 rows: diff of the current versions against a full snapshot.
 
     Unchanged versions stay untouched (same ``dl_id``); changed and vanished
     ones close; changed and new snapshot rows open.  By default cleaning
     comes after the diff, as in the original: a rejected replacement still
     closes its old version.  ``clean_first=True`` cleans before the diff.
+
+    ``method='outer'`` (default with strict checksums) reads each side once:
+    the snapshot is reduced to one row per (key, checksum) -- rows sharing
+    a strict checksum are identical, so one representative and a copy count
+    lose nothing, and the reduction is a partial aggregation, so repeated
+    rows collapse before the shuffle -- then one full outer join with the
+    current versions (both sides unique per join key: no fan-out) yields
+    kept, closed and opened rows; copies re-open via ``explode``.
+    ``method='two_joins'`` (always used with ``strict=False``, whose
+    checksum can be shared by different rows) flags the current versions
+    with one left join and finds new rows with an anti join.
     """
     if not keys:
         raise ValueError("repair needs a primary key")
@@ -92,18 +104,65 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
     snap = clean_required(snapshot, req, extra) if clean_first else snapshot
     a = with_checksum(current, cols, strict)
     n = with_checksum(snap, cols, strict)
-    # Plain key equality: the current slice never holds null keys (cleaning
-    # rejects them before anything opens), and a null-safe comparison would
-    # turn the join keys into expressions that no longer line up with a
-    # table bucketed by the key.
-    flagged = flag_matches(a, n, keys, [CHECKSUM], null_safe=False, flag=_HIT)
-    kept_or_closed = _stamp_closed_where(flagged, cols, batch_ts, slot, ~F.col(_HIT))
-    ak = key_set(a, keys, [CHECKSUM])
-    fresh = n.join(ak, _on(keys, [CHECKSUM], n, ak, False), "left_anti").drop(CHECKSUM)
+    if method == "outer" and strict:
+        return _repair_outer(a, n, keys, cols, req, extra, batch_ts, slot, ori_id)
+    else:
+        # Plain key equality: the current slice never holds null keys (cleaning
+        # rejects them before anything opens), and a null-safe comparison would
+        # turn the join keys into expressions that no longer line up with a
+        # table bucketed by the key.
+        flagged = flag_matches(a, n, keys, [CHECKSUM], null_safe=False, flag=_HIT)
+        kept_or_closed = _stamp_closed_where(flagged, cols, batch_ts, slot, ~F.col(_HIT))
+        ak = key_set(a, keys, [CHECKSUM])
+        fresh = n.join(ak, _on(keys, [CHECKSUM], n, ak, False), "left_anti").drop(CHECKSUM)
     opened = open_rows(clean_required(fresh, req, extra), batch_ts, slot=slot, ori_id=ori_id)
     return kept_or_closed.unionByName(opened)
 
 
+def _repair_outer(a: DataFrame, n: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                  req: Sequence[str], extra, batch_ts, slot: int, ori_id) -> DataFrame:
+    """One full outer join, one projection: every output row comes from the
+    same joined row, so the optimizer cannot split the join into two."""
+    from ..functions.ids import surrogate_id
+    from .stamps import required_predicate
+    others = [c for c in cols if c not in keys]
+    reduced = (n.groupBy(*[F.col(k).alias("_r_" + k) for k in keys], F.col(CHECKSUM).alias("_r_ck"))
+                .agg(*[F.first(c).alias("_n_" + c) for c in others],
+                     F.count(F.lit(1)).alias("_copies")))
+    cond = F.col(CHECKSUM) == reduced["_r_ck"]
+    for k in keys:
+        cond = cond & (a[k] == reduced["_r_" + k])
+    j = a.withColumn("_a", F.lit(True)).join(reduced, cond, "full_outer")
+    new_row = F.col("_a").isNull()                    # only in the snapshot: to open
+    gone = F.col("_a").isNotNull() & F.col("_copies").isNull()    # only current: to close
+
+    def side(c: str) -> Column:
+        n_col = F.col("_r_" + c) if c in keys else F.col("_n_" + c)
+        return F.when(new_row, n_col).otherwise(a[c])
+
+    merged = j.select(
+        F.col("_a"), F.col("_copies"), *[side(c).alias(c) for c in cols],
+        *[a[c].alias("_a_" + c) for c in ("dl_id", "dl_loaded_dt", "dl_start_dt", "dl_end_dt",
+                                          "dl_status", "day")])
+    merged = merged.withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.when(new_row, F.col("_copies")).otherwise(F.lit(1)))))
+    ok = required_predicate(req, extra)
+    if ok is not None:
+        merged = merged.filter(~new_row | ok)          # cleaning applies to opened rows only
+    t = batch_lit(batch_ts)
+    closing = close_values(batch_ts, STATUS_SUPERSEDED, slot)
+    return merged.select(
+        F.when(new_row, surrogate_id(batch_ts, ori_id)).otherwise(F.col("_a_dl_id")).alias("dl_id"),
+        *cols,
+        F.when(new_row | gone, t).otherwise(F.col("_a_dl_loaded_dt")).alias("dl_loaded_dt"),
+        F.when(new_row, t).otherwise(F.col("_a_dl_start_dt")).alias("dl_start_dt"),
+        F.when(new_row, open_end_lit()).when(gone, closing["dl_end_dt"])
+         .otherwise(F.col("_a_dl_end_dt")).alias("dl_end_dt"),
+        F.when(new_row, F.lit(STATUS_CURRENT)).when(gone, closing["dl_status"])
+         .otherwise(F.col("_a_dl_status")).alias("dl_status"),
+        F.when(new_row | gone, F.lit(slot).cast("int")).otherwise(F.col("_a_day")).alias("day"))
+
+
 def snapshot_rows(m: DataFrame, snapshot: DataFrame, keys: Sequence[str], batch_ts,
                   required: Sequence[str] = (), extra: str | Column | None = None,
                   slot: int | None = None, ori_id: Column | str | None = None) -> DataFrame:

@@ -87,10 +87,17 @@ def cmp_repair_full_outer(spark, d):
     return kept_closed.unionByName(open_rows(fresh, R.T2, ori_id="o_orderkey"))
 
 
-def cmp_repair_single_flag(spark, d):
+def cmp_repair_one_outer_join(spark, d):
     return R.q_scd2_repair(spark, d)
 
 
+def cmp_repair_two_joins(spark, d):
+    from histlake.operators import repair_rows
+    a = open_rows(R.orders_old(spark, d), R.T1, ori_id="o_orderkey")
+    return repair_rows(a, R.orders_new(spark, d), ["o_orderkey"], R.T2, required=["o_custkey"],
+                       ori_id="o_orderkey", method="two_joins")
+
+
 def cmp_ids_python_udf(spark, d):
     minutes = idmod.batch_minutes(R.T1)
 
@@ -135,8 +142,9 @@ COMPARE = {
     "keep_left_join_is_null": cmp_keep_left_join_is_null,
     "keep_left_anti": cmp_keep_left_anti,
     "repair_separate_joins": cmp_repair_separate_joins,
-    "repair_full_outer": cmp_repair_full_outer,
-    "repair_single_flag": cmp_repair_single_flag,
+    "repair_full_outer_on_key": cmp_repair_full_outer,
+    "repair_two_joins": cmp_repair_two_joins,
+    "repair_one_outer_join": cmp_repair_one_outer_join,
     "ids_python_udf": cmp_ids_python_udf,
     "ids_native": cmp_ids_native,
     "latest_max_by_struct": cmp_latest_max_by_struct,

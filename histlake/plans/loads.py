@@ -73,6 +73,32 @@ def bucket_aligned(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
         spark.conf.set(key, prev)
 
 
+HOT_KEY_SHARE = 1 / 32        # a key holding more of the snapshot counts as hot ...
+HOT_KEY_MIN_ROWS = 10_000     # ... once it has at least this many rows
+
+
+def _hot_key(snapshot: DataFrame, keys: Sequence[str]) -> bool:
+    """Does one key hold a large share of the snapshot?  Key columns only,
+    partial aggregation; two numbers come back."""
+    per_key = snapshot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
+    top, total = row["top"] or 0, row["total"] or 0
+    return top >= HOT_KEY_MIN_ROWS and top > total * HOT_KEY_SHARE
+
+
+@contextlib.contextmanager
+def spread_by_checksum(spark: SparkSession) -> Iterator[None]:
+    """Join on every key column (key + checksum) instead of the bucket key,
+    so a hot key's distinct rows spread over tasks by their checksum."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    prev = spark.conf.get(key, "true")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
 def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
     """Row counts per status of a staged result, and unique new ids.
 
@@ -240,8 +266,15 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
                        clean_first=clean_first)
-    staged = _stage_main(spark, spec, rows, rd)
+    # On a bucketed table the join lines up with the buckets (the key alone);
+    # if one key holds a large share of the snapshot, give that up for this
+    # job and spread its rows by checksum instead.
+    hot = bool(spec.buckets) and _hot_key(snap, spec.keys)
+    with spread_by_checksum(spark) if hot else contextlib.nullcontext():
+        staged = _stage_main(spark, spec, rows, rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids)
+    if hot:
+        counts["hot_key"] = True
     closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
     swap_from_stage(spark, spec.m_table, staged, purge=purge,
                     append_statuses=() if closed_done else (STATUS_SUPERSEDED,))

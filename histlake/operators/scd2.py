@@ -11,9 +11,11 @@ batch time, ``open(x)`` x stamped as new current versions.
 
 The first two return the rows that replace the current slice (status ``A``)
 plus the rows closed by this batch (status ``H``); the table layer writes the
-two parts to their partitions.  Kept and closed rows come out of ONE left
-join against the distinct arrival keys, stamped by a ``when`` -- one shuffle
-of ``A``, none of the arrivals beyond their key aggregation.
+two parts to their partitions.  In the upsert, kept and closed rows come out
+of ONE left join against the distinct arrival keys, stamped by a ``when``; the
+repair is ONE full outer join against the snapshot reduced per (key,
+checksum), read through one projection.  Either way the current slice is read
+once and, on a table bucketed by the key, not shuffled.
 """
 
 from __future__ import annotations

@@ -6,11 +6,12 @@ which files are new, and ``foreachBatch`` runs the very same
 :func:`histlake.plans.loads.upsert` on each micro-batch.  No new operator:
 only a trigger for an existing one.
 
-Replays: a micro-batch may run again after a failure.  Every finished batch
-is recorded (epoch id, batch time) in a small parquet log next to the
-checkpoint, and a batch already in the log is skipped, so a replay does not
-close and reopen the same versions twice.  Batch times strictly increase by
-at least a minute, which keeps the surrogate ids of two batches apart.
+Replays: a micro-batch may run again after a failure.  Its batch time is
+written to a small parquet log next to the checkpoint *before* the upsert
+runs, and marked done after it.  A replayed epoch reuses its logged time, so
+the upsert -- resumable by batch time -- finishes only the missing steps,
+and a finished epoch is skipped.  Batch times strictly increase by at least
+a minute, which keeps the surrogate ids of two batches apart.
 """
 
 from __future__ import annotations
@@ -36,6 +37,12 @@ def _log(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _append_log(spark: SparkSession, path: str, epoch_id: int, ts, state: str) -> None:
+    spark.createDataFrame([(epoch_id, batch_text(ts), state)],
+                          "epoch_id long, batch_ts string, state string") \
+         .write.mode("append").parquet(path)
+
+
 def upsert_stream(spark: SparkSession, spec: TableSpec, source_dir: str,
                   checkpoint: str | None = None, available_now: bool = True,
                   processing_time: str | None = None,
@@ -52,17 +59,19 @@ def upsert_stream(spark: SparkSession, spec: TableSpec, source_dir: str,
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         log = _log(spark, log_path)
-        last = None
-        if log is not None:
-            if log.filter(F.col("epoch_id") == epoch_id).limit(1).count() > 0:
-                return
-            last = log.agg(F.max("batch_ts")).first()[0]
-        ts = batch_datetime(clock())
-        if last is not None and ts < batch_datetime(last) + _dt.timedelta(minutes=1):
-            ts = batch_datetime(last) + _dt.timedelta(minutes=1)
-        upsert(spark, spec, ts, arrivals=batch, **upsert_kw)
-        spark.createDataFrame([(epoch_id, batch_text(ts))], "epoch_id long, batch_ts string") \
-             .write.mode("append").parquet(log_path)
+        mine = [] if log is None else log.filter(F.col("epoch_id") == epoch_id).collect()
+        if any(r["state"] == "done" for r in mine):
+            return                                   # replay of a finished batch
+        if mine:
+            ts = batch_datetime(mine[0]["batch_ts"])  # replay of a started batch: same time
+        else:
+            ts = batch_datetime(clock())
+            last = None if log is None else log.agg(F.max("batch_ts")).first()[0]
+            if last is not None and ts < batch_datetime(last) + _dt.timedelta(minutes=1):
+                ts = batch_datetime(last) + _dt.timedelta(minutes=1)
+            _append_log(spark, log_path, epoch_id, ts, "started")
+        upsert(spark, spec, ts, arrivals=batch, **upsert_kw)    # resumable by batch time
+        _append_log(spark, log_path, epoch_id, ts, "done")
 
     writer = typed.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{ckpt}/ckpt")
     if processing_time:

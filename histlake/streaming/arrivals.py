@@ -7,8 +7,9 @@ which files are new, and ``foreachBatch`` runs the very same
 only a trigger for an existing one.
 
 Replays: a micro-batch may run again after a failure.  Its batch time is
-written to a small parquet log next to the checkpoint *before* the upsert
-runs, and marked done after it.  A replayed epoch reuses its logged time, so
+written to a small parquet log next to the checkpoint (one folder per epoch,
+so a batch reads only its own entry and its predecessor's) *before* the
+upsert runs, and marked done after it.  A replayed epoch reuses its logged time, so
 the upsert -- resumable by batch time -- finishes only the missing steps,
 and a finished epoch is skipped.  Batch times strictly increase by at least
 a minute, which keeps the surrogate ids of two batches apart.
@@ -20,7 +21,6 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.slots import batch_datetime, batch_text
@@ -30,17 +30,17 @@ from ..session import new_run_dir
 from ..sources.raw import RAW_NULL, RAW_SEP, conform, text_schema
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame | None:
+def _epoch_log(spark: SparkSession, path: str, epoch_id: int) -> list:
+    """The log rows of one epoch (its own folder: nothing else is listed)."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no batch finished yet
-        return None
+        return spark.read.parquet(f"{path}/epoch_id={epoch_id}").collect()
+    except Exception:  # noqa: BLE001 - no entry for this epoch yet
+        return []
 
 
 def _append_log(spark: SparkSession, path: str, epoch_id: int, ts, state: str) -> None:
-    spark.createDataFrame([(epoch_id, batch_text(ts), state)],
-                          "epoch_id long, batch_ts string, state string") \
-         .write.mode("append").parquet(path)
+    spark.createDataFrame([(batch_text(ts), state)], "batch_ts string, state string") \
+         .write.mode("append").parquet(f"{path}/epoch_id={epoch_id}")
 
 
 def upsert_stream(spark: SparkSession, spec: TableSpec, source_dir: str,
@@ -58,17 +58,17 @@ def upsert_stream(spark: SparkSession, spec: TableSpec, source_dir: str,
     typed = conform(raw, spec.schema)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        log = _log(spark, log_path)
-        mine = [] if log is None else log.filter(F.col("epoch_id") == epoch_id).collect()
+        mine = _epoch_log(spark, log_path, epoch_id)
         if any(r["state"] == "done" for r in mine):
             return                                   # replay of a finished batch
         if mine:
             ts = batch_datetime(mine[0]["batch_ts"])  # replay of a started batch: same time
         else:
             ts = batch_datetime(clock())
-            last = None if log is None else log.agg(F.max("batch_ts")).first()[0]
-            if last is not None and ts < batch_datetime(last) + _dt.timedelta(minutes=1):
-                ts = batch_datetime(last) + _dt.timedelta(minutes=1)
+            prev = _epoch_log(spark, log_path, epoch_id - 1)
+            if prev:
+                floor = batch_datetime(prev[0]["batch_ts"]) + _dt.timedelta(minutes=1)
+                ts = max(ts, floor)
             _append_log(spark, log_path, epoch_id, ts, "started")
         upsert(spark, spec, ts, arrivals=batch, **upsert_kw)    # resumable by batch time
         _append_log(spark, log_path, epoch_id, ts, "done")

@@ -53,24 +53,34 @@ def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None)
 
 
 @contextlib.contextmanager
-def bucket_aligned(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
-    """Shuffle into as many partitions as the main table has buckets.
+def bucket_aligned(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True) -> Iterator[None]:
+    """Run a main-table job lined up with the table's buckets.
 
     Spark keeps a bucketed side unshuffled only if its bucket count is at
-    least ``spark.sql.shuffle.partitions``; while a main-table job runs, the
-    shuffle count is set to the bucket count so the current slice is read in
-    place and only the arrivals move.
+    least ``spark.sql.shuffle.partitions``, and a join on key + checksum
+    only reuses a layout bucketed by the key when co-partitioning on a
+    subset of the join keys is allowed.  Both are set for the duration of
+    the job (and only for bucketed tables), so the current slice is read in
+    place and only the arrivals move.  ``on_bucket_key=False`` keeps the
+    join on all its keys (see :func:`repair`'s hot-key case).
     """
     if not spec.buckets:
         yield
         return
-    key = "spark.sql.shuffle.partitions"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, str(spec.buckets))
+    settings = {"spark.sql.shuffle.partitions": str(spec.buckets),
+                "spark.sql.requireAllClusterKeysForCoPartition":
+                    "false" if on_bucket_key else "true"}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, prev)
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 HOT_KEY_SHARE = 1 / 32        # a key holding more of the snapshot counts as hot ...
@@ -86,19 +96,6 @@ def _hot_key(snapshot: DataFrame, keys: Sequence[str]) -> bool:
     return top >= HOT_KEY_MIN_ROWS and top > total * HOT_KEY_SHARE
 
 
-@contextlib.contextmanager
-def spread_by_checksum(spark: SparkSession) -> Iterator[None]:
-    """Join on every key column (key + checksum) instead of the bucket key,
-    so a hot key's distinct rows spread over tasks by their checksum."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    prev = spark.conf.get(key, "true")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, prev)
-
-
 def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
     """Row counts per status of a staged result, and unique new ids.
 
@@ -173,9 +170,10 @@ def _changed_days(cur: DataFrame, arrivals: DataFrame, spec: TableSpec, small: b
     return {int(r["day"]) for r in hit.select("day").distinct().collect()}
 
 
-def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str) -> str:
+def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
+                on_bucket_key: bool = True) -> str:
     """Write the new main-table rows once, in the table's own layout."""
-    with bucket_aligned(spark, spec):
+    with bucket_aligned(spark, spec, on_bucket_key):
         return write_stage_table(write_layout(rows, ["dl_status", "day"], bool(spec.buckets)),
                                  spec.m_table, f"{rd}/m")
 
@@ -270,8 +268,7 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     # if one key holds a large share of the snapshot, give that up for this
     # job and spread its rows by checksum instead.
     hot = bool(spec.buckets) and _hot_key(snap, spec.keys)
-    with spread_by_checksum(spark) if hot else contextlib.nullcontext():
-        staged = _stage_main(spark, spec, rows, rd)
+    staged = _stage_main(spark, spec, rows, rd, on_bucket_key=not hot)
     counts = _verify(spark.table(staged), bt, slot, check_ids)
     if hot:
         counts["hot_key"] = True

@@ -25,9 +25,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
-    # a main table bucketed by the key then serves a join on key + checksum
-    # without being shuffled
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -2,18 +2,18 @@
 
 from .functions import (batch_minutes, batch_text, business_columns, check_key, day_slot,
                         row_checksum, slot_of, surrogate_id)
-from .operators import (as_of, change_report, clean_required, close_rows, current,
+from .operators import (as_of, backfill_rows, change_report, clean_required, close_rows, current,
                         drop_exact_duplicates, expire_rows, latest_batch, latest_per_key,
                         matched, open_rows, repair_rows, snapshot_diff, snapshot_rows,
                         stamp_load, unmatched, upsert_rows)
-from .plans import (TableSpec, catalog_rows, normalize_spec, ods_dedup, rebuild_and_repair,
+from .plans import (TableSpec, backfill, catalog_rows, normalize_spec, ods_dedup, rebuild_and_repair,
                     repair, retain, run_all, snapshot_load, table_rows, upsert)
 from .session import build_session, checkpoint_root, new_run_dir
 from .sources import (append_by_name, conform, conform_losses, create_layers, read_raw,
                       replace_slice, stage)
 
 __all__ = [
-    "TableSpec", "append_by_name", "as_of", "batch_minutes", "batch_text", "build_session",
+    "TableSpec", "append_by_name", "as_of", "backfill", "backfill_rows", "batch_minutes", "batch_text", "build_session",
     "business_columns", "catalog_rows", "change_report", "check_key", "checkpoint_root",
     "clean_required", "close_rows", "conform", "conform_losses", "create_layers", "current",
     "day_slot", "drop_exact_duplicates", "expire_rows", "latest_batch", "latest_per_key",

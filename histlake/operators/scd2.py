@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import business_columns
+from ..functions.ids import surrogate_id_at
+from ..functions.slots import batch_lit, open_end_lit, slot_of
 from .dedup import latest_per_key
-from .match import CHECKSUM, flag_matches, key_set, with_checksum, _on
+from .match import CHECKSUM, _on, flag_matches, key_set, with_checksum
 from .stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED, clean_required,
                      close_rows, close_values, m_columns, open_rows)
-from ..functions.ids import surrogate_id_at
-from ..functions.slots import batch_lit, open_end_lit, slot_of
 
 _HIT = "_hit"
 

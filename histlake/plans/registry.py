@@ -127,6 +127,21 @@ def events_spec(db: str = "default", **kw) -> TableSpec:
                               ("props", "varchar(200)")), **kw)
 
 
+def lineitem_spec(db: str = "default", **kw) -> TableSpec:
+    """lineitem keyed by (order, line number): the extract repeats keys."""
+    return TableSpec(name="lineitem", database=db, keys=("l_orderkey", "l_linenumber"),
+                     columns=(("l_orderkey", "bigint"), ("l_partkey", "bigint"),
+                              ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                              ("l_quantity", "double"), ("l_extendedprice", "double"),
+                              ("l_discount", "double"), ("l_tax", "double"),
+                              ("l_returnflag", "varchar(1)"), ("l_linestatus", "varchar(1)"),
+                              ("l_shipdate", "timestamp")), **kw)
+
+
+LINE_ORI_ID = "l_orderkey * 8 + l_linenumber"   # one number per (order, line); lines are 1..7
+SHIPPED_BY = "2000-01-01 00:00:00"
+
+
 def customer_spec(db: str = "default", **kw) -> TableSpec:
     return TableSpec(name="customer", database=db, keys=("c_custkey",),
                      columns=(("c_custkey", "bigint"), ("c_name", "varchar(25)"),
@@ -402,6 +417,20 @@ def q_stream_upsert(spark, d):
     return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
 
 
+def q_tables_upsert_composite(spark, d):
+    """Two loads of lineitem keyed by (order, line): the lines shipped before
+    2000, then all lines; repeated keys keep their newest arrival."""
+    rd, db = _fresh_db(spark, "q-upsert-composite")
+    spec = lineitem_spec(db)
+    create_layers(spark, spec, rd)
+    li = _t(spark, d, "lineitem")
+    early = li.filter(F.col("l_shipdate") < F.lit(SHIPPED_BY).cast("timestamp_ntz"))
+    for ts, batch in ((T1, early), (T2, li)):
+        upsert(spark, spec, ts, arrivals=batch, dedupe_arrivals=["l_shipdate"],
+               ori_id=F.expr(LINE_ORI_ID))
+    return present(spark.table(spec.m_table).select("dl_id", *LINEITEM, *M_TAIL))
+
+
 def q_tables_backfill(spark, d):
     rd, db = _fresh_db(spark, "q-backfill")
     spec = events_spec(db)
@@ -449,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_backfill": q_scd2_backfill,
     "tables_backfill": q_tables_backfill,
     "stream_upsert": q_stream_upsert,
+    "tables_upsert_composite": q_tables_upsert_composite,
 }
 
 
@@ -597,6 +627,28 @@ def _backfill_sql() -> str:
             + _m_select("r", EVENTS))
 
 
+def _composite_sql() -> str:
+    keys = ["l_orderkey", "l_linenumber"]
+    rest = [c for c in LINEITEM if c not in (*keys, "l_shipdate")]
+    order = ", ".join(["l_shipdate DESC NULLS LAST", *[f"{c} ASC NULLS FIRST" for c in rest]])
+    newest = (f"SELECT * FROM {{src}} QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+              f"ORDER BY {order}) = 1")
+    n1 = newest.format(src=f"(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{SHIPPED_BY}')")
+    n2 = newest.format(src="lineitem")
+    s1, s2 = slot_of(T1, "month"), slot_of(T2, "month")
+
+    def opened(src, batch, slot):
+        return (f"SELECT {_id_sql(batch, '(l_orderkey * 8 + l_linenumber)')} AS dl_id, "
+                f"{', '.join(LINEITEM)}, {_ts(batch)} AS dl_loaded_dt, {_ts(batch)} AS dl_start_dt, "
+                f"TIMESTAMP '9999-12-31 00:00:00' AS dl_end_dt, 'A' AS dl_status, "
+                f"CAST({slot} AS INTEGER) AS day FROM {src} s")
+    match = "EXISTS (SELECT 1 FROM n2 x WHERE x.l_orderkey = a.l_orderkey AND x.l_linenumber = a.l_linenumber)"
+    return (f"WITH n1 AS ({n1}), n2 AS ({n2}), a AS ({opened('n1', T1, s1)}), "
+            f"r AS (SELECT * FROM a WHERE NOT {match} UNION ALL "
+            f"{_close_sql('a', LINEITEM, T2, 'H', s2, 'WHERE ' + match)} UNION ALL "
+            f"{opened('n2', T2, s2)}) " + _m_select("r", LINEITEM))
+
+
 def oracle_sql() -> dict[str, str]:
     s1, s2 = slot_of(T1, "month"), slot_of(T2, "month")
     k = "o_orderkey"
@@ -699,6 +751,7 @@ def oracle_sql() -> dict[str, str]:
         "scd2_backfill": _backfill_sql(),
         "tables_backfill": _backfill_sql(),
         "stream_upsert": upsert_sql,
+        "tables_upsert_composite": _composite_sql(),
     }
     return q
 

@@ -62,7 +62,7 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["tables_upsert", "tables_snapshot", "tables_ods_dedup",
-                                  "tables_backfill"])
+                                  "tables_backfill", "tables_upsert_composite"])
 def test_table_queries_match_oracle_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     got = _rows([tuple(r) for r in df.collect()], df.columns)

@@ -109,7 +109,7 @@ def _stars(x: np.ndarray, max_bits: int, refs: np.ndarray) -> tuple[np.ndarray,
             continue
         root[s] = s
         todo = [s]
-        while todo:
+        while len(todo):
             fresh = np.flatnonzero(near[todo].any(axis=0) & (root < 0))
             root[fresh] = s
             todo = fresh

@@ -24,6 +24,7 @@ tables with other columns are handled through ``doc_id`` and ``text`` only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ BROADCAST_ROWS = 1_000_000
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SIG_SCHEMA = "key long, id long, sig long, indexed boolean, probes boolean"
+_SIG_SCHEMA = "key long, id long, sig long, indexed boolean"
 
 
 def segments(length: int, tau: int) -> list[tuple[int, int]]:
@@ -73,46 +74,62 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _powers(x: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, x, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@lru_cache(1)
+def _scrambled() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _finish(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x632BE59BD9B4E019))
+
+
 def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int) -> pa.RecordBatch:
-    """Index and probe rows of the lines; prefix hashes give any substring's
-    hash by two look-ups, for all lines at once."""
+    """Index and probe rows of the lines, all lines at once: prefix sums over
+    the characters give any substring's hash by two look-ups."""
+    k = tau + 1
     lens = np.fromiter(map(len, lines), np.int64, len(lines))
-    cps = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    total = len(cps)
-    ends = np.cumsum(lens)
-    starts = ends - lens
-    keys, rows, ind, pro = [], [], [], []
+    cps = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    starts = np.cumsum(lens) - lens
+    top = int(lens.max(initial=0)) + 1
+    keys, rows, ind = [], [], []
     with np.errstate(over="ignore"):
-        # positions start anew for every line, so powers go up to the longest
-        pos = np.arange(total) - np.repeat(starts, lens)
-        top = int(lens.max(initial=0)) + 1
-        inv = np.cumprod(np.concatenate([[1], np.full(top, _PINV, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-        pw = np.cumprod(np.concatenate([[1], np.full(top, _P, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-        scrambled = _finish(cps + np.uint64(0x632BE59BD9B4E019))
-        pre = np.concatenate([[np.uint64(0)], np.cumsum(scrambled * inv[pos], dtype=np.uint64)])
-        # parity of the characters: bit (scrambled % 64) flips with every one
-        bit = np.uint64(1) << (scrambled >> np.uint64(58))
-        acc = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(bit)]) if total else np.zeros(1, np.uint64)
-        sig = acc[ends] ^ acc[starts]
-        for n in np.unique(lens):
-            which = np.flatnonzero(lens == n)
-            own = {(i, s, m) for i, (s, m) in enumerate(segments(int(n), tau))}
-            for other in range(max(min_chars, int(n) - tau), int(n) + 1):
-                todo = [(w, True, other == n and w in own) for w in windows(int(n), other, tau)]
-                for (i, s, m), probe, index in todo:
-                    a = starts[which] + s
-                    h = (pre[a + m] - pre[a]) * pw[s]
-                    h = _finish(h ^ _finish(np.array([(other * 64 + i) * 2 + 1], np.uint64))[0])
-                    keys.append(h)
-                    rows.append(which)
-                    ind.append(np.full(len(which), index))
-                    pro.append(np.full(len(which), probe))
-    at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    cat = lambda xs, t: np.concatenate(xs) if xs else np.zeros(0, t)
+        inv, pw = _powers(_PINV, top), _powers(_P, top)
+        x = _scrambled()[cps]
+        pre = np.zeros(len(cps) + 1, np.uint64)
+        pos = np.arange(len(cps)) - np.repeat(starts, lens)    # powers start anew for every line
+        np.cumsum(x * inv[pos], out=pre[1:])
+        # parity of the characters: every character flips one of 64 bits
+        odd = np.zeros(len(cps) + 1, np.uint64)
+        np.bitwise_xor.accumulate(np.uint64(1) << (x >> np.uint64(58)), out=odd[1:])
+        sig = odd[starts + lens] ^ odd[starts]
+        for delta in range(tau + 1):
+            other = lens - delta
+            base, longer = other // k, k - other % k            # segments from `longer` on are longer by one
+            for i in range(k):
+                n = base + (i >= longer)
+                p = i * base + np.maximum(0, i - longer)
+                lo = np.maximum(np.maximum(0, p - i), p + delta - (tau - i))
+                hi = np.minimum(np.minimum(lens - n, p + i), p + delta + (tau - i))
+                t = 0
+                while True:
+                    at = np.flatnonzero((lo + t <= hi) & (other >= min_chars))
+                    if not len(at):
+                        break
+                    s = lo[at] + t
+                    a = starts[at] + s
+                    h = _finish((pre[a + n[at]] - pre[a]) * pw[s])
+                    keys.append(_finish(h ^ ((other[at] * 64 + i) * 2 + 1).astype(np.uint64)))
+                    rows.append(at)
+                    ind.append((delta == 0) & (s == p[at]))
+                    t += 1
+    at = np.concatenate([np.zeros(0, np.int64), *rows])
     return pa.RecordBatch.from_arrays(
-        [pa.array(cat(keys, np.uint64).view(np.int64)), pa.array(ids[at]),
-         pa.array(sig[at].view(np.int64)), pa.array(cat(ind, bool)), pa.array(cat(pro, bool))],
-        ["key", "id", "sig", "indexed", "probes"])
+        [pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)), pa.array(ids[at]),
+         pa.array(sig[at].view(np.int64)), pa.array(np.concatenate([np.zeros(0, bool), *ind]))],
+        ["key", "id", "sig", "indexed"])
 
 
 def within(a: str, b: str, tau: int) -> bool:
@@ -205,7 +222,7 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
                 texts.append(line)
                 ids.append(h)
                 size += len(line)
-                if size > 500_000:
+                if size > 1 << 20:
                     yield signatures(texts, np.array(ids, np.int64), tau, min_chars)
                     texts, ids, size = [], [], 0
         if texts:

@@ -5,11 +5,12 @@ length ``l`` is cut into ``tau + 1`` segments of nearly equal length; ``tau``
 edits leave at least one of them untouched, so a linked longer line holds it
 as a substring near the same place.  Only the substrings that can take part
 in such a match are looked up: the multi-match-aware window around a
-segment's place, widened by the difference of the lengths.  Equal (length,
-segment number, substring) keys meet in one shuffle join, whose condition
-also compares 64-bit parity signatures of the characters (an edit flips two
-bits at most), so frequent substrings do not produce pairs that cannot be
-linked.  What is left is verified by a banded bit-parallel edit distance.
+segment's place, widened by the difference of the lengths.  Rows with equal
+(length, segment number, substring) keys are grouped; a key with many rows is
+cut into blocks and every pair of blocks is a row of its own.  In a block,
+parity signatures of the characters (an edit flips two bits at most) discard
+pairs, and a banded bit-parallel edit distance verifies the others; only
+links leave it.
 
 Lines of fewer than ``min_chars`` code points link to nothing and always
 stay.  Exact copies are one text with many places.  A class is everything
@@ -23,6 +24,7 @@ tables with other columns are handled through ``doc_id`` and ``text`` only.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,11 +39,13 @@ TAU = 2
 MIN_CHARS = 30
 #: staged keys up to this many rows (8 bytes each) are broadcast, more are joined by a shuffle
 BROADCAST_ROWS = 1_000_000
+#: rows of one key that are compared with each other in one piece
+BLOCK = 256
 
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SIG_SCHEMA = "key long, id long, sig long, indexed boolean"
+_SIG_SCHEMA = "key long, id long, indexed boolean"
 
 
 def segments(length: int, tau: int) -> list[tuple[int, int]]:
@@ -101,10 +105,6 @@ def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int) -> p
         pre = np.zeros(len(cps) + 1, np.uint64)
         pos = np.arange(len(cps)) - np.repeat(starts, lens)    # powers start anew for every line
         np.cumsum(x * inv[pos], out=pre[1:])
-        # parity of the characters: every character flips one of 64 bits
-        odd = np.zeros(len(cps) + 1, np.uint64)
-        np.bitwise_xor.accumulate(np.uint64(1) << (x >> np.uint64(58)), out=odd[1:])
-        sig = odd[starts + lens] ^ odd[starts]
         for delta in range(tau + 1):
             other = lens - delta
             base, longer = other // k, k - other % k            # segments from `longer` on are longer by one
@@ -128,8 +128,7 @@ def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int) -> p
     at = np.concatenate([np.zeros(0, np.int64), *rows])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)), pa.array(ids[at]),
-         pa.array(sig[at].view(np.int64)), pa.array(np.concatenate([np.zeros(0, bool), *ind]))],
-        ["key", "id", "sig", "indexed"])
+         pa.array(np.concatenate([np.zeros(0, bool), *ind]))], ["key", "id", "indexed"])
 
 
 def within(a: str, b: str, tau: int) -> bool:
@@ -230,34 +229,60 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
 
     long = lines.where(F.char_length("line") >= min_chars)
     rows = long.select(F.xxhash64("line").alias("id"), "line").mapInArrow(sign, _SIG_SCHEMA)
-    # first only the keys under which different lines meet, one at least as a segment
+    rows = stage.put(rows, "signatures")
+    # only the keys under which different lines meet, one at least as a segment
     shared = stage.put(
         rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
                                 F.max("indexed").alias("indexed"))
         .where("indexed and lo <> hi").select("key"), "keys")
-    rows = stage.put(rows.join(_small(shared), "key", "left_semi"), "signatures")
-    left = rows.where("indexed").select("key", F.col("id").alias("i"), F.col("sig").alias("si"))
-    right = rows.select("key", F.col("id").alias("p"), F.col("sig").alias("sp"), "indexed")
-    # equal lengths meet from both sides where a place is index and probe alike; keep one order
-    met = left.join(right, "key").where(
-        (F.col("i") != F.col("p"))
-        & (F.bit_count(F.col("si").bitwiseXOR(F.col("sp"))) <= 2 * tau))
-    pairs = stage.put(met.select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b")).distinct(),
-                      "candidates")
-    wanted = stage.put(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+    rows = rows.join(_small(shared), "key", "left_semi")
+    rows = stage.put(rows.groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "members")
+    wanted = stage.put(rows.select("id").distinct(), "wanted")
     h1, h2 = _hashes(F.col("line"))
-    text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted), "id", "left_semi").select(h1, h2, "line")
-    text = stage.put(text.dropDuplicates(["h1", "h2"]), "texts")
-
-    def side(name: str) -> DataFrame:
-        return text.select(F.col("h1").alias(name), F.col("h2").alias(f"{name}2"),
-                           F.col("line").alias(f"{name}_line"))
-
-    close = F.arrow_udf(lambda x, y: pa.array(
-        [within(s, t, tau) for s, t in zip(x.to_pylist(), y.to_pylist(), strict=True)]), "boolean")
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(close("a_line", "b_line"))
-            .select(F.col("a").alias("a1"), "a2", F.col("b").alias("b1"), "b2"))
+    text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted), "id", "left_semi")
+    text = stage.put(text.select(h1, h2, "line").dropDuplicates(["h1", "h2"]), "texts")
+    size = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    met = rows.join(size, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
+    # every block meets every other once; a lone block meets itself
+    met = met.withColumn("other", F.explode(F.expr(
+        "case when parts = 1 then array(0) else filter(sequence(0, parts - 1), x -> x <> own) end")))
+    met = met.join(text.withColumnRenamed("h1", "id"), "id")
+    groups = met.groupBy("key", F.least("own", "other"), F.greatest("own", "other")).agg(
+        F.collect_list(F.struct("id", "h2", "indexed", "line")).alias("g"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for g in batch.column(0):
+                out += linked(g.as_py(), tau)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[c] for x in out], pa.int64()) for c in range(4)], ["a1", "a2", "b1", "b2"])
+
+    return groups.select("g").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long").distinct()
+
+
+def linked(group: list[dict], tau: int) -> list[tuple[int, int, int, int]]:
+    """Links of one block: rows that share a key, an indexed one with any."""
+    bits = np.zeros(len(group), np.uint64)
+    for r, row in enumerate(group):
+        odd = 0
+        for c, n in Counter(row["line"]).items():
+            odd ^= (n & 1) << (ord(c) * 0x9E3779B1 >> 12 & 63)
+        bits[r] = odd
+    lens = np.array([len(row["line"]) for row in group])
+    out = []
+    for i in (r for r, row in enumerate(group) if row["indexed"]):
+        # net insertions flip one bit each, every other edit two
+        near = np.bitwise_count(bits ^ bits[i]) <= 2 * tau - np.abs(lens - lens[i])
+        x = group[i]
+        for j in np.flatnonzero(near):
+            y = group[j]
+            if (y["indexed"] and j <= i) or (x["id"], x["h2"]) == (y["id"], y["h2"]):
+                continue
+            if within(x["line"], y["line"], tau):
+                a, b = sorted([(x["id"], x["h2"]), (y["id"], y["h2"])])
+                out.append((*a, *b))
+    return out
 
 
 def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -274,24 +299,26 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
               .groupBy("node").agg(F.count("*").alias("n_links")))
     root = connected_components(links, stage).join(degree, "node")
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "line_no")
-    first = (places.where("long").groupBy("h1", "h2").agg(F.min(order).alias("first"))
-             .withColumn("node", _node("h1", "h2")).join(root, "node", "left")
-             .withColumn("root", F.coalesce("root", "node")))
-    first = stage.put(first.select("h1", "h2", "first", "root", F.coalesce("n_links", F.lit(0)).alias("n_links")),
-                      "first")
-    # only linked texts need their class's first line; any other text is a class of its own
-    best = first.where("n_links > 0").groupBy("root").agg(F.min("first").alias("best"))
-    texts = (first.join(best, "root", "left")
-             .select("h1", "h2", "n_links", F.coalesce("best", "first").alias("c")))
+    # a text with one place and no link is a class of its own; the others are few
+    many = (places.where("long").groupBy("h1", "h2").agg(F.count("*").alias("n"))
+            .withColumn("node", _node("h1", "h2")).join(root, "node", "left")
+            .where("n > 1 or n_links > 0")
+            .select("h1", "h2", F.coalesce("root", "node").alias("root"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    many = stage.put(many, "many")
+    first = (places.where("long").join(many, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min(order).alias("first")))
+    first = stage.put(first.join(many, ["h1", "h2"]), "first")
+    best = first.groupBy("root").agg(F.min("first").alias("c"))
+    texts = first.join(best, "root").select("h1", "h2", "n_links", "c")
     out = places.join(texts.withColumn("long", F.lit(True)), ["h1", "h2", "long"], "left")
     own = (F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("text_hash") == F.col("c.text_hash"))
            & (F.col("line_no") == F.col("c.line_no")))
     return out.select(
         "doc_id", "text_hash", F.col("line_no").cast("long").alias("line_no"),
-        F.when(F.col("long"), F.col("c.doc_id")).otherwise(F.col("doc_id")).alias("class_doc_id"),
-        F.when(F.col("long"), F.col("c.line_no")).otherwise(F.col("line_no")).cast("long").alias("class_line_no"),
+        F.when(F.col("c").isNotNull(), F.col("c.doc_id")).otherwise(F.col("doc_id")).alias("class_doc_id"),
+        F.coalesce("c.line_no", "line_no").cast("long").alias("class_line_no"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        (~F.col("long") | own).alias("kept"))
+        (F.col("c").isNull() | own).alias("kept"))
 
 
 def drop_duplicate_lines(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:

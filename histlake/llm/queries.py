@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import linededup, mixing, pieces, repetition, simhash
+from histlake.llm import (ann, lattice, licenses, linededup, mixing, pieces, repetition, simhash, surrogates,
+                          urlfilter)
 from histlake.llm.common import Stage, read_table
 
 
@@ -44,15 +45,55 @@ def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", repetition.repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, Stage(spark, "op2"), F.col("vec_id") % 100 == 0)
+
+
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(read_table(spark, sf_dir, "documents"), piece_model(), Stage(spark, "op5"))
+
+
+def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(read_table(spark, sf_dir, "pages"), urlfilter.label_table(spark))
+
+
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(read_table(spark, sf_dir, "documents"), Stage(spark, "op9"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = licenses.scan_licenses(F.col("text"), licenses.document_frequencies(docs))
+    return docs.select("doc_id", found.alias("s")).select("doc_id", "s.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mixing": op1_mixing, "op3_pieces": op3_pieces, "op4_linededup": op4_linededup,
-    "op6_simhash": op6_simhash, "op8_repetition": op8_repetition,
+    "op1_mixing": op1_mixing, "op2_nearest": op2_nearest, "op3_pieces": op3_pieces, "op4_linededup": op4_linededup,
+    "op5_lattice": op5_lattice, "op6_simhash": op6_simhash, "op7_urlfilter": op7_urlfilter,
+    "op8_repetition": op8_repetition, "op9_surrogates": op9_surrogates, "op10_licenses": op10_licenses,
 }
 
+# Exact search: the operator's error bounds leave nothing out on these vectors.
+OP2_SQL = """
+with v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where vec_id is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, x -> x <> 0))),
+d as (
+  select q.vec_id as query_id, c.vec_id,
+         sqrt(list_sum(list_transform(list_zip(q.e, c.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) as score
+  from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
+  where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from d)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_nearest": OP2_SQL}

@@ -68,12 +68,9 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
-
-
 def py_lower_ascii(text: str) -> str:
-    """The same in Python; ``str.lower`` is only safe (and fast) on ASCII."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    """The same in Python: bytes know no other letters than A-Z."""
+    return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
 def chunks(texts: Iterable[str | None], chars: int = 1 << 21) -> Iterator[list[str]]:

@@ -260,6 +260,20 @@ def _blocks(limit: int):
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.Table]:
+    """Fewer, larger tables: words of one length are handled together."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def learn(words: DataFrame, path: str, stage: Stage, ends: int, rounds: int = ROUNDS) -> np.ndarray:
     """Log probabilities of the pieces from training words (word, c): the
     vocabulary's weights, then passes of expected counts over all words.  The
@@ -270,9 +284,9 @@ def learn(words: DataFrame, path: str, stage: Stage, ends: int, rounds: int = RO
         def expect(batches: Iterator[pa.RecordBatch], logp=logp) -> Iterator[pa.RecordBatch]:
             m = lattice(path)
             counts = np.zeros(m.size)
-            for batch in batches:
+            for batch in _gathered(batches):
                 w = [MARK + x for x in batch.column(0).to_pylist()]
-                m.run(w, logp, batch.column(1).to_numpy(zero_copy_only=False).astype(float), counts)
+                m.run(w, logp, batch.column(1).to_numpy().astype(float), counts)
             ids = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "c"])
 
@@ -305,9 +319,10 @@ def score_documents(docs: DataFrame, path: str, stage: Stage, rounds: int = ROUN
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = lattice(path)
-        for batch in batches:
+        for batch in _gathered(batches):
             s = m.run([MARK + w for w in batch.column(0).to_pylist()], logp) / unit
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], ["word", "c", "lp"])
+            done = pa.Table.from_arrays([batch.column(0), batch.column(1), pa.array(s)], ["word", "c", "lp"])
+            yield from done.to_batches(max_chunksize=20_000)
 
     scored = stage.put(words.mapInArrow(score, "word string, c long, lp double"), "scored")
     back = named.select(F.col("block").alias("of"), "word", "number").join(scored, "word").select(

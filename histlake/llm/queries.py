@@ -79,11 +79,11 @@ OP2_SQL = """
 with v as (
   select vec_id, embedding::double[] as e from embeddings
   where vec_id is not null and embedding is not null
-    and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
-    and list_bool_or(list_transform(embedding, x -> x <> 0))),
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 d as (
   select q.vec_id as query_id, c.vec_id,
-         sqrt(list_sum(list_transform(list_zip(q.e, c.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) as score
+         sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) as score
   from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
   where q.vec_id % 100 = 0),
 r as (select *, row_number() over (partition by query_id order by score, vec_id)::int as rank from d)

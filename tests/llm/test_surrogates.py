@@ -1,0 +1,88 @@
+"""Surrogates: nothing personal is left, formats, distinctness, coreference.
+(No SQL is given: the draw is a keyed hash with repeated rounds.)"""
+
+from __future__ import annotations
+
+import re
+
+import duckdb
+from conftest import SF01
+from llm_fixtures import make_docs, odd_docs, stage  # noqa: F401
+from pyspark.sql import functions as F
+
+from histlake.llm import surrogates as S
+from histlake.llm.queries import queries
+
+PRIVATE = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|AKIA\w{16}|(?:password|token) ?= ?\"?\w+|(?<!\d)\d{16}(?!\d)"
+                     r"|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)|\+1 \(\d{3}\) \d{3}-\d{4}")
+
+
+def luhn(n):
+    d = [int(c) for c in reversed(n)]
+    return (sum(d[::2]) + sum(x * 2 - 9 * (x > 4) for x in d[1::2])) % 10 == 0
+
+
+def test_query_replaces_all_private_data(spark):
+    docs = dict(duckdb.sql(f"select doc_id, text from '{SF01}/documents.parquet'").fetchall())
+    got = {r.doc_id: r for r in queries()["op9_surrogates"](spark, SF01).collect()}
+    assert got.keys() == docs.keys()
+    pairs = {}
+    for i, t in docs.items():
+        old, new = PRIVATE.findall(t), PRIVATE.findall(got[i].text)
+        if not old:
+            assert got[i].text == t and got[i].n_entities == 0
+            continue
+        assert got[i].n_entities == len(old) == len(new)
+        for a, b in zip(old, new, strict=True):
+            assert a not in got[i].text and len(a.split()) == len(b.split())
+            assert pairs.setdefault(a, b) == b                       # coreference
+            if re.fullmatch(r"\d{16}", a):
+                assert (luhn(b) or not luhn(a)) and a[0] == b[0]
+            if a.startswith("+1"):
+                assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", b)
+    assert len(set(pairs.values())) == len(pairs)                    # distinctness
+    assert not set(pairs) & set(pairs.values())
+    plan = queries()["op9_surrogates"](spark, SF01)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_formats_and_coreference(spark, make_docs, stage):  # noqa: F811
+    text = ("Mr. Smith met Mrs. Anna Jones; Ann@Mail.example.com is ann@mail.example.com. Call +1 (521) 555-6210 or "
+            "521-555-6210 or (521) 555-6210. SSN 123-45-6789, card 4111 1111 1111 1111 = 4111111111111111. "
+            "г-жа Петрова и г-н Иван Петров. password: hunter2hunter2, Mr. Smith again.")
+    out = S.replace_entities(make_docs([(1, text, "s")]), stage).first()
+    t = out.text
+    for gone in ("Smith", "Jones", "mail.example", "555-6210", "123-45", "4111 1111 1111 1111", "Петров", "hunter2"):
+        assert gone not in t
+    names = re.findall(r"Mr\. (\w+) (?:met|again)", t)
+    assert len(names) == 1 or names[0] == names[-1]
+    given = re.search(r"Mrs\. (\w+) \w+;", t).group(1)
+    assert given in S.GIVEN["latin", "f"]
+    assert re.search(r"г-жа [А-Я][а-я]+ова и г-н (\w+) [А-Я][а-я]+ов\.", t)
+    a, b = re.findall(r"[\w.]+@[\w.]+example\.com", t)
+    assert a.lower() == b.lower()
+    phones = [re.sub(r"\D", "", p)[-10:] for p in re.findall(r"Call (.*?) or (.*?) or (.*?)\. SSN", t)[0]]
+    assert len(set(phones)) == 1 and t.count("+1 (") == 1
+    spaced, plain = re.search(r"card (.{19}) = (\d{16})", t).groups()
+    assert spaced.replace(" ", "") == plain and luhn(plain)
+    assert re.search(r"SSN 9\d\d-\d\d-\d{4}", t)
+
+
+def test_collisions_are_drawn_again(spark, stage):  # noqa: F811
+    """Four-digit phone-like values: few, so that draws do collide."""
+    canon = [(("phone", f"{i:04d}")) for i in range(0, 4000, 3)]
+    out = S.distinct_surrogates(spark.createDataFrame(canon, "kind string, canon string"), stage).collect()
+    values = {r.value for r in out}
+    assert len(values) == len(out) == len(canon) and not values & {c for _, c in canon}
+
+
+def test_edge_cases(spark, odd_docs, make_docs, stage):  # noqa: F811
+    got = S.replace_entities(odd_docs, stage).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
+        (str(r.doc_id), str(r.text)) for r in odd_docs.collect())
+    long = "a" * 200_000 + " x@y.example.com " + "1." * 50_000
+    rows = make_docs([(1, long, "s"), (1, long, "s"), (None, "10.1.2.3", None)]).withColumn("row", F.lit("clash"))
+    out = S.replace_entities(rows, stage).collect()
+    assert len(out) == 3 and len({r.text for r in out if r.doc_id == 1}) == 1
+    assert all(r.n_entities == 1 for r in out)
+    assert S.replace_entities(odd_docs.limit(0), stage).count() == 0

@@ -6,10 +6,14 @@ The id packs the batch minute, a partition part and a sequence part:
 
 ``minutes`` counts whole minutes from midnight 2000-01-01 at UTC+8 to the
 batch time.  The value needs 68 bits, so it is built in ``decimal(38,0)``
-and returned as text.  ``ori_id`` defaults to
-``monotonically_increasing_id()`` (partition index in the upper 31 bits,
-row number in the lower 33), as in the original loader; pass a key column
-to get ids that do not depend on the partitioning.
+and returned as text; this is the layout for an ``ori_id`` the caller gives
+(a key column: ids then do not depend on the partitioning).
+
+From partition 16,384 on the partition part of that layout reaches the
+minutes, so ids of two batches could meet.  Without an ``ori_id`` the ids are
+therefore wide: ``minutes * 2^63 + monotonically_increasing_id()``, whose
+parts never overlap, so ids are unique within a batch and between batches.
+``wide`` chooses the layout explicitly.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ MINUTE_SHIFT = 44                 # minutes start at bit 44
 PARTITION_SHIFT_IN = 33           # partition part read from ori_id bit 33 on ...
 PARTITION_SHIFT_OUT = 30          # ... and written from bit 30 on
 SEQUENCE_MASK = (1 << 33) - 1     # low 33 bits of ori_id
+# Our own wide layout: the whole row number below the minutes.
+WIDE_SHIFT = 63
 
 
 def batch_minutes(batch_ts) -> int:
@@ -36,19 +42,27 @@ def batch_minutes(batch_ts) -> int:
     return (seconds - EPOCH_2000_UTC8) // 60
 
 
-def surrogate_id(batch_ts, ori_id: Column | str | None = None) -> Column:
-    """The ``dl_id`` column for rows opened in the batch ``batch_ts``."""
+def _packed(minutes: Column, ori_id: Column | str | None, wide: bool | None) -> Column:
+    """Minutes (a decimal column) and row number as one text."""
     if ori_id is None:
         oid = F.monotonically_increasing_id()
     else:
         oid = (F.col(ori_id) if isinstance(ori_id, str) else ori_id).cast("bigint")
-    high = F.lit(Decimal(batch_minutes(batch_ts) << MINUTE_SHIFT)).cast("decimal(38,0)")
-    part = F.shiftleft(F.shiftright(oid, PARTITION_SHIFT_IN), PARTITION_SHIFT_OUT)
-    seq = oid.bitwiseAND(F.lit(SEQUENCE_MASK))
-    total = high + part.cast("decimal(38,0)") + seq.cast("decimal(38,0)")
+    if ori_id is None if wide is None else wide:
+        total = minutes * F.lit(Decimal(1 << WIDE_SHIFT)).cast("decimal(20,0)") + oid.cast("decimal(38,0)")
+    else:
+        part = F.shiftleft(F.shiftright(oid, PARTITION_SHIFT_IN), PARTITION_SHIFT_OUT)
+        seq = oid.bitwiseAND(F.lit(SEQUENCE_MASK))
+        high = minutes * F.lit(Decimal(1 << MINUTE_SHIFT)).cast("decimal(20,0)")
+        total = high.cast("decimal(38,0)") + part.cast("decimal(38,0)") + seq.cast("decimal(38,0)")
     return total.cast("decimal(38,0)").cast("string")
 
 
+def surrogate_id(batch_ts, ori_id: Column | str | None = None, wide: bool | None = None) -> Column:
+    """The ``dl_id`` column for rows opened in the batch ``batch_ts``."""
+    return _packed(F.lit(Decimal(batch_minutes(batch_ts))).cast("decimal(17,0)"), ori_id, wide)
+
+
 def minutes_of(ts: Column | str) -> Column:
     """Column form of :func:`batch_minutes` for a wall-clock timestamp column.
 
@@ -61,14 +75,6 @@ def minutes_of(ts: Column | str) -> Column:
     return F.floor((secs - F.lit(EPOCH_2000_UTC8)) / 60).cast("bigint")
 
 
-def surrogate_id_at(ts: Column | str, ori_id: Column | str | None = None) -> Column:
+def surrogate_id_at(ts: Column | str, ori_id: Column | str | None = None, wide: bool | None = None) -> Column:
     """:func:`surrogate_id` with a per-row batch time (for multi-batch loads)."""
-    if ori_id is None:
-        oid = F.monotonically_increasing_id()
-    else:
-        oid = (F.col(ori_id) if isinstance(ori_id, str) else ori_id).cast("bigint")
-    high = minutes_of(ts).cast("decimal(20,0)") * F.lit(Decimal(1 << MINUTE_SHIFT))
-    part = F.shiftleft(F.shiftright(oid, PARTITION_SHIFT_IN), PARTITION_SHIFT_OUT)
-    seq = oid.bitwiseAND(F.lit(SEQUENCE_MASK))
-    total = high + part.cast("decimal(38,0)") + seq.cast("decimal(38,0)")
-    return total.cast("decimal(38,0)").cast("string")
+    return _packed(minutes_of(ts).cast("decimal(17,0)"), ori_id, wide)

@@ -5,7 +5,7 @@ from .history import as_of, expire_rows, expired
 from .match import (CHECKSUM, SnapshotDiff, change_report, flag_matches, key_set, matched,
                     snapshot_diff, unmatched, with_checksum)
 from .scd2 import backfill_rows, repair_rows, snapshot_rows, upsert_rows
-from .sizing import fits_broadcast, key_bytes, key_stats
+from .sizing import key_stats
 from .stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED, STATUS_TEMPORARY,
                      clean_required, close_rows, close_values, current, ff_columns, m_columns,
                      open_rows, required_predicate, stamp_load)
@@ -14,7 +14,7 @@ __all__ = [
     "CHECKSUM", "STATUS_CURRENT", "STATUS_SNAPSHOT", "STATUS_SUPERSEDED", "STATUS_TEMPORARY",
     "SnapshotDiff", "as_of", "backfill_rows", "change_report", "clean_required", "close_rows", "close_values",
     "current", "drop_exact_duplicates", "expire_rows", "expired", "ff_columns",
-    "fits_broadcast", "flag_matches", "key_bytes", "key_set", "key_stats", "latest_batch",
+    "flag_matches", "key_set", "key_stats", "latest_batch",
     "latest_per_key", "loaded_since_midnight", "m_columns", "matched", "open_rows",
     "repair_rows", "required_predicate", "snapshot_diff", "snapshot_rows", "stamp_load",
     "unmatched", "upsert_rows", "with_checksum",

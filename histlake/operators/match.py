@@ -27,7 +27,7 @@ def key_set(df: DataFrame, keys: Sequence[str], extra: Sequence[str] = (),
     """Distinct ``keys (+ extra)`` of ``df``, renamed with the right-side prefix.
 
     ``broadcast=True`` is for callers that proved the set small (see
-    :func:`histlake.operators.sizing.fits_broadcast`); otherwise the planner
+    :func:`histlake.operators.sizing.key_stats`); otherwise the planner
     decides, and AQE re-decides from the measured shuffle size.
     """
     cols = [*keys, *extra]

@@ -42,15 +42,3 @@ def key_stats(df: DataFrame, cols: Sequence[str]) -> tuple[int, int]:
             width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     row = df.select(width.alias("w")).agg(F.count(F.lit(1)), F.sum("w")).first()
     return int(row[0] or 0), int(row[1] or 0)
-
-
-def key_bytes(df: DataFrame, cols: Sequence[str]) -> int:
-    return key_stats(df, cols)[1]
-
-
-def fits_broadcast(df: DataFrame, cols: Sequence[str],
-                   limit_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when the ``cols`` projection of ``df`` is measured under the limit."""
-    if limit_bytes <= 0:
-        return False
-    return key_bytes(df, cols) <= limit_bytes

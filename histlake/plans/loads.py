@@ -9,9 +9,9 @@ sees counts and partition lists.
 
 from __future__ import annotations
 
-import contextlib
 import traceback
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +25,9 @@ from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSED
                                 clean_required, close_rows,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
-from ..sources.raw import conform
-from ..sources.tables import (append_from_stage, expire_history, partitions, relocate_partitions,
-                              rotate_slot, stage, swap_from_stage, write_layout,
+from ..sources.publish import Publication, finish_pending, was_published
+from ..sources.raw import conform, read_raw
+from ..sources.tables import (delete_path, expired_survivors, partitions, stage, table_location, write_layout,
                               write_stage_table)
 from .spec import TableSpec
 
@@ -42,9 +42,15 @@ class LoadResult:
     counts: dict = field(default_factory=dict)
 
 
+def _run_dir(spark: SparkSession, run_dir: str | None, label: str) -> str:
+    """A folder no other load writes to: published partitions live in it."""
+    return f"{run_dir.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}" if run_dir else new_run_dir(spark, label)
+
+
 def read_source(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The raw layer f, typed by the spec (unparsable values become null)."""
-    return conform(spark.table(spec.f_table), spec.schema)
+    path = table_location(spark, spec.f_table)
+    return conform(read_raw(spark, path, spec.column_names), spec.schema)
 
 
 def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None) -> DataFrame:
@@ -52,35 +58,26 @@ def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None)
     return src.select(*[F.col(c) for c in spec.column_names])
 
 
-@contextlib.contextmanager
-def bucket_aligned(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True) -> Iterator[None]:
-    """Run a main-table job lined up with the table's buckets.
+def job_session(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True) -> SparkSession:
+    """The session for a main-table job, lined up with the table's buckets.
 
     Spark keeps a bucketed side unshuffled only if its bucket count is at
     least ``spark.sql.shuffle.partitions``, and a join on key + checksum
     only reuses a layout bucketed by the key when co-partitioning on a
-    subset of the join keys is allowed.  Both are set for the duration of
-    the job (and only for bucketed tables), so the current slice is read in
-    place and only the arrivals move.  ``on_bucket_key=False`` keeps the
-    join on all its keys (see :func:`repair`'s hot-key case).
+    subset of the join keys is allowed.  Both are set in a child session
+    that shares the catalog, so the caller's settings and loads running
+    beside this one are untouched.  ``on_bucket_key=False`` keeps the join
+    on all its keys (see :func:`repair`'s hot-key case).
     """
     if not spec.buckets:
-        yield
-        return
-    settings = {"spark.sql.shuffle.partitions": str(spec.buckets),
-                "spark.sql.requireAllClusterKeysForCoPartition":
-                    "false" if on_bucket_key else "true"}
-    prev = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in prev.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        return spark
+    child = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            child.conf.set(k, v)
+    child.conf.set("spark.sql.shuffle.partitions", str(spec.buckets))
+    child.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false" if on_bucket_key else "true")
+    return child
 
 
 HOT_KEY_SHARE = 1 / 32        # a key holding more of the snapshot counts as hot ...
@@ -97,7 +94,8 @@ def _hot_key(snapshot: DataFrame, keys: Sequence[str]) -> bool:
 
 
 def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
-    """Row counts per status of a staged result, and unique new ids.
+    """Row counts per status of a staged result, and unique new ids (of
+    caller-given row numbers; the loads' own are unique by construction).
 
     The counts group by a partition column only (no data pages are read);
     the id check reads only today's current partition, where every row
@@ -118,38 +116,30 @@ def _any(df: DataFrame) -> bool:
     return len(df.limit(1).collect()) > 0
 
 
-def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> bool:
-    """Check the batch time against the current slice; True = already applied.
+def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> None:
+    """Refuse a batch time that the current slice has reached already.
 
-    Ids embed the batch minute, so a different batch in the same minute
-    could repeat ids, and an earlier batch time would give inverted
-    intervals: both are refused.  Current versions starting at exactly
-    ``bt`` mean this batch was already published (a re-run after a failure):
-    the caller then skips the main-table work.  The filters are on a column
-    that is constant per written file, so parquet statistics skip nearly
-    every row group: the checks cost about a footer read per file.
+    Ids embed the batch minute, so another batch in the same minute could
+    repeat ids, and an earlier batch time would give inverted intervals.
+    The filter is on a column that is constant per written file, so parquet
+    statistics skip nearly every row group.
     """
     from ..functions.slots import TS_FORMAT, batch_datetime, ts_lit
     minute = batch_datetime(bt).replace(second=0)
-    start = F.col("dl_start_dt")
-    late = current(spark.table(spec.m_table)).filter(start >= ts_lit(minute.strftime(TS_FORMAT)))
-    row = late.agg(F.max(F.when(start != ts_lit(bt), start)).cast("string").alias("clash"),
-                   F.max((start == ts_lit(bt)).cast("int")).alias("applied")).first()
-    if row["clash"] is not None:
-        raise ValueError(f"{spec.name}: current versions start at {row['clash']}, not before the "
+    late = current(spark.table(spec.m_table)).filter(F.col("dl_start_dt") >= ts_lit(minute.strftime(TS_FORMAT)))
+    clash = late.agg(F.max("dl_start_dt").cast("string")).first()[0]
+    if clash is not None:
+        raise ValueError(f"{spec.name}: current versions start at {clash}, not before the "
                          f"minute of batch {bt}; use a later batch time")
-    return row["applied"] == 1
 
 
-def _published(spark: SparkSession, table: str, bt: str, slot: int,
-               status: str | None = None) -> bool:
-    """Does ``table`` hold rows loaded by batch ``bt`` in slot ``slot``?"""
-    from ..functions.slots import ts_lit
-    t = spark.table(table)
-    cond = (F.col("day") == slot) & (F.col("dl_loaded_dt") == ts_lit(bt))
-    if status is not None:
-        cond = cond & (F.col("dl_status") == status)
-    return _any(t.filter(cond).select("dl_loaded_dt"))
+def _resume(spark: SparkSession, spec: TableSpec, load: str, bt: str) -> bool:
+    """Finish what a failed load left; True if this batch is published now."""
+    finish_pending(spark, spec)
+    if was_published(spark, spec, load, bt):
+        return True
+    _guard_batch_time(spark, spec, bt)
+    return False
 
 
 def _changed_days(cur: DataFrame, arrivals: DataFrame, spec: TableSpec, small: bool) -> set[int]:
@@ -170,12 +160,10 @@ def _changed_days(cur: DataFrame, arrivals: DataFrame, spec: TableSpec, small: b
     return {int(r["day"]) for r in hit.select("day").distinct().collect()}
 
 
-def _stage_main(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
-                on_bucket_key: bool = True) -> str:
+def _stage_main(spec: TableSpec, rows: DataFrame, rd: str) -> str:
     """Write the new main-table rows once, in the table's own layout."""
-    with bucket_aligned(spark, spec, on_bucket_key):
-        return write_stage_table(write_layout(rows, ["dl_status", "day"], bool(spec.buckets)),
-                                 spec.m_table, f"{rd}/m")
+    return write_stage_table(write_layout(rows, ["dl_status", "day"], bool(spec.buckets)),
+                             spec.m_table, f"{rd}/m")
 
 
 def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
@@ -184,12 +172,6 @@ def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
     return write_stage_table(write_layout(rows, ["day"], False), spec.ff_table, f"{rd}/{name}")
 
 
-def _publish_ods(spark: SparkSession, spec: TableSpec, stage_table: str) -> None:
-    """Add staged ODS rows: new day partitions attached in place, others copied."""
-    append_from_stage(spark, spec.ff_table, stage_table, {})
-    spark.sql(f"DROP TABLE IF EXISTS {stage_table}")
-
-
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
            run_dir: str | None = None, broadcast_limit: int = DEFAULT_BROADCAST_BYTES,
            dedupe_arrivals: Sequence[str] | None = None, check_ids: bool = True,
@@ -208,44 +190,43 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
         raise ValueError(f"{spec.name}: upsert needs a primary key")
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
-    rd = run_dir or new_run_dir(spark, f"upsert-{spec.name}")
-    applied = _guard_batch_time(spark, spec, bt)
+    rd = _run_dir(spark, run_dir, f"upsert-{spec.name}")
+    if _resume(spark, spec, "upsert", bt):
+        return LoadResult(spec.name, "upsert", bt, slot, rd, {"resumed": True})
     src = _arrivals(spark, spec, arrivals)
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
     n_stage = _stage_ods(spark, spec, stamp_load(src, bt, slot), rd)
-    n = spark.table(n_stage)
+    job = job_session(spark, spec)
+    n = job.table(n_stage)
     arrived, key_bytes = key_stats(n, spec.keys)
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     counts: dict = {}
-    if not applied:
-        cur = current(spark.table(spec.m_table))
-        days = None
-        a_days = {int(p["day"]) for p in partitions(spark, spec.m_table)
-                  if p.get("dl_status") == STATUS_CURRENT}
-        # the key-only pass pays off only when there are other days to leave alone
-        if only_changed_days and len(a_days - {slot}) > 1:
-            with bucket_aligned(spark, spec):
-                days = _changed_days(cur, n, spec, small) | {slot}
-            cur = cur.filter(F.col("day").isin(sorted(days)))
-            counts["rewritten_days"] = len(days)
-        rows = upsert_rows(cur, n, spec.keys, bt,
-                           spec.required, spec.extra_filter, slot, ori_id=ori_id,
-                           broadcast_keys=small, opened_partitions=spec.buckets)
-        staged = _stage_main(spark, spec, rows, rd)
-        counts.update(_verify(spark.table(staged), bt, slot, check_ids))
-        closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
-        within = None if days is None else (lambda p: int(p["day"]) in days)
-        swap_from_stage(spark, spec.m_table, staged, purge=purge,
-                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,),
-                        within=within)
-    if _published(spark, spec.ff_table, bt, slot):
-        spark.sql(f"DROP TABLE IF EXISTS {n_stage}")
-    else:
-        _publish_ods(spark, spec, n_stage)
+    cur = current(job.table(spec.m_table))
+    days = None
+    a_days = {int(p["day"]) for p in partitions(spark, spec.m_table)
+              if p.get("dl_status") == STATUS_CURRENT}
+    # the key-only pass pays off only when there are other days to leave alone
+    if only_changed_days and len(a_days - {slot}) > 1:
+        days = _changed_days(cur, n, spec, small) | {slot}
+        cur = cur.filter(F.col("day").isin(sorted(days)))
+        counts["rewritten_days"] = len(days)
+    rows = upsert_rows(cur, n, spec.keys, bt,
+                       spec.required, spec.extra_filter, slot, ori_id=ori_id,
+                       broadcast_keys=small, opened_partitions=spec.buckets)
+    staged = _stage_main(spec, rows, rd)
+    counts.update(_verify(spark.table(staged), bt, slot, check_ids and ori_id is not None))
+    within = None if days is None else (lambda p: int(p["day"]) in days)
+    out = Publication(spark, spec, "upsert", bt)
+    out.append(spec.m_table, staged, {"dl_status": STATUS_SUPERSEDED})
+    out.relocate(spec.m_table, staged, {"dl_status": STATUS_CURRENT}, purge, within)
+    out.append(spec.ff_table, n_stage, {})
+    out.forget(staged)
+    out.forget(n_stage)
+    out.run()
     counts["arrived"] = arrived
     counts["broadcast_keys"] = small
-    counts["resumed"] = applied
+    counts["resumed"] = False
     return LoadResult(spec.name, "upsert", bt, slot, rd, counts)
 
 
@@ -257,24 +238,27 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
         raise ValueError(f"{spec.name}: repair needs a primary key")
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
-    rd = run_dir or new_run_dir(spark, f"repair-{spec.name}")
-    if _guard_batch_time(spark, spec, bt):
+    rd = _run_dir(spark, run_dir, f"repair-{spec.name}")
+    if _resume(spark, spec, "repair", bt):
         return LoadResult(spec.name, "repair", bt, slot, rd, {"resumed": True})
-    snap = spark.table(spec.ff_table).select(*spec.column_names)
-    rows = repair_rows(current(spark.table(spec.m_table)), snap, spec.keys, bt, spec.required,
-                       spec.extra_filter, slot, ori_id=ori_id, strict=strict,
-                       clean_first=clean_first)
     # On a bucketed table the join lines up with the buckets (the key alone);
     # if one key holds a large share of the snapshot, give that up for this
     # job and spread its rows by checksum instead.
-    hot = bool(spec.buckets) and _hot_key(snap, spec.keys)
-    staged = _stage_main(spark, spec, rows, rd, on_bucket_key=not hot)
-    counts = _verify(spark.table(staged), bt, slot, check_ids)
+    hot = bool(spec.buckets) and _hot_key(spark.table(spec.ff_table), spec.keys)
+    job = job_session(spark, spec, on_bucket_key=not hot)
+    snap = job.table(spec.ff_table).select(*spec.column_names)
+    rows = repair_rows(current(job.table(spec.m_table)), snap, spec.keys, bt, spec.required,
+                       spec.extra_filter, slot, ori_id=ori_id, strict=strict,
+                       clean_first=clean_first)
+    staged = _stage_main(spec, rows, rd)
+    counts = _verify(spark.table(staged), bt, slot, check_ids and ori_id is not None)
     if hot:
         counts["hot_key"] = True
-    closed_done = _published(spark, spec.m_table, bt, slot, STATUS_SUPERSEDED)
-    swap_from_stage(spark, spec.m_table, staged, purge=purge,
-                    append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
+    out = Publication(spark, spec, "repair", bt)
+    out.append(spec.m_table, staged, {"dl_status": STATUS_SUPERSEDED})
+    out.relocate(spec.m_table, staged, {"dl_status": STATUS_CURRENT}, purge)
+    out.forget(staged)
+    out.run()
     return LoadResult(spec.name, "repair", bt, slot, rd, counts)
 
 
@@ -287,16 +271,21 @@ def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
     """
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
-    rd = run_dir or new_run_dir(spark, f"rebuild-{spec.name}")
-    if _guard_batch_time(spark, spec, bt):
+    rd = _run_dir(spark, run_dir, f"rebuild-{spec.name}")
+    if _resume(spark, spec, "repair", bt):
         return LoadResult(spec.name, "rebuild_and_repair", bt, slot, rd, {"resumed": True})
-    staged = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
-    ods_rows = spark.table(staged).count()
-    relocate_partitions(spark, spec.ff_table, staged, {}, purge)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    counts: dict = {}
+    # the new ODS copy is published on its own; a re-run goes on with the repair
+    if not was_published(spark, spec, "rebuild", bt):
+        staged = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
+        counts["ods_rows"] = spark.table(staged).count()
+        out = Publication(spark, spec, "rebuild", bt)
+        out.relocate(spec.ff_table, staged, {}, purge)
+        out.forget(staged)
+        out.run()
     res = repair(spark, spec, bt, run_dir=rd, purge=purge, **repair_kw)
     res.load = "rebuild_and_repair"
-    res.counts["ods_rows"] = ods_rows
+    res.counts.update(counts)
     return res
 
 
@@ -316,37 +305,34 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     """
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "week")
-    rd = run_dir or new_run_dir(spark, f"snapshot-{spec.name}")
-    applied = _guard_batch_time(spark, spec, bt)
+    rd = _run_dir(spark, run_dir, f"snapshot-{spec.name}")
+    if _resume(spark, spec, "snapshot_load", bt):
+        return LoadResult(spec.name, "snapshot_load", bt, slot, rd, {"resumed": True})
     reloaded_today = loaded_since_midnight(spark.table(spec.ff_table), slot, bt)
     n_stage = _stage_ods(spark, spec, stamp_load(_arrivals(spark, spec, snapshot), bt, slot), rd)
-    n = spark.table(n_stage)
-    counts: dict = {}
-    if not applied:
-        backup_done = _published(spark, spec.m_table, bt, slot, STATUS_SNAPSHOT)
-        backup = close_rows(current(spark.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
-        opened = open_rows(clean_required(n, spec.required_all, spec.extra_filter), bt,
-                           slot=slot, ori_id=ori_id)
-        if spec.buckets:
-            opened = opened.repartition(spec.buckets, *spec.keys)
-        staged = _stage_main(spark, spec, backup.unionByName(opened), rd)
-        counts = _verify(spark.table(staged), bt, slot, check_ids)
-        if backup_done:
-            pass                                  # a resumed run: the backup is in place
-        elif keep_same_day_history and reloaded_today:
-            append_from_stage(spark, spec.m_table, staged, {"dl_status": STATUS_SNAPSHOT})
-        else:
-            relocate_partitions(spark, spec.m_table, staged,
-                                {"dl_status": STATUS_SNAPSHOT, "day": slot}, purge)
-        swap_from_stage(spark, spec.m_table, staged, append_statuses=(), purge=purge)
-    if _published(spark, spec.ff_table, bt, slot):
-        spark.sql(f"DROP TABLE IF EXISTS {n_stage}")
+    job = job_session(spark, spec)
+    backup = close_rows(current(job.table(spec.m_table)), bt, STATUS_SNAPSHOT, slot)
+    opened = open_rows(clean_required(job.table(n_stage), spec.required_all, spec.extra_filter), bt,
+                       slot=slot, ori_id=ori_id)
+    if spec.buckets:
+        opened = opened.repartition(spec.buckets, *spec.keys)
+    staged = _stage_main(spec, backup.unionByName(opened), rd)
+    counts = _verify(spark.table(staged), bt, slot, check_ids and ori_id is not None)
+    out = Publication(spark, spec, "snapshot_load", bt)
+    if keep_same_day_history and reloaded_today:
+        out.append(spec.m_table, staged, {"dl_status": STATUS_SNAPSHOT})
+    else:
+        out.relocate(spec.m_table, staged, {"dl_status": STATUS_SNAPSHOT, "day": slot}, purge)
+    out.relocate(spec.m_table, staged, {"dl_status": STATUS_CURRENT}, purge)
+    if reloaded_today:
+        out.append(spec.ff_table, n_stage, {})
     else:
-        if not reloaded_today:
-            rotate_slot(spark, spec.ff_table, slot)
-        _publish_ods(spark, spec, n_stage)
+        out.relocate(spec.ff_table, n_stage, {"day": slot}, purge)
+    out.forget(staged)
+    out.forget(n_stage)
+    out.run()
     counts["reloaded_today"] = reloaded_today
-    counts["resumed"] = applied
+    counts["resumed"] = False
     return LoadResult(spec.name, "snapshot_load", bt, slot, rd, counts)
 
 
@@ -360,7 +346,8 @@ def ods_dedup(spark: SparkSession, spec: TableSpec, order_cols: Sequence[str],
     """
     if not order_cols:
         raise ValueError("ods_dedup needs the order columns (newest first)")
-    rd = run_dir or new_run_dir(spark, f"dedup-{spec.name}")
+    finish_pending(spark, spec)
+    rd = _run_dir(spark, run_dir, f"dedup-{spec.name}")
     ff = spark.table(spec.ff_table)
     if by == "key":
         kept = latest_per_key(ff, spec.keys, list(order_cols))
@@ -371,8 +358,10 @@ def ods_dedup(spark: SparkSession, spec: TableSpec, order_cols: Sequence[str],
     before = ff.count()
     staged = _stage_ods(spark, spec, kept, rd)
     after = spark.table(staged).count()
-    relocate_partitions(spark, spec.ff_table, staged, {}, purge)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    out = Publication(spark, spec, f"ods_dedup_{by}")
+    out.relocate(spec.ff_table, staged, {}, purge)
+    out.forget(staged)
+    out.run()
     return LoadResult(spec.name, f"ods_dedup_{by}", "", 0, rd,
                       {"before": before, "after": after})
 
@@ -385,55 +374,66 @@ def backfill(spark: SparkSession, spec: TableSpec, batches: DataFrame, batch_col
     ``batches`` carries the business columns plus ``batch_col``, the load
     time of each row.  The main table ends as it would after one upsert per
     batch (newest arrival per key and batch); the ODS copy receives every
-    arrival stamped with its own batch time and day slot.  Resumable: every
-    row it writes is stamped at or after its first batch time and every
-    older row is earlier, so a re-run skips each step already published.
+    arrival stamped with its own batch time and day slot.  A run is known by
+    its first and last batch time and its number of rows: run again it is
+    skipped (or finished), any other run that reaches back to a time the
+    table has passed is refused.
     """
-    from ..functions.slots import ts_lit
     if not spec.keys:
         raise ValueError(f"{spec.name}: backfill needs a primary key")
-    rd = run_dir or new_run_dir(spark, f"backfill-{spec.name}")
+    finish_pending(spark, spec)
+    rd = _run_dir(spark, run_dir, f"backfill-{spec.name}")
     n = stage(batches.select(*spec.column_names, F.col(batch_col).cast("timestamp_ntz")
                              .alias(batch_col)), f"{rd}/arrivals")
-    first = n.agg(F.min(batch_col).cast("string")).first()[0]
-    if first is None:
+    span = n.agg(F.min(batch_col).cast("string"), F.max(batch_col).cast("string"), F.count("*")).first()
+    if span[0] is None:
+        delete_path(spark, rd)
         return LoadResult(spec.name, "backfill", "", 0, rd, {})
-    first = batch_text(first)
-    since = ts_lit(first)
-    m = spark.table(spec.m_table)
-    main_done = _any(current(m).filter(F.col("dl_start_dt") >= since).select("dl_start_dt"))
-    counts: dict = {"resumed": main_done}
-    if not main_done:
-        _guard_batch_time(spark, spec, first)
-        rows = backfill_rows(current(m), n, spec.keys, batch_col, order_cols, spec.required,
-                             spec.extra_filter, ori_id=ori_id)
-        staged = _stage_main(spark, spec, rows, rd)
-        st = spark.table(staged)
-        counts.update({r["dl_status"]: r["count"]
-                       for r in st.groupBy("dl_status").count().collect()})
-        if check_ids:
-            new = st.filter(F.col("dl_start_dt") >= since)
-            if new.groupBy("dl_id").count().filter("count > 1").limit(1).collect():
-                raise RuntimeError("a surrogate id was issued twice in the backfill")
-        closed_done = _any(m.filter((F.col("dl_status") == STATUS_SUPERSEDED)
-                                    & (F.col("dl_loaded_dt") >= since)).select("dl_loaded_dt"))
-        swap_from_stage(spark, spec.m_table, staged, purge=purge,
-                        append_statuses=() if closed_done else (STATUS_SUPERSEDED,))
-    ods_done = _any(spark.table(spec.ff_table).filter(F.col("dl_loaded_dt") >= since)
-                    .select("dl_loaded_dt"))
-    if not ods_done:
-        ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
-                       F.dayofmonth(batch_col).cast("int").alias("day"))
-        _publish_ods(spark, spec, _stage_ods(spark, spec, ods, rd, "ff_backfill"))
+    first = batch_text(span[0])
+    run = f"{first}to{batch_text(span[1])}rows{span[2]}"
+    if was_published(spark, spec, "backfill", run):
+        delete_path(spark, rd)
+        return LoadResult(spec.name, "backfill", first, 0, rd, {"resumed": True})
+    _guard_batch_time(spark, spec, first)
+    job = job_session(spark, spec)
+    rows = backfill_rows(current(job.table(spec.m_table)), job.read.parquet(f"{rd}/arrivals"), spec.keys, batch_col,
+                         order_cols, spec.required, spec.extra_filter, ori_id=ori_id)
+    staged = _stage_main(spec, rows, rd)
+    st = spark.table(staged)
+    counts: dict = {"resumed": False}
+    counts.update({r["dl_status"]: r["count"] for r in st.groupBy("dl_status").count().collect()})
+    if check_ids and ori_id is not None:
+        from ..functions.slots import ts_lit
+        new = st.filter(F.col("dl_start_dt") >= ts_lit(first))
+        if new.groupBy("dl_id").count().filter("count > 1").limit(1).collect():
+            raise RuntimeError("a surrogate id was issued twice in the backfill")
+    ods = n.select(*spec.column_names, F.col(batch_col).alias("dl_loaded_dt"),
+                   F.dayofmonth(batch_col).cast("int").alias("day"))
+    ods_stage = _stage_ods(spark, spec, ods, rd, "ff_backfill")
+    out = Publication(spark, spec, "backfill", run)
+    out.append(spec.m_table, staged, {"dl_status": STATUS_SUPERSEDED})
+    out.relocate(spec.m_table, staged, {"dl_status": STATUS_CURRENT}, purge)
+    out.append(spec.ff_table, ods_stage, {})
+    out.forget(staged)
+    out.forget(ods_stage)
+    out.delete(f"{rd}/arrivals")
+    out.run()
     return LoadResult(spec.name, "backfill", first, 0, rd, counts)
 
 
 def retain(spark: SparkSession, spec: TableSpec, before, run_dir: str | None = None,
            statuses: Sequence[str] = ("H",)) -> LoadResult:
     """S16 on the table: closed versions that ended before ``before`` go."""
-    rd = run_dir or new_run_dir(spark, f"retain-{spec.name}")
-    n = expire_history(spark, spec.m_table, before, rd, statuses)
-    return LoadResult(spec.name, "retain", batch_text(before), 0, rd, {"partitions": n})
+    finish_pending(spark, spec)
+    rd = _run_dir(spark, run_dir, f"retain-{spec.name}")
+    touched, staged = expired_survivors(spark, spec.m_table, before, rd, statuses)
+    if touched:
+        out = Publication(spark, spec, "retain")
+        for status, day in touched:
+            out.relocate(spec.m_table, staged, {"dl_status": status, "day": day})
+        out.forget(staged)
+        out.run()
+    return LoadResult(spec.name, "retain", batch_text(before), 0, rd, {"partitions": len(touched)})
 
 
 LOADS: dict[str, Callable[..., LoadResult]] = {

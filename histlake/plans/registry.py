@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions.fingerprint import check_key, row_checksum
-from ..functions.ids import MINUTE_SHIFT, batch_minutes
+from ..functions.ids import MINUTE_SHIFT, WIDE_SHIFT, batch_minutes, surrogate_id
 from ..functions.slots import day_slot, slot_of
 from ..operators import (as_of, backfill_rows, change_report, clean_required, close_rows, current,
                          drop_exact_duplicates, expire_rows, latest_batch, latest_per_key,
@@ -28,15 +28,18 @@ from ..operators import (as_of, backfill_rows, change_report, clean_required, cl
                          stamp_load, unmatched, upsert_rows)
 from ..session import new_run_dir
 from ..sources.raw import conform, conform_losses, read_raw, write_raw
-from ..sources.tables import append_by_name, create_layers
-from .loads import backfill, ods_dedup, rebuild_and_repair, retain, snapshot_load, upsert
+from ..sources.tables import append_by_name, create_layers, table_location
+from .loads import backfill, ods_dedup, rebuild_and_repair, repair, retain, snapshot_load, upsert
 from .spec import TableSpec
 
 # Batch times of the examples: three Wednesdays (weekday slot 3), days 13/20/27.
 T1 = "2022-04-13 10:11:12"
 T2 = "2022-04-20 10:11:12"
 T3 = "2022-04-27 10:11:12"
+T3_LATER = "2022-04-27 15:00:00"
+SLOT_TIMES = (T1, T2, T3)
 AS_OF = "2022-04-16 00:00:00"
+EXTRA_FILTER = "o_totalprice > 50000"
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
           "o_orderpriority"]
@@ -58,7 +61,7 @@ def orders_old(spark, d):
 
 
 def orders_new(spark, d):
-    o = _t(spark, d, "orders").filter(F.col("o_orderkey") % 7 != 0)
+    o = _t(spark, d, "orders").filter((F.col("o_orderkey") % 7 != 0) | (F.col("o_orderkey") % 5 == 0))
     price = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     return o.withColumn("o_totalprice", price)
 
@@ -74,7 +77,7 @@ def customer_old(spark, d):
 
 
 def customer_new(spark, d):
-    c = _t(spark, d, "customer").filter(F.col("c_custkey") % 7 != 0)
+    c = _t(spark, d, "customer").filter((F.col("c_custkey") % 7 != 0) | (F.col("c_custkey") % 5 == 0))
     bal = F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
     return c.withColumn("c_acctbal", bal)
 
@@ -440,7 +443,145 @@ def q_tables_backfill(spark, d):
     return present(spark.table(spec.m_table).select("dl_id", *EVENTS, *M_TAIL))
 
 
+def q_open_rows_wide(spark, d):
+    o = _t(spark, d, "orders")
+    ids = surrogate_id(T1, "o_orderkey", wide=True).alias("dl_id")
+    return o.select(ids, "o_orderkey")
+
+
+def q_tables_default_ids(spark, d):
+    """Two loads whose ids the library draws: all but the id, and how many ids there are."""
+    rd, db = _fresh_db(spark, "q-ids")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d))
+    upsert(spark, spec, T2, arrivals=orders_new(spark, d))
+    m = spark.table(spec.m_table)
+    n = m.agg(F.countDistinct("dl_id").alias("ids"))
+    return present(m.select(*ORDERS, *M_TAIL)).withColumn("ids", n.scalar())
+
+
+def q_conform_text_empty(spark, d):
+    """Empty text in a string column survives the raw layer; null stays null."""
+    o = orders_with_nulls(spark, d)
+    text = F.when(F.col("o_custkey") % 4 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))
+    rd = new_run_dir(spark, "raw")
+    write_raw(o.select(*ORDERS[:-1], text.alias("o_orderpriority")), f"{rd}/f_orders")
+    return present(conform(read_raw(spark, f"{rd}/f_orders", ORDERS), orders_spec().schema))
+
+
+def q_tables_upsert_from_raw(spark, d):
+    """The default path: the extract lies in f as text, the load reads it there."""
+    rd, db = _fresh_db(spark, "q-raw")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src in ((T1, orders_old), (T2, orders_new)):
+        write_raw(src(spark, d), table_location(spark, spec.f_table))
+        upsert(spark, spec, ts, ori_id="o_orderkey")
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def _ods(spark, spec, cols):
+    return present(spark.table(spec.ff_table).select(*cols, "dl_loaded_dt", "day"))
+
+
+def q_tables_upsert_ods(spark, d):
+    rd, db = _fresh_db(spark, "q-upsert-ods")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    upsert(spark, spec, T2, arrivals=orders_new(spark, d), ori_id="o_orderkey")
+    return _ods(spark, spec, ORDERS)
+
+
+def q_tables_repair_ods(spark, d):
+    rd, db = _fresh_db(spark, "q-repair-ods")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    rebuild_and_repair(spark, spec, T2, snapshot=orders_new(spark, d), ori_id="o_orderkey")
+    return _ods(spark, spec, ORDERS)
+
+
+def q_tables_snapshot_ods(spark, d):
+    """Weekly slot reused twice, then loaded again on the same day."""
+    rd, db = _fresh_db(spark, "q-snapshot-ods")
+    spec = customer_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src in ((T1, customer_old), (T2, customer_new), (T3, customer_old), (T3_LATER, customer_new)):
+        snapshot_load(spark, spec, ts, snapshot=src(spark, d), ori_id="c_custkey")
+    return _ods(spark, spec, CUSTOMER)
+
+
+def q_tables_repair_alone(spark, d):
+    """Repair against an ODS copy that earlier loads built."""
+    rd, db = _fresh_db(spark, "q-repair-alone")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    append_by_name(stamp_load(orders_new(spark, d), T2), spec.ff_table)
+    repair(spark, spec, T3, ori_id="o_orderkey")
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_upsert_filter(spark, d):
+    """A table with a predicate of its own on the rows that may open."""
+    rd, db = _fresh_db(spark, "q-filter")
+    spec = orders_spec(db, extra_filter=EXTRA_FILTER)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    upsert(spark, spec, T2, arrivals=orders_new(spark, d), ori_id="o_orderkey")
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_upsert_slots(spark, d):
+    """Four loads over three day slots; the last closes versions of all of them."""
+    rd, db = _fresh_db(spark, "q-slots")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, part in zip(SLOT_TIMES, (0, 1, 2), strict=True):
+        upsert(spark, spec, ts, arrivals=_t(spark, d, "orders").where(F.col("o_orderkey") % 3 == part),
+               ori_id="o_orderkey")
+    upsert(spark, spec, T3_LATER, arrivals=orders_third(spark, d), ori_id="o_orderkey")
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_upsert_embeddings(spark, d):
+    """A table with an array column, its spec read from the schema."""
+    rd, db = _fresh_db(spark, "q-embeddings")
+    e = _t(spark, d, "embeddings")
+    spec = TableSpec.from_schema("embeddings", e.schema, ("vec_id",), database=db)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=e, ori_id="vec_id")
+    m = spark.table(spec.m_table)
+    return present(m.select("dl_id", "vec_id", "label", F.size("embedding").alias("dims"),
+                            F.get("embedding", F.lit(0)).cast("double").alias("first"), *M_TAIL))
+
+
+def q_tables_backfill_twice(spark, d):
+    """Two consecutive ranges; the second closes versions of the first."""
+    rd, db = _fresh_db(spark, "q-backfill-twice")
+    spec = events_spec(db)
+    create_layers(spark, spec, rd)
+    e = events_by_day(spark, d)
+    for part in ("day(ts) <= 15", "day(ts) > 15"):
+        backfill(spark, spec, e.where(part), "load_batch", ["ts", "event_id"], ori_id="event_id")
+    return present(spark.table(spec.m_table).select("dl_id", *EVENTS, *M_TAIL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "open_rows_wide": q_open_rows_wide,
+    "tables_default_ids": q_tables_default_ids,
+    "conform_text_empty": q_conform_text_empty,
+    "tables_upsert_from_raw": q_tables_upsert_from_raw,
+    "tables_upsert_ods": q_tables_upsert_ods,
+    "tables_repair_ods": q_tables_repair_ods,
+    "tables_snapshot_ods": q_tables_snapshot_ods,
+    "tables_repair_alone": q_tables_repair_alone,
+    "tables_upsert_filter": q_tables_upsert_filter,
+    "tables_upsert_slots": q_tables_upsert_slots,
+    "tables_backfill_twice": q_tables_backfill_twice,
+    "tables_upsert_embeddings": q_tables_upsert_embeddings,
     "stamp_load": q_stamp_load,
     "open_rows": q_open_rows,
     "close_rows": q_close_rows,
@@ -512,13 +653,13 @@ TS_ALL = ("o_orderdate", "l_shipdate", "ts", "dl_loaded_dt", "dl_start_dt", "dl_
 SQL_ORDERS_OLD = "(SELECT * FROM orders WHERE o_orderkey % 5 <> 0)"
 SQL_ORDERS_NEW = ("(SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 "
                   "THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, "
-                  "o_orderpriority FROM orders WHERE o_orderkey % 7 <> 0)")
+                  "o_orderpriority FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 5 = 0)")
 SQL_ORDERS_THIRD = ("(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 2 AS o_totalprice, "
                     "o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'F')")
 SQL_CUSTOMER_OLD = "(SELECT * FROM customer WHERE c_custkey % 5 <> 0)"
 SQL_CUSTOMER_NEW = ("(SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 3 = 0 "
                     "THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment "
-                    "FROM customer WHERE c_custkey % 7 <> 0)")
+                    "FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 5 = 0)")
 
 
 def _open_sql(src: str, cols, key: str, batch: str, slot: int) -> str:
@@ -667,7 +808,55 @@ def oracle_sql() -> dict[str, str]:
                  f"QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY dl_loaded_dt DESC) = 1")
     li_rest = [c for c in LINEITEM if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
     li_order = ", ".join(["l_shipdate DESC NULLS LAST", *[f"{c} ASC NULLS FIRST" for c in li_rest]])
+    s3 = slot_of(T3, "month")
+    upsert_cte = (f"WITH a AS ({_open_sql(SQL_ORDERS_OLD, ORDERS, k, T1, s1)}), "
+                  f"r AS ({_upsert_sql('a', SQL_ORDERS_NEW, ORDERS, k, T2, ['o_custkey'])}) ")
+    nulls = ("(SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey, "
+             "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice, "
+             "o_orderdate, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority "
+             "FROM orders)")
+
+    def loaded(src, cols, ts, slot):
+        return (f"SELECT {', '.join(cols)}, {_ts(ts)} AS dl_loaded_dt, CAST({slot} AS INTEGER) AS day "
+                f"FROM {src} s")
+
+    def ods(parts, cols):
+        return (f"WITH u AS ({' UNION ALL '.join(parts)}) "
+                f"SELECT {_cols([*cols, 'dl_loaded_dt', 'day'], fmt_ts=TS_ALL)} FROM u")
+
+    filtered = [f"(SELECT * FROM {t} WHERE {EXTRA_FILTER})" for t in (SQL_ORDERS_OLD, SQL_ORDERS_NEW)]
+    thirds = " UNION ALL ".join(
+        _open_sql(f"(SELECT * FROM orders WHERE o_orderkey % 3 = {i})", ORDERS, k, ts, slot_of(ts, "month"))
+        for i, ts in enumerate(SLOT_TIMES))
+    week = slot_of(T3, "week")
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in ORDERS)
+    fresh = f"(SELECT * FROM {SQL_ORDERS_NEW} n WHERE NOT EXISTS (SELECT 1 FROM {SQL_ORDERS_OLD} o WHERE {same}))"
     q = {
+        "open_rows_wide": f"SELECT CAST(CAST('{batch_minutes(T1) << WIDE_SHIFT}' AS HUGEINT) "
+                          "+ CAST(o_orderkey AS HUGEINT) AS VARCHAR) AS dl_id, o_orderkey FROM orders",
+        "tables_default_ids": upsert_cte + f"SELECT {_cols([*ORDERS, *M_TAIL], fmt_ts=TS_ALL)}, "
+                              "(SELECT count(DISTINCT dl_id) FROM r) AS ids FROM r",
+        "conform_text_empty": f"SELECT {_cols(ORDERS[:-1], fmt_ts=ORDERS_TS)}, CASE WHEN o_custkey % 4 = 0 THEN '' "
+                              f"ELSE o_orderpriority END AS o_orderpriority FROM {nulls} n",
+        "tables_upsert_from_raw": upsert_sql,
+        "tables_upsert_ods": ods([loaded(SQL_ORDERS_OLD, ORDERS, T1, s1), loaded(SQL_ORDERS_NEW, ORDERS, T2, s2)],
+                                 ORDERS),
+        "tables_repair_ods": ods([loaded(SQL_ORDERS_NEW, ORDERS, T2, s2)], ORDERS),
+        "tables_snapshot_ods": ods([loaded(SQL_CUSTOMER_OLD, CUSTOMER, T3, week),
+                                    loaded(SQL_CUSTOMER_NEW, CUSTOMER, T3_LATER, week)], CUSTOMER),
+        "tables_repair_alone": (f"WITH r AS ({_open_sql(SQL_ORDERS_OLD, ORDERS, k, T1, s1)} UNION ALL "
+                                f"{_open_sql(fresh, ORDERS, k, T3, s3)}) " + _m_select("r", ORDERS)),
+        "tables_upsert_filter": (f"WITH a AS ({_open_sql(filtered[0], ORDERS, k, T1, s1)}), "
+                                 f"r AS ({_upsert_sql('a', filtered[1], ORDERS, k, T2, ['o_custkey'])}) "
+                                 + _m_select("r", ORDERS)),
+        "tables_upsert_slots": (f"WITH a AS ({thirds}), "
+                                f"r AS ({_upsert_sql('a', SQL_ORDERS_THIRD, ORDERS, k, T3_LATER, ['o_custkey'])}) "
+                                + _m_select("r", ORDERS)),
+        "tables_backfill_twice": _backfill_sql(),
+        "tables_upsert_embeddings": (
+            "WITH e AS (SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) "
+            f"AS first FROM embeddings), r AS ({_open_sql('e', ['vec_id', 'label', 'dims', 'first'], 'vec_id', T1, s1)}) "
+            + _m_select("r", ["vec_id", "label", "dims", "first"])),
         "stamp_load": f"SELECT {_cols(ORDERS, fmt_ts=ORDERS_TS)}, '{T1}' AS dl_loaded_dt, "
                       f"CAST({s1} AS INTEGER) AS day FROM orders",
         "open_rows": f"WITH r AS ({open_t1}) " + _m_select("r", ORDERS),

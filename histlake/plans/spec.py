@@ -97,28 +97,23 @@ def normalize_spec(spec: DataFrame, table: str | None = None) -> DataFrame:
          .alias("type_error"))
 
 
-_SIMPLE_TYPES: dict[str, DataType] = {
-    "int": IntegerType(), "integer": IntegerType(), "bigint": LongType(), "double": DoubleType(),
-    "timestamp": TimestampNTZType(), "date": DateType(), "string": StringType(),
-}
-
-
 def spark_type(type_text: str) -> DataType:
     """Spark type of a mapped type text.
 
     ``varchar(n)``/``char(n)`` are plain strings (no length check on write:
     an over-long value is kept, not rejected); ``timestamp`` is wall-clock
-    ``timestamp_ntz`` like the Hive columns it stands for.
+    ``timestamp_ntz`` like the Hive columns it stands for.  Every type
+    without a rule of its own is read by Spark's type parser.
     """
     t = type_text.strip().lower()
-    if t in _SIMPLE_TYPES:
-        return _SIMPLE_TYPES[t]
+    if t == "timestamp":
+        return TimestampNTZType()
     if t.startswith(("varchar", "char", "string", "nvarchar")):
         return StringType()
-    m = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", t)
-    if m:
-        return DecimalType(int(m.group(1)), int(m.group(2)))
-    raise ValueError(f"no Spark type for {type_text!r}")
+    try:
+        return DataType.fromDDL(t)
+    except Exception as exc:
+        raise ValueError(f"no Spark type for {type_text!r}") from exc
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,6 @@ when that setting is missing -- local runs and tests -- do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,15 +69,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str = "run") -> str:
     """A folder of its own for one run: staged results never collide."""
     return f"{checkpoint_root(spark)}/histlake/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    """Create a local directory if ``path`` is a plain local path."""
-    if is_local_path(path):
-        p = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(p, exist_ok=True)
-    return path

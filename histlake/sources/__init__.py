@@ -2,12 +2,9 @@
 
 from .raw import conform, conform_losses, read_raw, text_schema, write_raw
 from .tables import (aligned, append_by_name, create_layers, drop_layers, drop_partitions,
-                     expire_history, overwrite_static, partitions, reload_ods, replace_slice,
-                     rotate_slot, stage, swap_current)
+                     partitions, rotate_slot, stage)
 
 __all__ = [
     "aligned", "append_by_name", "conform", "conform_losses", "create_layers", "drop_layers",
-    "drop_partitions", "expire_history", "overwrite_static", "partitions", "read_raw",
-    "reload_ods", "replace_slice", "rotate_slot", "stage", "swap_current", "text_schema",
-    "write_raw",
+    "drop_partitions", "partitions", "read_raw", "rotate_slot", "stage", "text_schema", "write_raw",
 ]

@@ -23,20 +23,26 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def parse_lines(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns of raw lines (column ``value``), in the declared order.
+
+    ``\\N`` is null and an empty field stays the empty text; fields a short
+    line lacks are null.  The one reader of batch loads and streams.
+    """
+    parts = F.split("value", RAW_SEP, -1)
+    fields = [F.get(parts, F.lit(i)) for i in range(len(columns))]
+    return lines.select(*[F.when(f != RAW_NULL, f).alias(c) for f, c in zip(fields, columns, strict=True)])
+
+
 def read_raw(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """All columns of the raw text as strings, in the declared order."""
-    return (spark.read.schema(text_schema(columns))
-            .option("sep", RAW_SEP).option("nullValue", RAW_NULL)
-            .option("quote", "").option("escape", "\\")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    return parse_lines(spark.read.option("lineSep", "\n").text(path), columns)
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write rows in the raw text format (the inverse of :func:`read_raw`)."""
-    (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-       .write.mode(mode).option("sep", RAW_SEP).option("nullValue", RAW_NULL)
-       .option("quote", "").option("emptyValue", "").csv(path))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(RAW_NULL)) for c in df.columns]
+    df.select(F.concat_ws(RAW_SEP, *fields).alias("value")).write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def _targets(schema: StructType | Sequence[tuple[str, DataType]]) -> list[tuple[str, DataType]]:

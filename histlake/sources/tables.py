@@ -1,7 +1,7 @@
 """Catalog tables of the three layers and the writes that keep them whole.
 
 Writes follow one rule: compute into a staged parquet folder first, then
-swap.  A slice of the main table is never overwritten by a plan that is
+publish (:mod:`histlake.sources.publish`).  A slice of the main table is never overwritten by a plan that is
 still reading it, and a slice that receives no rows is emptied rather than
 left stale.  All appends go by column *name* (:func:`append_by_name`), never
 by position.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import expired
-from ..operators.stamps import STATUS_CURRENT, STATUS_SUPERSEDED
+from ..operators.stamps import STATUS_SUPERSEDED
 from ..plans.spec import TableSpec
 
 
@@ -66,10 +66,19 @@ def create_layers(spark: SparkSession, spec: TableSpec, root: str) -> None:
                   LOCATION '{root}/{spec.prefixes[2]}{spec.name}'""")
 
 
-def drop_layers(spark: SparkSession, spec: TableSpec) -> None:
-    """Roll back :func:`create_layers` (catalog entries only)."""
+def drop_layers(spark: SparkSession, spec: TableSpec, purge: bool = False) -> None:
+    """Roll back :func:`create_layers`: the catalog entries and, with
+    ``purge``, the data of ff and m (the raw extract f is the source's)."""
+    folders = []
+    if purge:
+        for t in (spec.ff_table, spec.m_table):
+            if spark.catalog.tableExists(t):
+                folders += [partition_location(spark, t, p) for p in partitions(spark, t)]
+                folders.append(table_location(spark, t))
     for t in (spec.f_table, spec.ff_table, spec.m_table):
         spark.sql(f"DROP TABLE IF EXISTS {_q(t)}")
+    for folder in folders:
+        delete_path(spark, folder)
 
 
 def aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
@@ -146,60 +155,6 @@ def drop_partitions(spark: SparkSession, table: str, purge: bool = True, **match
     return len(hits)
 
 
-def _temp_view(df: DataFrame) -> str:
-    name = f"histlake_stage_{uuid.uuid4().hex[:12]}"
-    df.createOrReplaceTempView(name)
-    return name
-
-
-def overwrite_static(spark: SparkSession, table: str, df: DataFrame,
-                     static: dict[str, str] | None = None) -> None:
-    """Static ``INSERT OVERWRITE``: every partition under ``static`` is replaced.
-
-    With ``static={'dl_status': 'A'}`` all current-slice days are removed and
-    the staged rows written, so a day that gets no row is emptied (a dynamic
-    overwrite would leave it stale).  ``df`` must come from staged files.
-    """
-    static = static or {}
-    target = spark.table(table).schema
-    part_cols = [c for c in ("dl_status", "day") if c in target.fieldNames()]
-    cols = [f for f in target.fields if f.name not in static]
-    view = _temp_view(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols]))
-    spec = ", ".join([*(f"`{k}`='{v}'" for k, v in static.items()),
-                      *(f"`{c}`" for c in part_cols if c not in static)])
-    clause = f"PARTITION ({spec})" if spec else ""
-    select = ", ".join(f"`{f.name}`" for f in cols)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    prev = spark.conf.get(key)
-    if prev.lower() != "static":       # only touched when a session chose dynamic
-        spark.conf.set(key, "static")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {_q(table)} {clause} SELECT {select} FROM {view}")
-    finally:
-        if prev.lower() != "static":
-            spark.conf.set(key, prev)
-        spark.catalog.dropTempView(view)
-
-
-def replace_slice(spark: SparkSession, table: str, status: str, staged: DataFrame) -> None:
-    """The ``status`` slice of the main table becomes ``staged``'s rows of it."""
-    overwrite_static(spark, table, staged.filter(F.col("dl_status") == status),
-                     {"dl_status": status})
-
-
-def swap_current(spark: SparkSession, table: str, staged: DataFrame) -> None:
-    """Write a staged upsert/repair result by copy: closed rows, then the slice.
-
-    Closed (``H``) rows are appended before the current slice is replaced:
-    a failure in between leaves a version both open and closed (visible,
-    repairable from the still-present stage) rather than a lost version.
-    The loads use :func:`swap_from_stage`, which moves the slice instead.
-    """
-    closed = staged.filter(F.col("dl_status") == STATUS_SUPERSEDED)
-    append_by_name(closed, table)
-    replace_slice(spark, table, STATUS_CURRENT, staged)
-
-
 # ------------------------------------------------------------ stage tables
 SCRATCH_DB = "histlake_scratch"
 
@@ -274,89 +229,6 @@ def _add_partitions(spark: SparkSession, table: str, parts: list[dict], locs: li
         spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {clauses}")
 
 
-def relocate_partitions(spark: SparkSession, table: str, stage_table: str, match: dict,
-                        purge: bool = True, within=None) -> list[str]:
-    """Make ``table``'s partitions under ``match`` exactly the stage's ones.
-
-    Metadata only: staged partition folders become the table's partitions
-    (new ones in one ``ADD PARTITION .. LOCATION`` statement, existing ones
-    by ``SET LOCATION``), and table partitions the stage does not have are
-    dropped in one statement.  The folders they pointed to are superseded;
-    they are deleted when ``purge`` (readers that planned against them
-    earlier would fail -- pass ``purge=False`` and clean up later if such
-    readers exist).  ``within`` (a predicate on partition specs) limits the
-    swap to those partitions; the table's others stay as they are.  Returns
-    the superseded folders.
-    """
-    keep = within or (lambda p: True)
-    new = [p for p in _matching(partitions(spark, stage_table), match) if keep(p)]
-    old = {_pkey(p): p for p in _matching(partitions(spark, table), match) if keep(p)}
-    locs = _staged_locations(spark, stage_table, new)
-    superseded, to_add, add_locs = [], [], []
-    for p, loc in zip(new, locs):
-        if _pkey(p) in old:
-            superseded.append(partition_location(spark, table, p))
-            spark.sql(f"ALTER TABLE {_q(table)} PARTITION ({_spec_sql(p)}) SET LOCATION '{loc}'")
-            del old[_pkey(p)]
-        else:
-            to_add.append(p)
-            add_locs.append(loc)
-    _add_partitions(spark, table, to_add, add_locs)
-    if old:
-        superseded += [partition_location(spark, table, p) for p in old.values()]
-        specs = ", ".join(f"PARTITION ({_spec_sql(p)})" for p in old.values())
-        spark.sql(f"ALTER TABLE {_q(table)} DROP IF EXISTS {specs}")
-    spark.catalog.refreshTable(table)
-    if purge:
-        for loc in superseded:
-            delete_path(spark, loc)
-    return superseded
-
-
-def append_from_stage(spark: SparkSession, table: str, stage_table: str, match: dict) -> None:
-    """Append a stage's partitions under ``match`` to ``table``.
-
-    Partitions the table does not have yet are attached where they were
-    written (one ``ADD PARTITION .. LOCATION`` statement, no copy); rows of
-    partitions that already exist are appended by copy.
-    """
-    new = _matching(partitions(spark, stage_table), match)
-    if not new:
-        return
-    have = {_pkey(p) for p in partitions(spark, table)}
-    fresh = [p for p in new if _pkey(p) not in have]
-    present = [p for p in new if _pkey(p) in have]
-    _add_partitions(spark, table, fresh, _staged_locations(spark, stage_table, fresh))
-    if present:
-        cond = F.lit(False)
-        for p in present:
-            one = F.lit(True)
-            for k, v in p.items():
-                one = one & (F.col(k).cast("string") == v)
-            cond = cond | one
-        append_by_name(spark.table(stage_table).filter(cond), table)
-    spark.catalog.refreshTable(table)
-
-
-def swap_from_stage(spark: SparkSession, table: str, stage_table: str,
-                    append_statuses: Sequence[str] = (STATUS_SUPERSEDED,),
-                    relocate_statuses: Sequence[str] = (STATUS_CURRENT,),
-                    purge: bool = True, within=None) -> None:
-    """Publish a staged main-table result.
-
-    Statuses in ``append_statuses`` (closed rows: proportional to the
-    arrivals) are added first -- attached in place where their partition
-    is new, copied where it exists; statuses in ``relocate_statuses`` (the
-    large current slice) are swapped in by moving partitions, so the slice
-    is written exactly once, and a slot that got no rows disappears.
-    """
-    for status in append_statuses:
-        append_from_stage(spark, table, stage_table, {"dl_status": status})
-    for status in relocate_statuses:
-        relocate_partitions(spark, table, stage_table, {"dl_status": status}, purge, within)
-    spark.sql(f"DROP TABLE IF EXISTS {_q(stage_table)}")
-
-
 def write_layout(df: DataFrame, partition_cols: Sequence[str], bucketed: bool) -> DataFrame:
     """Row placement for a partitioned write.
 
@@ -368,39 +240,28 @@ def write_layout(df: DataFrame, partition_cols: Sequence[str], bucketed: bool) -
     return df if bucketed else df.hint("rebalance", *partition_cols)
 
 
-def reload_ods(spark: SparkSession, ff_table: str, staged: DataFrame) -> None:
-    """Replace the whole ODS table with staged rows (truncate + insert)."""
-    overwrite_static(spark, ff_table, staged)
-
-
 def rotate_slot(spark: SparkSession, table: str, day: int, status: str | None = None) -> int:
     """Empty one reused slot before it is written again."""
     match = {"day": day} if status is None else {"dl_status": status, "day": day}
     return drop_partitions(spark, table, **match)
 
 
-def expire_history(spark: SparkSession, m_table: str, before, run_dir: str,
-                   statuses: Sequence[str] = (STATUS_SUPERSEDED,), purge: bool = True) -> int:
-    """Remove closed versions that ended before ``before``.
+def expired_survivors(spark: SparkSession, m_table: str, before, run_dir: str,
+                      statuses: Sequence[str] = (STATUS_SUPERSEDED,)) -> tuple[list, str | None]:
+    """Stage what stays when closed versions that ended before ``before`` go.
 
     Only the ``(status, day)`` partitions holding expiring rows are touched:
     their survivors are written once into a stage table in the table's
-    layout, and each touched partition is then swapped for its staged
-    version (or dropped when nothing survives).  Returns the number of
-    partitions touched.
+    layout.  Returns the touched partitions and the stage table.
     """
     m = spark.table(m_table)
     cond = expired(m, before, statuses)
     touched = [(r.dl_status, r.day) for r in
                m.filter(cond).select("dl_status", "day").distinct().collect()]
     if not touched:
-        return 0
+        return [], None
     in_touched = F.lit(False)
     for s, d in touched:
         in_touched = in_touched | ((F.col("dl_status") == s) & (F.col("day") == d))
     survivors = write_layout(m.filter(in_touched & ~cond), ["dl_status", "day"], False)
-    staged = write_stage_table(survivors, m_table, f"{run_dir}/expire")
-    for s, d in touched:
-        relocate_partitions(spark, m_table, staged, {"dl_status": s, "day": d}, purge)
-    spark.sql(f"DROP TABLE IF EXISTS {_q(staged)}")
-    return len(touched)
+    return touched, write_stage_table(survivors, m_table, f"{run_dir}/expire")

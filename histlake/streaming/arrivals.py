@@ -27,15 +27,20 @@ from ..functions.slots import batch_datetime, batch_text
 from ..plans.loads import upsert
 from ..plans.spec import TableSpec
 from ..session import new_run_dir
-from ..sources.raw import RAW_NULL, RAW_SEP, conform, text_schema
+from ..sources.publish import _names
+from ..sources.raw import conform, parse_lines
 
 
 def _epoch_log(spark: SparkSession, path: str, epoch_id: int) -> list:
-    """The log rows of one epoch (its own folder: nothing else is listed)."""
-    try:
-        return spark.read.parquet(f"{path}/epoch_id={epoch_id}").collect()
-    except Exception:  # noqa: BLE001 - no entry for this epoch yet
+    """The log rows of one epoch (its own folder: nothing else is listed).
+
+    Whether there is an entry is asked of the file system; an error in
+    reading one stops the batch.
+    """
+    folder = f"{path}/epoch_id={epoch_id}"
+    if not any(n.endswith(".parquet") for n in _names(spark, folder)):
         return []
+    return spark.read.parquet(folder).collect()
 
 
 def _append_log(spark: SparkSession, path: str, epoch_id: int, ts, state: str) -> None:
@@ -52,9 +57,7 @@ def upsert_stream(spark: SparkSession, spec: TableSpec, source_dir: str,
     ckpt = checkpoint or new_run_dir(spark, f"stream-{spec.name}")
     log_path = f"{ckpt}/batches"
     clock = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    raw = (spark.readStream.schema(text_schema(spec.column_names))
-           .option("sep", RAW_SEP).option("nullValue", RAW_NULL).option("quote", "")
-           .csv(source_dir))
+    raw = parse_lines(spark.readStream.option("lineSep", "\n").text(source_dir), spec.column_names)
     typed = conform(raw, spec.schema)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -10,6 +10,8 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
+from histlake.plans import registry
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -40,18 +42,11 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(E.queries())
 
-FAST = ["stamp_load", "open_rows", "close_rows", "clean_required", "day_slots", "row_checksum",
-        "row_checksum_compat", "check_key", "latest_batch", "keys_matched", "keys_unmatched",
-        "snapshot_diff", "change_report", "snapshot_diff_counts", "scd2_upsert", "scd2_repair",
-        "snapshot_rotate", "scd2_two_batches", "current_rows", "as_of", "expire_history",
-        "latest_per_key", "latest_per_key_ods", "drop_exact_duplicates", "conform",
-        "conform_losses", "conform_text", "scd2_backfill"]
 
-
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_matches_oracle_sf0001(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
@@ -59,12 +54,3 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _rows(res.fetchall(), cols)
-
-
-@pytest.mark.parametrize("name", ["tables_upsert", "tables_snapshot", "tables_ods_dedup",
-                                  "tables_backfill", "tables_upsert_composite"])
-def test_table_queries_match_oracle_sf0001(spark, duck, name):
-    df = E.queries()[name](spark, SF001)
-    got = _rows([tuple(r) for r in df.collect()], df.columns)
-    res = duck.execute(E.oracle_sql()[name])
-    assert got == _rows(res.fetchall(), [d[0] for d in res.description])

@@ -11,11 +11,6 @@ from histlake.functions import (batch_minutes, batch_text, check_key, day_slot,
                                 slot_of, surrogate_id)
 
 
-def python_id(minutes: int, oid: int) -> int:
-    """The id formula written out in plain integers."""
-    return (minutes << 44) + ((oid >> 33) << 30) + (((1 << 33) - 1) & oid)
-
-
 def test_batch_text_truncates_and_accepts_forms():
     assert batch_text("2022-04-20 10:11:12.987") == "2022-04-20 10:11:12"
     assert batch_text(dt.datetime(2022, 4, 20, 10, 11, 12, 5)) == "2022-04-20 10:11:12"
@@ -47,11 +42,31 @@ def test_batch_minutes_epoch():
     assert batch_minutes("1999-12-31 16:01:59") == 1
 
 
-@pytest.mark.parametrize("oid", [0, 1, 2**30, 2**33 - 1, 2**33, 5 * 2**33 + 17, 2**62 + 3])
-def test_surrogate_id_matches_integer_formula(spark, oid):
-    ts = "2022-04-20 10:11:12"
-    got = spark.range(1).select(surrogate_id(ts, F.lit(oid)).alias("id")).first().id
-    assert got == str(python_id(batch_minutes(ts), oid))
+# known answers of the compatible layout at 2022-04-20 10:11:12: (row number, id)
+KNOWN_IDS = [
+    (0, "206354424752720838656"),
+    (1073741824, "206354424753794580480"),
+    (8589934591, "206354424761310773247"),
+    (8589934592, "206354424753794580480"),
+    (42949672977, "206354424758089547793"),
+]
+
+
+def test_surrogate_id_known_answers(spark):
+    got = spark.createDataFrame(KNOWN_IDS, "oid long, id string").select(
+        surrogate_id("2022-04-20 10:11:12", "oid").alias("got"), "id").collect()
+    assert all(r.got == r.id for r in got)
+
+
+def test_wide_ids_of_two_minutes_never_meet(spark):
+    """Partition 16,384 at one minute, partition 0 at the next; the last rows of either."""
+    oid = spark.createDataFrame([(16_384 << 33,), (0,), (((1 << 30) - 1) << 33,), ((1 << 63) - 1,)], "oid long")
+    at = ["2022-04-20 10:11:12", "2022-04-20 10:12:12"]
+    wide = [r.id for t in at for r in oid.select(surrogate_id(t, "oid", wide=True).alias("id")).collect()]
+    assert len(set(wide)) == len(wide)
+    assert max(map(int, wide[:4])) < min(map(int, wide[4:]))
+    short = [r.id for t in at for r in oid.limit(2).select(surrogate_id(t, "oid").alias("id")).collect()]
+    assert short[0] == short[3]          # why the wide layout is the default
 
 
 def test_surrogate_id_default_is_unique_per_batch(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from histlake.operators import (current, latest_per_key, open_rows, snapshot_diff, stamp_load,
                                 upsert_rows)
 from histlake.plans.registry import T1, T2, orders_new, orders_old, orders_spec
-from histlake.plans.loads import bucket_aligned, upsert
+from histlake.plans.loads import job_session, upsert
 from histlake.sources import create_layers, stage
 
 from conftest import SF001
@@ -44,10 +44,10 @@ def test_bucketed_current_slice_is_not_shuffled(spark, run_dir, fresh_db):
         spec = orders_spec(fresh_db, buckets=4)
         create_layers(spark, spec, run_dir)
         upsert(spark, spec, T1, arrivals=orders_old(spark, SF001))
-        n = stage(stamp_load(orders_new(spark, SF001), T2), f"{run_dir}/n")
-        rows = upsert_rows(current(spark.table(spec.m_table)), n, spec.keys, T2)
-        with bucket_aligned(spark, spec):
-            p = plan(rows, "simple")
+        stage(stamp_load(orders_new(spark, SF001), T2), f"{run_dir}/n")
+        job = job_session(spark, spec)
+        n = job.read.parquet(f"{run_dir}/n")
+        p = plan(upsert_rows(current(job.table(spec.m_table)), n, spec.keys, T2), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p

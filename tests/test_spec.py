@@ -97,3 +97,21 @@ def test_catalog_rows(spark):
                                    "comments string, data_source string, tbl_std_lvl string")
     trows = table_rows(tables, "lake", table="items").collect()
     assert sorted(r.tbl_name for r in trows) == ["f_items", "ff_items", "m_items"]
+
+
+@pytest.mark.parametrize("table", ["region", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+                                   "benchmark", "labels", "conversations"])
+def test_from_schema_of_every_given_table(spark, table):
+    """Types without a rule of their own pass through unchanged."""
+    from conftest import SF001
+
+    from histlake.plans.spec import spark_type
+    schema = spark.read.parquet(f"{SF001}/{table}.parquet").schema
+    spec = TableSpec.from_schema(table, schema, (schema.fieldNames()[0],))
+    assert [n for n, _ in spec.columns] == schema.fieldNames()
+    for (_, text), field in zip(spec.columns, schema.fields, strict=True):
+        assert spark_type(text).typeName().split("_")[0] == field.dataType.typeName().split("_")[0]
+    for t in ("float", "smallint", "tinyint", "boolean", "binary", "decimal", "array<float>", "map<string,int>"):
+        assert spark_type(t) is not None
+    with pytest.raises(ValueError):
+        spark_type("no such type")

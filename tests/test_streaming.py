@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+import os
 import datetime as dt
 import itertools
 
@@ -44,7 +46,7 @@ def test_stream_upserts_new_files_once(spark, run_dir, fresh_db):
 def test_stream_batch_replayed_after_a_crash(spark, run_dir, fresh_db, monkeypatch):
     """The upsert dies after publishing the main table; the restarted stream
     replays the epoch with the same batch time and ends like a clean run."""
-    import histlake.plans.loads as loads
+    import histlake.sources.publish as publish
     from histlake.plans.registry import T1, orders_old, orders_spec as spec_of
 
     def run(db, crash):
@@ -55,15 +57,15 @@ def test_stream_batch_replayed_after_a_crash(spark, run_dir, fresh_db, monkeypat
         clock = lambda: dt.datetime.fromisoformat(T1)
         ckpt = f"{run_dir}/{db}-ckpt"
         if crash:
-            real = loads._publish_ods
+            real = publish._do
             state = {"armed": True}
 
-            def boom(*a, **k):
-                if state["armed"]:
+            def boom(spark, action):
+                if state["armed"] and action.get("table") == spec.ff_table:
                     state["armed"] = False
                     raise RuntimeError("crash after the main table was published")
-                return real(*a, **k)
-            monkeypatch.setattr(loads, "_publish_ods", boom)
+                return real(spark, action)
+            monkeypatch.setattr(publish, "_do", boom)
             q = upsert_stream(spark, spec, f"{src}/*", checkpoint=ckpt, clock=clock,
                               ori_id="o_orderkey")
             try:
@@ -78,3 +80,16 @@ def test_stream_batch_replayed_after_a_crash(spark, run_dir, fresh_db, monkeypat
         return m, ff
 
     assert run(fresh_db + "_c", True) == run(fresh_db + "_n", False)
+
+
+def test_a_failing_log_read_stops_the_batch(spark, run_dir):
+    from histlake.streaming.arrivals import _append_log, _epoch_log
+    log = f"{run_dir}/batches"
+    assert _epoch_log(spark, log, 0) == []
+    _append_log(spark, log, 0, "2022-04-13 10:11:12", "started")
+    assert len(_epoch_log(spark, log, 0)) == 1
+    for name in os.listdir(f"{log}/epoch_id=0"):
+        with open(f"{log}/epoch_id=0/{name}", "wb") as f:
+            f.write(b"damaged")
+    with pytest.raises(Exception, match="(?i)parquet|footer|read|file"):
+        _epoch_log(spark, log, 0)

@@ -13,7 +13,7 @@ from histlake.plans import TableSpec, ods_dedup, rebuild_and_repair, repair, ret
 from histlake.plans.registry import (T1, T2, T3, customer_new, customer_old, orders_new,
                                      orders_old, orders_spec, orders_third)
 from histlake.sources import (append_by_name, conform, conform_losses, create_layers,
-                              drop_partitions, partitions, read_raw, replace_slice, stage)
+                              drop_partitions, partitions, read_raw, stage)
 from histlake.functions import OPEN_END
 
 from conftest import SF001
@@ -49,19 +49,35 @@ def test_append_by_name_aligns_and_refuses_wrong_columns(spark, run_dir, fresh_d
         append_by_name(df, spec.ff_table)
 
 
-def test_replace_slice_empties_stale_days(spark, run_dir, fresh_db):
+def test_swap_empties_stale_days(spark, run_dir, fresh_db):
     """A current-slice day that gets no rows must not keep its old rows."""
+    from histlake.operators import open_rows
+    from histlake.sources.publish import Publication
+    from histlake.sources.tables import write_stage_table
     spec = small_spec(fresh_db)
     create_layers(spark, spec, run_dir)
-    from histlake.operators import open_rows
     day13 = open_rows(spark.createDataFrame([(1, "a", 1)], "k bigint, v string, n int"), T1)
     day20 = open_rows(spark.createDataFrame([(2, "b", 2)], "k bigint, v string, n int"), T2)
     append_by_name(day13.unionByName(day20), spec.m_table)
-    staged = stage(day20, f"{run_dir}/stage")
-    replace_slice(spark, spec.m_table, "A", staged)
+    out = Publication(spark, spec, "test")
+    out.relocate(spec.m_table, write_stage_table(day20, spec.m_table, f"{run_dir}/stage"), {"dl_status": "A"})
+    out.run()
     assert sorted(r.k for r in spark.table(spec.m_table).collect()) == [2]
 
 
+def test_drop_layers_purge_leaves_no_old_rows(spark, run_dir, fresh_db):
+    from histlake.sources import drop_layers
+    spec = small_spec(fresh_db)
+    create_layers(spark, spec, run_dir)
+    for ts in (T1, T2):
+        upsert(spark, spec, ts, arrivals=spark.createDataFrame([(1, "a", 1)], "k bigint, v string, n int"))
+    drop_layers(spark, spec, purge=True)
+    create_layers(spark, spec, run_dir)
+    assert spark.table(spec.m_table).count() == spark.table(spec.ff_table).count() == 0
+    upsert(spark, spec, T1, arrivals=spark.createDataFrame([(2, "b", 1)], "k bigint, v string, n int"))
+    assert [r.k for r in spark.table(spec.m_table).collect()] == [2]
+
+
 def test_drop_partitions_partial_spec_removes_files(spark, run_dir, fresh_db):
     spec = small_spec(fresh_db)
     create_layers(spark, spec, run_dir)
@@ -110,7 +126,7 @@ def test_repair_via_tables_and_second_repair_no_op(spark, run_dir, fresh_db):
     create_layers(spark, spec, run_dir)
     upsert(spark, spec, T1, arrivals=orders_old(spark, SF001))
     res = rebuild_and_repair(spark, spec, T2, snapshot=orders_new(spark, SF001))
-    assert res.counts == {"A": 685 + 343 + 257, "H": 172 + 343, "ods_rows": 685 + 343 + 257}
+    assert res.counts == {"A": 685 + 343 + 300, "H": 172 + 343, "ods_rows": 685 + 343 + 300}
     ids_before = {r.dl_id for r in spark.table(spec.m_table).filter("dl_status='A'").collect()}
     res2 = repair(spark, spec, T3)
     assert res2.counts == {"A": len(ids_before)}
@@ -174,11 +190,11 @@ def test_bucketed_main_table_roundtrip(spark, run_dir, fresh_db):
     check_invariants(spark.table(spec.m_table), ["o_orderkey"])
     by_status = {r.dl_status: r["count"] for r in
                  spark.table(spec.m_table).groupBy("dl_status").count().collect()}
-    # P2 closes every arriving key: 172 old keys did not arrive, 1285 arrived
-    assert by_status == {"A": 172 + 1285, "H": 1200 - 172}
+    # P2 closes every arriving key: 172 old keys did not arrive, 1328 arrived
+    assert by_status == {"A": 172 + 1328, "H": 1200 - 172}
     # a full repair on the bucketed table: the 172 keys missing from the snapshot close
     res = rebuild_and_repair(spark, spec, T3, snapshot=orders_new(spark, SF001))
-    assert res.counts["H"] == 172 and res.counts["A"] == 1285
+    assert res.counts["H"] == 172 and res.counts["A"] == 1328
     check_invariants(spark.table(spec.m_table), ["o_orderkey"])
     retain(spark, spec, "2022-04-26 00:00:00")
     assert spark.table(spec.m_table).filter("dl_status = 'H'").count() == 172

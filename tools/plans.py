@@ -19,7 +19,7 @@ sys.path.insert(0, ROOT)
 from histlake.operators import (backfill_rows, change_report, current, latest_per_key,  # noqa: E402
                                 repair_rows, stamp_load, upsert_rows)
 from histlake.plans import registry as R  # noqa: E402
-from histlake.plans.loads import bucket_aligned, upsert  # noqa: E402
+from histlake.plans.loads import job_session, upsert  # noqa: E402
 from histlake.session import build_session, new_run_dir  # noqa: E402
 from histlake.sources import create_layers, stage  # noqa: E402
 
@@ -43,12 +43,12 @@ def main():
     upsert(spark, spec, R.T1, arrivals=R.orders_old(spark, d), ori_id="o_orderkey",
            broadcast_limit=0)
     n = stage(stamp_load(R.orders_new(spark, d), R.T2), f"{rd}/n")
-    cur = current(spark.table(spec.m_table))
-    with bucket_aligned(spark, spec):
-        show("upsert rows, bucketed main table (no broadcast)",
-             upsert_rows(cur, n, spec.keys, R.T2, ["o_custkey"], opened_partitions=8))
-        show("repair rows, bucketed main table",
-             repair_rows(cur, n.drop("dl_loaded_dt", "day"), spec.keys, R.T2, ["o_custkey"]))
+    job = job_session(spark, spec)
+    cur, n = current(job.table(spec.m_table)), job.read.parquet(f"{rd}/n")
+    show("upsert rows, bucketed main table (no broadcast)",
+         upsert_rows(cur, n, spec.keys, R.T2, ["o_custkey"], opened_partitions=8))
+    show("repair rows, bucketed main table",
+         repair_rows(cur, n.drop("dl_loaded_dt", "day"), spec.keys, R.T2, ["o_custkey"]))
     li = spark.read.parquet(f"{d}/lineitem.parquet")
     show("latest per key (lineitem)", latest_per_key(li, ["l_orderkey", "l_linenumber"],
                                                      ["l_shipdate"]))

@@ -306,7 +306,11 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
             .select("h1", "h2", F.coalesce("root", "node").alias("root"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
     many = stage.put(many, "many")
-    first = (places.where("long").join(many, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min(order).alias("first")))
+    # a very common line is one key: its places are dealt out before the minimum is taken
+    rows = (places.where("long").join(many.select("h1", "h2"), ["h1", "h2"], "left_semi")
+            .withColumn("salt", F.pmod("text_hash", F.lit(64))).repartition("h1", "h2", "salt"))
+    first = (rows.groupBy("h1", "h2", "salt").agg(F.min(order).alias("first"))
+             .groupBy("h1", "h2").agg(F.min("first").alias("first")))
     first = stage.put(first.join(many, ["h1", "h2"]), "first")
     best = first.groupBy("root").agg(F.min("first").alias("c"))
     texts = first.join(best, "root").select("h1", "h2", "n_links", "c")

@@ -308,7 +308,7 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     many = stage.put(many, "many")
     # a very common line is one key: its places are dealt out before the minimum is taken
     rows = (places.where("long").join(many.select("h1", "h2"), ["h1", "h2"], "left_semi")
-            .withColumn("salt", F.pmod("text_hash", F.lit(64))).repartition("h1", "h2", "salt"))
+            .withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(64))).repartition("h1", "h2", "salt"))
     first = (rows.groupBy("h1", "h2", "salt").agg(F.min(order).alias("first"))
              .groupBy("h1", "h2").agg(F.min("first").alias("first")))
     first = stage.put(first.join(many, ["h1", "h2"]), "first")

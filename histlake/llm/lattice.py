@@ -8,7 +8,11 @@ because no piece holds a space mark behind another character.  Characters
 that are no piece are spelled by their UTF-8 byte pieces.
 
 The vocabulary's own scores (ranks) give the first weights; passes of expected
-counts over the training words turn them into probabilities learned here.
+counts over the distinct training words turn them into probabilities learned
+here.  Every training word is a piece besides, an edge from a word's start to
+its end: it holds the word's count less a discount, and what the discounts
+leave is the mass of the vocabulary's pieces.  The pieces so grow with the
+corpus, and the probabilities of all strings still add up to one.
 
 Counting.  A task turns its texts into blocks: the distinct words of a block,
 numbered, with their counts, and the texts as numbers.  Word counts, scores
@@ -41,6 +45,8 @@ from histlake.llm.pieces import BYTE, MARK, NORMAL, read_pieces
 
 SMOOTH = 0.1
 ROUNDS = 2
+#: least and largest discount of a training word's count
+DISCOUNTS = (0.05, 0.95)
 #: tokens of one block
 BLOCK_TOKENS = 4_000_000
 END = ""          # no word is empty, so the end token is written so
@@ -274,10 +280,31 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterato
         yield pa.Table.from_batches(held)
 
 
-def learn(words: DataFrame, path: str, stage: Stage, ends: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Log probabilities of the pieces from training words (word, c): the
-    vocabulary's weights, then passes of expected counts over all words.  The
-    table is as long as the vocabulary, whatever the corpus."""
+class WordEdges:
+    """The training words as pieces, by absolute discounting.
+
+    ``once`` and ``twice`` are the distinct tokens seen so often; they set the
+    discount.  Without training tokens the vocabulary's pieces have all mass.
+    """
+
+    def __init__(self, total: int, distinct: int, once: int, twice: int):
+        low, high = DISCOUNTS
+        self.total = max(total, 1)
+        self.discount = min(max(once / max(once + 2 * twice, 1), low), high)
+        self.rest = self.discount * distinct / total if total else 1.0
+
+    def join(self, c: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Log probability of words seen ``c`` times, given the sum over
+        their segmentations into the vocabulary's pieces."""
+        with np.errstate(divide="ignore"):
+            whole = np.log(np.maximum(c - self.discount, 0) / self.total)
+        return np.logaddexp(whole, spelled + np.log(self.rest))
+
+
+def learn(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
+    """Log probabilities of the vocabulary's pieces: its weights, then passes
+    of expected counts over all training words, each once, as the pieces are
+    to spell words not seen."""
     model = Lattice(path)
     logp = model.start()
     for _ in range(rounds):
@@ -286,17 +313,18 @@ def learn(words: DataFrame, path: str, stage: Stage, ends: int, rounds: int = RO
             counts = np.zeros(m.size)
             for batch in _gathered(batches):
                 w = [MARK + x for x in batch.column(0).to_pylist()]
-                m.run(w, logp, batch.column(1).to_numpy().astype(float), counts)
+                m.run(w, logp, np.ones(len(w)), counts)
             ids = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "c"])
 
-        got = words.mapInArrow(expect, "id long, c double").groupBy("id").agg(F.sum("c").alias("c")).collect()
+        got = (words.select("word").mapInArrow(expect, "id long, c double").groupBy("id")
+               .agg(F.sum("c").alias("c")).collect())
         counts = np.full(model.size, 0.0)
         for r in got:
             counts[r.id] = r.c
-        counts[model.end_id] = ends
+        counts[model.end_id] = 1.0
         live = [i for i, _ in model.normal] + list(model.bytes.values()) + [model.end_id]
-        if counts.sum() > 0:
+        if got:
             logp = np.full(model.size, -np.inf)
             logp[live] = np.log((counts[live] + SMOOTH) / (counts.sum() + SMOOTH * len(live)))
     return logp
@@ -312,22 +340,25 @@ def score_documents(docs: DataFrame, path: str, stage: Stage, rounds: int = ROUN
     named = blocks.where("number >= 0")
     words = stage.put(named.groupBy("word").agg(F.sum("c").alias("c")), "words")
     ends = blocks.where("number < 0").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    known = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    known = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1),
+                                     F.count_if(F.col("c") == 2)).first()
     total, distinct = known[0] + ends, known[1] + (ends > 0)
-    logp = learn(words.where("c > 0"), path, stage, ends, rounds)
+    edges = WordEdges(total, distinct, known[2] + (ends == 1), known[3] + (ends == 2))
+    logp = learn(words.where("c > 0"), path, rounds)
     unit = np.log(10)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = lattice(path)
         for batch in _gathered(batches):
-            s = m.run([MARK + w for w in batch.column(0).to_pylist()], logp) / unit
+            spelled = m.run([MARK + w for w in batch.column(0).to_pylist()], logp)
+            s = edges.join(batch.column(1).to_numpy(), spelled) / unit
             done = pa.Table.from_arrays([batch.column(0), batch.column(1), pa.array(s)], ["word", "c", "lp"])
             yield from done.to_batches(max_chunksize=20_000)
 
     scored = stage.put(words.mapInArrow(score, "word string, c long, lp double"), "scored")
     back = named.select(F.col("block").alias("of"), "word", "number").join(scored, "word").select(
         "of", "number", "c", "lp")
-    end_lp = float(logp[lattice(path).end_id] / unit)
+    end_lp = float(edges.join(np.array([ends]), logp[[lattice(path).end_id]])[0] / unit)
 
     def base(c):
         return np.log10((c + SMOOTH) / (total + SMOOTH * (distinct + 1)))

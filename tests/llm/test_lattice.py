@@ -94,6 +94,51 @@ def test_query_counts_and_scores(spark):
         ws = WORDS.findall(text[r.doc_id].translate(AZ))
         plain += (m.run(["▁" + w for w in ws], m.start()).sum() + m.start()[m.end_id]) / math.log(10)
     assert sum(r.score for r in held) > plain
+    # ... and near the base model there, which spells no unseen word out
+    tokens = sum(r.n_tokens for r in held)
+    known = sum(r.n_known for r in held)
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) - 5 * (tokens - known)
+
+
+def test_word_edges_add_up_to_one():
+    """Seen tokens' edges and the rest are the whole mass, also with odd counts."""
+    for counts in ([5, 3, 1, 1, 2], [1, 1, 1], [4, 4], [1]):
+        e = L.WordEdges(sum(counts), len(counts), counts.count(1), counts.count(2))
+        nothing = np.full(len(counts), -np.inf)
+        assert np.exp(e.join(np.array(counts), nothing)).sum() + e.rest == pytest.approx(1)
+        assert 0 < e.rest < 1
+    none = L.WordEdges(0, 0, 0, 0)
+    assert none.join(np.array([0]), np.array([-3.0]))[0] == pytest.approx(-3.0)
+
+
+def test_word_probabilities_by_all_segmentations(spark, make_docs, stage):  # noqa: F811
+    """Scores equal brute force: discounted count plus the rest times the sum
+    over the pieces' segmentations, by weights learned from each word once."""
+    docs = [(i, "tree house tree" if i % 3 else "house alpha", "s") for i in range(30)] + [
+        (i, "unseen treehouse", "s") for i in range(30, 60)]
+    held = {i for i, _, _ in docs if zlib.crc32(str(i).encode()) % 10 == 0}
+    docs = [d for d in docs if d[0] < 30 or d[0] in held]
+    got = {r.doc_id: r.score for r in L.score_documents(make_docs(docs), piece_model(), stage).collect()}
+    c = Counter(w for i, t, _ in docs if i not in held for w in [*t.split(), ""])
+    n, once, twice = sum(c.values()), sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+    d = min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
+    m = L.Lattice(piece_model())
+    logp = m.start()
+    for _ in range(L.ROUNDS):
+        counts = np.zeros(m.size)
+        ws = ["▁" + w for w in c if w]
+        m.run(ws, logp, np.ones(len(ws)), counts)
+        counts[m.end_id] = 1
+        live = [i for i, _ in m.normal] + list(m.bytes.values()) + [m.end_id]
+        logp = np.full(m.size, -np.inf)
+        logp[live] = np.log((counts[live] + 0.1) / (counts.sum() + 0.1 * len(live)))
+
+    def word(w):
+        spelled = math.exp(logp[m.end_id] if w == "" else brute_word(m, logp, "▁" + w))
+        return math.log10(max(c[w] - d, 0) / n + d * len(c) / n * spelled)
+    assert any(i >= 30 for i, _, _ in docs)
+    for i, t, _ in docs:
+        assert got[i] == pytest.approx(sum(map(word, [*t.split(), ""])))
 
 
 def test_scores_add_up_from_one_model(spark, make_docs, stage):  # noqa: F811

@@ -20,7 +20,7 @@ once and, on a table bucketed by the key, not shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,11 +29,13 @@ from ..functions.fingerprint import business_columns
 from ..functions.ids import surrogate_id_at
 from ..functions.slots import batch_lit, open_end_lit, slot_of
 from .dedup import latest_per_key
+from .hotkeys import is_hot, place_by_key
 from .match import CHECKSUM, _on, flag_matches, key_set, with_checksum
 from .stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED, clean_required,
                      close_rows, close_values, m_columns, open_rows)
 
 _HIT = "_hit"
+COPIES_CHUNK = 4096     # copies of one row that one row of the reduced snapshot opens at most
 
 
 def _stamp_closed_where(flagged: DataFrame, cols: Sequence[str], batch_ts, slot: int,
@@ -52,7 +54,8 @@ def _stamp_closed_where(flagged: DataFrame, cols: Sequence[str], batch_ts, slot:
 def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], batch_ts,
                 required: Sequence[str] = (), extra: str | Column | None = None,
                 slot: int | None = None, ori_id: Column | str | None = None,
-                broadcast_keys: bool = False, opened_partitions: int | None = None) -> DataFrame:
+                broadcast_keys: bool = False, opened_partitions: int | None = None,
+                hot: Mapping[int, int] | None = None) -> DataFrame:
     """P2/P3 rows: new current slice plus the versions closed by this batch.
 
     Arrivals are cleaned first (keys and ``required`` non-null, ``extra``
@@ -60,7 +63,8 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
     match.  Several arrivals with one key all open (as the original does);
     use :func:`histlake.operators.dedup.latest_per_key` first to avoid that.
     ``opened_partitions`` spreads the opened rows by key over that many
-    partitions (the bucket count of a bucketed target: one bucket per task).
+    partitions (the bucket count of a bucketed target: one bucket per task);
+    the keys in ``hot`` (:func:`.hotkeys.hot_keys`) over several each.
     """
     if not keys:
         raise ValueError("upsert needs a primary key")
@@ -71,7 +75,7 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
     kept_or_closed = _stamp_closed_where(flagged, cols, batch_ts, slot, F.col(_HIT))
     opened = open_rows(clean, batch_ts, slot=slot, ori_id=ori_id)
     if opened_partitions:
-        opened = opened.repartition(opened_partitions, *keys)
+        opened = place_by_key(opened, keys, opened_partitions, hot or {}, ["dl_id"])
     return kept_or_closed.unionByName(opened)
 
 
@@ -79,7 +83,8 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
                 required: Sequence[str] = (), extra: str | Column | None = None,
                 slot: int | None = None, ori_id: Column | str | None = None,
                 strict: bool = True, clean_first: bool = False,
-                method: str = "outer") -> DataFrame:
+                method: str = "outer", buckets: int | None = None,
+                hot: Mapping[int, int] | None = None, parts: int | None = None) -> DataFrame:
     """P4/P5 rows: diff of the current versions against a full snapshot.
 
     Unchanged versions stay untouched (same ``dl_id``); changed and vanished
@@ -94,6 +99,11 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
     rows collapse before the shuffle -- then one full outer join with the
     current versions (both sides unique per join key: no fan-out) yields
     kept, closed and opened rows; copies re-open via ``explode``.
+    ``buckets`` (of a main table bucketed by the key) places the snapshot by
+    key once, which serves its reduction and the join.  The keys in ``hot``
+    (:func:`.hotkeys.hot_keys` for ``parts`` tasks) are a branch of their own:
+    joined by key and checksum across all tasks, their copies opened in
+    chunks that are dealt over the tasks of the key.
     ``method='two_joins'`` (always used with ``strict=False``, whose
     checksum can be shared by different rows) flags the current versions
     with one left join and finds new rows with an anti join.
@@ -107,7 +117,8 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
     a = with_checksum(current, cols, strict)
     n = with_checksum(snap, cols, strict)
     if method == "outer" and strict:
-        return _repair_outer(a, n, keys, cols, req, extra, batch_ts, slot, ori_id)
+        return _repair_outer(a, n, keys, cols, req, extra, batch_ts, slot, ori_id, buckets, hot or {},
+                             parts or buckets or 1)
     else:
         # Plain key equality: the current slice never holds null keys (cleaning
         # rejects them before anything opens), and a null-safe comparison would
@@ -121,39 +132,63 @@ def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], ba
     return kept_or_closed.unionByName(opened)
 
 
-def _repair_outer(a: DataFrame, n: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                  req: Sequence[str], extra, batch_ts, slot: int, ori_id) -> DataFrame:
+def _merged(a: DataFrame, reduced: DataFrame, keys: Sequence[str], cols: Sequence[str], ok) -> DataFrame:
     """One full outer join, one projection: every output row comes from the
     same joined row, so the optimizer cannot split the join into two."""
-    from ..functions.ids import surrogate_id
-    from .stamps import required_predicate
-    others = [c for c in cols if c not in keys]
-    reduced = (n.groupBy(*[F.col(k).alias("_r_" + k) for k in keys], F.col(CHECKSUM).alias("_r_ck"))
-                .agg(*[F.first(c).alias("_n_" + c) for c in others],
-                     F.count(F.lit(1)).alias("_copies")))
-    cond = F.col(CHECKSUM) == reduced["_r_ck"]
+    cond = a[CHECKSUM] == reduced["_r_ck"]
     for k in keys:
         cond = cond & (a[k] == reduced["_r_" + k])
     j = a.withColumn("_a", F.lit(True)).join(reduced, cond, "full_outer")
     new_row = F.col("_a").isNull()                    # only in the snapshot: to open
-    gone = F.col("_a").isNotNull() & F.col("_copies").isNull()    # only current: to close
 
     def side(c: str) -> Column:
         n_col = F.col("_r_" + c) if c in keys else F.col("_n_" + c)
         return F.when(new_row, n_col).otherwise(a[c])
 
     merged = j.select(
-        F.col("_a"), F.col("_copies"), *[side(c).alias(c) for c in cols],
+        new_row.alias("_new"), (~new_row & F.col("_copies").isNull()).alias("_gone"),     # gone: to close
+        F.when(new_row, F.col("_copies")).otherwise(F.lit(1)).cast("bigint").alias("_copies"),
+        F.coalesce(a[CHECKSUM], reduced["_r_ck"]).alias("_ck"), *[side(c).alias(c) for c in cols],
         *[a[c].alias("_a_" + c) for c in ("dl_id", "dl_loaded_dt", "dl_start_dt", "dl_end_dt",
                                           "dl_status", "day")])
-    merged = merged.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.when(new_row, F.col("_copies")).otherwise(F.lit(1)))))
+    # cleaning applies to opened rows only
+    return merged if ok is None else merged.filter(~F.col("_new") | ok)
+
+
+def _repair_outer(a: DataFrame, n: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                  req: Sequence[str], extra, batch_ts, slot: int, ori_id, buckets: int | None,
+                  hot: Mapping[int, int], parts: int) -> DataFrame:
+    from ..functions.ids import surrogate_id
+    from .stamps import required_predicate
     ok = required_predicate(req, extra)
-    if ok is not None:
-        merged = merged.filter(~new_row | ok)          # cleaning applies to opened rows only
+    others = [c for c in cols if c not in keys]
+
+    def reduce(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(*[F.col(k).alias("_r_" + k) for k in keys], F.col(CHECKSUM).alias("_r_ck"))
+                    .agg(*[F.first(c).alias("_n_" + c) for c in others],
+                         F.count(F.lit(1)).alias("_copies")))
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+
+    cold_a, cold_n = (a.filter(~is_hot(keys, hot)), n.filter(~is_hot(keys, hot))) if hot else (a, n)
+    if buckets:
+        cold_n = cold_n.repartition(buckets, *keys)
+    rows = opened(_merged(cold_a, reduce(cold_n), keys, cols, ok))
+    if hot:
+        spread = a.filter(is_hot(keys, hot)).repartition(*keys, CHECKSUM)
+        mixed = _merged(spread, reduce(n.filter(is_hot(keys, hot))), keys, cols, ok)
+        # a repeated row is one row here: its copies leave it in chunks, each dealt on its own
+        last = F.ceil(F.col("_copies") / COPIES_CHUNK).cast("int")
+        mixed = mixed.withColumn("_chunk", F.explode(F.sequence(F.lit(1), last))).withColumn(
+            "_copies", F.least(F.lit(COPIES_CHUNK), F.col("_copies") - (F.col("_chunk") - 1) * COPIES_CHUNK))
+        mixed = place_by_key(mixed, keys, parts, hot, ["_ck", "_chunk"])
+        rows = rows.unionByName(opened(mixed.drop("_chunk")))
+    new_row, gone = F.col("_new"), F.col("_gone")
     t = batch_lit(batch_ts)
     closing = close_values(batch_ts, STATUS_SUPERSEDED, slot)
-    return merged.select(
+    # row numbers are given above the union, where no two tasks share them
+    return rows.select(
         F.when(new_row, surrogate_id(batch_ts, ori_id)).otherwise(F.col("_a_dl_id")).alias("dl_id"),
         *cols,
         F.when(new_row | gone, t).otherwise(F.col("_a_dl_loaded_dt")).alias("dl_loaded_dt"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
+from ..operators.hotkeys import hot_keys, place_by_key
 from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
 from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
 from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED,
@@ -58,7 +59,7 @@ def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None)
     return src.select(*[F.col(c) for c in spec.column_names])
 
 
-def job_session(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True) -> SparkSession:
+def job_session(spark: SparkSession, spec: TableSpec) -> SparkSession:
     """The session for a main-table job, lined up with the table's buckets.
 
     Spark keeps a bucketed side unshuffled only if its bucket count is at
@@ -66,8 +67,7 @@ def job_session(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True
     only reuses a layout bucketed by the key when co-partitioning on a
     subset of the join keys is allowed.  Both are set in a child session
     that shares the catalog, so the caller's settings and loads running
-    beside this one are untouched.  ``on_bucket_key=False`` keeps the join
-    on all its keys (see :func:`repair`'s hot-key case).
+    beside this one are untouched.
     """
     if not spec.buckets:
         return spark
@@ -76,23 +76,10 @@ def job_session(spark: SparkSession, spec: TableSpec, on_bucket_key: bool = True
         if spark.conf.isModifiable(k):
             child.conf.set(k, v)
     child.conf.set("spark.sql.shuffle.partitions", str(spec.buckets))
-    child.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false" if on_bucket_key else "true")
+    child.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return child
 
 
-HOT_KEY_SHARE = 1 / 32        # a key holding more of the snapshot counts as hot ...
-HOT_KEY_MIN_ROWS = 10_000     # ... once it has at least this many rows
-
-
-def _hot_key(snapshot: DataFrame, keys: Sequence[str]) -> bool:
-    """Does one key hold a large share of the snapshot?  Key columns only,
-    partial aggregation; two numbers come back."""
-    per_key = snapshot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-    top, total = row["top"] or 0, row["total"] or 0
-    return top >= HOT_KEY_MIN_ROWS and top > total * HOT_KEY_SHARE
-
-
 def _verify(staged: DataFrame, bt: str, slot: int, check_ids: bool) -> dict:
     """Row counts per status of a staged result, and unique new ids (of
     caller-given row numbers; the loads' own are unique by construction).
@@ -213,7 +200,8 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
         counts["rewritten_days"] = len(days)
     rows = upsert_rows(cur, n, spec.keys, bt,
                        spec.required, spec.extra_filter, slot, ori_id=ori_id,
-                       broadcast_keys=small, opened_partitions=spec.buckets)
+                       broadcast_keys=small, opened_partitions=spec.buckets,
+                       hot=hot_keys(n, spec.keys, spec.buckets) if spec.buckets else None)
     staged = _stage_main(spec, rows, rd)
     counts.update(_verify(spark.table(staged), bt, slot, check_ids and ori_id is not None))
     within = None if days is None else (lambda p: int(p["day"]) in days)
@@ -241,19 +229,19 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     rd = _run_dir(spark, run_dir, f"repair-{spec.name}")
     if _resume(spark, spec, "repair", bt):
         return LoadResult(spec.name, "repair", bt, slot, rd, {"resumed": True})
-    # On a bucketed table the join lines up with the buckets (the key alone);
-    # if one key holds a large share of the snapshot, give that up for this
-    # job and spread its rows by checksum instead.
-    hot = bool(spec.buckets) and _hot_key(spark.table(spec.ff_table), spec.keys)
-    job = job_session(spark, spec, on_bucket_key=not hot)
+    job = job_session(spark, spec)
     snap = job.table(spec.ff_table).select(*spec.column_names)
+    # On a bucketed table the join lines up with the buckets (the key alone);
+    # keys that hold many rows go their own way, spread by checksum.
+    parts = spec.buckets or int(job.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(snap, spec.keys, parts)
     rows = repair_rows(current(job.table(spec.m_table)), snap, spec.keys, bt, spec.required,
                        spec.extra_filter, slot, ori_id=ori_id, strict=strict,
-                       clean_first=clean_first)
+                       clean_first=clean_first, buckets=spec.buckets, hot=hot, parts=parts)
     staged = _stage_main(spec, rows, rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids and ori_id is not None)
     if hot:
-        counts["hot_key"] = True
+        counts["hot_keys"] = len(hot)
     out = Publication(spark, spec, "repair", bt)
     out.append(spec.m_table, staged, {"dl_status": STATUS_SUPERSEDED})
     out.relocate(spec.m_table, staged, {"dl_status": STATUS_CURRENT}, purge)
@@ -315,7 +303,8 @@ def snapshot_load(spark: SparkSession, spec: TableSpec, batch_ts,
     opened = open_rows(clean_required(job.table(n_stage), spec.required_all, spec.extra_filter), bt,
                        slot=slot, ori_id=ori_id)
     if spec.buckets:
-        opened = opened.repartition(spec.buckets, *spec.keys)
+        hot = hot_keys(job.table(n_stage), spec.keys, spec.buckets)
+        opened = place_by_key(opened, spec.keys, spec.buckets, hot, ["dl_id"])
     staged = _stage_main(spec, backup.unionByName(opened), rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids and ori_id is not None)
     out = Publication(spark, spec, "snapshot_load", bt)

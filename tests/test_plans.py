@@ -7,8 +7,9 @@ import io
 
 from pyspark.sql import functions as F
 
-from histlake.operators import (current, latest_per_key, open_rows, snapshot_diff, stamp_load,
+from histlake.operators import (current, latest_per_key, open_rows, repair_rows, snapshot_diff, stamp_load,
                                 upsert_rows)
+from histlake.operators.hotkeys import hot_keys, place_by_key
 from histlake.plans.registry import T1, T2, orders_new, orders_old, orders_spec
 from histlake.plans.loads import job_session, upsert
 from histlake.sources import create_layers, stage
@@ -93,3 +94,39 @@ def test_hot_key_is_pre_aggregated_before_the_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_repair_shuffles_the_snapshot_once(spark, run_dir, fresh_db):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spec = orders_spec(fresh_db, buckets=4)
+        create_layers(spark, spec, run_dir)
+        upsert(spark, spec, T1, arrivals=orders_old(spark, SF001))
+        stage(stamp_load(orders_new(spark, SF001), T2), f"{run_dir}/n")
+        job = job_session(spark, spec)
+        n = job.read.parquet(f"{run_dir}/n").drop("dl_loaded_dt", "day")
+        p = plan(repair_rows(current(job.table(spec.m_table)), n, spec.keys, T2, buckets=4), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [ln for ln in p.splitlines() if "Bucketed: true" in ln], p
+    assert p.count("Exchange hashpartitioning") == 1, p
+
+
+def test_hot_keys_are_found_whole_and_spread(spark):
+    """Every key above twice an even share, and no other, is spread."""
+    n = 20_000
+    df = spark.range(n, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None)
+         .otherwise(F.col("id").cast("string")).alias("k"), F.lit(1).alias("j"), "id")
+    hot = hot_keys(df, ["k", "j"], 50)
+    shares = df.groupBy("k", "j", F.xxhash64("k", "j").alias("h")).count().where(f"count * 50 > 2 * {n}").collect()
+    assert set(hot) == {r.h for r in shares} and len(hot) == 2
+    assert sum(hot.values()) <= 50 + len(hot)
+    placed = place_by_key(df, ["k", "j"], 50, hot, ["id"]).select("k", "j", F.spark_partition_id().alias("p"))
+    per_task = [r["count"] for r in placed.groupBy("p").count().collect()]
+    assert sum(per_task) == n and max(per_task) < 5 * n / 50
+    # a cold key's rows stand where a plain placing by key puts them
+    plain = df.repartition(50, "k", "j").select("k", "j", F.spark_partition_id().alias("q")).distinct()
+    cold = placed.where(~F.coalesce(F.col("k") == "hot", F.lit(True))).join(plain, ["k", "j"])
+    assert cold.where("p <> q").count() == 0 and cold.count() > 0
+    assert hot_keys(df.limit(0), ["k", "j"], 50) == {}

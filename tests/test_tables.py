@@ -275,13 +275,13 @@ def test_upsert_rewrites_only_changed_days(spark, run_dir, fresh_db):
 
 
 def test_bucketed_repair_spreads_a_hot_key(spark, run_dir, fresh_db):
-    """One key holds most of the snapshot with distinct rows: the bucketed
-    repair gives up bucket alignment for that job, and the result equals the
-    unbucketed table's."""
+    """One key holds most of the snapshot, partly as copies of one row: its
+    rows are spread over the tasks, and the result equals the unbucketed
+    table's; rows of other keys keep their one file a bucket."""
     o = spark.read.parquet(f"{SF001}/orders.parquet")
     hot = (spark.range(0, 12000, numPartitions=4)
-           .select(F.lit(7).cast("bigint").alias("o_orderkey"), F.col("id").alias("o_custkey"),
-                   F.lit("O").alias("o_orderstatus"), (F.col("id") * 1.5).alias("o_totalprice"),
+           .select(F.lit(7).cast("bigint").alias("o_orderkey"), F.least("id", F.lit(2000)).alias("o_custkey"),
+                   F.lit("O").alias("o_orderstatus"), (F.least("id", F.lit(2000)) * 1.5).alias("o_totalprice"),
                    F.lit("1998-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
                    F.lit("1-URGENT").alias("o_orderpriority")))
     snap = o.unionByName(hot)
@@ -291,11 +291,17 @@ def test_bucketed_repair_spreads_a_hot_key(spark, run_dir, fresh_db):
         create_layers(spark, spec, f"{run_dir}/{db}")
         upsert(spark, spec, T1, arrivals=o)
         res = rebuild_and_repair(spark, spec, T2, snapshot=snap)
-        rows = sorted(tuple(r)[1:] for r in spark.table(spec.m_table).collect())   # ids aside
-        return res, rows
-
-    res_b, rows_b = run(fresh_db + "_b", 4)
-    res_u, rows_u = run(fresh_db + "_u", None)
-    assert res_b.counts.get("hot_key") is True and "hot_key" not in res_u.counts
+        m = spark.table(spec.m_table)
+        assert m.select("dl_id").distinct().count() == m.count()
+        files = (m.where("dl_status = 'A' and day = 20").groupBy(F.input_file_name().alias("f"))
+                 .agg(F.count("*").alias("n"), F.count_if(F.col("o_orderkey") == 7).alias("hot")))
+        spread = [r.hot for r in files.collect() if r.hot]
+        rows = sorted(tuple(r)[1:] for r in m.collect())   # ids aside
+        return res, rows, spread
+
+    res_b, rows_b, spread = run(fresh_db + "_b", 4)
+    res_u, rows_u, _ = run(fresh_db + "_u", None)
+    assert res_b.counts.get("hot_keys") == res_u.counts.get("hot_keys") == 1
+    assert len(spread) > 1 and max(spread) < 10_000 and len(spread) <= 4, spread
     assert rows_b == rows_u
     assert res_b.counts["A"] == 1500 + 12000

@@ -2,6 +2,7 @@
 
 from .dedup import drop_exact_duplicates, latest_batch, latest_per_key, loaded_since_midnight
 from .history import as_of, expire_rows, expired
+from .hotkeys import hot_keys, place_by_key
 from .match import (CHECKSUM, SnapshotDiff, change_report, flag_matches, key_set, matched,
                     snapshot_diff, unmatched, with_checksum)
 from .scd2 import backfill_rows, repair_rows, snapshot_rows, upsert_rows
@@ -14,8 +15,8 @@ __all__ = [
     "CHECKSUM", "STATUS_CURRENT", "STATUS_SNAPSHOT", "STATUS_SUPERSEDED", "STATUS_TEMPORARY",
     "SnapshotDiff", "as_of", "backfill_rows", "change_report", "clean_required", "close_rows", "close_values",
     "current", "drop_exact_duplicates", "expire_rows", "expired", "ff_columns",
-    "flag_matches", "key_set", "key_stats", "latest_batch",
+    "flag_matches", "hot_keys", "key_set", "key_stats", "latest_batch",
     "latest_per_key", "loaded_since_midnight", "m_columns", "matched", "open_rows",
-    "repair_rows", "required_predicate", "snapshot_diff", "snapshot_rows", "stamp_load",
+    "place_by_key", "repair_rows", "required_predicate", "snapshot_diff", "snapshot_rows", "stamp_load",
     "unmatched", "upsert_rows", "with_checksum",
 ]

@@ -45,17 +45,15 @@ def _on(keys: Sequence[str], extra: Sequence[str], left: DataFrame, right: DataF
     return reduce(lambda a, b: a & b, conds)
 
 
-def matched(open_rows: DataFrame, arrivals: DataFrame, keys: Sequence[str],
-            broadcast: bool = False) -> DataFrame:
+def matched(open_rows: DataFrame, arrivals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current versions whose key arrives again (semi join: no fan-out)."""
-    ks = key_set(arrivals, keys, broadcast=broadcast)
+    ks = key_set(arrivals, keys)
     return open_rows.join(ks, _on(keys, (), open_rows, ks, False), "left_semi")
 
 
-def unmatched(open_rows: DataFrame, arrivals: DataFrame, keys: Sequence[str],
-              broadcast: bool = False) -> DataFrame:
+def unmatched(open_rows: DataFrame, arrivals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current versions whose key did not arrive (anti join)."""
-    ks = key_set(arrivals, keys, broadcast=broadcast)
+    ks = key_set(arrivals, keys)
     return open_rows.join(ks, _on(keys, (), open_rows, ks, False), "left_anti")
 
 

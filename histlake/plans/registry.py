@@ -366,6 +366,15 @@ def q_tables_repair(spark, d):
     return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
 
 
+def q_tables_repair_bucketed(spark, d):
+    rd, db = _fresh_db(spark, "q-repair-b")
+    spec = orders_spec(db, buckets=8)
+    create_layers(spark, spec, rd)
+    upsert(spark, spec, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    rebuild_and_repair(spark, spec, T2, snapshot=orders_new(spark, d), ori_id="o_orderkey")
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
 def q_tables_snapshot(spark, d):
     rd, db = _fresh_db(spark, "q-snapshot")
     spec = customer_spec(db)
@@ -613,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tables_upsert_bucketed": q_tables_upsert_bucketed,
     "tables_retain": q_tables_retain,
     "tables_repair": q_tables_repair,
+    "tables_repair_bucketed": q_tables_repair_bucketed,
     "tables_snapshot": q_tables_snapshot,
     "tables_ods_dedup": q_tables_ods_dedup,
     "tables_ods_dedup_key": q_tables_ods_dedup_key,
@@ -934,6 +944,7 @@ def oracle_sql() -> dict[str, str]:
         "tables_retain": two + _m_select("m3", ORDERS)
                          + f" WHERE NOT (dl_status = 'H' AND dl_end_dt < {_ts(T3)})",
         "tables_repair": repair_sql,
+        "tables_repair_bucketed": repair_sql,
         "tables_snapshot": snapshot_sql,
         "tables_ods_dedup": dedup_row,
         "tables_ods_dedup_key": dedup_key,

@@ -48,7 +48,7 @@ def main():
     show("upsert rows, bucketed main table (no broadcast)",
          upsert_rows(cur, n, spec.keys, R.T2, ["o_custkey"], opened_partitions=8))
     show("repair rows, bucketed main table",
-         repair_rows(cur, n.drop("dl_loaded_dt", "day"), spec.keys, R.T2, ["o_custkey"]))
+         repair_rows(cur, n.drop("dl_loaded_dt", "day"), spec.keys, R.T2, ["o_custkey"], buckets=8))
     li = spark.read.parquet(f"{d}/lineitem.parquet")
     show("latest per key (lineitem)", latest_per_key(li, ["l_orderkey", "l_linenumber"],
                                                      ["l_shipdate"]))

@@ -47,7 +47,7 @@ SYLLABLES = {"latin": ("ba", "den", "fo", "gar", "hel", "kin", "lo", "mar", "ne"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _KINDS = {
-    "secret": r"(?:password|passwd|pwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,256}+",
+    "secret": r"(?i:password|passwd|pwd|secret|token|api[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,}+",
     "access_key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
@@ -57,8 +57,9 @@ _KINDS = {
     "card": r"\d(?:[ \-]?\d){12,18}(?!\d)",
     "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? \p{{Lu}}[\p{{L}}'\-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'\-]{{1,40}})?",
 }
-# at the start of a word only: inside a word one look back settles it
-PATTERN = r"(?<![\p{L}\d_.])(?:" + "|".join(_KINDS.values()) + ")"
+# at the start of a word only: inside a word one look back settles it; the key
+# word of a secret may end a longer one (access_token, dbPassword)
+PATTERN = _KINDS["secret"] + r"|(?<![\p{L}\d_.])(?:" + "|".join(p for k, p in _KINDS.items() if k != "secret") + ")"
 
 
 def entities(text: Column) -> Column:
@@ -79,7 +80,7 @@ def _digits(raw: Column) -> Column:
 
 
 def _secret_head(raw: Column) -> Column:
-    return F.regexp_extract(raw, r"^(?:[A-Za-z_]+)\s{0,3}[=:]\s{0,3}[\"']?", 0)
+    return F.regexp_extract(raw, r"^[A-Za-z_\-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?", 0)
 
 
 def _title(raw: Column) -> Column:
@@ -173,7 +174,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     card = F.when(F.pmod(_luhn(canon), F.lit(10)) == 0, F.concat(stem, check)).otherwise(body)
     ssn = F.concat(F.lit("9"), F.substring(_shaped(canon, digest), F.lit(2), F.lit(8)))
     access = F.concat(F.lit("AKIA"), _shaped(F.substring(canon, F.lit(5), F.lit(16)), digest, "234567"))
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), _shaped(canon, digest, hexed=True)).otherwise(_shaped(canon, digest))
+    secret = F.when(canon.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _shaped(canon, digest, hexed=True)).otherwise(_shaped(canon, digest))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn)
             .when(kind == "access_key", access).when(kind == "secret", secret)
             .when(kind == "name", _name(canon, digest)).otherwise(_shaped(canon, digest)))

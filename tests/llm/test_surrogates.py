@@ -86,3 +86,18 @@ def test_edge_cases(spark, odd_docs, make_docs, stage):  # noqa: F811
     assert len(out) == 3 and len({r.text for r in out if r.doc_id == 1}) == 1
     assert all(r.n_entities == 1 for r in out)
     assert S.replace_entities(odd_docs.limit(0), stage).count() == 0
+
+
+def test_secrets_in_any_case_behind_prefixes_and_of_any_length(spark, make_docs, stage):  # noqa: F811
+    heads = ["TOKEN = \"", "PASSWORD=", "Api_Key=", "Token: ", "access_token=", "db_password: '", "dbPassword=",
+             "config.secret=", "X-Api-Key: ", "{\"token\": \""]
+    docs = [(i, f"see {h}9233A8ECF7C5B09F{i:02d}\" or so", "s") for i, h in enumerate(heads)]
+    long = "".join(f"k{i:04d}" for i in range(400))
+    docs.append((len(heads), f"api_key={long} end", "s"))
+    got = {r.doc_id: r for r in S.replace_entities(make_docs(docs), stage).collect()}
+    for i, h in enumerate(heads):
+        assert "9233A8ECF7C5B09F" not in got[i].text and got[i].entity_kinds == "secret" and got[i].n_entities == 1
+        assert re.fullmatch(re.escape(f"see {h}") + "[0-9A-F]{18}\" or so", got[i].text)
+    text = got[len(heads)].text
+    assert re.fullmatch(r"api_key=(?:[a-z]\d{4}){400} end", text)
+    assert not any(long[at:at + 12] in text for at in range(0, len(long) - 12))

@@ -32,6 +32,8 @@ from histlake.llm.common import Stage
 
 KEY = "change-me"
 MAX_ROUNDS = 50
+#: after so many draws names and mail addresses grow by a syllable or letter
+WIDEN = 3
 
 # Titles that tell a gender, and given names that replace those behind them.
 MALE_TITLES = ("Mr", "Herr", "Señor", "Monsieur", "г-н")
@@ -135,17 +137,25 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), value), F.lit(0), add)
 
 
-def _syllables(script: str, digest: Column, at: int, n: int) -> Column:
+def _wider(attempt: Column, digest: Column, at: int, parts: tuple[str, ...] | str) -> Column:
+    """One more part for every ``WIDEN`` draws, so that no pool is exhausted."""
+    each = F.array(*[F.lit(s) for s in parts])
+    more = F.sequence(F.lit(1), F.floor(attempt / WIDEN).cast("int"))
+    return F.when(attempt < WIDEN, "").otherwise(F.array_join(F.transform(
+        more, lambda i: F.get(each, F.pmod(_byte(digest, i + at), F.lit(len(parts))))), ""))
+
+
+def _syllables(script: str, digest: Column, at: int, n: int, attempt: Column) -> Column:
     names = F.array(*[F.lit(s) for s in SYLLABLES[script]])
     return F.initcap(F.concat(*[F.get(names, F.pmod(_byte(digest, at + i), F.lit(len(SYLLABLES[script]))))
-                                for i in range(n)]))
+                                for i in range(n)], _wider(attempt, digest, at + n, SYLLABLES[script])))
 
 
-def _name(canon: Column, digest: Column) -> Column:
+def _name(canon: Column, digest: Column, attempt: Column) -> Column:
     out = None
     for (script, gender), given in GIVEN.items():
         first = F.get(F.array(*[F.lit(g) for g in given]), F.pmod(_byte(digest, 0), F.lit(len(given))))
-        last = _syllables(script, digest, 1, 4)
+        last = _syllables(script, digest, 1, 4, attempt)
         if script == "cyrillic":
             last = F.concat(last, F.lit("ов" if gender == "m" else "ова"))
         both = F.when(canon.contains(" "), F.concat_ws(" ", first, last)).otherwise(last)
@@ -163,7 +173,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     label = F.regexp_extract(canon, r"@([^.]*)", 1)
     tail = F.regexp_extract(canon, r"\.([^.]*)$", 1)
     # the address starts with a letter or digit of its own whatever its form
-    email = F.concat(_shaped(local, digest), F.lit("@"),
+    email = F.concat(_shaped(local, digest), _wider(attempt, digest, 64, "abcdefghijklmnopqrstuvwxyz"), F.lit("@"),
                      _shaped(label, F.substring(digest, 257, F.lit(768))), F.lit(".example."), tail)
     ip = F.concat_ws(".", (F.pmod(_byte(digest, 0), F.lit(223)) + 1).cast("string"),
                      _byte(digest, 1).cast("string"), _byte(digest, 2).cast("string"),
@@ -177,7 +187,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     secret = F.when(canon.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _shaped(canon, digest, hexed=True)).otherwise(_shaped(canon, digest))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn)
             .when(kind == "access_key", access).when(kind == "secret", secret)
-            .when(kind == "name", _name(canon, digest)).otherwise(_shaped(canon, digest)))
+            .when(kind == "name", _name(canon, digest, attempt)).otherwise(_shaped(canon, digest)))
 
 
 def rendered(kind: Column, raw: Column, value: Column) -> Column:

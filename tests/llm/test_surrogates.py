@@ -101,3 +101,13 @@ def test_secrets_in_any_case_behind_prefixes_and_of_any_length(spark, make_docs,
     text = got[len(heads)].text
     assert re.fullmatch(r"api_key=(?:[a-z]\d{4}){400} end", text)
     assert not any(long[at:at + 12] in text for at in range(0, len(long) - 12))
+
+
+def test_pools_widen_when_entities_outnumber_them(spark, stage, monkeypatch):  # noqa: F811
+    """More surnames than the syllables make (81 here), more addresses than two letters tell apart."""
+    monkeypatch.setitem(S.SYLLABLES, "latin", ("ba", "den", "fo"))
+    found = ([("name", f"m:n{i}") for i in range(100)] + [("email", f"a@b.d{i}.com") for i in range(800)])
+    out = S.distinct_surrogates(spark.createDataFrame(found, "kind string, canon string"), stage).collect()
+    assert len({(r.kind, r.value) for r in out}) == len(out) == 900
+    for r in out:
+        assert re.fullmatch("[A-Z][a-z]+" if r.kind == "name" else r"[a-z]+@[a-z]\.example\.com", r.value)

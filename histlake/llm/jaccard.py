@@ -3,7 +3,7 @@ r"""N-gram Jaccard join by a blocked sparse matrix product (operator 13).
 Rows of the matrix are documents, columns are word n-grams (hashed to 64
 bits); the product with its transpose holds the overlaps.  Two documents
 link when ``100 * overlap >= percent * union``.  Texts with one set of n-grams
-are one row (a class): they are told apart by 128 bits over their set.
+are one row (a class): its key is the set's size and 64 bits over the set.
 
 1. Incidences go out in blocks (rows of one task x a range of columns), packed
    as arrays.  A task has all of its columns: columns that one class has alone
@@ -16,7 +16,7 @@ are one row (a class): they are told apart by 128 bits over their set.
    Where those are columns of its own the class is done as well.
 3. What is left is grouped: classes that have one of these rarest columns in
    common, and sizes that allow a link, belong to one group (connected
-   components over one row a class and column).  Linked classes are always in
+   components over the first class of each column and band of size).  Linked classes are always in
    one group.  A group goes in blocks of bounded rows and bytes, made within
    bands of size; a block meets itself, the other blocks of its band and those
    of the next band, as one task's unit each.
@@ -30,7 +30,8 @@ link with nothing; fewer words than an n-gram make one n-gram; repeated rows
 are documents of one class; a null doc_id is the smallest of its component
 only if all are null; no documents give no rows; only doc_id and text are read.
 An n-gram's hash stands for it: two different ones of one document pair agree
-with a probability of 2**-64 a pair of n-grams.
+with a probability of 2**-64 a pair of n-grams, and two sets of one size with
+2**-64 a pair of sets.
 """
 
 from __future__ import annotations
@@ -49,11 +50,11 @@ from histlake.llm.common import Stage, connected_components, py_lower_ascii
 NGRAM = 4
 PERCENT = 85
 SEED = 42
-BLOCK_TEXT = 4 << 20       # characters of a row block
+BLOCK_TEXT = 8 << 20       # characters of a row block
 BLOCK_ROWS = 512           # classes of a product block
 BLOCK_CELLS = 1 << 20      # shared columns of a product block, or one class's
 FEW = 8                    # rows of a column that goes as pairs
-TASK_BYTES = 32 << 20
+TASK_BYTES = 24 << 20
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -95,18 +96,26 @@ def need(size, percent: int = PERCENT):
 # -- packed blocks -----------------------------------------------------------
 # A packed row: `n` classes with `counts[k]` columns each; lists lie one after the other.
 
-_PACKED = "at int, doc_ids binary, keys binary, sizes binary, counts binary, cols binary, freqs binary"
+_PACKED = "at int, doc_ids binary, keys binary, counts binary, cols binary, freqs binary"
+_KEY = np.dtype([("size", np.uint32), ("hash", np.uint64)])  # 12 bytes
+_ID = np.dtype([("null", np.bool_), ("id", np.int64)])
 
 
-def _pack(at: int, keys, sizes, counts, cols, freqs=None, doc_ids=None) -> dict:
+def _pack(at: int, keys, counts, cols, freqs=None, doc_ids=None) -> dict:
+    narrow = np.uint8 if not len(counts) or counts.max() < 256 else np.uint32
     return {"at": at, "doc_ids": None if doc_ids is None else doc_ids.tobytes(), "keys": keys.tobytes(),
-            "sizes": sizes.astype(np.int64).tobytes(), "counts": counts.astype(np.int32).tobytes(),
-            "cols": cols.tobytes(), "freqs": None if freqs is None else freqs.astype(np.int32).tobytes()}
+            "counts": counts.astype(narrow).tobytes(), "cols": cols.tobytes(),
+            "freqs": None if freqs is None else freqs.astype(np.uint32).tobytes()}
+
+
+def _counts(row: dict) -> np.ndarray:
+    wide = len(row["counts"]) * _KEY.itemsize != len(row["keys"])
+    return np.frombuffer(row["counts"], np.uint32 if wide else np.uint8).astype(np.int64)
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     kinds = {"at": pa.int32()}
-    names = ["at", "doc_ids", "keys", "sizes", "counts", "cols", "freqs"]
+    names = ["at", "doc_ids", "keys", "counts", "cols", "freqs"]
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds.get(c, pa.binary())) for c in names], names)
 
 
@@ -114,23 +123,20 @@ def _flat(parts: list[bytes], kind) -> np.ndarray:
     return np.frombuffer(b"".join(parts), kind)
 
 
-_KEY = np.dtype([("hi", np.uint64), ("lo", np.uint64)])
-
-
 def _row_blocks(columns: int, n: int):
     """Batches of doc_id, text -> packed incidences by range of columns
     (``at`` >= 0) and packed documents (``at`` < 0: dealt out anyhow)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _WordHashes(), set()
         turn = 0
-        ids, doc_keys, doc_sizes, keys, sets, held = [], [], [], [], [], 0
+        ids, doc_keys, keys, sets, held = [], [], [], [], 0
 
         def written() -> Iterator[pa.RecordBatch]:
             nonlocal turn
             turn += 1
-            docs = np.array([(i is None, i or 0) for i in ids], [("null", np.bool_), ("id", np.int64)])
-            yield _batch([_pack(-1 - (turn * 7919 + docs.size) % columns, np.array(doc_keys, _KEY),
-                                np.array(doc_sizes), np.zeros(0), np.zeros(0), doc_ids=docs)])
+            docs = np.array([(i is None, i or 0) for i in ids], _ID)
+            yield _batch([_pack(-1 - (turn * 7919 + docs.size) % columns, np.array(doc_keys, _KEY), np.zeros(0),
+                                np.zeros(0), doc_ids=docs)])
             if not sets:
                 return
             size = np.array([len(s) for s in sets])
@@ -143,7 +149,7 @@ def _row_blocks(columns: int, n: int):
             out = []
             for lo, hi in zip([0, *cuts], [*cuts, len(at)], strict=True):
                 mine, counts = np.unique(row[lo:hi], return_counts=True)
-                out.append(_pack(int(at[lo]), key[mine], size[mine], counts, flat[lo:hi]))
+                out.append(_pack(int(at[lo]), key[mine], counts, flat[lo:hi]))
             for lo in range(0, len(out), 64):
                 yield _batch(out[lo:lo + 64])
 
@@ -151,11 +157,9 @@ def _row_blocks(columns: int, n: int):
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py()
                 cols = ngrams(text, words, n)
-                d = xxhash.xxh3_128_intdigest(cols.tobytes(), SEED) if len(cols) else 0
-                key = (d >> 64, d & ((1 << 64) - 1))
+                key = (len(cols), xxhash.xxh3_64_intdigest(cols.tobytes(), SEED) if len(cols) else 0)
                 ids.append(i)
                 doc_keys.append(key)
-                doc_sizes.append(len(cols))
                 held += len(text or "") + 64
                 if len(cols) and key not in seen:  # copies in a task go out once
                     if len(seen) > 1 << 20:
@@ -165,7 +169,7 @@ def _row_blocks(columns: int, n: int):
                     sets.append(cols)
                 if held > BLOCK_TEXT:
                     yield from written()
-                    ids, doc_keys, doc_sizes, keys, sets, held = [], [], [], [], [], 0
+                    ids, doc_keys, keys, sets, held = [], [], [], [], 0
         if ids:
             yield from written()
 
@@ -177,28 +181,30 @@ def _shared_columns(homes: int):
     one class has, packed by home of the class, with the number of classes.
     Packed documents pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sizes, counts, cols = [], [], [], []
+        keys, counts, cols = [], [], []
         for batch in batches:
-            docs = [r for r in batch.to_pylist() if r["at"] < 0]
+            rows = batch.to_pylist()
+            docs = [r for r in rows if r["at"] < 0]
             if docs:
                 yield _batch([r | {"at": -1} for r in docs])
-            for r in batch.to_pylist() if len(docs) < len(batch) else []:
+            for r in rows:
                 if r["at"] >= 0:
-                    for name, held in (("keys", keys), ("sizes", sizes), ("counts", counts), ("cols", cols)):
-                        held.append(r[name])
+                    keys.append(r["keys"])
+                    counts.append(_counts(r))
+                    cols.append(r["cols"])
         if not cols:
             return
-        key, size = _flat(keys, _KEY), _flat(sizes, np.int64)
-        owner = np.repeat(np.arange(len(key)), _flat(counts, np.int32))
+        key = _flat(keys, _KEY)
+        owner = np.repeat(np.arange(len(key)), np.concatenate(counts))
         col = _flat(cols, np.uint64)
-        del keys, sizes, counts, cols
+        del keys, counts, cols
         order = np.argsort(col, kind="stable")
         col, owner = col[order], owner[order]
         same = col[1:] == col[:-1]
         keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         col, owner = col[keep], owner[keep]
         # the same class from several tasks counts once
-        order = np.lexsort((key["lo"][owner], key["hi"][owner], col))
+        order = np.lexsort((key["hash"][owner], key["size"][owner], col))
         col, owner = col[order], owner[order]
         twin = np.zeros(len(col), bool)
         twin[1:] = (col[1:] == col[:-1]) & (key[owner[1:]] == key[owner[:-1]])
@@ -210,16 +216,16 @@ def _shared_columns(homes: int):
         col, owner, freq = col[freq > 1], owner[freq > 1], freq[freq > 1]
         if not len(col):
             return
-        home = (key["lo"][owner] % np.uint64(homes)).astype(np.int64)
-        order = np.lexsort((key["lo"][owner], key["hi"][owner], home))
+        home = (key["hash"][owner] % np.uint64(homes)).astype(np.int64)
+        order = np.lexsort((key["hash"][owner], key["size"][owner], home))
         col, owner, freq, home = col[order], owner[order], freq[order], home[order]
         cuts = np.flatnonzero(np.diff(home)) + 1
         out = []
         for lo, hi in zip([0, *cuts], [*cuts, len(home)], strict=True):
             k = key[owner[lo:hi]]
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            out.append(_pack(int(home[lo]), k[first], size[owner[lo:hi][first]],
-                             np.diff(np.concatenate([first, [hi - lo]])), col[lo:hi], freq[lo:hi]))
+            out.append(_pack(int(home[lo]), k[first], np.diff(np.concatenate([first, [hi - lo]])), col[lo:hi],
+                             freq[lo:hi]))
         for lo in range(0, len(out), 64):
             yield _batch(out[lo:lo + 64])
 
@@ -231,36 +237,37 @@ def _candidates(percent: int):
     with their shared columns (ascending) and the rarest of them, of which a
     linked class has one too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {c: [] for c in ("keys", "sizes", "counts", "cols", "freqs")}
+        held = {c: [] for c in ("keys", "cols", "freqs")}
+        counts = [np.zeros(0, np.int64)]
         for batch in batches:
+            counts += [_counts(r) for r in batch.select(["keys", "counts"]).to_pylist()]
             for c, parts in held.items():
                 parts += batch.column(c).to_pylist()
-        key, size = _flat(held["keys"], _KEY), _flat(held["sizes"], np.int64)
-        owner = np.repeat(np.arange(len(key)), _flat(held["counts"], np.int32))
-        col, freq = _flat(held["cols"], np.uint64), _flat(held["freqs"], np.int32)
+        key = _flat(held["keys"], _KEY)
+        owner = np.repeat(np.arange(len(key)), np.concatenate(counts))
+        col, freq = _flat(held["cols"], np.uint64), _flat(held["freqs"], np.uint32)
         held.clear()
-        order = np.lexsort((col, freq, key["lo"][owner], key["hi"][owner]))
+        order = np.lexsort((col, freq, key["hash"][owner], key["size"][owner]))
         col, owner = col[order], owner[order]
         k = key[owner]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
         for lo in range(0, len(first), 1024):
-            out = {"hi": [], "lo": [], "size": [], "cols": [], "rarest": []}
+            out = {"hash": [], "size": [], "cols": [], "rarest": []}
             for a, b in zip(first[lo:lo + 1024], [*first[lo + 1:lo + 1024], first[lo + 1024] if lo + 1024 < len(first)
                                                   else len(k)], strict=True):
-                n = int(size[owner[a]])
+                n = int(k["size"][a])
                 own = n - (b - a)                    # columns no other class has: the rarest of all
                 prefix = n - need(n, percent) + 1
                 if own < prefix:
-                    out["hi"].append(k["hi"][a])
-                    out["lo"].append(k["lo"][a])
+                    out["hash"].append(k["hash"][a])
                     out["size"].append(n)
                     out["rarest"].append(col[a:a + prefix - own].view(np.int64))
                     out["cols"].append(np.sort(col[a:b]).tobytes())
             if out["size"]:
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.array(out[c], np.uint64).view(np.int64)) for c in ("hi", "lo")],
-                     pa.array(out["size"], pa.int64()), pa.array(out["cols"], pa.binary()),
-                     pa.array(out["rarest"], pa.list_(pa.int64()))], ["hi", "lo", "size", "cols", "rarest"])
+                    [pa.array(np.array(out["hash"], np.uint64).view(np.int64)), pa.array(out["size"], pa.int64()),
+                     pa.array(out["cols"], pa.binary()), pa.array(out["rarest"], pa.list_(pa.int64()))],
+                    ["hash", "size", "cols", "rarest"])
 
     return run
 
@@ -407,6 +414,29 @@ def _units(rows: DataFrame, band, shuffle: int) -> DataFrame:
 
 # -- jobs --------------------------------------------------------------------
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed documents -> doc_id, size, hash."""
+    for batch in batches:
+        for r in batch.select(["doc_ids", "keys"]).to_pylist():
+            ids, keys = np.frombuffer(r["doc_ids"], _ID), np.frombuffer(r["keys"], _KEY)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids["id"].copy(), mask=ids["null"]), pa.array(keys["size"].astype(np.int64)),
+                 pa.array(keys["hash"].copy().view(np.int64))], ["doc_id", "size", "hash"])
+
+
+def _neighbours(able: DataFrame, stage: Stage) -> DataFrame:
+    """Edges (a, b) that connect the classes ``able(id, band, rarest)`` with a
+    rare column in common and sizes in one band or in bands side by side: each
+    class with the first of its column and band, and these across bands."""
+    keyed = able.select("id", F.explode("rarest").alias("col"), "band")
+    first = stage.put(keyed.groupBy("col", "band").agg(F.min("id").alias("first")), "first")
+    own = keyed.join(first, ["col", "band"]).where("id <> first").select(F.col("id").alias("a"),
+                                                                         F.col("first").alias("b"))
+    up = first.select("col", (F.col("band") - 1).alias("band"), F.col("first").alias("b"))
+    across = first.join(up, ["col", "band"]).where("first <> b").select(F.col("first").alias("a"), "b")
+    return own.union(across).distinct()
+
+
 def components(docs: DataFrame, stage: Stage, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
     and n_links (documents it links with, copies included) of every row."""
@@ -416,37 +446,22 @@ def components(docs: DataFrame, stage: Stage, n: int = NGRAM, percent: int = PER
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(shuffle, -(-2 * total // TASK_BYTES))  # packed incidences: about twice the text
 
-    out = texts.mapInArrow(_row_blocks(4 * tasks, n), _PACKED)
+    out = texts.mapInArrow(_row_blocks(tasks, n), _PACKED)
     out = out.repartition(tasks, "at").mapInArrow(_shared_columns(tasks), _PACKED)
     out = stage.put(out, "columns")
-
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["doc_ids"], [("null", np.bool_), ("id", np.int64)])
-                keys, sizes = np.frombuffer(r["keys"], _KEY), np.frombuffer(r["sizes"], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids["id"].copy(), mask=ids["null"]),
-                     *[pa.array(keys[c].copy().view(np.int64)) for c in ("hi", "lo")], pa.array(sizes)],
-                    ["doc_id", "hi", "lo", "size"])
-
-    rows = stage.put(out.where("at < 0").mapInArrow(unpacked, "doc_id long, hi long, lo long, size long"), "rows")
-    classes = rows.where("size > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("first"),
-                                                             F.count("*").alias("times"))
+    rows = stage.put(out.where("at < 0").mapInArrow(_documents, "doc_id long, size long, hash long"), "rows")
+    classes = rows.where("size > 0").groupBy("size", "hash").agg(F.min("doc_id").alias("first"),
+                                                                 F.count("*").alias("times"))
     able = out.where("at >= 0").repartition(tasks, "at").mapInArrow(
-        _candidates(percent), "hi long, lo long, size long, cols binary, rarest array<long>")
+        _candidates(percent), "hash long, size long, cols binary, rarest array<long>")
     able = stage.put(able.withColumn("id", F.monotonically_increasing_id()), "able")
 
-    # groups: a class and the columns among its rarest, by band of size, as one graph
     width = math.log(100 / percent) if percent < 100 else 1e-9
     band = F.floor(F.log(F.col("size")) / F.lit(width)).cast("int")
-    keyed = able.select("id", F.explode("rarest").alias("col"), band.alias("band"))
-    ends = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("b")
-    node = -F.xxhash64("col", "b").bitwiseAND(F.lit((1 << 62) - 1)) - 1  # ids are not negative
-    edges = keyed.select("id", "col", ends).select(F.col("id").alias("a"), node.alias("b"))
-    roots = connected_components(edges, stage).where("node >= 0").select(
+    roots = connected_components(_neighbours(able.select("id", band.alias("band"), "rarest"), stage), stage).select(
         F.col("node").alias("id"), F.col("root").alias("group"))
-    times = able.select("id", "hi", "lo").join(classes, ["hi", "lo"]).select("id", "hi", "lo", "first", "times")
+    times = able.select("id", "size", "hash").join(classes, ["size", "hash"]).select(
+        "id", "size", "hash", "first", "times")
     times = stage.put(times, "classes")
     cells = able.select("id", "size", "cols").join(roots, "id").join(times.select("id", "times"), "id")
     found = stage.put(_units(stage.put(cells, "cells"), band, tasks).mapInArrow(
@@ -457,11 +472,11 @@ def components(docs: DataFrame, stage: Stage, n: int = NGRAM, percent: int = PER
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     linked = times.join(parts, "id").join(counts, "id")
     low = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = linked.join(low, "root").select("hi", "lo", "component_id", "links")
-    known = classes.join(linked, ["hi", "lo"], "left").select(
-        "hi", "lo", F.coalesce("component_id", "first").alias("component_id"),
+    linked = linked.join(low, "root").select("size", "hash", "component_id", "links")
+    known = classes.join(linked, ["size", "hash"], "left").select(
+        "size", "hash", F.coalesce("component_id", "first").alias("component_id"),
         (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    some = rows.where("size > 0").join(known, ["hi", "lo"])
+    some = rows.where("size > 0").join(known, ["size", "hash"])
     none = rows.where("size = 0").withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")})
     cols = ["doc_id", F.col("size").alias("n_shingles"), "component_id", "n_links"]
     return some.select(cols).union(none.select(cols))

@@ -48,9 +48,9 @@ MIN_WORDS = 200
 MIN_DISTINCT_PERCENT = 50
 MAX_CAPITAL_PERCENT = 2
 SYMBOLS = b"#$%&*|"
-RANGE_BYTES = 2 << 20      # a range never holds more, unless it is one text
+RANGE_BYTES = 1 << 20      # a range never holds more, unless it is one text
 LEAST_RANGE = 64 << 10
-HELD_BYTES = 64 << 20      # texts of a first-step trie before it is written out
+HELD_BYTES = 16 << 20      # texts of a first-step trie before it is written out
 FIRST_DEPTH = 4
 
 _CAPITALS = bytes(range(65, 91))

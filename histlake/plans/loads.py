@@ -117,7 +117,7 @@ def _guard_batch_time(spark: SparkSession, spec: TableSpec, bt: str) -> None:
     clash = late.agg(F.max("dl_start_dt").cast("string")).first()[0]
     if clash is not None:
         raise ValueError(f"{spec.name}: current versions start at {clash}, not before the "
-                         f"minute of batch {bt}; use a later batch time")
+                         f"minute of batch {bt}; use a later batch time, or upsert_late")
 
 
 def _resume(spark: SparkSession, spec: TableSpec, load: str, bt: str) -> bool:
@@ -252,10 +252,12 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
 
 def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
                        snapshot: DataFrame | None = None, run_dir: str | None = None,
-                       purge: bool = True, **repair_kw) -> LoadResult:
+                       purge: bool = True, method: Callable[..., LoadResult] | None = None,
+                       **repair_kw) -> LoadResult:
     """P5: replace the ODS copy with the full raw extract, then :func:`repair`.
 
-    The extract is written once, as the ODS table's new partitions.
+    The extract is written once, as the ODS table's new partitions.  ``method``
+    is another repair to run, such as ``repair_by_digest``.
     """
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
@@ -271,7 +273,10 @@ def rebuild_and_repair(spark: SparkSession, spec: TableSpec, batch_ts,
         out.relocate(spec.ff_table, staged, {}, purge)
         out.forget(staged)
         out.run()
-    res = repair(spark, spec, bt, run_dir=rd, purge=purge, **repair_kw)
+    if method is None:
+        res = repair(spark, spec, bt, run_dir=rd, purge=purge, **repair_kw)
+    else:
+        res = method(spark, spec, bt, run_dir=rd, **repair_kw)
     res.load = "rebuild_and_repair"
     res.counts.update(counts)
     return res

@@ -762,7 +762,7 @@ def _conform_sql() -> str:
             f"{_fmt('TRY_CAST(o_orderdate AS TIMESTAMP)')} AS o_orderdate, o_orderpriority FROM {r} r")
 
 
-def _backfill_sql() -> str:
+def _backfill_cte() -> str:
     minutes = "((CAST(epoch(batch) AS BIGINT) - 946656000) // 60)"
     k = "CAST(event_id AS BIGINT)"
     dl_id = (f"CAST(CAST({minutes} AS HUGEINT) * CAST('{1 << MINUTE_SHIFT}' AS HUGEINT) "
@@ -774,8 +774,11 @@ def _backfill_sql() -> str:
             f"r AS (SELECT {dl_id} AS dl_id, {', '.join(EVENTS)}, coalesce(nxt, batch) AS dl_loaded_dt, "
             "batch AS dl_start_dt, coalesce(nxt, TIMESTAMP '9999-12-31 00:00:00') AS dl_end_dt, "
             "CASE WHEN nxt IS NULL THEN 'A' ELSE 'H' END AS dl_status, "
-            "CAST(day(coalesce(nxt, batch)) AS INTEGER) AS day FROM v) "
-            + _m_select("r", EVENTS))
+            "CAST(day(coalesce(nxt, batch)) AS INTEGER) AS day FROM v) ")
+
+
+def _backfill_sql() -> str:
+    return _backfill_cte() + _m_select("r", EVENTS)
 
 
 def _composite_sql() -> str:
@@ -953,11 +956,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_upsert": upsert_sql,
         "tables_upsert_composite": _composite_sql(),
     }
-    return q
+    from . import history_queries
+    return q | history_queries.oracle_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    from . import history_queries
+    return QUERIES | history_queries.QUERIES
 
 
 __all__ = ["AS_OF", "QUERIES", "T1", "T2", "T3", "oracle_sql", "present", "queries"]

@@ -19,9 +19,10 @@ parts never overlap, so ids are unique within a batch and between batches.
 from __future__ import annotations
 
 import calendar
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .slots import batch_datetime
@@ -78,3 +79,32 @@ def minutes_of(ts: Column | str) -> Column:
 def surrogate_id_at(ts: Column | str, ori_id: Column | str | None = None, wide: bool | None = None) -> Column:
     """:func:`surrogate_id` with a per-row batch time (for multi-batch loads)."""
     return _packed(minutes_of(ts).cast("decimal(17,0)"), ori_id, wide)
+
+
+def dense_ids(df: DataFrame, order_by: Sequence[str], path: str, name: str = "row_no") -> DataFrame:
+    """``df`` with ``name``: 0 .. n-1 without gaps, in the order of ``order_by``.
+
+    Two passes, no window over all rows: the rows are range-partitioned, sorted
+    and written to ``path`` with their place in their task; then every task's
+    count gives the offset of the next (one number a task comes to the driver),
+    and a row's number is offset + place.  Rows that tie in ``order_by`` follow
+    the hash of their columns; rows equal in all are interchangeable, and many
+    of them are spread over several tasks.
+
+    Below 2^33 rows the numbers fit the id layout for a given ``ori_id``, in
+    which they never meet those of another batch.
+    """
+    order = [*[F.col(c).asc_nulls_first() for c in order_by], F.col("_tie"), F.col("_no")]
+    placed = df.withColumns({"_tie": F.xxhash64(*df.columns), "_no": F.monotonically_increasing_id()})
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    placed.select(*df.columns, F.shiftright(place, PARTITION_SHIFT_IN).cast("int").alias("_task"),
+                  place.bitwiseAND(F.lit(SEQUENCE_MASK)).alias("_place")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    offset, entries = 0, []
+    for r in rows.groupBy("_task").count().orderBy("_task").collect():
+        entries.append((r["_task"], offset))
+        offset += r["count"]
+    offsets = df.sparkSession.createDataFrame(entries, "_task int, _offset long")
+    return rows.join(F.broadcast(offsets), "_task").select(  # a row a task
+        *df.columns, (F.col("_offset") + F.col("_place")).alias(name))

@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import as_of_join, coalesce_versions
-from ..sources.tables import create_layers
+from ..functions.ids import dense_ids, surrogate_id
+from ..functions.slots import slot_of
+from ..session import new_run_dir
+from ..sources.raw import read_raw, split_raw, write_raw
+from ..sources.tables import create_layers, drop_partitions, rotate_slot
 from .digests import repair_by_digest
 from .late import upsert_late
 from .loads import backfill, rebuild_and_repair, upsert
-from .registry import (M_TAIL, ORDERS, T1, T2, T3, _backfill_cte, _fmt, _fresh_db, _m_select,
-                       _m_two_batches, _repair_sql, _t, _two_batches_sql, events_by_day, events_spec, orders_new,
-                       orders_old, orders_spec, orders_third, present)
+from .registry import (LINEITEM, M_TAIL, ORDERS, ORDERS_TS, SQL_ORDERS_NEW, T1, T2, T3, _backfill_cte, _cols, _fmt,
+                       _fresh_db, _id_sql, _m_select, _m_two_batches, _repair_sql, _t, _two_batches_sql,
+                       events_by_day, events_spec, orders_new, orders_old, orders_spec, orders_third, present)
 
 LOOK_BACK_HOURS = 36
 
@@ -62,11 +66,84 @@ def q_tables_repair_digest(spark, d):
     return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
 
 
+def q_tables_upsert_indexed(spark, d):
+    """Three batches; a key index tells which days of the slice hold an arriving key."""
+    rd, db = _fresh_db(spark, "q-indexed")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src in ((T1, orders_old), (T2, orders_new), (T3, orders_third)):
+        upsert(spark, spec, ts, arrivals=src(spark, d), ori_id="o_orderkey", key_index=True)
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_dense_ids(spark, d):
+    """Every line item numbered without gaps, and the surrogate id made of the number."""
+    rows = dense_ids(_t(spark, d, "lineitem").select(*LINEITEM), LINEITEM, f"{new_run_dir(spark, 'dense')}/rows")
+    return present(rows.select(*LINEITEM, "row_no", surrogate_id(T1, "row_no").alias("dl_id")))
+
+
+def q_raw_quarantine(spark, d):
+    """Raw lines, every third of them a field short or with one too many: rows
+    that are read and lines that are kept aside, together the input."""
+    k = F.col("o_orderkey")
+    fields = [k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), F.col("o_orderpriority")]
+    whole = F.concat_ws("\t", *fields)
+    line = F.when(k % 9 == 0, F.concat_ws("\t", *fields[:3])).when(k % 9 == 3, F.concat(whole, F.lit("\tmore")))
+    path = f"{new_run_dir(spark, 'raw')}/f_orders"
+    _t(spark, d, "orders").select(F.coalesce(line, whole).alias("value")).write.option("lineSep", "\n").text(path)
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    good, rejected = split_raw(spark, path, names)
+    good = good.select(F.lit("read").alias("reason"), F.lit(len(names)).alias("fields"),
+                       F.concat_ws("\t", *names).alias("line"))
+    return good.unionByName(rejected.select("reason", "fields", "line"))
+
+
+def q_raw_escaped(spark, d):
+    """Text with tabs, line ends and backslashes through the raw layer and back."""
+    k = F.col("o_orderkey")
+    odd = F.concat(F.lit("\\"), "o_orderstatus", F.when(k % 2 == 0, "\t").otherwise("\\t"), "o_orderpriority",
+                   F.when(k % 3 == 0, "\n").otherwise("\\\\n"))
+    rows = _t(spark, d, "orders").select(k.cast("string").alias("o_orderkey"), F.when(
+        k % 5 == 0, F.lit("\\N")).when(k % 7 == 0, F.lit(None)).otherwise(odd).alias("note"))
+    path = f"{new_run_dir(spark, 'raw')}/f_notes"
+    write_raw(rows, path, escaped=True)
+    return read_raw(spark, path, ["o_orderkey", "note"], escaped=True)
+
+
+def q_tables_drop_status(spark, d):
+    """All closed versions and one day of the current slice dropped: what stays."""
+    rd, db = _fresh_db(spark, "q-drop")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src in ((T1, orders_old), (T2, orders_new), (T3, orders_third)):
+        upsert(spark, spec, ts, arrivals=src(spark, d), ori_id="o_orderkey")
+    drop_partitions(spark, spec.m_table, dl_status="H")
+    drop_partitions(spark, spec.m_table, dl_status="A", day=slot_of(T1, "month"))
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_rotate_slot(spark, d):
+    """The ODS copy's slot of the first load emptied before the month comes round."""
+    rd, db = _fresh_db(spark, "q-rotate")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src in ((T1, orders_old), (T2, orders_new)):
+        upsert(spark, spec, ts, arrivals=src(spark, d), ori_id="o_orderkey")
+    rotate_slot(spark, spec.ff_table, slot_of(T1, "month"))
+    return present(spark.table(spec.ff_table).select(*ORDERS, "dl_loaded_dt", "day"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "as_of_join": q_as_of_join,
     "coalesce_history": q_coalesce_history,
     "tables_upsert_late": q_tables_upsert_late,
     "tables_repair_digest": q_tables_repair_digest,
+    "tables_upsert_indexed": q_tables_upsert_indexed,
+    "dense_ids": q_dense_ids,
+    "raw_quarantine": q_raw_quarantine,
+    "raw_escaped": q_raw_escaped,
+    "tables_drop_status": q_tables_drop_status,
+    "tables_rotate_slot": q_tables_rotate_slot,
 }
 
 
@@ -99,6 +176,26 @@ def oracle_sql() -> dict[str, str]:
         "coalesce_history": _coalesce_sql(),
         "tables_upsert_late": _two_batches_sql() + _m_select("m3", ORDERS),
         "tables_repair_digest": _repair_sql() + _m_select("r", ORDERS),
+        "tables_upsert_indexed": _two_batches_sql() + _m_select("m3", ORDERS),
+        "dense_ids": (
+            f"WITH n AS (SELECT *, row_number() OVER (ORDER BY {', '.join(c + ' NULLS FIRST' for c in LINEITEM)}) - 1 "
+            f"AS row_no FROM lineitem) SELECT {_cols(LINEITEM, fmt_ts=('l_shipdate',))}, row_no, "
+            f"{_id_sql(T1, 'row_no')} AS dl_id FROM n"),
+        "raw_quarantine": (
+            "WITH o AS (SELECT o_orderkey AS k, concat_ws(chr(9), o_orderkey, o_custkey, o_orderstatus) AS short, "
+            "concat_ws(chr(9), o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS line FROM orders) "
+            "SELECT CASE WHEN k % 9 = 0 THEN 'missing fields' WHEN k % 9 = 3 THEN 'surplus fields' ELSE 'read' END "
+            "AS reason, CAST(CASE WHEN k % 9 = 0 THEN 3 WHEN k % 9 = 3 THEN 5 ELSE 4 END AS INTEGER) AS fields, "
+            "CASE WHEN k % 9 = 0 THEN short WHEN k % 9 = 3 THEN line || chr(9) || 'more' ELSE line END AS line FROM o"),
+        "raw_escaped": (
+            "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN chr(92) || 'N' "
+            "WHEN o_orderkey % 7 = 0 THEN NULL ELSE chr(92) || o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN chr(9) "
+            "ELSE chr(92) || 't' END || o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) "
+            "ELSE chr(92) || chr(92) || 'n' END END AS note FROM orders"),
+        "tables_drop_status": (_two_batches_sql() + _m_select("m3", ORDERS)
+                               + f" WHERE dl_status = 'A' AND day <> {slot_of(T1, 'month')}"),
+        "tables_rotate_slot": (f"SELECT {_cols(ORDERS, fmt_ts=ORDERS_TS)}, '{T2}' AS dl_loaded_dt, "
+                               f"CAST({slot_of(T2, 'month')} AS INTEGER) AS day FROM {SQL_ORDERS_NEW} s"),
     }
 
 

@@ -26,8 +26,9 @@ from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSED
                                 clean_required, close_rows,
                                 current, open_rows, stamp_load)
 from ..session import new_run_dir
+from ..sources.keyindex import days_with, indexed_days, refresh_index
 from ..sources.publish import Publication, finish_pending, was_published
-from ..sources.raw import conform, read_raw
+from ..sources.raw import conform, read_raw, split_raw
 from ..sources.tables import (delete_path, expired_survivors, partitions, stage, table_location, write_layout,
                               write_stage_table)
 from .spec import TableSpec
@@ -48,10 +49,19 @@ def _run_dir(spark: SparkSession, run_dir: str | None, label: str) -> str:
     return f"{run_dir.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}" if run_dir else new_run_dir(spark, label)
 
 
-def read_source(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The raw layer f, typed by the spec (unparsable values become null)."""
+def read_source(spark: SparkSession, spec: TableSpec, rejects: str | None = None, escaped: bool = False) -> DataFrame:
+    """The raw layer f, typed by the spec (unparsable values become null).
+
+    With ``rejects`` lines without the declared number of fields are written
+    there (file, position, reason, fields, line) instead of being read with
+    fields missing or dropped; ``escaped`` undoes the raw format's escapes.
+    """
     path = table_location(spark, spec.f_table)
-    return conform(read_raw(spark, path, spec.column_names), spec.schema)
+    if rejects is None:
+        return conform(read_raw(spark, path, spec.column_names, escaped), spec.schema)
+    split = split_raw(spark, path, spec.column_names, escaped)
+    split.rejected.write.mode("overwrite").parquet(rejects)
+    return conform(split.good, spec.schema)
 
 
 def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None) -> DataFrame:
@@ -162,7 +172,8 @@ def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
            run_dir: str | None = None, broadcast_limit: int = DEFAULT_BROADCAST_BYTES,
            dedupe_arrivals: Sequence[str] | None = None, check_ids: bool = True,
-           ori_id=None, purge: bool = True, only_changed_days: bool = True) -> LoadResult:
+           ori_id=None, purge: bool = True, only_changed_days: bool = True,
+           key_index: bool = False) -> LoadResult:
     """Incremental upsert of arrivals (default: the raw layer f).
 
     Every arriving key closes its current version and opens the arrival.
@@ -172,6 +183,9 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     ``broadcast_limit`` bytes.  With ``only_changed_days`` (default) only
     the current-slice day partitions holding an arriving key, plus today's
     slot, are read, rewritten and swapped; the others stay untouched.
+    ``key_index`` keeps a Bloom filter and key range per day beside the table
+    and asks these, instead of the slice's keys, which days hold an arriving
+    key (a day it errs on is read and rewritten without need).
     """
     if not spec.keys:
         raise ValueError(f"{spec.name}: upsert needs a primary key")
@@ -195,7 +209,12 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
               if p.get("dl_status") == STATUS_CURRENT}
     # the key-only pass pays off only when there are other days to leave alone
     if only_changed_days and len(a_days - {slot}) > 1:
-        days = _changed_days(cur, n, spec, small) | {slot}
+        known = indexed_days(spark, spec) if key_index else {}
+        unknown = cur.filter(~F.col("day").isin(list(known))) if known else cur
+        days = {slot}
+        if a_days - set(known):
+            days |= _changed_days(unknown, n, spec, small)
+        days |= days_with(job, spec, clean_required(n, spec.required_all, spec.extra_filter), known)
         cur = cur.filter(F.col("day").isin(sorted(days)))
         counts["rewritten_days"] = len(days)
     rows = upsert_rows(cur, n, spec.keys, bt,
@@ -212,6 +231,8 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     out.forget(staged)
     out.forget(n_stage)
     out.run()
+    if key_index:
+        counts["indexed_days"] = refresh_index(spark, spec)
     counts["arrived"] = arrived
     counts["broadcast_keys"] = small
     counts["resumed"] = False
@@ -420,7 +441,7 @@ def retain(spark: SparkSession, spec: TableSpec, before, run_dir: str | None = N
     """S16 on the table: closed versions that ended before ``before`` go."""
     finish_pending(spark, spec)
     rd = _run_dir(spark, run_dir, f"retain-{spec.name}")
-    touched, staged = expired_survivors(spark, spec.m_table, before, rd, statuses)
+    touched, staged = expired_survivors(spark, spec.m_table, before, rd, statuses, spec.keys, spec.buckets)
     if touched:
         out = Publication(spark, spec, "retain")
         for status, day in touched:

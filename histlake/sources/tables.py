@@ -247,12 +247,14 @@ def rotate_slot(spark: SparkSession, table: str, day: int, status: str | None =
 
 
 def expired_survivors(spark: SparkSession, m_table: str, before, run_dir: str,
-                      statuses: Sequence[str] = (STATUS_SUPERSEDED,)) -> tuple[list, str | None]:
+                      statuses: Sequence[str] = (STATUS_SUPERSEDED,), keys: Sequence[str] = (),
+                      buckets: int | None = None) -> tuple[list, str | None]:
     """Stage what stays when closed versions that ended before ``before`` go.
 
     Only the ``(status, day)`` partitions holding expiring rows are touched:
     their survivors are written once into a stage table in the table's
-    layout.  Returns the touched partitions and the stage table.
+    layout, on a table bucketed by ``keys`` a bucket a task.  Returns the
+    touched partitions and the stage table.
     """
     m = spark.table(m_table)
     cond = expired(m, before, statuses)
@@ -263,5 +265,10 @@ def expired_survivors(spark: SparkSession, m_table: str, before, run_dir: str,
     in_touched = F.lit(False)
     for s, d in touched:
         in_touched = in_touched | ((F.col("dl_status") == s) & (F.col("day") == d))
-    survivors = write_layout(m.filter(in_touched & ~cond), ["dl_status", "day"], False)
+    survivors = m.filter(in_touched & ~cond)
+    if buckets:
+        # a plain repartition by the key would be dropped in favour of the scan's buckets,
+        # and then the scan reads without them
+        survivors = survivors.repartitionById(buckets, F.pmod(F.hash(*keys), F.lit(buckets)).cast("int"))
+    survivors = write_layout(survivors, ["dl_status", "day"], bool(buckets))
     return touched, write_stage_table(survivors, m_table, f"{run_dir}/expire")

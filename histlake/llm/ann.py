@@ -70,14 +70,19 @@ def search_block(q_id: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray
     f = np.maximum(scalar, 1e-12)
     estimate = (qt.astype(np.float32) @ code.T) / f.astype(np.float32)
     bound = eps * np.sqrt(np.maximum(1 - f * f, 0)) / f / np.sqrt(max(dim - 1, 1)) + 1e-6
+    repeats = len(np.unique(ids)) < len(ids)
     at_q, at_x, dist = [], [], []
     for i in range(len(q)):
         both = 2 * qn[i] * norm
         base = norm * norm + qn[i] * qn[i]
         low = base - both * np.minimum(estimate[i] + bound, 1.0)
         low[ids == q_id[i]] = np.inf
-        some = min(k, len(low))
-        first = np.argpartition(low, some - 1)[:some]
+        if repeats:  # the limit takes k different ids
+            by = np.argsort(low, kind="stable")
+            first = by[np.sort(np.unique(ids[by], return_index=True)[1])[:k]]
+        else:
+            first = np.argpartition(low, min(k, len(low)) - 1)[:k]
+        some = len(first)
         d = x[first] - q[i]
         worst = np.max((d * d).sum(axis=1), where=ids[first] != q_id[i], initial=0.0)
         if some < k or np.isinf(low[first]).any():

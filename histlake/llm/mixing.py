@@ -11,12 +11,14 @@ them; each is one distributed aggregation over the counts of documents by
 carrying the rounding error from the longest size of a source to the
 shortest, so a source misses its target by about one of its short documents.
 Which documents of a size get the extra copy is decided by the smallest
-hashes of (doc_id, text).
+hashes of (doc_id, text).  Rows that agree in source and both are numbered and
+hash with their number, so a text that is half of its source is taken as often
+as the target asks for; which of such rows is taken may change from run to run,
+how many may not.
 
 Edge cases: a null or empty text has size 0 and takes nothing; a null source
-is a source, last in order; rows that agree in doc_id and text are decided
-alike; an empty table mixes to an empty one; only doc_id, text and source
-are read, further columns pass through.
+is a source, last in order; an empty table mixes to an empty one; only doc_id,
+text and source are read, further columns pass through.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlake.llm.common import WORD, Stage
@@ -36,15 +38,43 @@ CAP = 2.0
 PART = 256
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words) and u, a hash that orders equal sizes."""
+def sized(docs: DataFrame, at: Column | None = None) -> DataFrame:
+    """doc_id, source, size (words), u, a hash that orders equal sizes, and at,
+    the row's number in a staged table."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    at = F.monotonically_increasing_id() if at is None else at
+    return docs.select(at.alias("at"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("source").cast("string").alias("source"),
                        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
                        F.xxhash64(F.lit(1), F.col("doc_id").cast("long"), text).alias("u"))
 
 
+def numbered(sizes: DataFrame, stage: Stage) -> DataFrame:
+    """``sizes`` with a ``u`` of its own for every row that repeats another: the
+    hash of ``u`` and the row's number among its like.  Numbers are given in two
+    passes (place within the task that wrote the row, then the tasks' running
+    counts), so no group is gathered in one task."""
+    key = ["source", "size", "u"]
+    many = stage.put(sizes.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1").select(
+        *[F.col(c).alias("r_" + c) for c in key]), "repeated")
+    if many.isEmpty():
+        return sizes
+    like = ((F.col("u") == F.col("r_u")) & (F.col("size") == F.col("r_size"))
+            & F.col("source").eqNullSafe(F.col("r_source")))
+    rows = stage.put(sizes.join(many, like, "left").select(
+        *sizes.columns, F.col("r_u").isNotNull().alias("again"), F.shiftright("at", 33).alias("task")), "again")
+    again = rows.where("again")
+    before = Window.partitionBy(*key).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    starts = stage.put(again.groupBy(*key, "task").agg(F.count("*").alias("c")).withColumn(
+        "start", F.coalesce(F.sum("c").over(before), F.lit(0))).select(
+        *[F.col(c).alias("r_" + c) for c in [*key, "task"]], "start"), "starts")
+    place = F.row_number().over(Window.partitionBy(*key, "task").orderBy("at"))
+    again = again.withColumn("place", place).join(starts, like & (F.col("task") == F.col("r_task")))
+    no = F.col("start") + F.col("place") - 1
+    again = again.withColumn("u", F.when(no > 0, F.xxhash64("u", no)).otherwise(F.col("u")))
+    return stage.put(rows.where("not again").select(sizes.columns).union(again.select(sizes.columns)), "numbered")
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                    cap: float = CAP) -> DataFrame:
     """One row a source: sid, source, docs, source_size, target.
@@ -174,8 +204,12 @@ def copy_rules(sizes: DataFrame, targets: DataFrame, stage: Stage, cap: float =
 
 def mix(docs: DataFrame, stage: Stage, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
         cap: float = CAP) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken and row (the document)."""
-    sizes = stage.put(sized(docs), "sizes")
+    """doc_id, size, source_size, target, copies and taken of every row."""
+    return _mixed(stage.put(sized(docs), "sizes"), stage, weights, share, cap)
+
+
+def _mixed(sizes: DataFrame, stage: Stage, weights: Sequence[float], share: float, cap: float) -> DataFrame:
+    sizes = numbered(sizes, stage)
     targets = stage.put(source_targets(sizes, weights, share, cap), "targets")
     rules = copy_rules(sizes, targets, stage, cap)
     return _apply(sizes, rules, targets)
@@ -198,14 +232,9 @@ def _apply(sizes: DataFrame, rules: DataFrame, targets: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, stage: Stage, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                     cap: float = CAP) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns unchanged."""
-    rows = mix(docs, stage, weights, share, cap)
-    # rows that agree in doc_id and text (and so in u) are decided alike
-    copies = rows.select(F.col("doc_id").alias("d"), F.col("u").alias("h"), F.col("source").alias("s"),
-                         "copies").where("copies > 0").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    full = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("source").cast("string").alias("source"),
-                       F.xxhash64(F.lit(1), F.col("doc_id").cast("long"), text).alias("u"))
-    full = full.join(copies, full.doc_id.eqNullSafe(copies.d) & (full.u == copies.h)
-                     & full.source.eqNullSafe(copies.s))
-    return full.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    kept = stage.put(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "rows")
+    read = kept.select("row.doc_id", "row.text", "row.source", F.col("at").alias("row_no"))
+    sizes = stage.put(sized(read, F.col("row_no")), "sizes")
+    rows = _mixed(sizes, stage, weights, share, cap).where("copies > 0").select("at", "copies")
+    return kept.join(rows, "at").select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -62,3 +62,20 @@ def test_edge_cases(spark, stage):  # noqa: F811
     assert A.nearest(df.limit(0), stage, F.col("vec_id") % 100 == 0).count() == 0
     two = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0])], "vec_id long, embedding array<float>")
     assert [(r.vec_id, r.score) for r in A.nearest(two, stage, F.col("vec_id") == 0).collect()] == [(1, 1.0)]
+
+
+def test_ids_repeated_more_than_k_times(spark, stage):  # noqa: F811
+    """60 copies of a near id, 40 vectors of another, and still all k neighbours."""
+    rng = np.random.default_rng(4)
+    rows = [(100, [0.1] * 8)] + [(7, [0.11] * 8)] * 60 + [(8, (0.1 + rng.random(8) / 50).tolist()) for _ in range(40)]
+    rows += [(1000 + i, rng.standard_normal(8).tolist()) for i in range(2000)]
+    rows += [(5001 + i, rng.standard_normal(8).tolist()) for i in range(40)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = A.nearest(df, stage, F.col("vec_id") == 100).orderBy("rank").collect()
+    best = {}
+    for i, v in rows:
+        if i != 100:
+            best[i] = min(best.get(i, 9e9), float(np.sqrt(((np.array(v) - 0.1) ** 2).sum())))
+    want = sorted((d, i) for i, d in best.items())[:10]
+    assert [r.vec_id for r in got] == [i for _, i in want] and [r["rank"] for r in got] == list(range(1, 11))
+    assert np.allclose([r.score for r in got], [d for d, _ in want])

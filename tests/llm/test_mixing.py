@@ -95,6 +95,38 @@ def test_hot_size_and_sources(spark, make_docs, stage):
 def test_edge_cases(spark, odd_docs, stage):
     rows = M.mix(odd_docs, stage).collect()
     assert len(rows) == odd_docs.count()
-    assert len({r.taken for r in rows if r.doc_id == 6}) == 1
     assert M.mix(odd_docs.limit(0), stage).count() == 0
     assert M.mixed_documents(odd_docs, stage).schema == odd_docs.schema
+
+
+def test_repeated_rows_meet_the_target(spark, make_docs, stage):
+    """One text is a whole source; three texts are two; a row is half of a source."""
+    cases = [[(1, "a b c d e f g h", "s")] * 1000,
+             [(k, t, s) for s in ("x", "y") for k, t in enumerate(("a b c", "d e", "f")) for _ in range(50)],
+             [(7, "w " * 9, "s")] * 500 + [(100 + i, "v " * (1 + i % 20), "s") for i in range(500)]
+             + [(9000 + i, "u " * 30, None) for i in range(300)]]
+    for docs in cases:
+        df = make_docs(docs).repartition(6)
+        rows = M.mix(df, stage).collect()
+        assert len(rows) == len(docs) and all(0 <= r.copies <= 2 for r in rows)
+        size, taken, shortest = {}, {}, {}
+        source = {(d, len(WORDS.findall(t))): s for d, t, s in docs} if len({(d, s) for d, _, s in docs}) == len(
+            {d for d, _, _ in docs}) else None
+        for _, t, s in docs:
+            n = len(WORDS.findall(t))
+            size[s] = size.get(s, 0) + n
+            shortest[s] = min(shortest.get(s, n), n)
+        target = brute_targets(size)
+        for r in rows:
+            s = source[r.doc_id, r["size"]] if source else None
+            taken[s] = taken.get(s, 0) + r.taken
+        if source:
+            for s in size:
+                assert abs(taken[s] - target[s]) <= max(0.02 * target[s], shortest[s])
+        assert abs(sum(taken.values()) - sum(target.values())) <= max(0.02 * sum(target.values()), 8)
+        out = M.mixed_documents(df, stage)
+        assert out.schema == df.schema and out.count() == sum(r.copies for r in rows)
+        words = out.agg(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0]
+        assert words == sum(r.taken for r in rows)
+        again = M.mix(df, stage).select("doc_id", "copies").collect()
+        assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in rows)

@@ -23,7 +23,8 @@ from ..operators.scd2 import repair_rows
 from ..operators.stamps import STATUS_CURRENT, STATUS_SUPERSEDED, clean_required, current
 from ..sources.publish import Publication, _journal_id, _log_dir, _names
 from ..sources.tables import partition_location, partitions, stage, table_location
-from .loads import LoadResult, _resume, _run_dir, _stage_main, _verify, job_session
+from .evolution import column_versions
+from .loads import LoadResult, _resume, _run_dir, _stage_main, _verify, job_session, repair
 from .spec import TableSpec
 
 _DIGESTS = "_histlake_digest"
@@ -63,10 +64,14 @@ def repair_by_digest(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: st
 
     The snapshot is read once for its digests (a sum per task and bucket) and
     once more for the rows of differing buckets.  Rows repeated in the snapshot
-    but not in the table make a bucket differ; it is read then, and stays.
+    but not in the table make a bucket differ; it is read then, and stays.  A
+    table whose columns changed is repaired whole: its versions are compared by
+    different columns.
     """
     if not spec.keys or not spec.buckets:
         raise ValueError(f"{spec.name}: a repair by digest needs a table bucketed by its key")
+    if len(column_versions(spark, spec)) > 1:
+        return repair(spark, spec, batch_ts, run_dir=run_dir, check_ids=check_ids, ori_id=ori_id)
     bt = batch_text(batch_ts)
     slot = slot_of(bt, "month")
     rd = _run_dir(spark, run_dir, f"digest-{spec.name}")

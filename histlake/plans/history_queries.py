@@ -14,12 +14,17 @@ from ..functions.slots import slot_of
 from ..session import new_run_dir
 from ..sources.raw import read_raw, split_raw, write_raw
 from ..sources.tables import create_layers, drop_partitions, rotate_slot
+from .compaction import compact
+from .dedup_days import ods_dedup_days
 from .digests import repair_by_digest
+from .evolution import evolve
 from .late import upsert_late
-from .loads import backfill, rebuild_and_repair, upsert
-from .registry import (LINEITEM, M_TAIL, ORDERS, ORDERS_TS, SQL_ORDERS_NEW, T1, T2, T3, _backfill_cte, _cols, _fmt,
-                       _fresh_db, _id_sql, _m_select, _m_two_batches, _repair_sql, _t, _two_batches_sql,
-                       events_by_day, events_spec, orders_new, orders_old, orders_spec, orders_third, present)
+from .loads import backfill, rebuild_and_repair, repair, upsert
+from .registry import (LINEITEM, M_TAIL, ORDERS, ORDERS_TS, SQL_ORDERS_NEW, SQL_ORDERS_OLD, SQL_ORDERS_THIRD, T1, T2,
+                       T3, T3_LATER, _backfill_cte, _close_sql, _cols, _ff_loaded_table, _ff_two_loads_sql, _fmt,
+                       _fresh_db, _id_sql, _m_select, _m_two_batches, _open_sql, _repair_sql, _t, _two_batches_sql,
+                       _upsert_sql, events_by_day, events_spec, orders_new, orders_old, orders_spec, orders_third,
+                       present)
 
 LOOK_BACK_HOURS = 36
 
@@ -133,6 +138,43 @@ def q_tables_rotate_slot(spark, d):
     return present(spark.table(spec.ff_table).select(*ORDERS, "dl_loaded_dt", "day"))
 
 
+COMPACTED = ((T1, orders_old, SQL_ORDERS_OLD), (T2, orders_third, SQL_ORDERS_THIRD), (T3, orders_new, SQL_ORDERS_NEW),
+             (T3_LATER, orders_third, SQL_ORDERS_THIRD))
+
+
+def q_tables_compact(spark, d):
+    """Four loads, two into one slot; then the small files of closed slots are joined."""
+    rd, db = _fresh_db(spark, "q-compact")
+    spec = orders_spec(db)
+    create_layers(spark, spec, rd)
+    for ts, src, _ in COMPACTED:
+        upsert(spark, spec, ts, arrivals=src(spark, d), ori_id="o_orderkey")
+    compact(spark, spec, statuses=("H", "A"))
+    return present(spark.table(spec.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_schema_change(spark, d):
+    """T1 without the priority and with narrow customer numbers; from T2 on the
+    priority is there.  Orders whose other columns stay keep their version."""
+    rd, db = _fresh_db(spark, "q-evolve")
+    new = orders_spec(db)
+    narrow = tuple((c, "int" if c == "o_custkey" else t) for c, t in new.columns if c != "o_orderpriority")
+    old = new.with_(columns=narrow)
+    create_layers(spark, old, rd)
+    upsert(spark, old, T1, arrivals=orders_old(spark, d), ori_id="o_orderkey")
+    evolve(spark, old, new, T2)
+    rebuild_and_repair(spark, new, T2, snapshot=orders_new(spark, d), ori_id="o_orderkey")
+    repair(spark, new, T3, ori_id="o_orderkey")   # the same snapshot again: nothing changes
+    return present(spark.table(new.m_table).select("dl_id", *ORDERS, *M_TAIL))
+
+
+def q_tables_ods_dedup_days(spark, d):
+    """The deduplication of ``tables_ods_dedup``, day by day."""
+    spec = _ff_loaded_table(spark, d, "q-dedup-days")
+    ods_dedup_days(spark, spec)
+    return present(spark.table(spec.ff_table).select(*ORDERS, "dl_loaded_dt", "day"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "as_of_join": q_as_of_join,
     "coalesce_history": q_coalesce_history,
@@ -144,6 +186,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_escaped": q_raw_escaped,
     "tables_drop_status": q_tables_drop_status,
     "tables_rotate_slot": q_tables_rotate_slot,
+    "tables_compact": q_tables_compact,
+    "tables_schema_change": q_tables_schema_change,
+    "tables_ods_dedup_days": q_tables_ods_dedup_days,
 }
 
 
@@ -170,8 +215,36 @@ def _coalesce_sql() -> str:
             + _m_select("r", ORDERS).replace(" FROM r", ", versions FROM r"))
 
 
+def _batches_sql(batches) -> str:
+    """Upserts one after the other; ``m`` is the table after them all."""
+    first, (ts, _, src) = [], batches[0]
+    first.append(f"a0 AS ({_open_sql(src, ORDERS, 'o_orderkey', ts, slot_of(ts, 'month'))})")
+    for i, (ts, _, src) in enumerate(batches[1:], 1):
+        first.append(f"m{i} AS ({_upsert_sql(f'a{i - 1}', src, ORDERS, 'o_orderkey', ts, ['o_custkey'])})")
+        first.append(f"a{i} AS (SELECT * FROM m{i} WHERE dl_status = 'A')")
+    closed = " UNION ALL ".join(f"SELECT * FROM m{i} WHERE dl_status = 'H'" for i in range(1, len(batches)))
+    return f"WITH {', '.join(first)}, m AS (SELECT * FROM a{len(batches) - 1} UNION ALL {closed}) "
+
+
+def _schema_change_sql() -> str:
+    old = [c for c in ORDERS if c != "o_orderpriority"]
+    bare = f"(SELECT * REPLACE (CAST(NULL AS VARCHAR) AS o_orderpriority) FROM {SQL_ORDERS_OLD})"
+    same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM a.{c}" for c in old)
+    s1, s2 = slot_of(T1, "month"), slot_of(T2, "month")
+    fresh = f"(SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM a WHERE {same}) AND o_custkey IS NOT NULL)"
+    return (f"WITH a AS ({_open_sql(bare, ORDERS, 'o_orderkey', T1, s1)}), n AS (SELECT * FROM {SQL_ORDERS_NEW}), "
+            f"r AS (SELECT * FROM a WHERE EXISTS (SELECT 1 FROM n WHERE {same}) UNION ALL "
+            + _close_sql("a", ORDERS, T2, "H", s2, f"WHERE NOT EXISTS (SELECT 1 FROM n WHERE {same})")
+            + " UNION ALL " + _open_sql(fresh, ORDERS, "o_orderkey", T2, s2) + ") " + _m_select("r", ORDERS))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "tables_compact": _batches_sql(COMPACTED) + _m_select("m", ORDERS),
+        "tables_schema_change": _schema_change_sql(),
+        "tables_ods_dedup_days": (
+            _ff_two_loads_sql() + f"SELECT {_cols(ORDERS, fmt_ts=ORDERS_TS)}, {_fmt('max(dl_loaded_dt)')} AS "
+            "dl_loaded_dt, arg_max(day, dl_loaded_dt) AS day FROM u GROUP BY ALL"),
         "as_of_join": _as_of_join_sql(),
         "coalesce_history": _coalesce_sql(),
         "tables_upsert_late": _two_batches_sql() + _m_select("m3", ORDERS),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
+from ..operators.evolve import evolved_repair_rows
 from ..operators.hotkeys import hot_keys, place_by_key
 from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
 from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
@@ -31,6 +32,7 @@ from ..sources.publish import Publication, finish_pending, was_published
 from ..sources.raw import conform, read_raw, split_raw
 from ..sources.tables import (delete_path, expired_survivors, partitions, stage, table_location, write_layout,
                               write_stage_table)
+from .evolution import column_versions
 from .spec import TableSpec
 
 
@@ -256,9 +258,18 @@ def repair(spark: SparkSession, spec: TableSpec, batch_ts, run_dir: str | None =
     # keys that hold many rows go their own way, spread by checksum.
     parts = spec.buckets or int(job.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(snap, spec.keys, parts)
-    rows = repair_rows(current(job.table(spec.m_table)), snap, spec.keys, bt, spec.required,
-                       spec.extra_filter, slot, ori_id=ori_id, strict=strict,
-                       clean_first=clean_first, buckets=spec.buckets, hot=hot, parts=parts)
+    versions = column_versions(spark, spec)
+    if len(versions) > 1:
+        if clean_first or not strict:
+            raise ValueError(f"{spec.name}: its columns changed; only the strict repair that cleans last knows how")
+        rows = evolved_repair_rows(current(job.table(spec.m_table)), snap, spec.keys, bt, versions, spec.required,
+                                   spec.extra_filter, slot, ori_id=ori_id)
+        if spec.buckets:
+            rows = place_by_key(rows, spec.keys, spec.buckets, hot, ["dl_id"])
+    else:
+        rows = repair_rows(current(job.table(spec.m_table)), snap, spec.keys, bt, spec.required,
+                           spec.extra_filter, slot, ori_id=ori_id, strict=strict,
+                           clean_first=clean_first, buckets=spec.buckets, hot=hot, parts=parts)
     staged = _stage_main(spec, rows, rd)
     counts = _verify(spark.table(staged), bt, slot, check_ids and ori_id is not None)
     if hot:

@@ -12,10 +12,11 @@ parity signatures of the characters (an edit flips two bits at most) discard
 pairs, and a banded bit-parallel edit distance verifies the others; only
 links leave it.
 
-Lines of fewer than ``min_chars`` code points link to nothing and always
-stay.  Exact copies are one text with many places.  A class is everything
-that links reach; its first line (by doc_id, null last, then by text hash,
-then line number) stays, the others are dropped.
+Exact copies are one text with many places, at every length: they are found
+by grouping, not by the join.  Lines of fewer than ``min_chars`` code points
+link to no different text; of these, lines without a word always stay.  A class
+is everything that links reach; its first line (by doc_id, null last, then by
+text hash, then line number) stays, the others are dropped.
 
 Edge cases: a null text has no lines, an empty one has one empty line; rows
 that agree in doc_id and text are repeated rows and share one decision;
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histlake.llm.common import Stage, connected_components
+from histlake.llm.common import WORD, Stage, connected_components
 
 TAU = 2
 MIN_CHARS = 30
@@ -153,20 +154,25 @@ def within(a: str, b: str, tau: int) -> bool:
     m = len(a)
     if not m:
         return len(b) <= tau
-    where: dict[str, int] = {}
-    for r, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << r
     last = 2 * tau
     mask = (2 << last) - 1
+    # rows of the band by character, as a mask and the column it is written for;
+    # a column adds the row that enters the band, so no mask is longer than it
+    where: dict[str, tuple[int, int]] = {}
+    for r, c in enumerate(a[:tau]):
+        where[c] = (where.get(c, (0, 0))[0] | 1 << (r + tau + 1), 0)
     up = mask >> (tau + 1) << (tau + 1)      # column 0 rises by one a row below row 0
     down = 0
     score = min(m, tau)
     for j, c in enumerate(b, 1):
         up = up >> 1 | 1 << last
         down >>= 1
-        eq = where.get(c, 0)
-        shift = j - tau - 1
-        eq = (eq >> shift if shift >= 0 else eq << -shift) & mask
+        if j + tau <= m:
+            x = a[j + tau - 1]
+            held, at = where.get(x, (0, j))
+            where[x] = (held >> (j - at) | 1 << last, j)
+        held, at = where.get(c, (0, j))
+        eq = held >> (j - at) & mask
         diag = ((((eq & up) + up) ^ up) | eq | down) & mask   # no cost on the diagonal
         right = down | (mask & ~(diag | up))
         back = diag & up
@@ -292,7 +298,8 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     lines = lines_of(docs)
     h1, h2 = _hashes(F.col("line"))
     places = stage.put(lines.select("doc_id", "text_hash", "line_no", h1, h2,
-                                    (F.char_length("line") >= min_chars).alias("long")), "places")
+                                    ((F.char_length("line") >= min_chars) | F.col("line").rlike(WORD)).alias("long")),
+                       "places")
     links = stage.put(edit_links(lines, stage, tau, min_chars)
                       .select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b")), "links")
     degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
@@ -329,12 +336,14 @@ def drop_duplicate_lines(docs: DataFrame, stage: Stage, tau: int = TAU, min_char
     """The documents without the lines that repeat an earlier one; a document
     left with no line that holds a word goes.  Columns stay as they are."""
     drop = (line_classes(docs, stage, tau, min_chars).where("not kept")
-            .groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("drop")))
+            .groupBy("doc_id", "text_hash").agg(F.collect_set(F.col("line_no").cast("long")).alias("drop")))
     row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     drop = drop.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "drop")
     both = row.join(drop, row.doc_id.eqNullSafe(drop.d) & (row.text_hash == drop.t), "left")
-    rest = F.expr("array_join(filter(split(row.text, '\n'), (x, i) -> not array_contains(drop, bigint(i))), '\n')")
+    # the lines are cut once and what stays is found by a hash set: linear in the lines of a text
+    rest = F.expr("transform(array(split(row.text, '\n')), ls -> array_join(transform(array_except("
+                  "sequence(bigint(0), bigint(size(ls) - 1)), drop), i -> ls[int(i)]), '\n'))[0]")
     both = both.withColumn("text", F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(rest))
     both = both.where(F.col("drop").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     return both.select(*[F.col("text").cast(docs.schema["text"].dataType) if c == "text"

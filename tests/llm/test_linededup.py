@@ -76,11 +76,12 @@ def classes(rows, links, least):
         for x in link:
             degree[x] = degree.get(x, 0) + 1
     first = {}
+    grouped = lambda line: len(line) >= least or line.strip(" \t\n\x0b\x0c\r")
     for place, line in sorted(rows):
-        if len(line) >= least:
+        if grouped(line):
             first.setdefault(find(line), place)
     return {place: (first[find(line)], degree.get(line, 0), first[find(line)] == place)
-            if len(line) >= least else (place, 0, True) for place, line in rows}
+            if grouped(line) else (place, 0, True) for place, line in rows}
 
 
 def test_classes_of_edited_lines(spark, make_docs, stage):
@@ -111,7 +112,33 @@ def test_dropping_lines(spark, odd_docs, make_docs, stage):
     docs = make_docs([(1, f"{line}\nshort\n{line}", "s"), (2, f"{line}!\nother words here", "s"),
                       (3, line, "s"), (4, "short", "s"), (None, line, "s")])
     got = {r.doc_id: r.text for r in L.drop_duplicate_lines(docs, stage).collect()}
-    assert got == {1: f"{line}\nshort", 2: "other words here", 4: "short"}
+    assert got == {1: f"{line}\nshort", 2: "other words here"}     # 4 is a copy of a short line
     extra = docs.withColumn("drop", F.lit(1)).withColumn("row", F.lit("x"))
     assert L.drop_duplicate_lines(extra, stage).columns == extra.columns
     assert L.drop_duplicate_lines(docs.limit(0), stage).count() == 0
+
+
+def test_long_lines_and_many_lines(spark, make_docs, stage):
+    """Megabytes in a line and 200,000 lines in a text take linear time."""
+    import time
+    rng = random.Random(7)
+    a = "x" + "".join(rng.choices("abcdefgh ", k=4_000_000)) + "yz"
+    start = time.time()
+    assert L.within(a, "q" + a[1:-1], 2) and not L.within(a, "qq" + a[2:-2] + "qq", 2)
+    assert time.time() - start < 20
+    many = "\n".join(f"line {i % 100_000} of this text" for i in range(200_000))
+    start = time.time()
+    got = L.drop_duplicate_lines(make_docs([(1, many, "s"), (2, "\n \nline 7 of this text\n}", "s"), (3, "}", "s")]),
+                                 stage).collect()
+    assert time.time() - start < 120
+    assert [(r.doc_id, len(r.text.split("\n"))) for r in sorted(got)] == [(1, 100_000), (2, 3)]
+
+
+def test_short_copies_are_found_at_every_length(make_docs, stage):
+    docs = make_docs([(1, "ab\n\n  \nno", "s"), (2, "ab\n\n  \nyes", "s"), (None, "yes\nab", "s"), (3, "Ab\nyess", "s")])
+    got = {(r.doc_id, r.line_no): ((r.class_doc_id, r.class_line_no), r.n_links, r.kept)
+           for r in L.line_classes(docs, stage).collect()}
+    assert got == {(1, 0): ((1, 0), 0, True), (1, 1): ((1, 1), 0, True), (1, 2): ((1, 2), 0, True),
+                   (1, 3): ((1, 3), 0, True), (2, 0): ((1, 0), 0, False), (2, 1): ((2, 1), 0, True),
+                   (2, 2): ((2, 2), 0, True), (2, 3): ((2, 3), 0, True), (None, 0): ((2, 3), 0, False),
+                   (None, 1): ((1, 0), 0, False), (3, 0): ((3, 0), 0, True), (3, 1): ((3, 1), 0, True)}

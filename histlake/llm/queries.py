@@ -3,6 +3,7 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +60,9 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_entities(read_table(spark, sf_dir, "documents"), Stage(spark, "op9"))
+    """The key comes from the session; without one every run draws its own."""
+    key = spark.conf.get("spark.histlake.surrogate.key", None) or secrets.token_hex(32)
+    return surrogates.replace_entities(read_table(spark, sf_dir, "documents"), Stage(spark, "op9"), key)
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

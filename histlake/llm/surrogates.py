@@ -1,20 +1,26 @@
 """Personal data replaced by surrogates (operator 9), in SQL functions only.
 
-Detected entities -- mail addresses, phone, card and social-security numbers,
-IP addresses, access keys, passwords and tokens, names after a title -- are
-replaced by values of the same type, script and format, drawn from a keyed
-hash of the entity's canonical form.  One entity written in several ways
-(case, punctuation, country code) keeps one surrogate, so references stay
-linked.  The surrogates of all entities are checked: where two entities share
-one, or a surrogate is itself an entity of the corpus, all but the first of
-them draw again, until every entity has its own.
+Detected entities -- mail addresses, phone, card, account (IBAN) and
+social-security numbers, IP addresses of both kinds, access keys, private keys,
+passwords and tokens, names after a title -- are replaced by values of the same
+type, script and format, drawn from a keyed hash of the entity's canonical
+form.  One entity written in several ways (case, punctuation) keeps one
+surrogate, so references stay linked.  Names are linked by surname: ``Mr. John
+Smith``, ``Mr. Smith``, ``Mr. Smith's`` and, in a text that has one of these, a
+bare ``Smith`` get one surname; given names are drawn on their own.  The
+surrogates of all entities are checked: where two entities share one, or a
+surrogate is itself an entity of the corpus, all but the first of them draw
+again, until every entity has its own.  Entities that are still left after
+``MAX_ROUNDS`` (their format has fewer values than the corpus entities) become
+a token in brackets, distinct by construction.
 
 Only texts with entities are moved: they are cut into plain parts and
 entities once, staged, and their entities joined with the surrogates.
 
 Formats: digits stay digits and letters letters in their case; a card number
-that passes the Luhn check gets one that does; ``+<country code>`` and the
-access key prefix stay; a surrogate social-security number starts with 9,
+that passes the Luhn check gets one that does; an account number keeps its
+country and has valid check digits; ``+<country code>`` and the
+prefix of an access key stay; a surrogate social-security number starts with 9,
 which is never issued; mail goes to ``<label>.example.<top level>``; a name
 follows its title's gender and its own script.
 
@@ -30,34 +36,50 @@ from pyspark.sql import functions as F
 
 from histlake.llm.common import Stage
 
-KEY = "change-me"
 MAX_ROUNDS = 50
 #: after so many draws names and mail addresses grow by a syllable or letter
 WIDEN = 3
 
 # Titles that tell a gender, and given names that replace those behind them.
+NEUTRAL_TITLES = ("Dr", "Prof")
 MALE_TITLES = ("Mr", "Herr", "Señor", "Monsieur", "г-н")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mme", "г-жа")
 GIVEN = {
     ("latin", "m"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Gavin", "Hugo", "Ivan", "Jonas", "Leo", "Oscar"),
     ("latin", "f"): ("Alma", "Bianca", "Clara", "Diana", "Elsa", "Flora", "Greta", "Helen", "Irene", "Julia", "Laura", "Nora"),
+    ("latin", "n"): ("Alex", "Chris", "Dana", "Eden", "Jamie", "Kim", "Lee", "Robin", "Sam", "Sasha", "Toni", "Val"),
     ("cyrillic", "m"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Игорь", "Лев"),
     ("cyrillic", "f"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Лидия", "Нина"),
 }
+CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
 SYLLABLES = {"latin": ("ba", "den", "fo", "gar", "hel", "kin", "lo", "mar", "ne", "por", "ras", "sel", "ta", "vin", "wes", "zo"),
              "cyrillic": ("ба", "ве", "го", "да", "ке", "ли", "мо", "на", "пе", "ро", "са", "те", "фа", "хо", "ча", "ши")}
 
+# Country calling codes (codes of one and two digits; all others
+# have three), and the prefixes of service keys.
+COUNTRY_CODES = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+KEY_PREFIXES = "ghp_|gho_|ghu_|ghs_|ghr_|glpat-|xoxb-|xoxp-|sk-"
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_QUAD = rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
+_GROUP = rf"(?!{_QUAD})\d{{2,4}}"
 _KINDS = {
-    "secret": r"(?i:password|passwd|pwd|secret|token|api[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,}+",
-    "access_key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "email": r"[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "ip": rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "phone": r"(?:\+\d{1,3}[ .\-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .\-]?\d{2,4}){2,4}"
-             r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    "secret": r"(?iu:password|passwd|pwd|secret|token|api[_\-]?key|пароль)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+              r"[\p{L}0-9+/_\-]{8,}+",
+    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^\-]*+-----END [A-Z ]{0,20}PRIVATE KEY-----",
+    "access_key": rf"(?:AKIA[0-9A-Z]{{16}}|(?:{KEY_PREFIXES})[A-Za-z0-9_]{{20,}}+)(?![A-Za-z0-9])",
+    "email": r"[\p{L}0-9._%+\-]{1,64}+@(?:[\p{L}0-9\-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}0-9])",
+    "ip": _QUAD,
+    "ipv6": r"(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+            r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Fa-f:])",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # groups of digits, none of which begins an address
+    "phone": rf"(?:\+1[ .\-]?(?:\(\d{{3}}\)|\d{{3}})[ .\-]?\d{{3}}[ .\-]?\d{{4}}"
+             rf"|\+(?:{COUNTRY_CODES})[ .\-]?(?:\(\d{{1,4}}\)[ .\-]?|\d[ .\-])?{_GROUP}(?:[ .\-]?{_GROUP}){{1,4}}"
+             r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|0\d{2,4} \d{3,4} \d{3,4})(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
-    "card": r"\d(?:[ \-]?\d){12,18}(?!\d)",
-    "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? \p{{Lu}}[\p{{L}}'\-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'\-]{{1,40}})?",
+    "card": rf"\d(?:\d|[ \-](?!{_QUAD})\d){{12,18}}(?!\d|\.\d)",
+    "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES)})\.? \p{{Lu}}[\p{{L}}'\-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'\-]{{1,40}})?",
 }
 # at the start of a word only: inside a word one look back settles it; the key
 # word of a secret may end a longer one (access_token, dbPassword)
@@ -89,16 +111,44 @@ def _title(raw: Column) -> Column:
     return F.regexp_extract(raw, r"^[^ ]+ ", 0)
 
 
+def _country(raw: Column) -> Column:
+    return F.regexp_extract(raw, rf"^\+({COUNTRY_CODES})", 1)
+
+
+_POSSESSIVE = "(?:'s|')$"
+
+
+def _full_name(raw: Column) -> Column:
+    return F.regexp_replace(F.substring(raw, F.length(_title(raw)) + 1, F.length(raw)), _POSSESSIVE, "")
+
+
+def _gender(raw: Column) -> Column:
+    title = F.regexp_replace(_title(raw), r"\.? $", "")
+    return F.when(title.isin(*MALE_TITLES), "m").when(title.isin(*NEUTRAL_TITLES), "n").otherwise("f")
+
+
+def surname_of(raw: Column) -> Column:
+    return F.element_at(F.split(_full_name(raw), " "), -1)
+
+
+def given_of(raw: Column) -> Column:
+    """The given name of a titled name, or an empty text."""
+    parts = F.split(_full_name(raw), " ")
+    return F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).otherwise("")
+
+
 def canonical(kind: Column, raw: Column) -> Column:
-    """One text for all spellings of an entity."""
+    """One text for all spellings of an entity (of a name: of its surname)."""
     d = _digits(raw)
-    phone = F.when(F.length(d) == 11, F.regexp_replace(d, "^1", "")).otherwise(d)
-    # a name is known by its gender, and script follows from its letters
-    gender = F.when(F.regexp_replace(_title(raw), r"\.? $", "").isin(*MALE_TITLES), "m").otherwise("f")
-    name = F.concat(gender, F.lit(":"), F.lower(F.substring(raw, F.length(_title(raw)) + 1, F.length(raw))))
-    return (F.when(kind == "email", F.lower(raw)).when(kind == "phone", phone).when(kind.isin("card", "ssn"), d)
+    code = _country(raw)
+    # numbers of the +1 plan are often written without it; other codes are part of the number
+    phone = (F.when(code == "1", F.substring(d, 2, 20)).when(code != "", F.concat(
+        code, F.lit(" "), F.substring(d, F.length(code) + 1, F.length(d))))
+        .when((F.length(d) == 11) & d.startswith("1"), F.substring(d, 2, 20)).otherwise(d))
+    return (F.when(kind.isin("email", "ipv6"), F.lower(raw)).when(kind == "phone", phone)
+            .when(kind.isin("card", "ssn"), d).when(kind == "iban", F.replace(raw, F.lit(" "), F.lit("")))
             .when(kind == "secret", F.substring(raw, F.length(_secret_head(raw)) + 1, F.length(raw)))
-            .when(kind == "name", name).otherwise(raw))
+            .when(kind == "name", F.lower(surname_of(raw))).otherwise(raw))
 
 
 def _byte(digest: Column, i: Column | int) -> Column:
@@ -119,7 +169,11 @@ def _shaped(text: Column, digest: Column, digits: str = "0123456789", hexed: boo
     def one(c: Column, i: Column) -> Column:
         b = _byte(digest, F.pmod(i, F.lit(250)))
         return (F.when(c.rlike("^[0-9]$"), _pick(digits, b)).when(c.rlike("^[a-z]$"), _pick(lower, b))
-                .when(c.rlike("^[A-Z]$"), _pick(lower.upper(), b)).otherwise(c))
+                .when(c.rlike("^[A-Z]$"), _pick(lower.upper(), b)).when(c.rlike(r"^[\x00-\x7F]$"), c)
+                .when(c.rlike(r"^\p{IsCyrillic}$") & (c == F.lower(c)), _pick(CYRILLIC, b))
+                .when(c.rlike(r"^\p{IsCyrillic}$"), F.upper(_pick(CYRILLIC, b)))
+                .when(c.rlike(r"^\p{Ll}$"), _pick(lower, b)).when(c.rlike(r"^\p{Lu}$"), _pick(lower.upper(), b))
+                .otherwise(c))
 
     return F.array_join(F.transform(chars, one), "")
 
@@ -151,21 +205,36 @@ def _syllables(script: str, digest: Column, at: int, n: int, attempt: Column) ->
                                 for i in range(n)], _wider(attempt, digest, at + n, SYLLABLES[script])))
 
 
-def _name(canon: Column, digest: Column, attempt: Column) -> Column:
+def _remainder(chars: Column) -> Column:
+    """Remainder by 97 of a number whose letters stand for 10 to 35."""
+    def add(r: Column, c: Column) -> Column:
+        v = F.conv(c, 36, 10).cast("int")
+        return F.pmod(F.when(v > 9, r * 100 + v).otherwise(r * 10 + v), F.lit(97))
+
+    return F.aggregate(F.split(chars, ""), F.lit(0), add)
+
+
+def _surname(canon: Column, digest: Column, attempt: Column) -> Column:
+    """Four syllables of the name's script (five and more in later draws)."""
+    return F.when(canon.rlike(r"\p{IsCyrillic}"), F.concat(
+        _syllables("cyrillic", digest, 1, 4, attempt),
+        F.when(canon.rlike("[ая]$"), "ова").otherwise("ов"))).otherwise(_syllables("latin", digest, 1, 4, attempt))
+
+
+def _given(canon: Column, digest: Column, attempt: Column) -> Column:
+    """``canon`` is gender, colon and given name; the lists are short, so later
+    draws add syllables."""
     out = None
-    for (script, gender), given in GIVEN.items():
-        first = F.get(F.array(*[F.lit(g) for g in given]), F.pmod(_byte(digest, 0), F.lit(len(given))))
-        last = _syllables(script, digest, 1, 4, attempt)
-        if script == "cyrillic":
-            last = F.concat(last, F.lit("ов" if gender == "m" else "ова"))
-        both = F.when(canon.contains(" "), F.concat_ws(" ", first, last)).otherwise(last)
-        test = canon.startswith(f"{gender}:")
-        test = test & canon.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else test & ~canon.rlike(r"\p{IsCyrillic}")
-        out = F.when(test, both) if out is None else out.when(test, both)
-    return out
+    for (script, gender), names in GIVEN.items():
+        one = F.get(F.array(*[F.lit(g) for g in names]), F.pmod(_byte(digest, 0), F.lit(len(names))))
+        cyrillic = canon.rlike(r"\p{IsCyrillic}")
+        test = canon.startswith(f"{gender}:") & (cyrillic if script == "cyrillic" else ~cyrillic)
+        value = F.concat(one, _wider(attempt, digest, 9, SYLLABLES[script]))
+        out = F.when(test, value) if out is None else out.when(test, value)
+    return F.coalesce(out, F.lit("Alex"))
 
 
-def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
+def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical entity, in canonical form."""
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canon)
     digest = F.concat(*[F.sha2(F.concat(seed, F.lit(f"|{i}")), 512) for i in range(4)])
@@ -183,35 +252,57 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     check = F.pmod(F.lit(10) - F.pmod(_luhn(F.concat(stem, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
     card = F.when(F.pmod(_luhn(canon), F.lit(10)) == 0, F.concat(stem, check)).otherwise(body)
     ssn = F.concat(F.lit("9"), F.substring(_shaped(canon, digest), F.lit(2), F.lit(8)))
-    access = F.concat(F.lit("AKIA"), _shaped(F.substring(canon, F.lit(5), F.lit(16)), digest, "234567"))
+    prefix = F.regexp_extract(canon, f"^(?:AKIA|{KEY_PREFIXES})", 0)
+    rest = F.substring(canon, F.length(prefix) + 1, F.length(canon))
+    access = F.concat(prefix, F.when(prefix == "AKIA", _shaped(rest, digest, "234567")).otherwise(_shaped(rest, digest)))
+    head, foot = (F.regexp_extract(canon, p, 0) for p in ("^-----BEGIN [A-Z ]*-----", "-----END [A-Z ]*-----$"))
+    inner = F.substring(canon, F.length(head) + 1, F.length(canon) - F.length(head) - F.length(foot))
+    pem = F.concat(head, _shaped(inner, digest), foot)
+    account = _shaped(F.substring(canon, F.lit(5), F.length(canon)), digest)
+    land = F.substring(canon, F.lit(1), F.lit(2))
+    iban = F.concat(land, F.lpad((98 - _remainder(F.concat(account, land, F.lit("00")))).cast("string"), 2, "0"), account)
+    code = F.regexp_extract(canon, r"^\d+ ", 0)
+    phone = F.concat(code, _shaped(F.substring(canon, F.length(code) + 1, F.length(canon)), digest))
     secret = F.when(canon.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _shaped(canon, digest, hexed=True)).otherwise(_shaped(canon, digest))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn)
-            .when(kind == "access_key", access).when(kind == "secret", secret)
-            .when(kind == "name", _name(canon, digest, attempt)).otherwise(_shaped(canon, digest)))
+            .when(kind == "access_key", access).when(kind == "secret", secret).when(kind == "private_key", pem)
+            .when(kind == "iban", iban).when(kind == "ipv6", _shaped(canon, digest, hexed=True))
+            .when(kind == "phone", phone).when(kind == "name", _surname(canon, digest, attempt))
+            .when(kind == "given", _given(canon, digest, attempt)).otherwise(_shaped(canon, digest)))
 
 
-def rendered(kind: Column, raw: Column, value: Column) -> Column:
+def rendered(kind: Column, raw: Column, value: Column, given: Column) -> Column:
     """A surrogate in the format of one spelling."""
-    spare = F.length(_digits(raw)) - F.length(value)      # digits of a country code in front stay
+    plain = F.regexp_replace(value, r"^\d+ (?=\d)", "")      # a phone's own number, without its country code
+    spare = F.length(_digits(raw)) - F.length(plain)      # digits of a country code in front stay
     start = F.struct(F.lit("").alias("s"), (-spare).cast("int").alias("k"))
 
-    def put(a: Column, c: Column) -> Column:
-        digit = c.rlike("^[0-9]$")
-        shown = F.when(digit & (a["k"] >= 0), F.substring(value, a["k"] + 1, F.lit(1))).otherwise(c)
-        return F.struct(F.concat(a["s"], shown).alias("s"), (a["k"] + digit.cast("int")).alias("k"))
-
-    number = F.aggregate(F.split(raw, ""), start, put)["s"]
-    return (F.when(kind.isin("phone", "card", "ssn"), number)
+    def put(digits: Column, fits: str):
+        def one(a: Column, c: Column) -> Column:
+            hit = c.rlike(fits)
+            shown = F.when(hit & (a["k"] >= 0), F.substring(digits, a["k"] + 1, F.lit(1))).otherwise(c)
+            return F.struct(F.concat(a["s"], shown).alias("s"), (a["k"] + hit.cast("int")).alias("k"))
+
+        return one
+
+    number = F.aggregate(F.split(raw, ""), start, put(plain, "^[0-9]$"))["s"]
+    spaced = F.aggregate(F.split(raw, ""), F.struct(F.lit("").alias("s"), F.lit(0).alias("k")),
+                         put(value, "^[0-9A-Z]$"))["s"]
+    name = F.concat(_title(raw), F.when(given_of(raw) != "", F.concat(given, F.lit(" "))).otherwise(""), value,
+                    F.regexp_extract(raw, _POSSESSIVE, 0))
+    return (F.when(kind == "name", name).when(value.startswith("["), value)
+            .when(kind.isin("phone", "card", "ssn"), number).when(kind == "iban", spaced)
             .when(kind == "secret", F.concat(_secret_head(raw), value))
-            .when(kind == "name", F.concat(_title(raw), value))
-            .when((kind == "email") & (raw == F.upper(raw)), F.upper(value)).otherwise(value))
+            .when(kind.isin("email", "ipv6") & (raw == F.upper(raw)), F.upper(value)).otherwise(value))
 
 
-def distinct_surrogates(found: DataFrame, stage: Stage, key: str = KEY) -> DataFrame:
+def distinct_surrogates(found: DataFrame, stage: Stage, key: str) -> DataFrame:
     """(kind, canon, value) of all distinct entities ``found(kind, canon)``,
     drawn again until no value belongs to two of them or is one of them."""
     table = stage.put(found.distinct().withColumn("attempt", F.lit(0)), "entities")
-    known = table.select("kind", F.col("canon").alias("value"))
+    # names are compared as they are written
+    known = table.select("kind", F.when(F.col("kind") == "name", F.initcap("canon")).when(
+        F.col("kind") == "given", F.initcap(F.substring("canon", 3, 99))).otherwise(F.col("canon")).alias("value"))
     for _ in range(MAX_ROUNDS):
         drawn = table.withColumn("value", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key))
         drawn = stage.put(drawn, "drawn")
@@ -224,11 +315,19 @@ def distinct_surrogates(found: DataFrame, stage: Stage, key: str = KEY) -> DataF
         table = table.join(again.withColumn("more", F.lit(1)), ["kind", "canon"], "left").select(
             "kind", "canon", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt"))
         table = stage.put(table, "entities")
-    raise RuntimeError("surrogates still collide; the format of some entities has too few values")
-
-
-def replace_entities(docs: DataFrame, stage: Stage, key: str = KEY) -> DataFrame:
-    """doc_id, n_entities, entity_kinds and text with the entities replaced."""
+    token = F.concat(F.lit("["), "kind", F.lit("-"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon"),
+                                                                         256), 1, 24), F.lit("]"))
+    left = again.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
+    return drawn.join(left, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c")), "left").select(
+        "kind", "canon", F.when(F.col("k").isNotNull(), token).otherwise(F.col("value")).alias("value"))
+
+
+def replace_entities(docs: DataFrame, stage: Stage, key: str) -> DataFrame:
+    """doc_id, n_entities, entity_kinds and text with the entities replaced.
+    Whoever knows ``key`` can find short entities again by trying: keep it.
+    n_entities counts what the patterns find, bare surnames not included."""
+    if not key:
+        raise ValueError("surrogates need a secret key")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     holds = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
     cut = rows.where(holds).select(
@@ -236,13 +335,29 @@ def replace_entities(docs: DataFrame, stage: Stage, key: str = KEY) -> DataFrame
         F.split("text", PATTERN, -1).alias("plain"))
     cut = stage.put(cut, "cut")
     one = cut.select("row", F.posexplode("found").alias("at", "raw")).withColumn("kind", kind_of(F.col("raw")))
-    one = one.withColumn("canon", canonical(F.col("kind"), F.col("raw")))
-    values = distinct_surrogates(one.select("kind", "canon"), stage, key)
-    new = one.join(values, ["kind", "canon"]).select(
-        "row", "at", "kind", rendered(F.col("kind"), F.col("raw"), F.col("value")).alias("new"))
+    one = one.withColumn("canon", canonical(F.col("kind"), F.col("raw"))).withColumn("given", F.when(
+        (F.col("kind") == "name") & (given_of(F.col("raw")) != ""),
+        F.concat(_gender(F.col("raw")), F.lit(":"), F.lower(given_of(F.col("raw"))))))
+    one = stage.put(one, "found")
+    asked = one.select("kind", "canon").union(
+        one.where("given is not null").select(F.lit("given"), "given"))
+    values = stage.put(distinct_surrogates(asked, stage, key), "values")
+    firsts = values.where("kind = 'given'").select(F.col("canon").alias("given"), F.col("value").alias("first"))
+    new = one.join(values, ["kind", "canon"]).join(firsts, "given", "left").select(
+        "row", "at", "kind", rendered(F.col("kind"), F.col("raw"), F.col("value"), F.col("first")).alias("new"),
+        F.when(F.col("kind") == "name", F.struct(surname_of(F.col("raw")).alias("old"), F.col("value").alias("new")))
+        .alias("surname"))
     per = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"),
+                                 F.array_sort(F.collect_set("surname")).alias("surnames"),
                                  F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"))
-    woven = F.array_join(F.zip_with("plain", F.col("new")["new"], lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+
+    def bare(part: Column) -> Column:
+        """A part between entities, the text's own surnames replaced."""
+        return F.aggregate("surnames", part, lambda t, x: F.regexp_replace(
+            t, F.concat(F.lit(r"(?<![\p{L}\d])"), x["old"], F.lit(r"(?![\p{L}\d])")), x["new"]))
+
+    parts = F.transform("plain", bare)
+    woven = F.array_join(F.zip_with(parts, F.col("new")["new"], lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     replaced = cut.join(per, "row").select("doc_id", F.size("found").cast("long").alias("n_entities"),
                                            F.col("kinds").alias("entity_kinds"), woven.alias("text"))
     clean = rows.where(~holds).select("doc_id", F.lit(0).cast("long").alias("n_entities"),

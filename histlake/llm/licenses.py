@@ -21,6 +21,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,33 @@ TEMPLATES = (
      ("unencumbered software", "public domain")),
     ("epl-2.0", "made available under the terms of the Eclipse Public License 2.0", ("eclipse public license",)),
     ("boost-1.0", "Distributed under the Boost Software License, Version 1.0", ("boost software license",)),
+    # standard file headers, titles and clauses
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+                "option) any later version", ("gnu general public license", "version 3 of the license")),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                "option) any later version", ("gnu general public license", "version 2 of the license")),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation", ("lesser general public license",)),
+    ("agpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                 "published by the Free Software Foundation, either version 3 of the License",
+     ("affero general public license", "version 3")),
+    ("gpl-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("gnu general public license", "version 3")),
+    ("gpl-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", ("gnu general public license", "version 2")),
+    ("apache-2.0", "Apache License Version 2.0, January 2004", ("apache license", "version 2 0")),
+    ("mit", "The MIT License (MIT)", ("mit license mit",)),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission",
+     ("names of its contributors", "endorse or promote products")),
+    ("mpl-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+     ("mpl was not distributed", "mozilla org mpl 2 0")),
+    # machine-readable lines
+    *[(label, f"SPDX-License-Identifier: {name}", (" ".join(["license identifier", *re.split("[^a-z0-9]+", name.lower())]),))
+      for label, name in (("mit", "MIT"), ("apache-2.0", "Apache-2.0"), ("gpl-3.0", "GPL-3.0"), ("gpl-2.0", "GPL-2.0"),
+                          ("lgpl", "LGPL"), ("agpl-3.0", "AGPL-3.0"), ("bsd", "BSD"), ("mpl-2.0", "MPL-2.0"),
+                          ("isc", "ISC"), ("cc0-1.0", "CC0-1.0"), ("unlicense", "Unlicense"), ("epl-2.0", "EPL-2.0"),
+                          ("boost-1.0", "BSL-1.0"))],
 )
 
 _WORDS = re.compile(WORD)
@@ -149,6 +177,12 @@ class LicenseIndex:
         return row[-1] / len(ws)
 
 
+@lru_cache(1)
+def _index(idf: tuple[tuple[str, float], ...]) -> LicenseIndex:
+    """A worker's index, built for its first batch."""
+    return LicenseIndex(dict(idf))
+
+
 def licence_words(templates=TEMPLATES, base=BASE) -> list[str]:
     return sorted({w for _, t, _ in templates for w in words_of(t)} | {w for p, _ in base for w in p.split()})
 
@@ -182,9 +216,11 @@ def scan_licenses(text: Column, idf: dict[str, float]) -> Column:
     names = [f.split()[0] for f in RESULT.split(", ")]
     types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
 
+    known = tuple(sorted(idf.items()))
+
     @F.arrow_udf(RESULT)
     def run(texts: pa.Array) -> pa.Array:
-        index = LicenseIndex(idf)
+        index = _index(known)
         rows = [index.scan(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays(
             [pa.array([r[c] for r in rows], types[c]) for c in range(len(names))], names)

@@ -69,3 +69,39 @@ def test_edge_cases(spark, odd_docs, make_docs):  # noqa: F811
     assert [tuple(r.s)[:5] for r in got] == [brute(r.text) for r in got]
     assert L.document_frequencies(odd_docs.limit(0)) and odd_docs.limit(0).select(
         L.scan_licenses(F.col("text"), idf).alias("s")).count() == 0
+
+
+HEADERS = {
+    "gpl-3.0": "/* This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General "
+               "Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your "
+               "option) any later version. */",
+    "gpl-2.0": "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n Copyright",
+    "lgpl": "# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General "
+            "Public\n# License as published by the Free Software Foundation; either version 2.1",
+    "agpl-3.0": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+                "the Free Software Foundation, either version 3 of the License, or later",
+    "apache-2.0": "Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/",
+    "mit": "The MIT License (MIT)\n\nCopyright (c) 2020",
+    "bsd": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+           "derived from this software without specific prior written permission.",
+    "mpl-2.0": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "isc": "// SPDX-License-Identifier: ISC\nint main;", "cc0-1.0": "SPDX-License-Identifier: CC0-1.0",
+    "epl-2.0": "SPDX-License-Identifier: EPL-2.0",
+}
+NEAR = ["the program is free to redistribute and modify under some terms of the general public", "version 3 of the licence fee",
+        "an identifier of a license plate", "Apache helicopters, version 2", "a MIT course on licenses",
+        "names of contributors may promote products", "Mozilla browser version 2.0 was distributed with this file",
+        "SPDX is a format", "the free software foundation published version 3 of a book"]
+
+
+def test_standard_headers_titles_and_spdx_lines(spark, make_docs):  # noqa: F811
+    texts = [*HEADERS.values(), *NEAR]
+    docs = make_docs([(i, t, "s") for i, t in enumerate(texts)])
+    idf = L.document_frequencies(docs)
+    got = [r.s for r in docs.select("doc_id", L.scan_licenses(F.col("text"), idf).alias("s")).orderBy("doc_id").collect()]
+    for label, s in zip(HEADERS, got, strict=False):
+        assert label in s.labels.split(",") and s.score >= L.MIN_SCORE, (label, s)
+        others = set(s.labels.split(",")) - {label, "gpl"}
+        assert not others, (label, s)
+    assert all(s.labels == s.base_labels for s in got[len(HEADERS):])
+    assert L._index(tuple(sorted(idf.items()))) is L._index(tuple(sorted(idf.items())))

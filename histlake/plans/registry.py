@@ -564,7 +564,8 @@ def q_tables_upsert_embeddings(spark, d):
     upsert(spark, spec, T1, arrivals=e, ori_id="vec_id")
     m = spark.table(spec.m_table)
     return present(m.select("dl_id", "vec_id", "label", F.size("embedding").alias("dims"),
-                            F.get("embedding", F.lit(0)).cast("double").alias("first"), *M_TAIL))
+                            F.md5(F.array_join(F.transform("embedding", lambda x: F.floor(
+                                x.cast("double") * 10_000).cast("string")), ",")).alias("digest"), *M_TAIL))
 
 
 def q_tables_backfill_twice(spark, d):
@@ -867,9 +868,10 @@ def oracle_sql() -> dict[str, str]:
                                 + _m_select("r", ORDERS)),
         "tables_backfill_twice": _backfill_sql(),
         "tables_upsert_embeddings": (
-            "WITH e AS (SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) "
-            f"AS first FROM embeddings), r AS ({_open_sql('e', ['vec_id', 'label', 'dims', 'first'], 'vec_id', T1, s1)}) "
-            + _m_select("r", ["vec_id", "label", "dims", "first"])),
+            "WITH e AS (SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, md5(array_to_string(list_transform("
+            "embedding, lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR)), ',')) AS digest "
+            f"FROM embeddings), r AS ({_open_sql('e', ['vec_id', 'label', 'dims', 'digest'], 'vec_id', T1, s1)}) "
+            + _m_select("r", ["vec_id", "label", "dims", "digest"])),
         "stamp_load": f"SELECT {_cols(ORDERS, fmt_ts=ORDERS_TS)}, '{T1}' AS dl_loaded_dt, "
                       f"CAST({s1} AS INTEGER) AS day FROM orders",
         "open_rows": f"WITH r AS ({open_t1}) " + _m_select("r", ORDERS),

@@ -13,8 +13,10 @@ checked by merging the two texts and remembered.
 A piece never holds a space mark behind another character, and a character
 that is in no longer piece merges with nothing, so a text falls apart at
 these places without changing the result; words that come back are looked up.
-Runs of several space marks, whose merges all have one score, are merged
-directly.
+Pieces of space marks alone merge after all others and have one score; of a
+run of marks the last one therefore goes to the word behind it, which is
+encoded by backtracking as if it stood alone, and only marks that are left
+are merged directly.
 
 Edge cases: a null text is encoded as the empty one, which has no pieces but
 the end id; characters outside the vocabulary become their UTF-8 byte pieces.
@@ -86,6 +88,12 @@ class PieceCodec:
                 self.score[p] = s
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a space mark behind another character")
+        runs = [p for p in self.ids if len(p) > 1 and p == MARK * len(p)]
+        mixed = [p for p in self.ids if len(p) > 1 and p != MARK * len(p)]
+        if any(p.startswith(MARK * 2) for p in mixed):
+            raise ValueError("a piece holds several space marks and other characters")
+        if runs and mixed and max(map(self.score.get, runs)) >= min(map(self.score.get, mixed)):
+            raise ValueError("pieces of space marks merge before others")
         self.automaton = ahocorasick.Automaton()
         joint: set[str] = set()
         self.joint: set[tuple[str, str]] = set()
@@ -110,7 +118,7 @@ class PieceCodec:
         self.parts = _Memory(self._pair)
         self.words = _Memory(self._look)
 
-    # -- the merge itself, for short texts and for runs of marks
+    # -- the merge itself, for pairs of pieces and for runs of marks
     def merge(self, text: str) -> list[str]:
         """Neighbours are joined while their joint text is a piece: best score
         first, leftmost first among equals."""
@@ -145,7 +153,12 @@ class PieceCodec:
     # -- backtracking
     def tokens(self, text: str) -> list[str]:
         if text.startswith(MARK * 2):
-            return self.merge(text)
+            marks = len(text) - len(text.lstrip(MARK)) - 1
+            word = self.tokens(text[marks:])
+            if word[0] == MARK:                            # no piece joins the last mark to the word
+                marks += 1
+                del word[0]
+            return self.merge(MARK * marks) + word
         builds, fits = self.builds, self.fits
         if text in builds or len(text) == 1:
             return [text]

@@ -41,6 +41,26 @@ def test_random_texts(own, library):
         assert own.encoded(t)[1] == library.decode(ids), t
 
 
+def test_words_behind_runs_of_spaces(own, library, monkeypatch):
+    """Indented code and spaced text go through backtracking; only marks reach the merge."""
+    rng = random.Random(4)
+    words = [p.strip("▁") for p in own.ids if p.strip("▁")]
+    words += ["def f(x):", "return x", "日本", "é", "\x00", "{", "}", "🙂", "Tthe", "the" * 50]
+    merged = []
+    merge = P.PieceCodec.merge
+    monkeypatch.setattr(P.PieceCodec, "merge", lambda self, t: merged.append(t) or merge(self, t))
+    own.fits.cache_clear()
+    texts = ["".join(" " * rng.choice([1, 1, 2, 3, 4, 7, 8, 15, 16, 17, 18, 33, 40]) + "".join(rng.choices(words, k=rng.randint(0, 3)))
+                     + rng.choice(["", "\n", "\t"]) for _ in range(rng.randint(1, 8))) for _ in range(6000)]
+    with open(P.__file__) as f:
+        texts.append(f.read())
+    for t in texts:
+        ids = library.encode(t, add_eos=True)
+        assert own.encode(t) == ids, t
+        assert own.encoded(t)[1] == library.decode(ids), t
+    assert merged and all(set(t) == {"▁"} for t in merged if t.startswith("▁▁"))
+
+
 def test_every_piece_is_what_the_merge_builds(own):
     assert own.builds == set(own.ids)
 

@@ -1,11 +1,13 @@
 """License scans by a positional rare-token index (operator 10).
 
 Every template is a licence text cut into words; its postings tell at which
-positions a word stands.  A template's anchors are its rarest words, by the
-inverse document frequency of the licence words over all scanned documents.
-For each text the anchors that it holds are looked up; a posting that lies at
-the same relative position for several anchors (or the template's only one)
-fixes where the template would stand.  There its mandatory key phrases must
+positions a word stands.  A file's licence words are ranked by their inverse
+document frequency over all scanned documents, and its rarest ones that a
+template has are looked up.  A template that is found may lack ``1 -
+min_score`` of its words, so as many of the file's rarest words are looked
+up as it may lack, and two more: two at least then stand in the notice.
+Where the postings of two (or of a template's only word) agree on a relative
+position the template would stand.  There its mandatory key phrases must
 stand, a few words apart at most, and the share of its words found in order
 around that place is the score.
 
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from histlake.llm.common import py_lower_ascii, ship
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHORS = 4
+# words that must agree on a place
+AGREE = 2
 SLACK = 3
 MIN_SCORE = 0.7
 
@@ -103,52 +106,71 @@ def words_of(text: str) -> list[str]:
 
 
 class LicenseIndex:
-    """Postings of the templates' words, with anchors by ``idf``."""
+    """Postings of all words of the templates, and the words ranked by ``idf``."""
 
-    def __init__(self, idf: dict[str, float], templates=TEMPLATES, base=BASE, anchors: int = ANCHORS,
+    def __init__(self, idf: dict[str, float], templates=TEMPLATES, base=BASE, agree: int = AGREE,
                  slack: int = SLACK, min_score: float = MIN_SCORE):
         self.slack, self.min_score = slack, min_score
         self.base = [(p.split(), label) for p, label in base]
         self.templates = [(label, words_of(t), [k.split() for k in keys]) for label, t, keys in templates]
-        self.postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        # (words that must agree, words that may be absent, different words) of a template
         self.need = []
+        self.postings: dict[str, dict[int, list[int]]] = defaultdict(dict)
         for t, (_, ws, _) in enumerate(self.templates):
-            rare = sorted(set(ws), key=lambda w: (-idf.get(w, math.inf), w))[:anchors]
-            self.need.append(min(2, len(rare)))
             for pos, w in enumerate(ws):
-                if w in rare:
-                    self.postings[w].append((t, pos))
+                self.postings[w].setdefault(t, []).append(pos)
+            n = len(set(ws))
+            self.need.append((min(agree, n), len(ws) - math.ceil(len(ws) * min_score - 1e-9), n))
         starts: dict[str, list[int]] = defaultdict(list)
         for b, (phrase, _) in enumerate(self.base):
             # a phrase is looked for where its rarest word stands
             k = max(range(len(phrase)), key=lambda i: (idf.get(phrase[i], math.inf), phrase[i]))
             starts[phrase[k]].append((b, k))
         self.starts = starts
+        by_idf = sorted(self.postings, key=lambda w: (-idf.get(w, math.inf), w))
+        self.rank = {w: r for r, w in enumerate(by_idf)}
         self.lookup = frozenset(self.postings) | frozenset(starts)
 
+    def anchors(self, hits: frozenset[str]) -> dict[str, list[int]]:
+        """Word -> templates it is looked up for, of a file with licence words ``hits``."""
+        by_template: dict[int, list[str]] = defaultdict(list)
+        for w in sorted(hits & self.rank.keys(), key=self.rank.__getitem__):
+            for t in self.postings[w]:
+                by_template[t].append(w)
+        out: dict[str, list[int]] = defaultdict(list)
+        for t, ws in by_template.items():
+            agree, absent, n = self.need[t]
+            if len(ws) >= n - absent:
+                for w in ws[:absent + agree]:
+                    out[w].append(t)
+        return out
+
     def scan(self, text: str) -> tuple:
         words = words_of(text)
         hits = self.lookup.intersection(words)
-        if not hits:
+        anchors = self.anchors(hits)
+        wanted = anchors.keys() | (self.starts.keys() & hits)
+        if not wanted:
             return len(words), 0, None, None, "", "", 0.0
         found, places = set(), []
         votes: dict[tuple[int, int], set[str]] = defaultdict(set)
         for i, w in enumerate(words):
-            if w not in hits:
+            if w not in wanted:
                 continue
             for b, k in self.starts.get(w, ()):
                 phrase = self.base[b][0]
                 if i >= k and words[i - k:i - k + len(phrase)] == phrase:
                     places.append(i - k)
                     found.add(self.base[b][1])
-            for t, pos in self.postings.get(w, ()):
-                votes[t, i - pos].add(w)
+            for t in anchors.get(w, ()):
+                for pos in self.postings[w][t]:
+                    votes[t, i - pos].add(w)
         labels, score = set(found), 0.0
-        for (t, at), _ in votes.items():
+        for t, at in list(votes):
             near: set[str] = set()
             for d in range(-self.slack, self.slack + 1):
                 near |= votes.get((t, at + d), set())
-            if len(near) < self.need[t]:
+            if len(near) < self.need[t][0]:
                 continue
             got = self._verify(t, at, words)
             if got >= self.min_score:

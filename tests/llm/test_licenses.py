@@ -105,3 +105,25 @@ def test_standard_headers_titles_and_spdx_lines(spark, make_docs):  # noqa: F811
         assert not others, (label, s)
     assert all(s.labels == s.base_labels for s in got[len(HEADERS):])
     assert L._index(tuple(sorted(idf.items()))) is L._index(tuple(sorted(idf.items())))
+
+
+def test_anchors_are_the_files_own_rarest_words():
+    """Any notice that keeps enough words in place is found, whatever else is common in the corpus."""
+    import random
+    rng = random.Random(3)
+    idf = {w: rng.random() * 9 for w in L.licence_words()}
+    index = L.LicenseIndex(idf)
+    for t, (label, ws, keys) in enumerate(index.templates):
+        agree, absent, n = index.need[t]
+        got = index.anchors(frozenset(ws))
+        mine = [w for w in got if t in got[w]]
+        assert len(mine) == min(n, agree + absent)
+        assert max(map(index.rank.get, mine)) == sorted(map(index.rank.get, set(ws)))[len(mine) - 1]
+        keep = {w for k in keys for w in k}
+        for _ in range(5):
+            gone = [i for i, w in enumerate(ws) if w not in keep][:absent]
+            gone = set(rng.sample(gone, rng.randint(0, len(gone))))
+            text = [f"other{i}" if i in gone else w for i, w in enumerate(ws)]
+            # the lost words stand elsewhere in the file
+            file = " ".join(["start", *text, *["filler"] * 60, *[ws[i] for i in gone]])
+            assert label in index.scan(file)[5].split(","), (label, gone)

@@ -4,18 +4,24 @@ A text's fingerprint has bit b set when more than half of the hashes of its
 word shingles have it set.  Documents are linked when their fingerprints
 differ in at most ``max_bits`` bits; a component is what links reach.
 
-Search.  Distances to reference fingerprints (pivots) bound the distance of
-two fingerprints from below: ``|d(x, p) - d(y, p)| <= d(x, y)``.  Distances to
-random pivots crowd around half the bits, so by themselves they cannot split
-the rows into groups; the partition uses pivots whose distances do: unit
-references, whose distance against the zero reference tells one bit.  The
-references are dealt into ``max_bits + 3`` groups; ``max_bits`` differing bits
-leave at least three groups alike, so linked rows agree on all coordinates of
-one choice of three groups, which is the shuffle key.  Inside a key, pairs
-are discarded by the largest difference of the coordinates to the random
-pivots, and the survivors are verified on the fingerprints.  A key with many
-rows is cut into blocks by a hash and every pair of blocks is a task of its
-own; a block yields one edge a row and component, never all its pairs.
+Search.  A table of distances is computed once and staged: for every distinct
+fingerprint its Hamming distances to ``PIVOTS`` reference fingerprints
+(pivots), a byte each.  The pivots are taken from the fingerprints
+themselves, out of the ``CANDIDATES`` smallest by hash, each as far as can be
+from those before it, so that they lie in different regions and distances to
+them spread.  Distances bound the distance of two fingerprints from below:
+``|d(x, p) - d(y, p)| <= d(x, y)``; a pair is discarded by its largest
+difference of coordinates before any fingerprint is looked at, and the
+survivors are verified on the fingerprints.
+
+Distances crowd around half the bits, so they cannot split the rows into
+groups; the partition uses references whose distances do: unit references,
+whose distance against the zero reference tells one bit.  They are dealt into
+``max_bits + 3`` groups; ``max_bits`` differing bits leave at least three
+groups alike, so linked rows agree on all coordinates of one choice of three
+groups, which is the shuffle key.  A key with many rows is cut into blocks by
+a hash and every pair of blocks is a task of its own; a block yields one edge
+a row and component, never all its pairs.
 
 Edge cases: a text without words (null, empty) has fingerprint zero and is
 linked like any other; fewer words than a shingle make one shingle; equal
@@ -26,6 +32,7 @@ smallest unless the whole component has none, then the id is null.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -40,7 +47,10 @@ from histlake.llm.common import WORD, Stage, connected_components, py_lower_asci
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
+#: reference fingerprints of the distance table, a byte each; a multiple of 8
 PIVOTS = 16
+#: fingerprints the pivots are chosen from (brought to the driver)
+CANDIDATES = 512
 BLOCK = 1024
 
 _WORDS = re.compile(WORD)
@@ -89,18 +99,57 @@ def reference_groups(max_bits: int) -> list[list[int]]:
     return [list(range(a, b)) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def pivots(n: int = PIVOTS, seed: int = SEED) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 64, n, np.uint64)
+def choose_pivots(candidates: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+    """``n`` of the candidates, each the farthest from those before it; a
+    candidate counts as its complement too (its distances are 64 less those)."""
+    if not len(candidates):
+        return np.zeros(n, np.uint64)
+    out = [candidates[0]]
+    near = np.full(len(candidates), 64)
+    while len(out) < n:
+        d = np.bitwise_count(candidates ^ out[-1]).astype(int)
+        near = np.minimum(near, np.minimum(d, 64 - d))
+        out.append(candidates[int(near.argmax())])
+    return np.array(out, np.uint64)
 
 
-def _stars(x: np.ndarray, max_bits: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pivots_of(prints: DataFrame, n: int = PIVOTS, candidates: int = CANDIDATES) -> np.ndarray:
+    """Pivots for the fingerprints ``prints(fp)``."""
+    rows = prints.select("fp", F.xxhash64("fp").alias("h")).orderBy("h", "fp").limit(candidates).collect()
+    return choose_pivots(np.array([r.fp for r in rows], np.int64).view(np.uint64), n)
+
+
+def distances(fp: Column, refs: np.ndarray) -> Column:
+    """The table's columns: distances to eight references a long, a byte each."""
+    ship()
+    lanes = len(refs) // 8
+    names = [f"d{i}" for i in range(lanes)]
+
+    @F.arrow_udf(", ".join(f"{x} long" for x in names))
+    def run(fps: pa.Array) -> pa.Array:
+        x = fps.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        d = np.bitwise_count(x[:, None] ^ refs[None, :]).astype(np.uint8).reshape(len(x), lanes, 8)
+        packed = np.ascontiguousarray(d).view(np.int64)[:, :, 0]
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(packed[:, i])) for i in range(lanes)], names)
+
+    return run(fp)
+
+
+def _far(left: np.ndarray, right: np.ndarray, max_bits: int) -> np.ndarray:
+    """Whether the largest difference of two rows' coordinates is above ``max_bits``."""
+    return (np.maximum(left, right) - np.minimum(left, right)).max(axis=-1) > max_bits
+
+
+def _stars(x: np.ndarray, table: np.ndarray, max_bits: int, left: Counter) -> tuple[np.ndarray, np.ndarray]:
     """Edges (root, node) that join what links reach among the rows ``x``."""
-    near = np.ones((len(x), len(x)), bool)
-    for p in refs:
-        d = np.bitwise_count(x ^ p).astype(np.int8)
-        near &= np.abs(d[:, None] - d) <= max_bits
-    i, j = np.nonzero(np.triu(near, 1))
+    near = np.triu(np.ones((len(x), len(x)), bool), 1)
+    left["pairs"] += len(x) * (len(x) - 1) // 2
+    for c in table.T:      # coordinate by coordinate: no block is wider than its pairs
+        near &= np.maximum(c[:, None], c) - np.minimum(c[:, None], c) <= max_bits
+    i, j = np.nonzero(near)
+    left["compared"] += len(i)
     ok = np.bitwise_count(x[i] ^ x[j]) <= max_bits
+    left["linked"] += int(ok.sum())
     near[:] = False
     near[i[ok], j[ok]] = near[j[ok], i[ok]] = True
     root = np.full(len(x), -1)
@@ -117,40 +166,53 @@ def _stars(x: np.ndarray, max_bits: int, refs: np.ndarray) -> tuple[np.ndarray,
     return x[root[node]], x[node]
 
 
-def link_blocks(groups: list[np.ndarray], max_bits: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of all groups; small groups of equal size are handled together."""
-    by_size: dict[int, list[np.ndarray]] = {}
+def link_blocks(groups: list[tuple[np.ndarray, np.ndarray]], max_bits: int,
+                left: Counter | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of all groups (fingerprints, rows of the table); small groups of
+    equal size are handled together.  ``left`` counts the pairs that each step
+    leaves: pairs, compared, linked."""
+    left = Counter() if left is None else left
+    by_size: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     a, b = [], []
-    for g in groups:
-        if len(g) > 32:
-            x, y = _stars(g, max_bits, refs)
-            a.append(x)
-            b.append(y)
-        elif len(g) > 1:
-            by_size.setdefault(len(g), []).append(g)
+    for x, table in groups:
+        if len(x) > 32:
+            p, q = _stars(x, table, max_bits, left)
+            a.append(p)
+            b.append(q)
+        elif len(x) > 1:
+            by_size.setdefault(len(x), []).append((x, table))
     for n, same in by_size.items():
-        x = np.stack(same)
         i, j = np.triu_indices(n, 1)
-        left, right = x[:, i].ravel(), x[:, j].ravel()
-        for p in refs:
-            far = np.abs(np.bitwise_count(left ^ p).astype(np.int8) - np.bitwise_count(right ^ p).astype(np.int8))
-            left, right = left[far <= max_bits], right[far <= max_bits]
-        ok = np.bitwise_count(left ^ right) <= max_bits
-        a.append(left[ok])
-        b.append(right[ok])
+        step = max(1, (1 << 18) // len(i))      # groups at once
+        for at in range(0, len(same), step):
+            x = np.stack([g for g, _ in same[at:at + step]])
+            table = np.stack([t for _, t in same[at:at + step]])
+            g, p = np.nonzero(~_far(table[:, i], table[:, j], max_bits))
+            u, v = x[g, i[p]], x[g, j[p]]
+            ok = np.bitwise_count(u ^ v) <= max_bits
+            left.update(pairs=len(x) * len(i), compared=len(u), linked=int(ok.sum()))
+            a.append(u[ok])
+            b.append(v[ok])
     empty = np.zeros(0, np.uint64)
     return np.concatenate([empty, *a]), np.concatenate([empty, *b])
 
 
-def fingerprint_edges(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect the distinct fingerprints ``prints(fp)``."""
+def distance_table(prints: DataFrame, stage: Stage, n_pivots: int = PIVOTS) -> DataFrame:
+    """(fp, d0, d1, ..) of the distinct fingerprints ``prints(fp)``, staged."""
+    d = distances(F.col("fp"), pivots_of(prints, n_pivots))
+    return stage.put(prints.select("fp", d.alias("d")).select("fp", "d.*"), "distances")
+
+
+def fingerprint_edges(table: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect the fingerprints of a distance table."""
+    row = table.columns
     groups = reference_groups(max_bits)
     choices = []
     for t, keep in enumerate(combinations(range(len(groups)), 3)):
         mask = sum(1 << bit for g in keep for bit in groups[g])
         mask -= (1 << 64) if mask >> 63 else 0
         choices.append(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key")))
-    keyed = prints.select("fp", F.explode(F.array(*choices)).alias("c")).select("fp", "c.t", "c.key")
+    keyed = table.select(*row, F.explode(F.array(*choices)).alias("c")).select(*row, "c.t", "c.key")
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     met = keyed.join(shared, ["t", "key"])
     parts = F.ceil(F.col("n") / block).cast("int")
@@ -161,15 +223,16 @@ def fingerprint_edges(prints: DataFrame, max_bits: int = MAX_BITS, block: int =
         "case when parts = 1 then array(0) "
         "else filter(sequence(0, parts - 1), x -> x <> own) end")))
     lists = (met.groupBy("t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-             .agg(F.collect_list("fp").alias("fps")).select("fps"))
+             .agg(F.collect_list(F.struct(*row)).alias("rows")).select("rows"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        refs = pivots()
         for batch in batches:
             col = batch.column(0)
-            flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            fps, *lanes = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in col.flatten().flatten())
+            fps = fps.view(np.uint64)
+            table = np.stack(lanes, axis=1).view(np.uint8)
             at = np.concatenate([[0], np.cumsum(np.diff(col.offsets.to_numpy()))])
-            a, b = link_blocks([flat[i:j] for i, j in zip(at, at[1:], strict=False)], max_bits, refs)
+            a, b = link_blocks([(fps[i:j], table[i:j]) for i, j in zip(at, at[1:], strict=False)], max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     return lists.mapInArrow(verify, "a long, b long").distinct()
@@ -179,7 +242,8 @@ def components_of(prints: DataFrame, stage: Stage, max_bits: int = MAX_BITS) ->
     """(fp, component, component_id) of the distinct fingerprints of
     ``prints(doc_id, fp)``: the component's own key and its smallest doc_id."""
     nodes = stage.put(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = connected_components(fingerprint_edges(nodes.select("fp"), max_bits), stage)
+    table = distance_table(nodes.select("fp"), stage)
+    roots = connected_components(fingerprint_edges(table, max_bits), stage)
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("root", "fp"))
     low = nodes.groupBy("component").agg(F.min("first").alias("component_id"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -71,7 +72,7 @@ def test_planted_near_prints_link(spark, stage):
     prints = list(enumerate(fps))
     signed = [(d, f - (1 << 64) if f >> 63 else f) for d, f in prints]
     df = spark.createDataFrame(signed, "doc_id long, fp long")
-    edges = S.fingerprint_edges(df.select("fp").distinct(), block=16)
+    edges = S.fingerprint_edges(S.distance_table(df.select("fp").distinct(), stage), block=16)
     roots = connected_components(edges, stage)
     got = df.join(roots, df.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     groups = {}
@@ -95,3 +96,40 @@ def test_edge_cases(spark, odd_docs, stage):
     clash = odd_docs.withColumn("fp", F.lit(1)).withColumn("at", F.lit(2))
     assert S.keep_one_of_each(clash, stage).columns == clash.columns
     assert S.components(odd_docs.limit(0), stage).count() == 0
+
+
+def test_distance_table_and_what_each_step_leaves(spark, stage):
+    """The staged table holds true distances; its coordinates discard most pairs, never a linked one."""
+    docs = duckdb.sql(f"select text from '{SF001}/documents.parquet'").fetchall()
+    rng = random.Random(6)
+    fps = sorted({brute_print(t) for t, in docs})
+    fps += [rng.getrandbits(64) for _ in range(600)]
+    fps += [f ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for f in fps[::3]]
+    fps = np.unique(np.array(fps, np.uint64))
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    refs = S.pivots_of(df)
+    assert len(refs) == S.PIVOTS and set(refs.tolist()) <= set(fps.tolist())
+    rows = S.distance_table(df, stage).collect()
+    for r in rows:
+        f = np.array([r.fp], np.int64).view(np.uint64)
+        got = np.array([r.d0, r.d1], np.int64).view(np.uint8)
+        assert (got == np.bitwise_count(f ^ refs)).all()
+    x = np.array([r.fp for r in rows], np.int64).view(np.uint64)
+    table = np.array([(r.d0, r.d1) for r in rows], np.int64).view(np.uint8)
+    i, j = np.triu_indices(len(x), 1)
+    links = int((np.bitwise_count(x[i] ^ x[j]) <= 3).sum())
+    for groups in ([(x, table)], [(x[k:k + 20], table[k:k + 20]) for k in range(0, len(x), 20)]):
+        left = Counter()
+        S.link_blocks(groups, 3, left)
+        assert left["pairs"] == sum(len(g) * (len(g) - 1) // 2 for g, _ in groups)
+        assert left["linked"] <= left["compared"] < 0.1 * left["pairs"], left
+        print(left)
+    left = Counter()
+    S.link_blocks([(x, table)], 3, left)
+    assert left["linked"] == links > 100
+
+
+def test_pivots_of_few_fingerprints():
+    assert (S.choose_pivots(np.zeros(0, np.uint64)) == 0).all()
+    one = np.array([7], np.uint64)
+    assert S.choose_pivots(one).tolist() == [7] * S.PIVOTS

@@ -1,16 +1,21 @@
 """Near-duplicate lines by a segment-partition edit join (operator 4).
 
-Two lines are linked when their edit distance is at most ``tau``.  A line of
-length ``l`` is cut into ``tau + 1`` segments of nearly equal length; ``tau``
-edits leave at least one of them untouched, so a linked longer line holds it
-as a substring near the same place.  Only the substrings that can take part
-in such a match are looked up: the multi-match-aware window around a
-segment's place, widened by the difference of the lengths.  Rows with equal
-(length, segment number, substring) keys are grouped; a key with many rows is
-cut into blocks and every pair of blocks is a row of its own.  In a block,
-parity signatures of the characters (an edit flips two bits at most) discard
-pairs, and a banded bit-parallel edit distance verifies the others; only
-links leave it.
+The threshold grows with the line.  Two lines of fewer words than the last
+band of ``word_taus`` are linked when at most ``tau`` characters are edited;
+from the first band on, lines are linked too when at most as many words are
+edited (one replaced, put in or taken out each) as the band of the shorter
+line allows.  Both are one join over sequences, of characters or of words.
+
+A sequence of length ``l`` is cut into ``tau + 1`` segments of nearly equal
+length; ``tau`` edits leave at least one of them untouched, so a linked
+longer line holds it as a subsequence near the same place.  Only the
+places that can take part in such a match are looked up: the
+multi-match-aware window around a segment's place, widened by the difference
+of the lengths.  Rows with equal (length, segment number, content) keys are
+grouped; a key with many rows, or with long ones, is cut into blocks and
+every pair of blocks is a row of its own.  In a block, parity signatures of
+the characters and words (an edit flips two bits at most) discard pairs, and
+a banded bit-parallel edit distance verifies the others; only links leave it.
 
 Exact copies are one text with many places, at every length: they are found
 by grouping, not by the join.  Lines of fewer than ``min_chars`` code points
@@ -25,8 +30,9 @@ tables with other columns are handled through ``doc_id`` and ``text`` only.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -38,14 +44,19 @@ from histlake.llm.common import WORD, Stage, connected_components
 
 TAU = 2
 MIN_CHARS = 30
+#: (words of the shorter line, word edits): 5% of the words, two at most
+WORD_TAUS = ((20, 1), (40, 2))
 #: staged keys up to this many rows (8 bytes each) are broadcast, more are joined by a shuffle
 BROADCAST_ROWS = 1_000_000
 #: rows of one key that are compared with each other in one piece
 BLOCK = 256
+#: characters of one such piece, unless a single line is longer
+BLOCK_CHARS = 1 << 20
 
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_WORDS = re.compile(WORD)
 _SIG_SCHEMA = "key long, id long, indexed boolean"
 
 
@@ -91,49 +102,83 @@ def _scrambled() -> np.ndarray:
         return _finish(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x632BE59BD9B4E019))
 
 
-def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int) -> pa.RecordBatch:
-    """Index and probe rows of the lines, all lines at once: prefix sums over
-    the characters give any substring's hash by two look-ups."""
-    k = tau + 1
+def word_tau(words: np.ndarray, word_taus: tuple[tuple[int, int], ...]) -> np.ndarray:
+    """Word edits allowed by the words of the shorter line, -1 below the first band."""
+    out = np.full(len(words), -1)
+    for least, t in word_taus:
+        out[words >= least] = t
+    return out
+
+
+def _sums(x: np.ndarray, lens: np.ndarray, inv: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, places in the line and prefix sums of all lines' symbols: any
+    run's hash takes two look-ups."""
+    starts = np.cumsum(lens) - lens
+    pos = np.arange(len(x)) - np.repeat(starts, lens)      # powers start anew for every line
+    pre = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(x * inv[pos], out=pre[1:])
+    return starts, pos, pre
+
+
+def _segment_rows(starts: np.ndarray, lens: np.ndarray, pre: np.ndarray, pw: np.ndarray, tau_of, top: int,
+                  kind: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, lines, indexed) of all segments and windows; ``tau_of`` gives
+    the threshold by the shorter line's length, negative for none."""
+    for delta in range(top + 1):
+        other = lens - delta
+        taus = tau_of(other)
+        alive = taus >= delta
+        k = np.maximum(taus, 0) + 1
+        base, longer = other // k, k - other % k            # segments from `longer` on are longer by one
+        for i in range(top + 1):
+            n = base + (i >= longer)
+            p = i * base + np.maximum(0, i - longer)
+            lo = np.maximum(np.maximum(0, p - i), p + delta - (taus - i))
+            hi = np.minimum(np.minimum(lens - n, p + i), p + delta + (taus - i))
+            t = 0
+            while True:
+                at = np.flatnonzero(alive & (i <= taus) & (lo + t <= hi))
+                if not len(at):
+                    break
+                s = lo[at] + t
+                a = starts[at] + s
+                h = _finish((pre[a + n[at]] - pre[a]) * pw[s])
+                yield (_finish(h ^ ((other[at] * 64 + i) * 2 + kind).astype(np.uint64)), at,
+                       (delta == 0) & (s == p[at]))
+                t += 1
+
+
+def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int,
+               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> pa.RecordBatch:
+    """Index and probe rows of the lines, all lines at once."""
     lens = np.fromiter(map(len, lines), np.int64, len(lines))
     cps = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-    starts = np.cumsum(lens) - lens
-    top = int(lens.max(initial=0)) + 1
-    keys, rows, ind = [], [], []
     with np.errstate(over="ignore"):
-        inv, pw = _powers(_PINV, top), _powers(_P, top)
-        x = _scrambled()[cps]
-        pre = np.zeros(len(cps) + 1, np.uint64)
-        pos = np.arange(len(cps)) - np.repeat(starts, lens)    # powers start anew for every line
-        np.cumsum(x * inv[pos], out=pre[1:])
-        for delta in range(tau + 1):
-            other = lens - delta
-            base, longer = other // k, k - other % k            # segments from `longer` on are longer by one
-            for i in range(k):
-                n = base + (i >= longer)
-                p = i * base + np.maximum(0, i - longer)
-                lo = np.maximum(np.maximum(0, p - i), p + delta - (tau - i))
-                hi = np.minimum(np.minimum(lens - n, p + i), p + delta + (tau - i))
-                t = 0
-                while True:
-                    at = np.flatnonzero((lo + t <= hi) & (other >= min_chars))
-                    if not len(at):
-                        break
-                    s = lo[at] + t
-                    a = starts[at] + s
-                    h = _finish((pre[a + n[at]] - pre[a]) * pw[s])
-                    keys.append(_finish(h ^ ((other[at] * 64 + i) * 2 + 1).astype(np.uint64)))
-                    rows.append(at)
-                    ind.append((delta == 0) & (s == p[at]))
-                    t += 1
-    at = np.concatenate([np.zeros(0, np.int64), *rows])
+        size = int(lens.max(initial=0)) + 1
+        inv, pw = _powers(_PINV, size), _powers(_P, size)
+        starts, pos, pre = _sums(_scrambled()[cps], lens, inv)
+        # a word is one symbol: the hash of its characters
+        inside = np.concatenate([(cps != 32) & ((cps < 9) | (cps > 13)), [False]])
+        end_of_line = np.concatenate([pos[1:] == 0, [True]]) if len(pos) else pos == 0
+        first = np.flatnonzero(inside[:-1] & ((pos == 0) | ~np.concatenate([[False], inside[:-2]])[:len(pos)]))
+        last = np.flatnonzero(inside[:-1] & (end_of_line | ~inside[1:])) + 1
+        words = _finish((pre[last] - pre[first]) * pw[pos[first]])
+        n_words = np.bincount(np.repeat(np.arange(len(lens)), lens)[first], minlength=len(lens))
+        w_starts, _, w_pre = _sums(words, n_words, inv)
+        few = n_words < word_taus[-1][0] if word_taus else np.ones(len(lens), bool)
+        found = list(_segment_rows(starts, lens, pre, pw,
+                                   lambda n: np.where(few & (n >= min_chars), tau, -1), tau, 1))
+        found += _segment_rows(w_starts, n_words, w_pre, pw, lambda n: word_tau(n, word_taus),
+                               max((t for _, t in word_taus), default=-1), 0)
+    keys, at, ind = zip((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)), *found, strict=True)
+    at = np.concatenate(at)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)), pa.array(ids[at]),
-         pa.array(np.concatenate([np.zeros(0, bool), *ind]))], ["key", "id", "indexed"])
+        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(ind))],
+        ["key", "id", "indexed"])
 
 
-def within(a: str, b: str, tau: int) -> bool:
-    """Edit distance at most ``tau``.
+def within(a: Sequence[str], b: Sequence[str], tau: int) -> bool:
+    """Edit distance (of characters or words) at most ``tau``.
 
     Equal ends are cut off.  The rest goes through the bit-parallel
     recurrence on a band: bit k of the vectors stands for row
@@ -208,7 +253,8 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS,
+               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> DataFrame:
     """Links between different texts of ``lines(line)``: (a1, a2, b1, b2), the
     two hashes of either line, each unordered pair once."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,10 +274,10 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
                 ids.append(h)
                 size += len(line)
                 if size > 1 << 20:
-                    yield signatures(texts, np.array(ids, np.int64), tau, min_chars)
+                    yield signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus)
                     texts, ids, size = [], [], 0
         if texts:
-            yield signatures(texts, np.array(ids, np.int64), tau, min_chars)
+            yield signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus)
 
     long = lines.where(F.char_length("line") >= min_chars)
     rows = long.select(F.xxhash64("line").alias("id"), "line").mapInArrow(sign, _SIG_SCHEMA)
@@ -247,7 +293,9 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     h1, h2 = _hashes(F.col("line"))
     text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted), "id", "left_semi")
     text = stage.put(text.select(h1, h2, "line").dropDuplicates(["h1", "h2"]), "texts")
-    size = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    chars = text.select(F.col("h1").alias("id"), F.char_length("line").alias("n"))
+    size = rows.join(chars, "id").groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_CHARS)).cast("int").alias("parts"))
     met = rows.join(size, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
     # every block meets every other once; a lone block meets itself
     met = met.withColumn("other", F.explode(F.expr(
@@ -260,32 +308,43 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
             for g in batch.column(0):
-                out += linked(g.as_py(), tau)
+                out += linked(g.as_py(), tau, word_taus)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[c] for x in out], pa.int64()) for c in range(4)], ["a1", "a2", "b1", "b2"])
 
     return groups.select("g").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long").distinct()
 
 
-def linked(group: list[dict], tau: int) -> list[tuple[int, int, int, int]]:
+def linked(group: list[dict], tau: int,
+           word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int]]:
     """Links of one block: rows that share a key, an indexed one with any."""
-    bits = np.zeros(len(group), np.uint64)
-    for r, row in enumerate(group):
+    lines = [row["line"] for row in group]
+    words = [_WORDS.findall(line) for line in lines]
+    n_words, n_chars = np.array(list(map(len, words))), np.array(list(map(len, lines)))
+    few = n_words < word_taus[-1][0] if word_taus else np.ones(len(group), bool)
+    by_char, by_word = np.zeros(len(group), np.uint64), np.zeros(len(group), np.uint64)
+    for r, line in enumerate(lines):
+        odd = 0
+        if few[r]:
+            for c, n in Counter(line).items():
+                odd ^= (n & 1) << (ord(c) * 0x9E3779B1 >> 12 & 63)
+            by_char[r] = odd
         odd = 0
-        for c, n in Counter(row["line"]).items():
-            odd ^= (n & 1) << (ord(c) * 0x9E3779B1 >> 12 & 63)
-        bits[r] = odd
-    lens = np.array([len(row["line"]) for row in group])
+        for w in words[r]:
+            odd ^= 1 << (hash(w) >> 5 & 63)
+        by_word[r] = odd
     out = []
     for i in (r for r, row in enumerate(group) if row["indexed"]):
         # net insertions flip one bit each, every other edit two
-        near = np.bitwise_count(bits ^ bits[i]) <= 2 * tau - np.abs(lens - lens[i])
+        chars = few & few[i] & (np.bitwise_count(by_char ^ by_char[i]) <= 2 * tau - np.abs(n_chars - n_chars[i]))
+        may = word_tau(np.minimum(n_words, n_words[i]), word_taus)
+        whole = np.bitwise_count(by_word ^ by_word[i]) <= 2 * may - np.abs(n_words - n_words[i])
         x = group[i]
-        for j in np.flatnonzero(near):
+        for j in np.flatnonzero(chars | whole):
             y = group[j]
             if (y["indexed"] and j <= i) or (x["id"], x["h2"]) == (y["id"], y["h2"]):
                 continue
-            if within(x["line"], y["line"], tau):
+            if (whole[j] and within(words[i], words[j], int(may[j]))) or (chars[j] and within(lines[i], lines[j], tau)):
                 a, b = sorted([(x["id"], x["h2"]), (y["id"], y["h2"])])
                 out.append((*a, *b))
     return out

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 
 import duckdb
 from llm_fixtures import make_docs, odd_docs, stage  # noqa: F401
@@ -13,6 +15,9 @@ from histlake.llm import linededup as L
 from histlake.llm.queries import queries
 
 
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
 def distance(a, b):
     prev = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -46,17 +51,28 @@ def test_banded_distance():
 
 
 def brute_links(texts, tau, least):
-    """Linked pairs of distinct texts; the length and end checks only save time."""
+    """Linked pairs of distinct texts; the count checks only save time."""
     texts = sorted({t for t in texts if len(t) >= least})
+    words = {t: WORDS.findall(t) for t in texts}
+    out = set()
     by_len = {}
     for t in texts:
-        by_len.setdefault(len(t), []).append(t)
-    out = set()
+        if len(words[t]) < 40:
+            by_len.setdefault(len(t), []).append(t)
     for n, group in by_len.items():
         for i, a in enumerate(group):
             for b in group[i + 1:] + [y for d in range(1, tau + 1) for y in by_len.get(n + d, [])]:
                 if sum((a.count(c) - b.count(c)) ** 2 for c in "aeinort ") <= (2 * tau) ** 2 and distance(a, b) <= tau:
                     out.add(frozenset((a, b)))
+    many = sorted((t for t in texts if len(words[t]) >= 20), key=lambda t: len(words[t]))
+    bags = {t: Counter(words[t]) for t in many}
+    for i, a in enumerate(many):
+        most = 2 if len(words[a]) >= 40 else 1       # a is the shorter one
+        for b in many[i + 1:]:
+            if len(words[b]) - len(words[a]) > most:
+                break
+            if (bags[a] - bags[b]).total() <= most and distance(words[a], words[b]) <= most:
+                out.add(frozenset((a, b)))
     return out
 
 
@@ -105,6 +121,36 @@ def test_query_matches_all_pairs(spark):
     assert {(r.doc_id, r.line_no): ((r.class_doc_id, r.class_line_no), r.n_links, r.kept) for r in got} == want
 
 
+def test_edited_words_of_long_lines(spark, make_docs, stage, monkeypatch):
+    """Lines of 20 and more words by word edits, at the borders of the bands and in blocks cut by size."""
+    rng = random.Random(8)
+    vocab = ["".join(rng.choices("abcdefgé", k=rng.randint(1, 9))) for _ in range(300)]
+    base = [rng.choices(vocab, k=n) for n in [18, 19, 20, 21, 22, 30, 38, 39, 40, 41, 42, 43, 60, 200] for _ in range(3)]
+
+    def line():
+        ws = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3])):
+            at, what = rng.randint(0, len(ws)), rng.randint(0, 3)
+            if what == 0 or at == len(ws):
+                ws.insert(at, rng.choice(vocab))
+            elif what == 1:
+                del ws[at]
+            else:
+                ws[at] = rng.choice(vocab)
+        return rng.choice(["", " ", "\t"]) + rng.choice([" ", " ", "  "]).join(ws)
+
+    docs = [(i, "\n".join(line() for _ in range(rng.randint(0, 8)))) for i in range(120)]
+    rows = [((i, k), x) for i, t in docs for k, x in enumerate(t.split("\n"))]
+    links = brute_links([x for _, x in rows], L.TAU, L.MIN_CHARS)
+    assert len(links) > 300
+    want = classes(rows, links, L.MIN_CHARS)
+    docs = make_docs([(i, t, "s") for i, t in docs])
+    for chars in (L.BLOCK_CHARS, 3000):
+        monkeypatch.setattr(L, "BLOCK_CHARS", chars)
+        got = L.line_classes(docs, stage).collect()
+        assert {(r.doc_id, r.line_no): ((r.class_doc_id, r.class_line_no), r.n_links, r.kept) for r in got} == want
+
+
 def test_dropping_lines(spark, odd_docs, make_docs, stage):
     out = L.drop_duplicate_lines(odd_docs, stage)
     assert out.schema == odd_docs.schema

@@ -57,7 +57,8 @@ _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORDS = re.compile(WORD)
-_SIG_SCHEMA = "key long, id long, indexed boolean"
+# mark: twice the line's characters, and one if the row is a segment
+_SIG_SCHEMA = "key long, id long, mark int"
 
 
 def segments(length: int, tau: int) -> list[tuple[int, int]]:
@@ -172,9 +173,9 @@ def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int,
                                max((t for _, t in word_taus), default=-1), 0)
     keys, at, ind = zip((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)), *found, strict=True)
     at = np.concatenate(at)
+    mark = (np.minimum(lens, 1 << 29)[at] * 2 + np.concatenate(ind)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(ind))],
-        ["key", "id", "indexed"])
+        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[at]), pa.array(mark)], ["key", "id", "mark"])
 
 
 def within(a: Sequence[str], b: Sequence[str], tau: int) -> bool:
@@ -255,8 +256,9 @@ def _small(keys: DataFrame) -> DataFrame:
 
 def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS,
                word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> DataFrame:
-    """Links between different texts of ``lines(line)``: (a1, a2, b1, b2), the
-    two hashes of either line, each unordered pair once."""
+    """Links between different texts of ``lines(line)``: (a1, a2, b1, b2, joins),
+    the two hashes of either line, each unordered pair once.  Those that
+    ``joins`` marks reach as far as all do: a dense group has few of them."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # copies within a task are signed once; what is remembered is bounded
         seen: set[int] = set()
@@ -285,39 +287,41 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     # only the keys under which different lines meet, one at least as a segment
     shared = stage.put(
         rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
-                                F.max("indexed").alias("indexed"))
-        .where("indexed and lo <> hi").select("key"), "keys")
+                                F.max(F.col("mark") % 2).alias("indexed"))
+        .where("indexed = 1 and lo <> hi").select("key"), "keys")
     rows = rows.join(_small(shared), "key", "left_semi")
-    rows = stage.put(rows.groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "members")
+    rows = stage.put(rows.groupBy("key", "id").agg(F.max("mark").alias("mark")), "members")
     wanted = stage.put(rows.select("id").distinct(), "wanted")
     h1, h2 = _hashes(F.col("line"))
     text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted), "id", "left_semi")
     text = stage.put(text.select(h1, h2, "line").dropDuplicates(["h1", "h2"]), "texts")
-    chars = text.select(F.col("h1").alias("id"), F.char_length("line").alias("n"))
-    size = rows.join(chars, "id").groupBy("key").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_CHARS)).cast("int").alias("parts"))
+    size = rows.groupBy("key").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("mark") / (2 * BLOCK_CHARS))).cast("int").alias("parts"))
     met = rows.join(size, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
     # every block meets every other once; a lone block meets itself
     met = met.withColumn("other", F.explode(F.expr(
         "case when parts = 1 then array(0) else filter(sequence(0, parts - 1), x -> x <> own) end")))
     met = met.join(text.withColumnRenamed("h1", "id"), "id")
     groups = met.groupBy("key", F.least("own", "other"), F.greatest("own", "other")).agg(
-        F.collect_list(F.struct("id", "h2", "indexed", "line")).alias("g"))
+        F.collect_list(F.struct("id", "h2", (F.col("mark") % 2 == 1).alias("indexed"), "line")).alias("g"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
+            out: list[tuple[int, int, int, int, bool]] = []
             for g in batch.column(0):
                 out += linked(g.as_py(), tau, word_taus)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[c] for x in out], pa.int64()) for c in range(4)], ["a1", "a2", "b1", "b2"])
+                [*(pa.array([x[c] for x in out], pa.int64()) for c in range(4)),
+                 pa.array([x[4] for x in out], pa.bool_())], ["a1", "a2", "b1", "b2", "joins"])
 
-    return groups.select("g").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long").distinct()
+    found = groups.select("g").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long, joins boolean")
+    return found.groupBy("a1", "a2", "b1", "b2").agg(F.max("joins").alias("joins"))
 
 
 def linked(group: list[dict], tau: int,
-           word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int]]:
-    """Links of one block: rows that share a key, an indexed one with any."""
+           word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int, bool]]:
+    """Links of one block: rows that share a key, an indexed one with any; and
+    whether the link joins parts that those before it leave apart."""
     lines = [row["line"] for row in group]
     words = [_WORDS.findall(line) for line in lines]
     n_words, n_chars = np.array(list(map(len, words))), np.array(list(map(len, lines)))
@@ -334,6 +338,13 @@ def linked(group: list[dict], tau: int,
             odd ^= 1 << (hash(w) >> 5 & 63)
         by_word[r] = odd
     out = []
+    part = list(range(len(group)))
+
+    def top(r: int) -> int:
+        while part[r] != r:
+            part[r] = r = part[part[r]]
+        return r
+
     for i in (r for r, row in enumerate(group) if row["indexed"]):
         # net insertions flip one bit each, every other edit two
         chars = few & few[i] & (np.bitwise_count(by_char ^ by_char[i]) <= 2 * tau - np.abs(n_chars - n_chars[i]))
@@ -346,7 +357,9 @@ def linked(group: list[dict], tau: int,
                 continue
             if (whole[j] and within(words[i], words[j], int(may[j]))) or (chars[j] and within(lines[i], lines[j], tau)):
                 a, b = sorted([(x["id"], x["h2"]), (y["id"], y["h2"])])
-                out.append((*a, *b))
+                u, v = top(i), top(j)
+                part[u] = v
+                out.append((*a, *b, u != v))
     return out
 
 
@@ -360,10 +373,10 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
                                     ((F.char_length("line") >= min_chars) | F.col("line").rlike(WORD)).alias("long")),
                        "places")
     links = stage.put(edit_links(lines, stage, tau, min_chars)
-                      .select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b")), "links")
+                      .select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b"), "joins"), "links")
     degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
               .groupBy("node").agg(F.count("*").alias("n_links")))
-    root = connected_components(links, stage).join(degree, "node")
+    root = connected_components(links.where("joins"), stage).join(degree, "node")
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "line_no")
     # a text with one place and no link is a class of its own; the others are few
     many = (places.where("long").groupBy("h1", "h2").agg(F.count("*").alias("n"))

@@ -15,7 +15,9 @@ of the lengths.  Rows with equal (length, segment number, content) keys are
 grouped; a key with many rows, or with long ones, is cut into blocks and
 every pair of blocks is a row of its own.  In a block, parity signatures of
 the characters and words (an edit flips two bits at most) discard pairs, and
-a banded bit-parallel edit distance verifies the others; only links leave it.
+a banded bit-parallel edit distance verifies the others, each in the block of
+the smallest key it shares.  What leaves a block is linear in its rows: the
+number of links of each, and one row that its links reach.
 
 Exact copies are one text with many places, at every length: they are found
 by grouping, not by the join.  Lines of fewer than ``min_chars`` code points
@@ -256,9 +258,10 @@ def _small(keys: DataFrame) -> DataFrame:
 
 def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS,
                word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> DataFrame:
-    """Links between different texts of ``lines(line)``: (a1, a2, b1, b2, joins),
-    the two hashes of either line, each unordered pair once.  Those that
-    ``joins`` marks reach as far as all do: a dense group has few of them."""
+    """What the links between different texts of ``lines(line)`` come to, a row
+    a linked text and block: (h1, h2, n_links, r1, r2), the text's two hashes,
+    its links found there, and the text its part of the block is joined to.
+    A pair is counted in one block only: that of the smallest key it shares."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # copies within a task are signed once; what is remembered is bounded
         seen: set[int] = set()
@@ -291,9 +294,12 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
         .where("indexed = 1 and lo <> hi").select("key"), "keys")
     rows = rows.join(_small(shared), "key", "left_semi")
     rows = stage.put(rows.groupBy("key", "id").agg(F.max("mark").alias("mark")), "members")
-    wanted = stage.put(rows.select("id").distinct(), "wanted")
+    # a line has a few dozen keys at most, so every row can tell under which others it stands
+    wanted = stage.put(rows.groupBy("id").agg(
+        F.collect_list(F.expr("case when mark % 2 = 1 then key end")).alias("segs"),
+        F.collect_list(F.expr("case when mark % 2 = 0 then key end")).alias("wins")), "wanted")
     h1, h2 = _hashes(F.col("line"))
-    text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted), "id", "left_semi")
+    text = long.withColumn("id", F.xxhash64("line")).join(_small(wanted.select("id")), "id", "left_semi")
     text = stage.put(text.select(h1, h2, "line").dropDuplicates(["h1", "h2"]), "texts")
     size = rows.groupBy("key").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("mark") / (2 * BLOCK_CHARS))).cast("int").alias("parts"))
@@ -301,32 +307,37 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     # every block meets every other once; a lone block meets itself
     met = met.withColumn("other", F.explode(F.expr(
         "case when parts = 1 then array(0) else filter(sequence(0, parts - 1), x -> x <> own) end")))
-    met = met.join(text.withColumnRenamed("h1", "id"), "id")
-    groups = met.groupBy("key", F.least("own", "other"), F.greatest("own", "other")).agg(
-        F.collect_list(F.struct("id", "h2", (F.col("mark") % 2 == 1).alias("indexed"), "line")).alias("g"))
+    # pairs within a block are looked at where it meets the first other one
+    met = met.withColumn("home", F.expr("parts = 1 or other = if(own = 0, 1, 0)"))
+    met = met.join(text.withColumnRenamed("h1", "id"), "id").join(wanted, "id")
+    row = F.struct("id", "h2", (F.col("mark") % 2 == 1).alias("indexed"), "own", "home", "line",
+                   *[F.filter(c, lambda k: k < F.col("key")).alias(c) for c in ("segs", "wins")])
+    groups = met.groupBy("key", F.least("own", "other"), F.greatest("own", "other")).agg(F.collect_list(row).alias("g"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int, bool]] = []
+            out: list[tuple[int, int, int, int, int]] = []
             for g in batch.column(0):
-                out += linked(g.as_py(), tau, word_taus)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([x[c] for x in out], pa.int64()) for c in range(4)),
-                 pa.array([x[4] for x in out], pa.bool_())], ["a1", "a2", "b1", "b2", "joins"])
-
-    found = groups.select("g").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long, joins boolean")
-    return found.groupBy("a1", "a2", "b1", "b2").agg(F.max("joins").alias("joins"))
-
-
-def linked(group: list[dict], tau: int,
-           word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int, bool]]:
-    """Links of one block: rows that share a key, an indexed one with any; and
-    whether the link joins parts that those before it leave apart."""
-    lines = [row["line"] for row in group]
+                out += linked(g.values, tau, word_taus)
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(5)],
+                                             ["h1", "h2", "n_links", "r1", "r2"])
+
+    return groups.select("g").mapInArrow(verify, "h1 long, h2 long, n_links long, r1 long, r2 long")
+
+
+def linked(group: pa.StructArray, tau: int,
+           word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int, int]]:
+    """Links of one block: rows that share a key, an indexed one with any, and
+    no smaller key in that way (``segs`` and ``wins``: the smaller keys under
+    which a row is indexed, or is not).  For every linked row its hashes, its
+    number of links and the hashes of the smallest row that these links reach."""
+    lines, ids = group.field("line").to_pylist(), list(zip(*(group.field(c).to_pylist() for c in ("id", "h2")), strict=True))
+    indexed, own, home = (group.field(c).to_numpy(zero_copy_only=False) for c in ("indexed", "own", "home"))
+    segs, wins = group.field("segs"), group.field("wins")
     words = [_WORDS.findall(line) for line in lines]
     n_words, n_chars = np.array(list(map(len, words))), np.array(list(map(len, lines)))
-    few = n_words < word_taus[-1][0] if word_taus else np.ones(len(group), bool)
-    by_char, by_word = np.zeros(len(group), np.uint64), np.zeros(len(group), np.uint64)
+    few = n_words < word_taus[-1][0] if word_taus else np.ones(len(lines), bool)
+    by_char, by_word = np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
     for r, line in enumerate(lines):
         odd = 0
         if few[r]:
@@ -337,30 +348,41 @@ def linked(group: list[dict], tau: int,
         for w in words[r]:
             odd ^= 1 << (hash(w) >> 5 & 63)
         by_word[r] = odd
-    out = []
-    part = list(range(len(group)))
+    part = list(range(len(lines)))
+    n_links = [0] * len(lines)
+    smaller: dict[int, tuple[set[int], set[int]]] = {}
 
     def top(r: int) -> int:
         while part[r] != r:
             part[r] = r = part[part[r]]
         return r
 
-    for i in (r for r, row in enumerate(group) if row["indexed"]):
+    def keys(r: int) -> tuple[set[int], set[int]]:
+        if r not in smaller:
+            smaller[r] = set(segs[r].as_py()), set(wins[r].as_py())
+        return smaller[r]
+
+    later = ~indexed
+    for i in np.flatnonzero(indexed)[::-1]:      # indexed rows meet those behind them only
         # net insertions flip one bit each, every other edit two
         chars = few & few[i] & (np.bitwise_count(by_char ^ by_char[i]) <= 2 * tau - np.abs(n_chars - n_chars[i]))
         may = word_tau(np.minimum(n_words, n_words[i]), word_taus)
         whole = np.bitwise_count(by_word ^ by_word[i]) <= 2 * may - np.abs(n_words - n_words[i])
-        x = group[i]
-        for j in np.flatnonzero(chars | whole):
-            y = group[j]
-            if (y["indexed"] and j <= i) or (x["id"], x["h2"]) == (y["id"], y["h2"]):
+        for j in np.flatnonzero((chars | whole) & later & (home | (own != own[i]))):
+            (si, wi), (sj, wj) = keys(i), keys(j)
+            if not (si.isdisjoint(sj) and si.isdisjoint(wj) and wi.isdisjoint(sj)):
                 continue
             if (whole[j] and within(words[i], words[j], int(may[j]))) or (chars[j] and within(lines[i], lines[j], tau)):
-                a, b = sorted([(x["id"], x["h2"]), (y["id"], y["h2"])])
-                u, v = top(i), top(j)
-                part[u] = v
-                out.append((*a, *b, u != v))
-    return out
+                n_links[i] += 1
+                n_links[j] += 1
+                part[top(i)] = top(j)
+        later[i] = True
+    out = [r for r, n in enumerate(n_links) if n]
+    least: dict[int, tuple[int, int]] = {}
+    for r in out:
+        t = top(r)
+        least[t] = min(least.get(t, ids[r]), ids[r])
+    return [(*ids[r], n_links[r], *least[top(r)]) for r in out]
 
 
 def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -372,11 +394,11 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     places = stage.put(lines.select("doc_id", "text_hash", "line_no", h1, h2,
                                     ((F.char_length("line") >= min_chars) | F.col("line").rlike(WORD)).alias("long")),
                        "places")
-    links = stage.put(edit_links(lines, stage, tau, min_chars)
-                      .select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b"), "joins"), "links")
-    degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
-              .groupBy("node").agg(F.count("*").alias("n_links")))
-    root = connected_components(links.where("joins"), stage).join(degree, "node")
+    links = stage.put(edit_links(lines, stage, tau, min_chars), "links")
+    degree = links.groupBy("h1", "h2").agg(F.sum("n_links").alias("n_links"))
+    degree = degree.select(_node("h1", "h2").alias("node"), "n_links")
+    joins = links.where("h1 <> r1 or h2 <> r2").select(_node("h1", "h2").alias("a"), _node("r1", "r2").alias("b"))
+    root = connected_components(joins, stage).join(degree, "node")
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "line_no")
     # a text with one place and no link is a class of its own; the others are few
     many = (places.where("long").groupBy("h1", "h2").agg(F.count("*").alias("n"))

@@ -188,3 +188,23 @@ def test_short_copies_are_found_at_every_length(make_docs, stage):
                    (1, 3): ((1, 3), 0, True), (2, 0): ((1, 0), 0, False), (2, 1): ((2, 1), 0, True),
                    (2, 2): ((2, 2), 0, True), (2, 3): ((2, 3), 0, True), (None, 0): ((2, 3), 0, False),
                    (None, 1): ((1, 0), 0, False), (3, 0): ((3, 0), 0, True), (3, 1): ((3, 1), 0, True)}
+
+
+def test_a_block_gives_counts_not_pairs(spark, make_docs, stage, monkeypatch):
+    """A dense group leaves the join in a row a line and block; its blocks count each pair once."""
+    rng = random.Random(3)
+    base = "".join(rng.choices("abcdefgh ", k=60))
+    texts = sorted({edited(rng, base, rng.choice([0, 1, 1]), "abcdxyz") for _ in range(150)})
+    lines = spark.createDataFrame([(t,) for t in texts * 2], "line string")
+    want = Counter(x for link in brute_links(texts, L.TAU, L.MIN_CHARS) for x in link)
+    hashed = {r.h1: r.line for r in lines.select(F.xxhash64("line").alias("h1"), "line").collect()}
+    assert want.total() / 2 > 40 * len(texts)
+    for block in (L.BLOCK, 40):
+        monkeypatch.setattr(L, "BLOCK", block)
+        got = L.edit_links(lines, stage).collect()
+        n_links = Counter()
+        for r in got:
+            n_links[hashed[r.h1]] += r.n_links
+        assert n_links == want
+        if block == L.BLOCK:
+            assert len(got) <= 10 * len(texts)

@@ -27,12 +27,13 @@ def key_set(df: DataFrame, keys: Sequence[str], extra: Sequence[str] = (),
     """Distinct ``keys (+ extra)`` of ``df``, renamed with the right-side prefix.
 
     ``broadcast=True`` is for callers that proved the set small (see
-    :func:`histlake.operators.sizing.key_stats`); otherwise the planner
-    decides, and AQE re-decides from the measured shuffle size.
+    :func:`histlake.operators.sizing.key_stats`); otherwise the set is merged.
+    Left to itself the planner broadcasts by the size of the files, and keys
+    that are packed well then fill the memory of every task.
     """
     cols = [*keys, *extra]
     ks = df.select(*[F.col(c).alias(_R + c) for c in cols]).distinct()
-    return F.broadcast(ks) if broadcast else ks
+    return F.broadcast(ks) if broadcast else ks.hint("merge")
 
 
 def _on(keys: Sequence[str], extra: Sequence[str], left: DataFrame, right: DataFrame,

@@ -130,3 +130,17 @@ def test_hot_keys_are_found_whole_and_spread(spark):
     cold = placed.where(~F.coalesce(F.col("k") == "hot", F.lit(True))).join(plain, ["k", "j"])
     assert cold.where("p <> q").count() == 0 and cold.count() > 0
     assert hot_keys(df.limit(0), ["k", "j"], 50) == {}
+
+
+def test_key_sets_are_broadcast_only_when_proven_small(spark):
+    """The size of the files does not tell how many keys they hold."""
+    a = open_rows(orders_old(spark, SF001), T1, ori_id="o_orderkey")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        for proven in (False, True):
+            rows = upsert_rows(a, orders_new(spark, SF001), ["o_orderkey"], T2, ori_id="o_orderkey",
+                               broadcast_keys=proven)
+            rows.write.format("noop").mode("overwrite").save()
+            assert ("BroadcastHashJoin" in plan(rows, "simple")) == proven
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -18,7 +18,7 @@ from ..operators.stamps import STATUS_SUPERSEDED
 from ..sources.publish import Publication, _fs, finish_pending
 from ..sources.tables import partition_location, partitions, write_stage_table
 from .digests import _bucket_of
-from .loads import LoadResult, _run_dir
+from .loads import LoadResult, _run_dir, job_session
 from .spec import TableSpec
 
 TARGET_BYTES = 128 << 20
@@ -54,7 +54,8 @@ def compact(spark: SparkSession, spec: TableSpec, run_dir: str | None = None, ta
     """Fewer, larger files in the main table's slots of these statuses.
 
     Only file names and sizes come to the driver; the rows of the files to be
-    joined are read once and written once, a bin a task.
+    joined are read once and written once, a bin a task; a bin is of one
+    partition, so its rows go straight to its file and are not sorted.
     """
     finish_pending(spark, spec)
     rd = _run_dir(spark, run_dir, f"compact-{spec.name}")
@@ -74,8 +75,9 @@ def compact(spark: SparkSession, spec: TableSpec, run_dir: str | None = None, ta
     counts = {"joined_files": len(places), "new_files": n}
     if not places:
         return LoadResult(spec.name, "compact", "", 0, rd, counts)
-    listed = spark.createDataFrame(list(places.items()), "_file string, _bin int")
-    m = spark.table(spec.m_table).where(F.col("dl_status").isin(list(statuses)))
+    job = job_session(spark, spec)
+    listed = job.createDataFrame(list(places.items()), "_file string, _bin int")
+    m = job.table(spec.m_table).where(F.col("dl_status").isin(list(statuses)))
     # the list prunes the files that are opened; the join gives the bin (a row a file)
     chosen = m.where(F.col("_metadata.file_path").isin(list(places)))
     rows = chosen.withColumn("_path", F.col("_metadata.file_path")).join(

@@ -71,9 +71,15 @@ def _arrivals(spark: SparkSession, spec: TableSpec, arrivals: DataFrame | None)
     return src.select(*[F.col(c) for c in spec.column_names])
 
 
+#: partitions whose files one writing task holds open at once; more are sorted first
+OPEN_FILES = 4
+
+
 def job_session(spark: SparkSession, spec: TableSpec) -> SparkSession:
     """The session for a main-table job, lined up with the table's buckets.
 
+    A task writes rows of a few partitions, so it keeps their files open
+    instead of sorting all its rows by partition in memory.
     Spark keeps a bucketed side unshuffled only if its bucket count is at
     least ``spark.sql.shuffle.partitions``, and a join on key + checksum
     only reuses a layout bucketed by the key when co-partitioning on a
@@ -81,12 +87,13 @@ def job_session(spark: SparkSession, spec: TableSpec) -> SparkSession:
     that shares the catalog, so the caller's settings and loads running
     beside this one are untouched.
     """
-    if not spec.buckets:
-        return spark
     child = spark.newSession()
     for k, v in spark.conf.getAll.items():
         if spark.conf.isModifiable(k):
             child.conf.set(k, v)
+    child.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+    if not spec.buckets:
+        return child
     child.conf.set("spark.sql.shuffle.partitions", str(spec.buckets))
     child.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return child

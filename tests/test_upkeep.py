@@ -15,7 +15,7 @@ from histlake.plans.compaction import pack
 from histlake.plans.registry import T1, T2, T3, T3_LATER, orders_new, orders_old, orders_spec, orders_third
 from histlake.sources import append_by_name, create_layers, partitions
 from histlake.sources.publish import _names
-from histlake.sources.tables import partition_location
+from histlake.sources.tables import partition_location, write_stage_table
 from histlake.operators import stamp_load
 
 
@@ -61,6 +61,25 @@ def test_compaction_joins_files_and_keeps_rows(spark, run_dir, fresh_db, buckets
     assert spark.table(spec.m_table).where("dl_status = 'A'").groupBy("o_orderkey").count().where("count > 1").isEmpty()
 
 
+def test_compaction_does_not_sort_a_bin(spark, run_dir, fresh_db, monkeypatch):
+    """A sort of a bin by partition would hold its rows, many times the file, in one task."""
+    from histlake.plans import compaction
+    spec = orders_spec(fresh_db)
+    create_layers(spark, spec, run_dir)
+    for ts, src in ((T1, orders_old), (T2, orders_new), (T3, orders_old), (T3_LATER, orders_new)):
+        upsert(spark, spec, ts, arrivals=src(spark, SF001), ori_id="o_orderkey")
+    plans = []
+
+    def write(df, like, path):
+        df.createOrReplaceTempView("bins")
+        plans.append(df.sparkSession.sql(f"EXPLAIN INSERT INTO {like} SELECT * FROM bins").first()[0])
+        return write_stage_table(df, like, path)
+
+    monkeypatch.setattr(compaction, "write_stage_table", write)
+    assert compact(spark, spec).counts["new_files"] > 0
+    assert len(plans) == 1 and "InsertInto" in plans[0] and "Sort" not in plans[0], plans
+
+
 def test_compaction_can_die_at_any_action(spark, run_dir, fresh_db, monkeypatch):
     spec = orders_spec(fresh_db)
     loaded(spark, spec, run_dir)

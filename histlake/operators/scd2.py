@@ -56,7 +56,21 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
                 slot: int | None = None, ori_id: Column | str | None = None,
                 broadcast_keys: bool = False, opened_partitions: int | None = None,
                 hot: Mapping[int, int] | None = None) -> DataFrame:
-    """P2/P3 rows: new current slice plus the versions closed by this batch.
+    """P2/P3 rows: new current slice plus the versions closed by this batch
+    (:func:`upsert_parts` in one).
+    """
+    kept_or_closed, opened = upsert_parts(current, arrivals, keys, batch_ts, required, extra, slot, ori_id,
+                                          broadcast_keys, opened_partitions, hot)
+    return kept_or_closed.unionByName(opened)
+
+
+def upsert_parts(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], batch_ts,
+                 required: Sequence[str] = (), extra: str | Column | None = None,
+                 slot: int | None = None, ori_id: Column | str | None = None,
+                 broadcast_keys: bool = False, opened_partitions: int | None = None,
+                 hot: Mapping[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """P2/P3 rows: the current versions, kept or closed by this batch, and the
+    versions it opens.
 
     Arrivals are cleaned first (keys and ``required`` non-null, ``extra``
     predicate), and only cleaned arrivals close versions.  Null keys never
@@ -76,7 +90,7 @@ def upsert_rows(current: DataFrame, arrivals: DataFrame, keys: Sequence[str], ba
     opened = open_rows(clean, batch_ts, slot=slot, ori_id=ori_id)
     if opened_partitions:
         opened = place_by_key(opened, keys, opened_partitions, hot or {}, ["dl_id"])
-    return kept_or_closed.unionByName(opened)
+    return kept_or_closed, opened
 
 
 def repair_rows(current: DataFrame, snapshot: DataFrame, keys: Sequence[str], batch_ts,

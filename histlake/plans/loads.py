@@ -21,7 +21,7 @@ from ..functions.slots import batch_text, slot_of
 from ..operators.dedup import drop_exact_duplicates, latest_per_key, loaded_since_midnight
 from ..operators.evolve import evolved_repair_rows
 from ..operators.hotkeys import hot_keys, place_by_key
-from ..operators.scd2 import backfill_rows, repair_rows, upsert_rows
+from ..operators.scd2 import backfill_rows, repair_rows, upsert_parts
 from ..operators.sizing import DEFAULT_BROADCAST_BYTES, key_stats
 from ..operators.stamps import (STATUS_CURRENT, STATUS_SNAPSHOT, STATUS_SUPERSEDED,
                                 clean_required, close_rows,
@@ -173,9 +173,10 @@ def _stage_main(spec: TableSpec, rows: DataFrame, rd: str) -> str:
 
 
 def _stage_ods(spark: SparkSession, spec: TableSpec, rows: DataFrame, rd: str,
-               name: str = "ff") -> str:
-    """Rows in the ODS table's layout, written once into the run folder."""
-    return write_stage_table(write_layout(rows, ["day"], False), spec.ff_table, f"{rd}/{name}")
+               name: str = "ff", placed: bool = False) -> str:
+    """Rows in the ODS table's layout, written once into the run folder.
+    ``placed``: they are of one day and come from a shuffle, which need not be repeated."""
+    return write_stage_table(write_layout(rows, ["day"], placed), spec.ff_table, f"{rd}/{name}")
 
 
 def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame | None = None,
@@ -206,7 +207,7 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
     src = _arrivals(spark, spec, arrivals)
     if dedupe_arrivals:
         src = latest_per_key(src, spec.keys, list(dedupe_arrivals))
-    n_stage = _stage_ods(spark, spec, stamp_load(src, bt, slot), rd)
+    n_stage = _stage_ods(spark, spec, stamp_load(src, bt, slot), rd, placed=bool(dedupe_arrivals))
     job = job_session(spark, spec)
     n = job.table(n_stage)
     arrived, key_bytes = key_stats(n, spec.keys)
@@ -226,11 +227,17 @@ def upsert(spark: SparkSession, spec: TableSpec, batch_ts, arrivals: DataFrame |
         days |= days_with(job, spec, clean_required(n, spec.required_all, spec.extra_filter), known)
         cur = cur.filter(F.col("day").isin(sorted(days)))
         counts["rewritten_days"] = len(days)
-    rows = upsert_rows(cur, n, spec.keys, bt,
-                       spec.required, spec.extra_filter, slot, ori_id=ori_id,
-                       broadcast_keys=small, opened_partitions=spec.buckets,
-                       hot=hot_keys(n, spec.keys, spec.buckets) if spec.buckets else None)
-    staged = _stage_main(spec, rows, rd)
+    if not a_days:
+        cur = cur.filter(F.lit(False))     # nothing to join with
+    old, opened = upsert_parts(cur, n, spec.keys, bt,
+                               spec.required, spec.extra_filter, slot, ori_id=ori_id,
+                               broadcast_keys=small, opened_partitions=spec.buckets,
+                               hot=hot_keys(n, spec.keys, spec.buckets) if spec.buckets else None)
+    # opened rows are of one partition and come from files of the staged arrivals, in which
+    # they are laid out already; the others are dealt by partition if they are of many
+    here = a_days if days is None else a_days & days
+    old = write_layout(old, ["dl_status", "day"], bool(spec.buckets) or len(here) < OPEN_FILES)
+    staged = write_stage_table(old.unionByName(opened), spec.m_table, f"{rd}/m")
     counts.update(_verify(spark.table(staged), bt, slot, check_ids and ori_id is not None))
     within = None if days is None else (lambda p: int(p["day"]) in days)
     out = Publication(spark, spec, "upsert", bt)

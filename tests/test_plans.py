@@ -11,8 +11,10 @@ from histlake.operators import (current, latest_per_key, open_rows, repair_rows,
                                 upsert_rows)
 from histlake.operators.hotkeys import hot_keys, place_by_key
 from histlake.plans.registry import T1, T2, orders_new, orders_old, orders_spec
+from histlake.plans import loads
 from histlake.plans.loads import job_session, upsert
 from histlake.sources import create_layers, stage
+from histlake.sources.tables import write_stage_table
 
 from conftest import SF001
 
@@ -144,3 +146,30 @@ def test_key_sets_are_broadcast_only_when_proven_small(spark):
             assert ("BroadcastHashJoin" in plan(rows, "simple")) == proven
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def test_upsert_does_not_repeat_shuffles(spark, run_dir, fresh_db, monkeypatch):
+    """Deduplicated arrivals and opened rows are written as they lie; only current rows
+    of many days are dealt by partition."""
+    spec = orders_spec(fresh_db)
+    create_layers(spark, spec, run_dir)
+    plans = []
+
+    def write(df, like, path):
+        plans.append(plan(df, "simple"))
+        return write_stage_table(df, like, path)
+
+    monkeypatch.setattr(loads, "write_stage_table", write)
+    part = orders_old(spark, SF001)
+    for i, day in enumerate(("11", "12", "13", "14")):
+        upsert(spark, spec, f"2022-04-{day} 10:11:12", arrivals=part.where(F.col("o_orderkey") % 4 == i),
+               dedupe_arrivals=["o_orderdate"], ori_id="o_orderkey")
+    upsert(spark, spec, "2022-04-14 12:11:12", arrivals=part.where("o_orderkey % 4 = 3"),
+           dedupe_arrivals=["o_orderdate"], ori_id="o_orderkey")
+    assert len(plans) == 10 and not any("REBALANCE" in p for p in plans), plans
+    assert "Join" not in plans[1]                 # the first load has nothing to join with
+    upsert(spark, spec, T2, arrivals=part, dedupe_arrivals=["o_orderdate"], ori_id="o_orderkey")
+    assert "REBALANCE" not in plans[10] and plans[11].count("REBALANCE") == 1, plans[10:]
+    m = spark.table(spec.m_table)
+    n, again = part.count(), part.where("o_orderkey % 4 = 3").count()
+    assert {r.dl_status: r["count"] for r in m.groupBy("dl_status").count().collect()} == {"A": n, "H": n + again}

@@ -12,11 +12,14 @@ longer line holds it as a subsequence near the same place.  Only the
 places that can take part in such a match are looked up: the
 multi-match-aware window around a segment's place, widened by the difference
 of the lengths.  Rows with equal (length, segment number, content) keys are
-grouped; a key with many rows, or with long ones, is cut into blocks and
-every pair of blocks is a row of its own.  In a block, parity signatures of
-the characters and words (an edit flips two bits at most) discard pairs, and
-a banded bit-parallel edit distance verifies the others, each in the block of
-the smallest key it shares.  What leaves a block is linear in its rows: the
+to be grouped.  Most keys stand alone, so tasks deal their rows out as arrays,
+one a slot of keys, and a slot leaves only the rows whose keys different lines
+share (a slot is a partition; its rows, 20 bytes each, are in memory, and slots
+grow in number with the lines).  Of these, a key with many rows, or with long
+ones, is cut into blocks and every pair of blocks is a row of its own.  In a
+block, parity signatures of the characters and words (an edit flips two bits
+at most) discard pairs, and a banded bit-parallel edit distance verifies the
+others, each in the block of the smallest key it shares.  What leaves a block is linear in its rows: the
 number of links of each, and one row that its links reach.
 
 Exact copies are one text with many places, at every length: they are found
@@ -33,7 +36,6 @@ tables with other columns are handled through ``doc_id`` and ``text`` only.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -50,6 +52,12 @@ MIN_CHARS = 30
 WORD_TAUS = ((20, 1), (40, 2))
 #: staged keys up to this many rows (8 bytes each) are broadcast, more are joined by a shuffle
 BROADCAST_ROWS = 1_000_000
+#: lines whose signatures come to one slot of keys, about (a dozen rows of 20 bytes a line)
+SLOT_LINES = 1 << 15
+#: characters that are signed at once
+SIGN_CHARS = 1 << 18
+#: signature rows a task holds before they are dealt to the slots
+SIGN_ROWS = 1 << 20
 #: rows of one key that are compared with each other in one piece
 BLOCK = 256
 #: characters of one such piece, unless a single line is longer
@@ -60,7 +68,8 @@ _PINV = pow(_P, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORDS = re.compile(WORD)
 # mark: twice the line's characters, and one if the row is a segment
-_SIG_SCHEMA = "key long, id long, mark int"
+_SIG_SCHEMA = "slot int, key array<long>, id array<long>, mark array<int>"
+_MEMBER_SCHEMA = "key long, id long, mark int"
 
 
 def segments(length: int, tau: int) -> list[tuple[int, int]]:
@@ -93,12 +102,22 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(x: int, n: int) -> np.ndarray:
+@lru_cache(2)
+def _few_powers(x: int) -> np.ndarray:
+    return _all_powers(x, 2 * SIGN_CHARS)
+
+
+def _all_powers(x: int, n: int) -> np.ndarray:
     out = np.full(n + 1, x, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _powers(x: int, n: int) -> np.ndarray:
+    """Powers 0 to ``n`` at least; those that most calls need are kept."""
+    return _few_powers(x) if n <= 2 * SIGN_CHARS else _all_powers(x, n)
+
+
 @lru_cache(1)
 def _scrambled() -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -113,14 +132,35 @@ def word_tau(words: np.ndarray, word_taus: tuple[tuple[int, int], ...]) -> np.nd
     return out
 
 
-def _sums(x: np.ndarray, lens: np.ndarray, inv: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, places in the line and prefix sums of all lines' symbols: any
-    run's hash takes two look-ups."""
-    starts = np.cumsum(lens) - lens
-    pos = np.arange(len(x)) - np.repeat(starts, lens)      # powers start anew for every line
+def _sums(x: np.ndarray, inv: np.ndarray) -> np.ndarray:
+    """Prefix sums of symbols, each by the power of its place: any run's hash
+    takes two look-ups, and the power of its start takes the place out."""
     pre = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum(x * inv[pos], out=pre[1:])
-    return starts, pos, pre
+    np.cumsum(x * inv[:len(x)], out=pre[1:])
+    return pre
+
+
+class _Text:
+    """Lines behind each other as hashed symbols: their characters
+    (``chars``, line k from ``starts[k]`` on, ``lens[k]`` of them) and their
+    words (``words``, ``w_starts``, ``n_words``); ``pre`` are the sums of
+    the characters, ``inv`` and ``pw`` the powers."""
+
+    def __init__(self, lines: list[str]):
+        self.lens = np.fromiter(map(len, lines), np.int64, len(lines))
+        self.starts = np.cumsum(self.lens + 1) - self.lens - 1   # a line end behind each line ends its last word
+        cps = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le"), np.uint32)
+        self.inv, self.pw = _powers(_PINV, len(cps)), _powers(_P, len(cps))
+        self.chars = _scrambled()[cps]
+        self.pre = _sums(self.chars, self.inv)
+        inside = np.zeros(len(cps) + 1, np.int8)
+        inside[1:] = (cps != 32) & ((cps < 9) | (cps > 13))
+        step = np.diff(inside)
+        first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        # a word is one symbol: the hash of its characters
+        self.words = _finish((self.pre[last] - self.pre[first]) * self.pw[first])
+        self.w_starts = np.searchsorted(first, self.starts)
+        self.n_words = np.diff(np.append(self.w_starts, len(first)))
 
 
 def _segment_rows(starts: np.ndarray, lens: np.ndarray, pre: np.ndarray, pw: np.ndarray, tau_of, top: int,
@@ -145,39 +185,57 @@ def _segment_rows(starts: np.ndarray, lens: np.ndarray, pre: np.ndarray, pw: np.
                     break
                 s = lo[at] + t
                 a = starts[at] + s
-                h = _finish((pre[a + n[at]] - pre[a]) * pw[s])
+                h = _finish((pre[a + n[at]] - pre[a]) * pw[a])
                 yield (_finish(h ^ ((other[at] * 64 + i) * 2 + kind).astype(np.uint64)), at,
                        (delta == 0) & (s == p[at]))
                 t += 1
 
 
 def signatures(lines: list[str], ids: np.ndarray, tau: int, min_chars: int,
-               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> pa.RecordBatch:
-    """Index and probe rows of the lines, all lines at once."""
-    lens = np.fromiter(map(len, lines), np.int64, len(lines))
-    cps = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, ids, marks) of the lines' index and probe rows, all lines at once."""
     with np.errstate(over="ignore"):
-        size = int(lens.max(initial=0)) + 1
-        inv, pw = _powers(_PINV, size), _powers(_P, size)
-        starts, pos, pre = _sums(_scrambled()[cps], lens, inv)
-        # a word is one symbol: the hash of its characters
-        inside = np.concatenate([(cps != 32) & ((cps < 9) | (cps > 13)), [False]])
-        end_of_line = np.concatenate([pos[1:] == 0, [True]]) if len(pos) else pos == 0
-        first = np.flatnonzero(inside[:-1] & ((pos == 0) | ~np.concatenate([[False], inside[:-2]])[:len(pos)]))
-        last = np.flatnonzero(inside[:-1] & (end_of_line | ~inside[1:])) + 1
-        words = _finish((pre[last] - pre[first]) * pw[pos[first]])
-        n_words = np.bincount(np.repeat(np.arange(len(lens)), lens)[first], minlength=len(lens))
-        w_starts, _, w_pre = _sums(words, n_words, inv)
-        few = n_words < word_taus[-1][0] if word_taus else np.ones(len(lens), bool)
-        found = list(_segment_rows(starts, lens, pre, pw,
+        text = _Text(lines)
+        few = text.n_words < word_taus[-1][0] if word_taus else np.ones(len(lines), bool)
+        found = list(_segment_rows(text.starts, text.lens, text.pre, text.pw,
                                    lambda n: np.where(few & (n >= min_chars), tau, -1), tau, 1))
-        found += _segment_rows(w_starts, n_words, w_pre, pw, lambda n: word_tau(n, word_taus),
-                               max((t for _, t in word_taus), default=-1), 0)
+        found += _segment_rows(text.w_starts, text.n_words, _sums(text.words, text.inv), text.pw,
+                               lambda n: word_tau(n, word_taus), max((t for _, t in word_taus), default=-1), 0)
     keys, at, ind = zip((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)), *found, strict=True)
     at = np.concatenate(at)
-    mark = (np.minimum(lens, 1 << 29)[at] * 2 + np.concatenate(ind)).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[at]), pa.array(mark)], ["key", "id", "mark"])
+    mark = (np.minimum(text.lens, 1 << 29)[at] * 2 + np.concatenate(ind)).astype(np.int32)
+    return np.concatenate(keys).view(np.int64), ids[at], mark
+
+
+def _dealt(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], slots: int) -> pa.RecordBatch:
+    """Signature rows as one row a slot: the keys of a slot, their lines and marks as arrays."""
+    columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+    slot = ((columns[0].view(np.uint64) >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(slot.astype(np.uint16) if slots <= 1 << 16 else slot, kind="stable")
+    n = np.bincount(slot)
+    held = np.flatnonzero(n)
+    ends = np.append(0, np.cumsum(n[held])).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)),
+                                       *[pa.ListArray.from_arrays(ends, pa.array(c[order])) for c in columns]],
+                                      ["slot", "key", "id", "mark"])
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Of one slot, the rows of keys under which different lines meet, one at
+    least as a segment; of repeated ones the largest mark stays."""
+    key, line, mark = (table[c].combine_chunks().flatten().to_numpy() for c in ("key", "id", "mark"))
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    order = order[np.union1d(np.flatnonzero(same), np.flatnonzero(same) + 1)]      # most keys stand alone
+    order = order[np.lexsort((-mark[order], line[order], key[order]))]
+    key, line, mark = key[order], line[order], mark[order]
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    once = new | np.append(True, line[1:] != line[:-1])[:len(key)]
+    key, line, mark, new = key[once], line[once], mark[once], new[once]
+    group = np.cumsum(new) - 1
+    meet = (np.bincount(group) > 1) & (np.bincount(group, mark % 2) > 0)
+    take = meet[group]
+    return pa.table({"key": key[take], "id": line[take], "mark": mark[take]})
 
 
 def within(a: Sequence[str], b: Sequence[str], tau: int) -> bool:
@@ -243,6 +301,12 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return one.select("doc_id", "text_hash", F.posexplode("ls").alias("line_no", "line"))
 
 
+def _has_chars(line: str, n: int) -> Column:
+    """At least ``n`` code points; one takes four bytes at most, so most lines need no count."""
+    octets = F.octet_length(line)
+    return (octets >= n) & ((octets >= 4 * n) | (F.char_length(line) >= n))
+
+
 def _hashes(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(0x5EED), line).alias("h2")]
 
@@ -257,8 +321,9 @@ def _small(keys: DataFrame) -> DataFrame:
 
 
 def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int = MIN_CHARS,
-               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> DataFrame:
-    """What the links between different texts of ``lines(line)`` come to, a row
+               word_taus: tuple[tuple[int, int], ...] = WORD_TAUS, n_lines: int | None = None) -> DataFrame:
+    """What the links between different texts of ``lines(line)``, ``n_lines``
+    about if they are counted already, come to, a row
     a linked text and block: (h1, h2, n_links, r1, r2), the text's two hashes,
     its links found there, and the text its part of the block is joined to.
     A pair is counted in one block only: that of the smallest key it shares."""
@@ -268,6 +333,7 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
         texts: list[str] = []
         ids: list[int] = []
         size = 0
+        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             for h, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if h in seen:
@@ -278,22 +344,29 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
                 texts.append(line)
                 ids.append(h)
                 size += len(line)
-                if size > 1 << 20:
-                    yield signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus)
+                if size > SIGN_CHARS:
+                    rows.append(signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus))
                     texts, ids, size = [], [], 0
+                    if sum(len(r[0]) for r in rows) >= SIGN_ROWS:
+                        yield _dealt(rows, slots)
+                        rows = []
         if texts:
-            yield signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus)
-
-    long = lines.where(F.char_length("line") >= min_chars)
+            rows.append(signatures(texts, np.array(ids, np.int64), tau, min_chars, word_taus))
+        if rows:
+            yield _dealt(rows, slots)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            yield from _shared(pa.Table.from_batches(held)).to_batches()
+
+    long = lines.where(_has_chars("line", min_chars))
+    # keys are hashes, so slots of them are even; most keys stand alone and leave no row
+    slots = max(1, -(-(long.count() if n_lines is None else n_lines) // SLOT_LINES))
     rows = long.select(F.xxhash64("line").alias("id"), "line").mapInArrow(sign, _SIG_SCHEMA)
-    rows = stage.put(rows, "signatures")
-    # only the keys under which different lines meet, one at least as a segment
-    shared = stage.put(
-        rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
-                                F.max(F.col("mark") % 2).alias("indexed"))
-        .where("indexed = 1 and lo <> hi").select("key"), "keys")
-    rows = rows.join(_small(shared), "key", "left_semi")
-    rows = stage.put(rows.groupBy("key", "id").agg(F.max("mark").alias("mark")), "members")
+    # a slot is a partition, whatever the session's number of them: none holds more than its share
+    rows = rows.repartitionById(slots, "slot").mapInArrow(meet, _MEMBER_SCHEMA)
+    rows = stage.put(rows, "members")
     # a line has a few dozen keys at most, so every row can tell under which others it stands
     wanted = stage.put(rows.groupBy("id").agg(
         F.collect_list(F.expr("case when mark % 2 = 1 then key end")).alias("segs"),
@@ -316,41 +389,57 @@ def edit_links(lines: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows, ends = batch.column(0).values, batch.column(0).offsets.to_numpy()
             out: list[tuple[int, int, int, int, int]] = []
-            for g in batch.column(0):
-                out += linked(g.values, tau, word_taus)
+            a = 0
+            while a < len(ends) - 1:         # small blocks are looked at together
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] + 2 * BLOCK, "right")) - 1)
+                out += linked(rows.slice(ends[a], ends[b] - ends[a]), ends[a:b + 1] - ends[a], tau, word_taus)
+                a = b
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(5)],
                                              ["h1", "h2", "n_links", "r1", "r2"])
 
     return groups.select("g").mapInArrow(verify, "h1 long, h2 long, n_links long, r1 long, r2 long")
 
 
-def linked(group: pa.StructArray, tau: int,
+def _parities(symbols: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """64 bits a line: the parities of its symbols' counts, by hash."""
+    xors = np.zeros(len(symbols) + 1, np.uint64)
+    np.bitwise_xor.accumulate(np.uint64(1) << (symbols & np.uint64(63)), out=xors[1:])
+    return xors[starts + n] ^ xors[starts]
+
+
+def linked(rows: pa.StructArray, ends: np.ndarray, tau: int,
            word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int, int]]:
-    """Links of one block: rows that share a key, an indexed one with any, and
+    """Links within blocks, block k being ``rows`` from ``ends[k]`` up to
+    ``ends[k + 1]``: rows that share a key, an indexed one with any, and
     no smaller key in that way (``segs`` and ``wins``: the smaller keys under
     which a row is indexed, or is not).  For every linked row its hashes, its
     number of links and the hashes of the smallest row that these links reach."""
-    lines, ids = group.field("line").to_pylist(), list(zip(*(group.field(c).to_pylist() for c in ("id", "h2")), strict=True))
-    indexed, own, home = (group.field(c).to_numpy(zero_copy_only=False) for c in ("indexed", "own", "home"))
-    segs, wins = group.field("segs"), group.field("wins")
-    words = [_WORDS.findall(line) for line in lines]
-    n_words, n_chars = np.array(list(map(len, words))), np.array(list(map(len, lines)))
+    lines = rows.field("line").to_pylist()
+    ids = list(zip(*(rows.field(c).to_pylist() for c in ("id", "h2")), strict=True))
+    indexed, own, home = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("indexed", "own", "home"))
+    lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in map(rows.field, ("segs", "wins"))]
+    with np.errstate(over="ignore"):
+        text = _Text(lines)
+    n_words, n_chars = text.n_words, text.lens
     few = n_words < word_taus[-1][0] if word_taus else np.ones(len(lines), bool)
-    by_char, by_word = np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
-    for r, line in enumerate(lines):
-        odd = 0
-        if few[r]:
-            for c, n in Counter(line).items():
-                odd ^= (n & 1) << (ord(c) * 0x9E3779B1 >> 12 & 63)
-            by_char[r] = odd
-        odd = 0
-        for w in words[r]:
-            odd ^= 1 << (hash(w) >> 5 & 63)
-        by_word[r] = odd
+    by_char = _parities(text.chars, text.starts, n_chars)
+    by_word = _parities(text.words, text.w_starts, n_words)
+    # every row meets those behind it in its block
+    behind = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(lines)) - 1
+    i = np.repeat(np.arange(len(lines)), behind)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(behind) - behind, behind)
+    meet = (indexed[i] | indexed[j]) & (home[j] | (own[i] != own[j]))
+    i, j = i[meet], j[meet]
+    # net insertions flip one bit each, every other edit two
+    chars = few[i] & few[j] & (np.bitwise_count(by_char[i] ^ by_char[j]) <= 2 * tau - np.abs(n_chars[i] - n_chars[j]))
+    may = word_tau(np.minimum(n_words[i], n_words[j]), word_taus)
+    whole = np.bitwise_count(by_word[i] ^ by_word[j]) <= 2 * may - np.abs(n_words[i] - n_words[j])
     part = list(range(len(lines)))
     n_links = [0] * len(lines)
     smaller: dict[int, tuple[set[int], set[int]]] = {}
+    words: dict[int, list[str]] = {}
 
     def top(r: int) -> int:
         while part[r] != r:
@@ -359,24 +448,23 @@ def linked(group: pa.StructArray, tau: int,
 
     def keys(r: int) -> tuple[set[int], set[int]]:
         if r not in smaller:
-            smaller[r] = set(segs[r].as_py()), set(wins[r].as_py())
+            smaller[r] = tuple(set(values[ends[r]:ends[r + 1]].tolist()) for ends, values in lists)
         return smaller[r]
 
-    later = ~indexed
-    for i in np.flatnonzero(indexed)[::-1]:      # indexed rows meet those behind them only
-        # net insertions flip one bit each, every other edit two
-        chars = few & few[i] & (np.bitwise_count(by_char ^ by_char[i]) <= 2 * tau - np.abs(n_chars - n_chars[i]))
-        may = word_tau(np.minimum(n_words, n_words[i]), word_taus)
-        whole = np.bitwise_count(by_word ^ by_word[i]) <= 2 * may - np.abs(n_words - n_words[i])
-        for j in np.flatnonzero((chars | whole) & later & (home | (own != own[i]))):
-            (si, wi), (sj, wj) = keys(i), keys(j)
-            if not (si.isdisjoint(sj) and si.isdisjoint(wj) and wi.isdisjoint(sj)):
-                continue
-            if (whole[j] and within(words[i], words[j], int(may[j]))) or (chars[j] and within(lines[i], lines[j], tau)):
-                n_links[i] += 1
-                n_links[j] += 1
-                part[top(i)] = top(j)
-        later[i] = True
+    def words_of(r: int) -> list[str]:
+        if r not in words:
+            words[r] = _WORDS.findall(lines[r])
+        return words[r]
+
+    take = np.flatnonzero(chars | whole)
+    for a, b, char, word, t in zip(*(x[take].tolist() for x in (i, j, chars, whole, may)), strict=True):
+        (sa, wa), (sb, wb) = keys(a), keys(b)
+        if not (sa.isdisjoint(sb) and sa.isdisjoint(wb) and wa.isdisjoint(sb)):
+            continue
+        if (word and within(words_of(a), words_of(b), t)) or (char and within(lines[a], lines[b], tau)):
+            n_links[a] += 1
+            n_links[b] += 1
+            part[top(a)] = top(b)
     out = [r for r, n in enumerate(n_links) if n]
     least: dict[int, tuple[int, int]] = {}
     for r in out:
@@ -392,29 +480,23 @@ def line_classes(docs: DataFrame, stage: Stage, tau: int = TAU, min_chars: int =
     lines = lines_of(docs)
     h1, h2 = _hashes(F.col("line"))
     places = stage.put(lines.select("doc_id", "text_hash", "line_no", h1, h2,
-                                    ((F.char_length("line") >= min_chars) | F.col("line").rlike(WORD)).alias("long")),
+                                    (_has_chars("line", min_chars) | F.col("line").rlike(WORD)).alias("long")),
                        "places")
-    links = stage.put(edit_links(lines, stage, tau, min_chars), "links")
+    links = stage.put(edit_links(lines, stage, tau, min_chars, n_lines=places.where("long").count()), "links")
     degree = links.groupBy("h1", "h2").agg(F.sum("n_links").alias("n_links"))
-    degree = degree.select(_node("h1", "h2").alias("node"), "n_links")
+    degree = degree.withColumn("node", _node("h1", "h2"))
     joins = links.where("h1 <> r1 or h2 <> r2").select(_node("h1", "h2").alias("a"), _node("r1", "r2").alias("b"))
-    root = connected_components(joins, stage).join(degree, "node")
+    root = connected_components(joins, stage).join(degree, "node").select("h1", "h2", "root", "n_links")
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash", "line_no")
-    # a text with one place and no link is a class of its own; the others are few
-    many = (places.where("long").groupBy("h1", "h2").agg(F.count("*").alias("n"))
-            .withColumn("node", _node("h1", "h2")).join(root, "node", "left")
-            .where("n > 1 or n_links > 0")
-            .select("h1", "h2", F.coalesce("root", "node").alias("root"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    many = stage.put(many, "many")
-    # a very common line is one key: its places are dealt out before the minimum is taken
-    rows = (places.where("long").join(many.select("h1", "h2"), ["h1", "h2"], "left_semi")
-            .withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(64))).repartition("h1", "h2", "salt"))
-    first = (rows.groupBy("h1", "h2", "salt").agg(F.min(order).alias("first"))
-             .groupBy("h1", "h2").agg(F.min("first").alias("first")))
-    first = stage.put(first.join(many, ["h1", "h2"]), "first")
-    best = first.groupBy("root").agg(F.min("first").alias("c"))
-    texts = first.join(best, "root").select("h1", "h2", "n_links", "c")
+    # a very common line is one key: its places come down to one a task before they are dealt out by it
+    first = (places.where("long").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(order).alias("first"))
+             .join(root, ["h1", "h2"], "left")
+             # a text with one place and no link is a class of its own; the others are few
+             .where("n > 1 or n_links > 0").select("h1", "h2", "root", "n_links", "first"))
+    first = stage.put(first, "first")
+    best = first.where("root is not null").groupBy("root").agg(F.min("first").alias("c"))
+    texts = first.join(best, "root").select("h1", "h2", "n_links", "c").unionByName(
+        first.where("root is null").select("h1", "h2", F.lit(0).cast("long").alias("n_links"), F.col("first").alias("c")))
     out = places.join(texts.withColumn("long", F.lit(True)), ["h1", "h2", "long"], "left")
     own = (F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("text_hash") == F.col("c.text_hash"))
            & (F.col("line_no") == F.col("c.line_no")))

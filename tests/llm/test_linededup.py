@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 from llm_fixtures import make_docs, odd_docs, stage  # noqa: F401
 from conftest import SF001
 from pyspark.sql import functions as F
@@ -208,3 +210,48 @@ def test_a_block_gives_counts_not_pairs(spark, make_docs, stage, monkeypatch):
         assert n_links == want
         if block == L.BLOCK:
             assert len(got) <= 10 * len(texts)
+
+
+def test_lines_without_a_near_one_stage_nothing(spark, make_docs, stage):
+    """Signatures of lines that share no key are neither written nor grouped row by row."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(30, 90))) for _ in range(300)]
+    texts += [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(45)) for _ in range(50)]
+    assert L.edit_links(spark.createDataFrame([(t,) for t in texts * 2], "line string"), stage).count() == 0
+    assert os.listdir(stage.root)
+    assert [spark.read.parquet(f"{stage.root}/{name}").count() for name in os.listdir(stage.root)] \
+        == [0] * len(os.listdir(stage.root))
+
+
+def test_many_slots(spark, stage, monkeypatch):
+    """Lines are dealt to many slots from many small pieces; the links are those of all pairs."""
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdefgh é", k=rng.randint(30, 70))) for _ in range(30)]
+    base += [" ".join("".join(rng.choices("abcdé", k=4)) for _ in range(n)) for n in (19, 20, 21, 40, 42) for _ in range(4)]
+    texts = [edited(rng, rng.choice(base), rng.choice([0, 1, 1, 2, 3]), "abc é") for _ in range(300)]
+    want = Counter(x for link in brute_links(texts, L.TAU, L.MIN_CHARS) for x in link)
+    assert len(want) > 100
+    lines = spark.createDataFrame([(t,) for t in texts], "line string").repartition(5)
+    hashed = {r.h1: r.line for r in lines.select(F.xxhash64("line").alias("h1"), "line").collect()}
+    for name, value in [("SLOT_LINES", 3), ("SIGN_ROWS", 100), ("SIGN_CHARS", 300), ("BLOCK", 4)]:
+        monkeypatch.setattr(L, name, value)
+    n_links = Counter()
+    for r in L.edit_links(lines, stage).collect():
+        n_links[hashed[r.h1]] += r.n_links
+    assert n_links == want
+
+
+def test_a_shared_key_keeps_its_different_lines():
+    """A slot leaves each line of a key once, if two differ and one of them is a segment."""
+    rng = random.Random(13)
+    ids = [rng.randint(0, 3) for _ in range(150)]
+    rows = [(rng.randint(-40, 40), i, 60 + 2 * i + rng.randint(0, 1)) for i in ids]
+    slot = pa.table({c: [[r[k] for r in rows[a::3]] for a in range(3)] for k, c in enumerate(["key", "id", "mark"])})
+    groups = {}
+    for key, line, mark in rows:
+        groups.setdefault(key, {}).setdefault(line, []).append(mark)
+    want = sorted((key, line, max(marks)) for key, g in groups.items() for line, marks in g.items()
+                  if len(g) > 1 and any(m % 2 for ms in g.values() for m in ms))
+    assert 0 < len(want) < sum(map(len, groups.values()))
+    assert sorted(tuple(r.values()) for r in L._shared(slot).to_pylist()) == want
+    assert L._shared(slot.slice(0, 0)).num_rows == 0

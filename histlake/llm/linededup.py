@@ -57,7 +57,7 @@ SLOT_LINES = 1 << 15
 #: characters that are signed at once
 SIGN_CHARS = 1 << 18
 #: signature rows a task holds before they are dealt to the slots
-SIGN_ROWS = 1 << 20
+SIGN_ROWS = 1 << 18
 #: rows of one key that are compared with each other in one piece
 BLOCK = 256
 #: characters of one such piece, unless a single line is longer
@@ -409,6 +409,23 @@ def _parities(symbols: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndar
     return xors[starts + n] ^ xors[starts]
 
 
+def _shapes(lines: list[str]) -> list[np.ndarray]:
+    """Characters and words of each line, and the parities of both; a few lines' characters are in memory."""
+    out = []
+    piece: list[str] = []
+    size = 0
+    for k, line in enumerate(lines, 1):
+        piece.append(line)
+        size += len(line)
+        if size > SIGN_CHARS or k == len(lines):
+            with np.errstate(over="ignore"):
+                text = _Text(piece)
+            out.append((text.lens, text.n_words, _parities(text.chars, text.starts, text.lens),
+                        _parities(text.words, text.w_starts, text.n_words)))
+            piece, size = [], 0
+    return [np.concatenate(c) for c in zip(*out, strict=True)]
+
+
 def linked(rows: pa.StructArray, ends: np.ndarray, tau: int,
            word_taus: tuple[tuple[int, int], ...] = WORD_TAUS) -> list[tuple[int, int, int, int, int]]:
     """Links within blocks, block k being ``rows`` from ``ends[k]`` up to
@@ -420,12 +437,8 @@ def linked(rows: pa.StructArray, ends: np.ndarray, tau: int,
     ids = list(zip(*(rows.field(c).to_pylist() for c in ("id", "h2")), strict=True))
     indexed, own, home = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("indexed", "own", "home"))
     lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in map(rows.field, ("segs", "wins"))]
-    with np.errstate(over="ignore"):
-        text = _Text(lines)
-    n_words, n_chars = text.n_words, text.lens
+    n_chars, n_words, by_char, by_word = _shapes(lines)
     few = n_words < word_taus[-1][0] if word_taus else np.ones(len(lines), bool)
-    by_char = _parities(text.chars, text.starts, n_chars)
-    by_word = _parities(text.words, text.w_starts, n_words)
     # every row meets those behind it in its block
     behind = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(lines)) - 1
     i = np.repeat(np.arange(len(lines)), behind)

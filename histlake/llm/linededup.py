@@ -55,9 +55,9 @@ BROADCAST_ROWS = 1_000_000
 #: lines whose signatures come to one slot of keys, about (a dozen rows of 20 bytes a line)
 SLOT_LINES = 1 << 15
 #: characters that are signed at once
-SIGN_CHARS = 1 << 18
+SIGN_CHARS = 1 << 17
 #: signature rows a task holds before they are dealt to the slots
-SIGN_ROWS = 1 << 18
+SIGN_ROWS = 1 << 17
 #: rows of one key that are compared with each other in one piece
 BLOCK = 256
 #: characters of one such piece, unless a single line is longer
